@@ -101,7 +101,7 @@ def extract_number(c, unit: str | None = TEMPERATURE_UNIT, fallback: bool = Fals
     s = _c(c)
     if unit is None:
         return F.regexp_extract(s, r"(\d+)", 1).try_cast("int")
-    before_unit = F.regexp_extract(s, r"(\d+)(?:-[A-Za-z]+)?\s*" + unit, 1).try_cast("int")
+    before_unit = F.regexp_extract(s, r"(\d+)(?:-?[A-Za-z]+)?\s*" + unit, 1).try_cast("int")
     if fallback:
         return F.coalesce(before_unit, F.regexp_extract(s, r"(\d+)", 1).try_cast("int"))
     return before_unit

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidyspark.session import ensure_checkpoint_dir
+from tidyspark.session import materialize as _materialize
 
 _UNORDERABLE = (T.MapType, T.VariantType) if hasattr(T, "VariantType") else (T.MapType,)
 
@@ -72,9 +72,10 @@ def dense_key(df: DataFrame, order_by, name: str = "key", start: int | Column =
     ``order_by`` holds column names or Column expressions (ascending, NULLs
     first, as Spark orders them). ``tie_break`` defaults to every other
     orderable column so equal prefixes still get a deterministic order.
-    ``materialize`` checkpoints the input first (reliable checkpoint into the
-    session's checkpoint folder) so an expensive or non-deterministic upstream
-    is evaluated once; the three passes below then read the checkpoint.
+    ``materialize`` writes the input once as parquet below the session's
+    checkpoint folder, so an expensive upstream (an anti join, a distinct) is
+    evaluated once; the count then comes from metadata and the sample and
+    bucket-count passes read only the ordering columns.
     """
     if isinstance(order_by, (str, Column)):
         order_by = [order_by]
@@ -84,11 +85,10 @@ def dense_key(df: DataFrame, order_by, name: str = "key", start: int | Column =
         tie_break = [f.name for f in df.schema.fields
                      if f.name not in named and _orderable(f.dataType)]
     order_cols += [F.col(c) for c in tie_break]
+    if materialize:
+        df = _materialize(df, "dense-key-input")
     helper = [f"__dk{i}" for i in range(len(order_cols))]
     keyed = df.withColumns({h: c for h, c in zip(helper, order_cols)})
-    if materialize:
-        ensure_checkpoint_dir(df.sparkSession)
-        keyed = keyed.checkpoint(eager=True)
 
     n = keyed.count() if n_rows is None else n_rows
     buckets = max(1, min(max_buckets, math.ceil(n / max(1, rows_per_bucket))))

@@ -53,15 +53,17 @@ def max_key(existing: DataFrame | None, key: str) -> int:
     return int(v) if v is not None else 0
 
 
-def merge_new_rows(existing: DataFrame | None, batch: DataFrame, natural_key, key: str,
+def merge_new_rows(existing: DataFrame | None, batch: DataFrame, natural_key, key: str | None,
                    order_by=None, *, materialize: bool = True,
                    return_new: bool = False, **dense_opts):
     """Stored rows UNION ALL unmatched batch rows numbered after the current maximum.
 
     ``existing`` may be None (first load). ``batch`` carries the table's columns
     except ``key``. ``order_by`` (default: the natural key) orders the new keys.
-    ``materialize`` checkpoints the new rows once before numbering them, so the
-    anti join is not recomputed by the numbering passes.
+    ``materialize`` writes the new rows once before numbering them, so the
+    anti join is not recomputed by the numbering passes. ``key=None`` keeps
+    the batch's own identifiers (a natural key): unmatched rows are appended
+    as they are.
     """
     if isinstance(natural_key, str):
         natural_key = [natural_key]
@@ -69,6 +71,9 @@ def merge_new_rows(existing: DataFrame | None, batch: DataFrame, natural_key, ke
                     ([order_by] if isinstance(order_by, str) else order_by))
     cols = [c for c in (existing.columns if existing is not None else batch.columns) if c != key]
     fresh = new_rows(existing, batch.select(*cols), natural_key)
+    if key is None:
+        merged = fresh if existing is None else existing.unionByName(fresh)
+        return (merged, fresh) if return_new else merged
     start = max_key(existing, key)
     numbered = dense_key(fresh, order_by, key, start=start, materialize=materialize,
                          **dense_opts)

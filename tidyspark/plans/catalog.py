@@ -336,7 +336,7 @@ def _temp_text():
 @register("extract_number", f"""
 WITH t AS (SELECT p_partkey, {_TEMP_SQL} AS weather FROM part)
 SELECT p_partkey, weather,
-       TRY_CAST(nullif(regexp_extract(weather, '(\\d+)(?:-[A-Za-z]+)?\\s*degrees', 1), '')
+       TRY_CAST(nullif(regexp_extract(weather, '(\\d+)(?:-?[A-Za-z]+)?\\s*degrees', 1), '')
                 AS INTEGER) AS degrees
 FROM t
 """)
@@ -769,3 +769,61 @@ def audit_tables(spark, d):
         "part": load(spark, d, "part"),
     }
     return audit(tables, AUDIT_SPECS)
+
+
+# ==== end-to-end pipeline (B24) on survey-shaped data derived from the tables ================
+
+_PIPELINE_RUNS: dict = {}
+
+
+def _pipeline(spark, d):
+    """One pipeline run per (session, input folder); its tables are written
+    below the checkpoint folder, so the six pipeline queries share it."""
+    from tidyspark.plans.pipeline import run_pipeline, survey_inputs
+    run_key = (spark.sparkContext.applicationId, d)
+    if run_key not in _PIPELINE_RUNS:
+        visits, sightings = survey_inputs(spark, d)
+        _PIPELINE_RUNS[run_key] = run_pipeline(spark, visits, sightings)
+    return _PIPELINE_RUNS[run_key]
+
+
+@register("pipeline_q1", """
+WITH q AS (SELECT DISTINCT s.s_nationkey AS ParkID, 'S-' || l.l_partkey AS SquirrelID
+           FROM lineitem l LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey),
+pk AS (SELECT DISTINCT n.n_nationkey AS ParkID,
+              regexp_replace(array_to_string(list_transform(string_split(lower(n.n_name), ' '),
+                              lambda w: upper(left(w, 1)) || substr(w, 2)), ' ') || ' Park',
+                             '[^a-zA-Z0-9 \t\n\r\f#(),:]', '', 'g') AS ParkName
+       FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey
+       LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey)
+SELECT q.ParkID, pk.ParkName, COUNT(*) AS qty_squirrel
+FROM q LEFT JOIN pk ON q.ParkID = pk.ParkID
+GROUP BY q.ParkID, pk.ParkName
+""")
+def pipeline_q1(spark, d):
+    return _pipeline(spark, d)["query_1"]
+
+
+@register("pipeline_q2", None)
+def pipeline_q2(spark, d):
+    return _pipeline(spark, d)["query_2"]
+
+
+@register("pipeline_q3", None)
+def pipeline_q3(spark, d):
+    return _pipeline(spark, d)["query_3"]
+
+
+@register("pipeline_q4", None)
+def pipeline_q4(spark, d):
+    return _pipeline(spark, d)["query_4"]
+
+
+@register("pipeline_q5", None)
+def pipeline_q5(spark, d):
+    return _pipeline(spark, d)["query_5"]
+
+
+@register("pipeline_audit", None)
+def pipeline_audit(spark, d):
+    return _pipeline(spark, d)["audit"]

@@ -1,6 +1,113 @@
-"""Placeholder replaced below."""
-from tidyspark.plans.catalog import audit_tables
+"""End-to-end runs: survey-shaped inputs derived from the supplied tables.
 
+``survey_inputs(spark, d)`` turns the order and line tables into the two wide
+survey tables (raw headers, free text with notes, clauses, ranges, 12-hour
+times, two-digit-year dates, missing values), one visit per order and one
+sighting per line, so the whole normalisation runs on data whose size grows
+with the tables. ``run_pipeline`` stages, normalises, optionally merges into a
+store, audits and reports.
+"""
 
-def flagship(spark, d):
-    return audit_tables(spark, d)
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidyspark.plans.survey import normalize_survey, survey_audit, survey_reports
+from tidyspark.sources.headers import normalize_headers
+
+
+def _load(spark: SparkSession, d: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{d.rstrip('/')}/{name}.parquet")
+
+
+def survey_inputs(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    o, c = _load(spark, d, "orders"), _load(spark, d, "customer")
+    n, r = _load(spark, d, "nation"), _load(spark, d, "region")
+    li, p, s = _load(spark, d, "lineitem"), _load(spark, d, "part"), _load(spark, d, "supplier")
+
+    sectioned = F.col("o_orderstatus") == "P"
+    minutes = (F.col("o_orderkey") % 90 + 10).cast("int")
+    start = F.col("o_orderdate") + F.make_dt_interval(
+        hours=F.lit(12) + (F.col("o_custkey") % 11).cast("int"), mins=(F.col("o_orderkey") % 60).cast("int"))
+    size = F.col("o_orderkey") % 40 + 30
+    visits = (o.join(c, o.o_custkey == c.c_custkey, "left")
+              .join(n, F.col("c_nationkey") == n.n_nationkey, "left")
+              .join(r, F.col("n_regionkey") == r.r_regionkey, "left")
+              .select(
+                  F.upper("r_name").alias("Area Name"),
+                  F.substring("r_name", 1, 1).alias("Area ID"),
+                  F.when(sectioned, F.concat(F.initcap("n_name"), F.lit(" Park (Section "),
+                                             F.substring("o_orderpriority", 3, 20), F.lit(")")))
+                   .otherwise(F.concat(F.initcap("n_name"), F.lit(" Park"))).alias("Park Name"),
+                  F.when(sectioned, F.concat_ws(".", F.col("n_nationkey").cast("string"),
+                                                F.substring("o_orderpriority", 1, 1)))
+                   .otherwise(F.col("n_nationkey").cast("string")).alias("Park ID"),
+                  F.date_format("o_orderdate", "M/d/yy").alias("Date"),
+                  F.date_format(start, "h:mm:ss a").alias("Start Time"),
+                  F.date_format(start + F.make_dt_interval(mins=minutes), "h:mm:ss a")
+                   .alias("End Time"),
+                  F.when(F.col("o_orderstatus") == "F", F.lit(None).cast("string"))
+                   .otherwise(minutes.cast("string"))
+                   .alias("Total Time (in minutes, if available)"),
+                  F.when(F.col("o_orderpriority").startswith("1"),
+                         F.concat(F.lit("Busy, "), F.lower("c_mktsegment"), F.lit(" crowd")))
+                   .when(F.col("o_orderpriority").startswith("2"), F.lit('"Calm" - staff'))
+                   .otherwise(F.substring("o_orderpriority", 3, 20)).alias("Park Conditions"),
+                  F.concat(F.lit("Humans, "), F.initcap("c_mktsegment"), F.lit(" ("),
+                           (F.col("o_custkey") % 4).cast("string"), F.lit(", leashed), "),
+                           F.initcap("n_name"), F.lit(" Birds")).alias("Other Animal Sightings"),
+                  F.when(F.col("o_orderstatus") == "O", F.lit("Some, in trees"))
+                   .when(F.col("o_orderstatus") == "F", F.lit(None).cast("string"))
+                   .otherwise(F.lit("None")).alias("Litter"),
+                  F.when(F.col("o_orderpriority").startswith("5"), F.lit("cold, clear"))
+                   .when(F.col("o_orderpriority").startswith("4"),
+                         F.concat(size.cast("string"), F.lit("-ish degrees, but sunny!")))
+                   .otherwise(F.concat(size.cast("string"), F.lit(" degrees, "),
+                                       F.lower("o_orderstatus"), F.lit("windy, sunny with gusts")))
+                   .alias("Temperature & Weather")))
+
+    sightings = (li.join(p, li.l_partkey == p.p_partkey, "left")
+                 .join(s, li.l_suppkey == s.s_suppkey, "left")
+                 .select(
+                     F.concat(F.lit("S-"), F.col("l_partkey").cast("string")).alias("SquirrelID"),
+                     F.col("s_nationkey").cast("string").alias("Park ID"),
+                     F.initcap("p_type").alias("Primary Fur Color"),
+                     F.regexp_replace(F.initcap("p_name"), " ", ", ").alias("Highlights in Fur Color"),
+                     F.col("p_brand").alias("Color Notes"),
+                     F.when(F.col("l_returnflag") == "R",
+                            F.concat(F.lit("<"), F.col("p_size").cast("string")))
+                      .when(F.col("l_returnflag") == "A",
+                            F.concat(F.col("p_size").cast("string"), F.lit("-"),
+                                     (F.col("p_size") + 5).cast("string")))
+                      .otherwise(F.lit(None).cast("string")).alias("Above Ground (Height in Feet)"),
+                     F.when(F.col("l_linestatus") == "O", F.lit("Ground Plane"))
+                      .otherwise(F.lit("Above Ground (tree, high)")).alias("Location"),
+                     F.lit(None).cast("string").alias("Specific Location"),
+                     F.concat(F.regexp_replace(F.initcap("p_name"), " ", ", "), F.lit(" ("),
+                              F.col("l_quantity").cast("int").cast("string"), F.lit(")"))
+                      .alias("Activities"),
+                     F.when(F.col("l_discount") > 0.05, F.lit("Indifferent, Approaches"))
+                      .otherwise(F.lit("Runs From")).alias("Interactions with Humans"),
+                     F.lit(None).cast("string").alias("Other Notes or Observations"),
+                     (F.lit(40.7) + F.col("l_extendedprice") / 1e6).alias(
+                         "Squirrel Latitude (DD.DDDDDD)"),
+                     (F.lit(-73.9) - F.col("l_discount")).alias("Squirrel Longitude (-DD.DDDDDD)")))
+    return visits, sightings
+
+
+def run_pipeline(spark: SparkSession, visits: DataFrame, sightings: DataFrame,
+                 store: str | None = None, **stage_opts) -> dict[str, DataFrame]:
+    """Normalise (and merge into ``store``), then audit and report."""
+    t = normalize_survey(spark, normalize_headers(visits), normalize_headers(sightings),
+                         store=store, **stage_opts)
+    out = dict(t)
+    out["audit"] = survey_audit(t)
+    out.update(survey_reports(t))
+    return out
+
+
+def flagship(spark: SparkSession, d: str) -> DataFrame:
+    """The full pipeline on tables derived from ``d``; returns the Q5 report."""
+    visits, sightings = survey_inputs(spark, d)
+    return run_pipeline(spark, visits, sightings)["query_5"]

@@ -67,3 +67,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the checkpoint folder for staged tables and round trips."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df, label: str = "stage"):
+    """Cut lineage by writing ``df`` as parquet below the checkpoint folder.
+
+    Later passes read the written files: a row count comes from parquet
+    metadata and a pass over a few columns reads only those columns. Falls back
+    to a reliable ``checkpoint()`` for schemas parquet cannot store.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    try:
+        df.write.parquet(path)
+    except Exception:  # e.g. interval or void columns
+        return df.checkpoint(eager=True)
+    return spark.read.parquet(path)
