@@ -84,3 +84,15 @@ def test_csv_source_roundtrip(spark, tmp_path):
     df = read_csv(spark, path)
     assert df.columns[7] == "TotalTimeinminutesifavailable"
     assert df.count() == len(fixtures.VISITS)
+
+
+def test_report_sql_over_views_matches_operator(spark):
+    from tidyspark.plans.survey import register_views
+    t = normalize_survey(spark, *_inputs(spark))
+    register_views(t)
+    sql = """
+        SELECT q.ParkID, p.ParkName, COUNT(*) AS qty_squirrel
+        FROM (SELECT ParkID, SquirrelID FROM squirrels GROUP BY ParkID, SquirrelID) q
+        LEFT JOIN parks p ON q.ParkID = p.ParkID
+        GROUP BY q.ParkID, p.ParkName"""
+    assert _rows(spark.sql(sql)) == _rows(survey_reports(t)["query_1"])

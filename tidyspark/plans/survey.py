@@ -312,3 +312,10 @@ def survey_reports(t: dict[str, DataFrame]) -> dict[str, DataFrame]:
                      .orderBy(F.asc_nulls_last("ParkID"), "Total",
                               F.asc_nulls_last("PrimaryFurColors")),
     }
+
+
+def register_views(tables: dict[str, DataFrame], prefix: str = "") -> None:
+    """Expose the tables as temporary views, so report SQL written for the
+    stored tables runs unchanged in Spark SQL (``spark.sql(text)``)."""
+    for name, df in tables.items():
+        df.createOrReplaceTempView(prefix + name)

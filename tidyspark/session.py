@@ -83,3 +83,4 @@ def materialize(df, label: str = "stage"):
     except Exception:  # e.g. interval or void columns
         return df.checkpoint(eager=True)
     return spark.read.parquet(path)
+
