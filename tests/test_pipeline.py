@@ -96,3 +96,13 @@ def test_report_sql_over_views_matches_operator(spark):
         LEFT JOIN parks p ON q.ParkID = p.ParkID
         GROUP BY q.ParkID, p.ParkName"""
     assert _rows(spark.sql(sql)) == _rows(survey_reports(t)["query_1"])
+
+
+def test_run_pipeline_writes_reports(spark, tmp_path):
+    from tidyspark.plans.pipeline import run_pipeline
+    out = run_pipeline(spark, fixtures.visits_df(spark), fixtures.sightings_df(spark),
+                       report_dir=str(tmp_path / "output"))
+    back = spark.read.option("header", True).csv(str(tmp_path / "output" / "query_4"))
+    assert back.columns == ["Top", "TopActivities"]
+    assert sorted(tuple(r) for r in back.collect()) == \
+        sorted((str(a), b) for a, b in out["query_4"].collect())

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tidyspark.plans.survey import normalize_survey, survey_audit, survey_reports
 from tidyspark.sources.headers import normalize_headers
+from tidyspark.sources.tables import write_report
 
 
 def _load(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -64,7 +65,7 @@ def survey_inputs(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
                    .when(F.col("o_orderpriority").startswith("4"),
                          F.concat(size.cast("string"), F.lit("-ish degrees, but sunny!")))
                    .otherwise(F.concat(size.cast("string"), F.lit(" degrees, "),
-                                       F.lower("o_orderstatus"), F.lit("windy, sunny with gusts")))
+                                       F.lower("o_orderstatus"), F.lit(", windy, sunny with gusts")))
                    .alias("Temperature & Weather")))
 
     sightings = (li.join(p, li.l_partkey == p.p_partkey, "left")
@@ -97,13 +98,22 @@ def survey_inputs(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
 
 
 def run_pipeline(spark: SparkSession, visits: DataFrame, sightings: DataFrame,
-                 store: str | None = None, **stage_opts) -> dict[str, DataFrame]:
-    """Normalise (and merge into ``store``), then audit and report."""
+                 store: str | None = None, report_dir: str | None = None,
+                 **stage_opts) -> dict[str, DataFrame]:
+    """Normalise (and merge into ``store``), then audit and report.
+
+    With ``report_dir`` each report is also written as ``<report_dir>/query_N``,
+    one headed CSV file per report.
+    """
     t = normalize_survey(spark, normalize_headers(visits), normalize_headers(sightings),
                          store=store, **stage_opts)
     out = dict(t)
     out["audit"] = survey_audit(t)
-    out.update(survey_reports(t))
+    reps = survey_reports(t)
+    out.update(reps)
+    if report_dir is not None:
+        for name, df in reps.items():
+            write_report(df, f"{report_dir.rstrip('/')}/{name}")
     return out
 
 

@@ -63,10 +63,15 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "err
     w.save(path)
 
 
-def write_report(df: DataFrame, path: str, order_by=None, fmt: str = "csv") -> None:
-    """A report as one headed CSV file (reports are small, ordered results)."""
+def write_report(df: DataFrame, path: str, order_by=None, fmt: str = "csv",
+                 single_file: bool = False) -> None:
+    """A report as headed CSV. By default the (globally ordered) result is
+    written by as many tasks as it has partitions, part files in order; only a
+    report known to be small should ask for ``single_file``."""
     out = df if order_by is None else df.orderBy(*order_by)
-    out.coalesce(1).write.mode("overwrite").option("header", True).format(fmt).save(path)
+    if single_file:
+        out = out.coalesce(1)
+    out.write.mode("overwrite").option("header", True).format(fmt).save(path)
 
 
 def merge_into_path(spark: SparkSession, path: str, batch: DataFrame, natural_key, key: str,
