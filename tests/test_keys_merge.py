@@ -102,3 +102,17 @@ def test_merge_plan_is_null_safe_anti_join(spark):
     plan = fresh._jdf.queryExecution().executedPlan().toString()
     assert "LeftAnti" in plan and "BroadcastNestedLoopJoin" not in plan
     assert "CartesianProduct" not in plan
+
+
+def test_dense_key_loop_search_for_many_buckets(spark, monkeypatch):
+    from tidyspark.operators import keys
+    used = []
+    real = keys._bucket_loop
+    monkeypatch.setattr(keys, "_bucket_loop", lambda t, c: used.append(len(c)) or real(t, c))
+    o = spark.read.parquet(f"{SF01}/orders.parquet").select(
+        "o_orderkey", F.nullif("o_orderpriority", F.lit("1-URGENT")).alias("p"), "o_orderdate")
+    order = ["p", "o_orderdate", "o_orderkey"]
+    got = dense_key(o, order, "k", rows_per_bucket=20, max_buckets=700)
+    assert used and used[0] > keys.CASE_TREE_MAX_CUTS
+    want = o.withColumn("k", F.row_number().over(Window.orderBy(*order)))
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0

@@ -51,8 +51,16 @@ def _as_col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# above this many cut points the bucket search is a loop over a literal array
+# (constant expression size); below it a CASE tree that compiles into codegen
+CASE_TREE_MAX_CUTS = 255
+
+
 def _bucket_expr(tuple_col: Column, cuts: list[Column]) -> Column:
-    """Number of cut points <= tuple, as a balanced tree of CASE expressions."""
+    """Number of cut points <= tuple (cut points sorted ascending)."""
+    if len(cuts) > CASE_TREE_MAX_CUTS:
+        return _bucket_loop(tuple_col, cuts)
+
     def search(lo: int, hi: int) -> Column:
         # answer lies in [lo, hi]; cuts[lo .. hi-1] decide it
         if lo == hi:
@@ -62,9 +70,26 @@ def _bucket_expr(tuple_col: Column, cuts: list[Column]) -> Column:
     return search(0, len(cuts))
 
 
+def _bucket_loop(tuple_col: Column, cuts: list[Column]) -> Column:
+    """The same binary search as ``aggregate`` over ceil(log2(k+1)) steps."""
+    arr = F.array(*cuts)                  # folded to one literal array
+    steps = max(1, math.ceil(math.log2(len(cuts) + 1)))
+
+    def step(acc, _i):
+        lo, hi = acc["lo"], acc["hi"]
+        mid = F.floor((lo + hi + 1) / 2).cast("int")
+        below = tuple_col < F.element_at(arr, mid)
+        return F.when(lo >= hi, acc).when(
+            below, F.struct(lo.alias("lo"), (mid - 1).alias("hi"))).otherwise(
+            F.struct(mid.alias("lo"), hi.alias("hi")))
+
+    start = F.struct(F.lit(0).alias("lo"), F.lit(len(cuts)).alias("hi"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, step, lambda acc: acc["lo"])
+
+
 def dense_key(df: DataFrame, order_by, name: str = "key", start: int | Column = 0, *,
               tie_break: list[str] | None = None,
-              rows_per_bucket: int = 50_000, max_buckets: int = 4096,
+              rows_per_bucket: int = 50_000, max_buckets: int = 16384,
               sample_per_bucket: int = 64, seed: int = 17,
               materialize: bool = False, n_rows: int | None = None) -> DataFrame:
     """Add ``name`` = start + 1-based rank of each row in ascending tuple order.
