@@ -123,7 +123,7 @@ def dense_key(df: DataFrame, order_by, name: str = "key", start: int | Column =
         offsets = [0]
     else:
         fraction = min(1.0, buckets * sample_per_bucket / max(1, n))
-        step = max(1, sample_per_bucket)
+        step = max(1, int(fraction * n / buckets))   # sample rows per bucket
         sample = (keyed.select(*helper).sample(False, fraction, seed)
                   .withColumn("__dkr", F.row_number().over(Window.orderBy(*helper)))
                   .where(F.col("__dkr") % step == 0)
