@@ -116,3 +116,20 @@ def test_dense_key_loop_search_for_many_buckets(spark, monkeypatch):
     assert used and used[0] > keys.CASE_TREE_MAX_CUTS
     want = o.withColumn("k", F.row_number().over(Window.orderBy(*order)))
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_dense_key_splits_a_hot_group_of_copies(spark):
+    li = spark.read.parquet(f"{SF01}/lineitem.parquet").select("l_returnflag", "l_linestatus")
+    hot = li.where("l_returnflag <> 'A'").select(F.lit("HOT").alias("l_returnflag"),
+                                                F.lit("X").alias("l_linestatus"))
+    df = li.unionByName(hot)            # about 40% of the rows are one copy group
+    got = dense_key(df, ["l_returnflag", "l_linestatus"], "k", rows_per_bucket=2000,
+                    materialize=True)
+    n = df.count()
+    assert tuple(got.agg(F.min("k"), F.max("k"), F.countDistinct("k")).first()) == (1, n, n)
+    want = df.withColumn("k", F.row_number().over(Window.orderBy("l_returnflag", "l_linestatus")))
+    # copies are interchangeable: compare the (row, key) multisets per tuple range
+    g = got.groupBy("l_returnflag", "l_linestatus").agg(F.min("k"), F.max("k"), F.count("*"))
+    w = want.groupBy("l_returnflag", "l_linestatus").agg(F.min("k"), F.max("k"), F.count("*"))
+    assert _rows(g) == _rows(w)
+    assert hot.count() > n // 3

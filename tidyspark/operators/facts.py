@@ -72,6 +72,9 @@ def bridge(fact: DataFrame, fact_key: str, value, dim: DataFrame, dim_name: str,
     out = lookup(items, dim, "__value", dim_name, dim_key,
                  broadcast_max_rows=broadcast_max_rows).select(fact_key, dim_key, note)
     if key is not None:
+        # bridge rows may repeat (an item listed twice in one cell): written
+        # once, so copies are spread over buckets and numbered exactly
+        dense_opts.setdefault("materialize", True)
         out = dense_key(out, [fact_key, dim_key, note], key, start=start, **dense_opts)
         out = out.select(key, fact_key, dim_key, note)
     return out

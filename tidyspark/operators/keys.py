@@ -100,7 +100,9 @@ def dense_key(df: DataFrame, order_by, name: str = "key", start: int | Column =
     ``materialize`` writes the input once as parquet below the session's
     checkpoint folder, so an expensive upstream (an anti join, a distinct) is
     evaluated once; the count then comes from metadata and the sample and
-    bucket-count passes read only the ordering columns.
+    bucket-count passes read only the ordering columns. It also spreads a
+    group of identical rows over several buckets (see below); without it such
+    copies share one bucket.
     """
     if isinstance(order_by, (str, Column)):
         order_by = [order_by]
@@ -111,7 +113,13 @@ def dense_key(df: DataFrame, order_by, name: str = "key", start: int | Column =
                      if f.name not in named and _orderable(f.dataType)]
     order_cols += [F.col(c) for c in tie_break]
     if materialize:
-        df = _materialize(df, "dense-key-input")
+        # Copies of one tuple are interchangeable; their position in the
+        # written files is fixed (same splits, same row order in every pass),
+        # so it breaks their ties deterministically and lets the cut points
+        # split a group of copies that holds a large share of all rows.
+        df = _materialize(df, "dense-key-input").withColumn(
+            "__dkpos", F.monotonically_increasing_id())
+        order_cols.append(F.col("__dkpos"))
     helper = [f"__dk{i}" for i in range(len(order_cols))]
     keyed = df.withColumns({h: c for h, c in zip(helper, order_cols)})
 
@@ -152,5 +160,5 @@ def dense_key(df: DataFrame, order_by, name: str = "key", start: int | Column =
     w = Window.partitionBy("__dkb").orderBy(*helper)
     out = bucketed.withColumn(
         name, (start_col.cast("long") + offset_col + F.row_number().over(w)).cast("long"))
-    return out.drop("__dkb", *helper)
+    return out.drop("__dkb", "__dkpos", *helper)
 
