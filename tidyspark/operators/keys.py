@@ -91,7 +91,8 @@ def dense_key(df: DataFrame, order_by, name: str = "key", start: int | Column =
               tie_break: list[str] | None = None,
               rows_per_bucket: int = 50_000, max_buckets: int = 16384,
               sample_per_bucket: int = 64, seed: int = 17,
-              materialize: bool = False, n_rows: int | None = None) -> DataFrame:
+              materialize: bool = False, split_copies: bool | None = None,
+              n_rows: int | None = None) -> DataFrame:
     """Add ``name`` = start + 1-based rank of each row in ascending tuple order.
 
     ``order_by`` holds column names or Column expressions (ascending, NULLs
@@ -100,9 +101,10 @@ def dense_key(df: DataFrame, order_by, name: str = "key", start: int | Column =
     ``materialize`` writes the input once as parquet below the session's
     checkpoint folder, so an expensive upstream (an anti join, a distinct) is
     evaluated once; the count then comes from metadata and the sample and
-    bucket-count passes read only the ordering columns. It also spreads a
-    group of identical rows over several buckets (see below); without it such
-    copies share one bucket.
+    bucket-count passes read only the ordering columns. ``split_copies``
+    (default: ``materialize``; needs it) spreads a group of identical rows over
+    several buckets; without it such copies share one bucket. Inputs that are
+    unique on the ordering tuple do not need it.
     """
     if isinstance(order_by, (str, Column)):
         order_by = [order_by]
@@ -112,13 +114,16 @@ def dense_key(df: DataFrame, order_by, name: str = "key", start: int | Column =
         tie_break = [f.name for f in df.schema.fields
                      if f.name not in named and _orderable(f.dataType)]
     order_cols += [F.col(c) for c in tie_break]
+    if split_copies is None:
+        split_copies = materialize
     if materialize:
+        df = _materialize(df, "dense-key-input")
+    if materialize and split_copies:
         # Copies of one tuple are interchangeable; their position in the
         # written files is fixed (same splits, same row order in every pass),
         # so it breaks their ties deterministically and lets the cut points
         # split a group of copies that holds a large share of all rows.
-        df = _materialize(df, "dense-key-input").withColumn(
-            "__dkpos", F.monotonically_increasing_id())
+        df = df.withColumn("__dkpos", F.monotonically_increasing_id())
         order_cols.append(F.col("__dkpos"))
     helper = [f"__dk{i}" for i in range(len(order_cols))]
     keyed = df.withColumns({h: c for h, c in zip(helper, order_cols)})

@@ -75,6 +75,8 @@ def merge_new_rows(existing: DataFrame | None, batch: DataFrame, natural_key, ke
         merged = fresh if existing is None else existing.unionByName(fresh)
         return (merged, fresh) if return_new else merged
     start = max_key(existing, key)
+    # new rows are unique on the natural key: no copies to split
+    dense_opts.setdefault("split_copies", False)
     numbered = dense_key(fresh, order_by, key, start=start, materialize=materialize,
                          **dense_opts)
     out_cols = existing.columns if existing is not None else [key, *cols]
