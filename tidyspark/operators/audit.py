@@ -4,9 +4,10 @@
 column_name, violations)`` with a row per declared rule, zero included:
 
 * ``primary_key_duplicates`` - rows whose key value occurs more than once;
-* ``not_null`` - NULLs in a NOT NULL column (one aggregation pass per table);
+* ``not_null`` - NULLs in a NOT NULL column;
 * ``foreign_key_orphans`` - non-NULL references without a parent row;
-* ``max_length`` - texts longer than the declared length.
+* ``max_length`` - texts longer than the declared length (NULL and length
+  rules of a table share one aggregation pass).
 
 Scale: references are pre-aggregated to (value, count) before the anti join,
 so a value used by a third of the rows is one row in the join; duplicate keys
@@ -38,20 +39,27 @@ def pk_duplicates(df: DataFrame, table: str, key) -> DataFrame:
                 ",".join(key), F.col("__v"))
 
 
-def null_counts(df: DataFrame, table: str, cols) -> list[DataFrame]:
-    cols = list(cols)
-    if not cols:
+def column_checks(df: DataFrame, table: str, not_null=(), max_length=None) -> list[DataFrame]:
+    """NOT NULL and text-length rules of one table in a single aggregation pass."""
+    rules = [("not_null", c, F.col(c).isNull()) for c in not_null]
+    rules += [("max_length", c, F.length(c) > n) for c, n in (max_length or {}).items()]
+    if not rules:
         return []
-    agg = df.agg(*[F.sum(F.col(c).isNull().cast("long")).alias(f"__n{i}")
-                   for i, c in enumerate(cols)])
-    # one pass; the stack turns the single row into one row per column
-    pairs = ", ".join(f"'{c}', __n{i}" for i, c in enumerate(cols))
-    long = agg.select(F.expr(f"stack({len(cols)}, {pairs}) AS (__c, __v)"))
-    return [long.select(F.lit(table).alias("table_name"), F.lit("not_null").alias("check_name"),
+    agg = df.agg(*[F.sum(cond.cast("long")).alias(f"__v{i}")
+                   for i, (_, _, cond) in enumerate(rules)])
+    # the single aggregated row becomes one row per rule
+    pairs = ", ".join(f"'{check}', '{_sql_text(col)}', __v{i}"
+                      for i, (check, col, _) in enumerate(rules))
+    long = agg.select(F.expr(f"stack({len(rules)}, {pairs}) AS (__k, __c, __v)"))
+    return [long.select(F.lit(table).alias("table_name"), F.col("__k").alias("check_name"),
                         F.col("__c").alias("column_name"),
                         F.coalesce(F.col("__v"), F.lit(0)).cast("long").alias("violations"))]
 
 
+def _sql_text(s: str) -> str:
+    return s.replace("\\", "\\\\").replace("'", "\\'")
+
+
 def fk_orphans(child: DataFrame, table: str, cols, parent: DataFrame, ref_cols) -> DataFrame:
     cols, ref_cols = list(cols), list(ref_cols)
     refs = (child.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols]))
@@ -63,27 +71,14 @@ def fk_orphans(child: DataFrame, table: str, cols, parent: DataFrame, ref_cols)
                 ",".join(cols), F.col("__v"))
 
 
-def over_length(df: DataFrame, table: str, limits: dict) -> list[DataFrame]:
-    if not limits:
-        return []
-    agg = df.agg(*[F.sum((F.length(c) > n).cast("long")).alias(f"__l{i}")
-                   for i, (c, n) in enumerate(limits.items())])
-    pairs = ", ".join(f"'{c}', __l{i}" for i, c in enumerate(limits))
-    long = agg.select(F.expr(f"stack({len(limits)}, {pairs}) AS (__c, __v)"))
-    return [long.select(F.lit(table).alias("table_name"), F.lit("max_length").alias("check_name"),
-                        F.col("__c").alias("column_name"),
-                        F.coalesce(F.col("__v"), F.lit(0)).cast("long").alias("violations"))]
-
-
 def audit(tables: dict[str, DataFrame], specs: list[TableSpec]) -> DataFrame:
     parts: list[DataFrame] = []
     for spec in specs:
         df = tables[spec.name]
         if spec.primary_key:
             parts.append(pk_duplicates(df, spec.name, spec.primary_key))
-        parts += null_counts(df, spec.name, spec.not_null)
+        parts += column_checks(df, spec.name, spec.not_null, spec.max_length)
         for ref in spec.foreign_keys:
             parts.append(fk_orphans(df, spec.name, ref.columns, tables[ref.ref_table],
                                     ref.ref_columns))
-        parts += over_length(df, spec.name, spec.max_length)
     return reduce(DataFrame.unionByName, parts)
