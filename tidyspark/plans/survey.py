@@ -89,7 +89,9 @@ class _Keyer:
                  columns=None) -> DataFrame:
         natural_key = list(natural_key)
         if self.store is None:
-            out = dense_key(rows.distinct(), order_by or natural_key, key)
+            # distinct rows written once, then numbered (no copies to split)
+            out = dense_key(rows.distinct(), order_by or natural_key, key,
+                            materialize=self.cut, split_copies=False)
             if self.cut:        # written once; later tables join back to it
                 out = materialize(out, f"survey-{name}")
         else:
