@@ -106,3 +106,18 @@ def test_run_pipeline_writes_reports(spark, tmp_path):
     assert back.columns == ["Top", "TopActivities"]
     assert sorted(tuple(r) for r in back.collect()) == \
         sorted((str(a), b) for a, b in out["query_4"].collect())
+
+
+def test_command_line_run_is_idempotent(spark, tmp_path):
+    from tidyspark.__main__ import main
+    v, s = str(tmp_path / "visits.csv"), str(tmp_path / "sightings.csv")
+    fixtures.visits_df(spark).coalesce(1).write.option("header", True).csv(v)
+    fixtures.sightings_df(spark).coalesce(1).write.option("header", True).csv(s)
+    args = ["--visits", v, "--sightings", s, "--store", str(tmp_path / "store"),
+            "--reports", str(tmp_path / "output")]
+    assert main(args) == 0
+    first = _rows(spark.read.parquet(str(tmp_path / "store" / "squirrels")))
+    assert main(args) == 0
+    assert _rows(spark.read.parquet(str(tmp_path / "store" / "squirrels"))) == first
+    q1 = spark.read.option("header", True).csv(str(tmp_path / "output" / "query_1"))
+    assert q1.columns == ["ParkID", "ParkName", "qty_squirrel"] and q1.count() == 3
