@@ -121,3 +121,16 @@ def test_command_line_run_is_idempotent(spark, tmp_path):
     assert _rows(spark.read.parquet(str(tmp_path / "store" / "squirrels"))) == first
     q1 = spark.read.option("header", True).csv(str(tmp_path / "output" / "query_1"))
     assert q1.columns == ["ParkID", "ParkName", "qty_squirrel"] and q1.count() == 3
+
+
+def test_section_without_number_links_by_name(spark):
+    extra = spark.createDataFrame(
+        [("SOUTH SIDE", "B", "Bay Park (section near Pier)", "5", "3/2/20", "1:00:00 PM",
+          "1:30:00 PM", "30", "Busy", "Humans", "None", "50 degrees, sunny")],
+        fixtures.visits_df(spark).schema)
+    v = normalize_headers(fixtures.visits_df(spark).unionByName(extra))
+    t = normalize_survey(spark, v, normalize_headers(fixtures.sightings_df(spark)))
+    sec = {r["ParkSectionName"]: r for r in t["parksections"].collect()}
+    assert sec["Near Pier"]["ParkID"] == 5 and sec["Near Pier"]["SectionID"] is None
+    row = t["parkstatus"].where("ParkID = 5").first()
+    assert row["ParkSectionID"] == sec["Near Pier"]["ParkSectionID"]

@@ -165,10 +165,15 @@ def normalize_survey(spark: SparkSession, visits: DataFrame, sightings: DataFram
                         ["WeatherName"], "WeatherID")
 
     # visit fact: keyed once on its natural key
-    v = v.withColumns({"__pid": hid["parent"], "__sid": hid["child"]})
-    secs = t["parksections"].select(F.col("ParkID").alias("__pid"),
-                                    F.col("SectionID").alias("__sid"), "ParkSectionID")
-    v = v.join(secs, on=["__pid", "__sid"], how="left")   # NULL section: no match
+    # a visit belongs to the section named in its park name, matched on the
+    # sections' natural key (the section number may be absent: NULL-safe)
+    v = v.withColumns({"__pid": hid["parent"], "__sid": hid["child"],
+                       "__sname": P.section_name("ParkName")})
+    secs = t["parksections"].select(F.col("ParkID").alias("__spid"),
+                                    F.col("SectionID").alias("__ssid"),
+                                    F.col("ParkSectionName").alias("__ssname"), "ParkSectionID")
+    v = v.join(secs, (v["__pid"] == secs["__spid"]) & v["__sid"].eqNullSafe(secs["__ssid"])
+               & (v["__sname"] == secs["__ssname"]), "left").drop("__spid", "__ssid", "__ssname")
     v = facts.lookup(v, t["parkconditions"], "ParkCondition", "ParkConditionName",
                      "ParkConditionID")
     v = facts.lookup(v, t["parklitters"], "ParkLitter", "ParkLitterName", "ParkLitterID")
