@@ -780,7 +780,7 @@ def _pipeline(spark, d):
     """One pipeline run per (session, input folder); its tables are written
     below the checkpoint folder, so the six pipeline queries share it."""
     from tidyspark.plans.pipeline import run_pipeline, survey_inputs
-    run_key = (spark.sparkContext.applicationId, d)
+    run_key = (spark.conf.get("spark.app.id", None) or id(spark), d)
     if run_key not in _PIPELINE_RUNS:
         visits, sightings = survey_inputs(spark, d)
         _PIPELINE_RUNS[run_key] = run_pipeline(spark, visits, sightings)

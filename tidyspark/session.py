@@ -51,16 +51,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     it is read from the session and never replaced. Only when nothing is set
     (local runs, tests) a folder under the local temp dir is created.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None)
-    if configured:
-        sc.setCheckpointDir(configured)
-    else:
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="tidyspark-ckpt-"))
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext, the conf names the folder
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured is None and sc is not None:
+        configured = sc.getConf().get("spark.checkpoint.dir", None)
+    if sc is None:
+        if configured is None:
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
+        return configured
+    sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="tidyspark-ckpt-"))
     return sc.getCheckpointDir()
 
 
