@@ -771,6 +771,72 @@ def audit_tables(spark, d):
     return audit(tables, AUDIT_SPECS)
 
 
+# ==== the same operators on the text tables ================================================
+
+@register("q1_conversations_per_role", """
+SELECT role, COUNT(*) AS qty FROM (SELECT DISTINCT role, conv_id FROM conversations) GROUP BY role
+""")
+def q1_conversations(spark, d):
+    return reports.count_distinct_by(load(spark, d, "conversations"), "role", "conv_id", "qty")
+
+
+@register("q4_rank_sources", """
+SELECT ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, source ASC NULLS LAST) AS Top,
+       source AS TopActivities, COUNT(*) AS n
+FROM documents GROUP BY source
+""")
+def q4_sources(spark, d):
+    docs = load(spark, d, "documents")
+    vocab = dims.dim_from_column(docs, "source", "source_name", "source_id")
+    fact = facts.lookup(docs.select("doc_id", "source"), vocab, F.trim("source"), "source_name",
+                        "source_id")
+    return reports.rank_by_frequency(fact, "source_id", vocab, "source_id", "source_name", "Top",
+                                     "TopActivities", count_name="n")
+
+
+@register("q5_lang_by_source", """
+SELECT source, lang, COUNT(*) AS total FROM documents GROUP BY source, lang
+""")
+def q5_langs(spark, d):
+    docs = load(spark, d, "documents")
+    langs = dims.dim_from_column(docs, "lang", "lang", "lang_id")
+    fact = facts.lookup(docs, langs, F.trim("lang"), "lang", "lang_id")
+    return reports.count_by_attribute(fact, "source", "lang_id", "total", attr_dim=langs,
+                                      attr_dim_key="lang_id", attr_cols=["lang"],
+                                      keep_attr_key=False)
+
+
+@register("clean_conversations", r"""
+SELECT conv_id, turn, role,
+       coalesce(nullif(trim(regexp_replace(text, '[^a-zA-Z0-9 \t\n\r\f#(),:]', '', 'g')), ''),
+                'ND') AS clean_text
+FROM conversations
+""")
+def clean_conversations(spark, d):
+    c = load(spark, d, "conversations").select("conv_id", "turn", "role",
+                                                F.col("text").alias("clean_text"))
+    return X.clean_text(c, {"clean_text": (X.KEEP_TEXT, "", X.MISSING)})
+
+
+@register("audit_labels", """
+WITH d AS (SELECT * FROM documents WHERE lang <> 'de')
+SELECT 'labels' AS table_name, 'primary_key_duplicates' AS check_name, 'doc_id' AS column_name,
+       coalesce((SELECT sum(n) FROM (SELECT count(*) AS n FROM labels GROUP BY doc_id
+                                     HAVING count(*) > 1)), 0) AS violations
+UNION ALL SELECT 'labels', 'not_null', 'quality', (SELECT count(*) FROM labels WHERE quality IS NULL)
+UNION ALL SELECT 'labels', 'not_null', 'toxic', (SELECT count(*) FROM labels WHERE toxic IS NULL)
+UNION ALL SELECT 'labels', 'foreign_key_orphans', 'doc_id',
+       (SELECT count(*) FROM labels WHERE doc_id IS NOT NULL
+          AND doc_id NOT IN (SELECT doc_id FROM d WHERE doc_id IS NOT NULL))
+""")
+def audit_labels(spark, d):
+    tables = {"labels": load(spark, d, "labels"),
+              "documents": load(spark, d, "documents").where(F.col("lang") != "de")}
+    spec = TableSpec("labels", primary_key=("doc_id",), not_null=("quality", "toxic"),
+                     foreign_keys=(fk("doc_id", "documents"),))
+    return audit(tables, [spec])
+
+
 # ==== end-to-end pipeline (B24) on survey-shaped data derived from the tables ================
 
 _PIPELINE_RUNS: dict = {}
