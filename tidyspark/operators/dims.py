@@ -28,6 +28,10 @@ def vocabulary(values: DataFrame, name: str, key: str, start: int = 0,
     if default is not None:
         v = v.select(missing_to(name, default).alias(name))
     v = v.where(F.col(name).isNotNull()).distinct()
+    # the distinct values are written once, so the numbering passes do not
+    # re-scan and re-shuffle the source; they are unique: no copies to split
+    dense_opts.setdefault("materialize", True)
+    dense_opts.setdefault("split_copies", False)
     return dense_key(v, order_by or [name], key, start=start, **dense_opts).select(key, name)
 
 
@@ -72,6 +76,8 @@ def extract_sections(df: DataFrame, id_col: str, name_col: str, marker: str = "s
          .select(hid["parent"].alias(parent), hid["child"].alias(child),
                  section_name(name_col, marker).alias(label))
          .distinct())
+    opts.setdefault("materialize", True)
+    opts.setdefault("split_copies", False)
     return dense_key(s, [parent, child, label], key, **opts).select(key, parent, child, label)
 
 
