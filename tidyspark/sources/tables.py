@@ -110,6 +110,18 @@ def read_jdbc(spark: SparkSession, url: str, table: str | None = None, *, query:
     return reader.load()
 
 
+def read_jdbc_partitioned(spark: SparkSession, url: str, table: str, column: str,
+                          num_partitions: int = 64, properties: dict | None = None) -> DataFrame:
+    """Range-partitioned JDBC read of a table on an integer column; the bounds
+    come from one pushed-down MIN/MAX query (a single row)."""
+    q = f"SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM {table}"
+    lo, hi = read_jdbc(spark, url, query=q, properties=properties).first()
+    if lo is None:
+        return read_jdbc(spark, url, table, properties=properties)
+    return read_jdbc(spark, url, table, properties=properties, partition_column=column,
+                     lower_bound=lo, upper_bound=hi, num_partitions=num_partitions)
+
+
 def table_exists_jdbc(spark: SparkSession, url: str, table: str, schema: str = "public",
                       properties: dict | None = None) -> bool:
     """Catalog probe with the filter pushed to the database and at most one row read."""
@@ -131,9 +143,10 @@ def write_jdbc(df: DataFrame, url: str, table: str, properties: dict | None = No
 
 def merge_into_jdbc(spark: SparkSession, url: str, table: str, batch: DataFrame, natural_key,
                     key: str, order_by=None, properties: dict | None = None,
-                    partition_column: str | None = None, **merge_opts) -> int:
-    """Idempotent JDBC update: read stored rows, append only unmatched batch rows."""
-    existing = (read_jdbc(spark, url, table, properties=properties)
+                    num_partitions: int = 64, **merge_opts) -> int:
+    """Idempotent JDBC update: read the stored rows (range-partitioned on the
+    surrogate key), append only the unmatched batch rows."""
+    existing = (read_jdbc_partitioned(spark, url, table, key, num_partitions, properties)
                 if table_exists_jdbc(spark, url, table, properties=properties) else None)
     _, fresh = merge_new_rows(existing, batch, natural_key, key, order_by,
                               return_new=True, **merge_opts)
