@@ -74,7 +74,7 @@ def write_report(df: DataFrame, path: str, order_by=None, fmt: str = "csv",
     out.write.mode("overwrite").option("header", True).format(fmt).save(path)
 
 
-def merge_into_path(spark: SparkSession, path: str, batch: DataFrame, natural_key, key: str,
+def merge_into_path(spark: SparkSession, path: str, batch: DataFrame, natural_key, key: str | None,
                     order_by=None, fmt: str = "parquet", **merge_opts) -> DataFrame:
     """Idempotent update of a stored table: append only the unmatched batch rows.
 
@@ -142,12 +142,14 @@ def write_jdbc(df: DataFrame, url: str, table: str, properties: dict | None = No
 
 
 def merge_into_jdbc(spark: SparkSession, url: str, table: str, batch: DataFrame, natural_key,
-                    key: str, order_by=None, properties: dict | None = None,
+                    key: str | None, order_by=None, properties: dict | None = None,
                     num_partitions: int = 64, **merge_opts) -> int:
     """Idempotent JDBC update: read the stored rows (range-partitioned on the
     surrogate key), append only the unmatched batch rows."""
-    existing = (read_jdbc_partitioned(spark, url, table, key, num_partitions, properties)
-                if table_exists_jdbc(spark, url, table, properties=properties) else None)
+    existing = None
+    if table_exists_jdbc(spark, url, table, properties=properties):
+        existing = (read_jdbc_partitioned(spark, url, table, key, num_partitions, properties)
+                    if key else read_jdbc(spark, url, table, properties=properties))
     _, fresh = merge_new_rows(existing, batch, natural_key, key, order_by,
                               return_new=True, **merge_opts)
     write_jdbc(fresh, url, table, properties)
