@@ -870,7 +870,25 @@ def pipeline_q1(spark, d):
     return _pipeline(spark, d)["query_1"]
 
 
-@register("pipeline_q2", None)
+@register("pipeline_q2", """
+WITH sight AS (SELECT DISTINCT s.s_nationkey AS ParkID, 'S-' || l.l_partkey AS SquirrelID
+               FROM lineitem l LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey),
+area_src AS (
+  SELECT DISTINCT n.n_nationkey AS ParkID,
+         regexp_replace(upper(r.r_name), '[^a-zA-Z0-9 \t\n\r\f#(),:]', '', 'g') AS AreaName,
+         regexp_replace(left(r.r_name, 1), '[^a-zA-Z0-9 \t\n\r\f#(),:]', '', 'g') AS Area_ID
+  FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey
+  LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
+  LEFT JOIN region r ON n.n_regionkey = r.r_regionkey),
+areas AS (SELECT ROW_NUMBER() OVER (ORDER BY AreaName, Area_ID) AS AreaID, AreaName, Area_ID
+          FROM (SELECT DISTINCT AreaName, Area_ID FROM area_src)),
+parks AS (SELECT a.ParkID, ar.AreaID FROM area_src a
+          JOIN areas ar ON a.AreaName = ar.AreaName AND a.Area_ID = ar.Area_ID)
+SELECT q.AreaID, ar.AreaName, COUNT(*) AS qty_squirrel
+FROM (SELECT DISTINCT p.AreaID, s.SquirrelID FROM sight s LEFT JOIN parks p ON s.ParkID = p.ParkID) q
+LEFT JOIN areas ar ON q.AreaID = ar.AreaID
+GROUP BY q.AreaID, ar.AreaName
+""")
 def pipeline_q2(spark, d):
     return _pipeline(spark, d)["query_2"]
 
@@ -885,7 +903,33 @@ def pipeline_q4(spark, d):
     return _pipeline(spark, d)["query_4"]
 
 
-@register("pipeline_q5", None)
+@register("pipeline_q5", """
+WITH sight AS (
+  SELECT DISTINCT
+         'S-' || l.l_partkey AS SquirrelID,
+         s.s_nationkey AS ParkID,
+         upper(left(p.p_type, 1)) || lower(substr(p.p_type, 2)) AS prim,
+         upper(left(string_split(p.p_name, ' ')[1], 1))
+           || lower(substr(string_split(p.p_name, ' ')[1], 2)) AS high,
+         p.p_brand AS notes,
+         40.7 + l.l_extendedprice / 1e6 AS lat,
+         -73.9 - l.l_discount AS lon,
+         CASE WHEN l.l_returnflag = 'R' THEN 0
+              WHEN l.l_returnflag = 'A' THEN p.p_size END AS min_h,
+         CASE WHEN l.l_returnflag IN ('R', 'A') THEN
+              CASE WHEN l.l_returnflag = 'R' THEN p.p_size ELSE p.p_size + 5 END END AS max_h
+  FROM lineitem l LEFT JOIN part p ON l.l_partkey = p.p_partkey
+  LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey),
+pk AS (SELECT DISTINCT n.n_nationkey AS ParkID,
+              regexp_replace(array_to_string(list_transform(string_split(lower(n.n_name), ' '),
+                              lambda w: upper(left(w, 1)) || substr(w, 2)), ' ') || ' Park',
+                             '[^a-zA-Z0-9 \t\n\r\f#(),:]', '', 'g') AS ParkName
+       FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey
+       LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey)
+SELECT sight.ParkID, pk.ParkName, sight.prim AS PrimaryFurColors, COUNT(*) AS Total
+FROM sight LEFT JOIN pk ON sight.ParkID = pk.ParkID
+GROUP BY sight.ParkID, pk.ParkName, sight.prim
+""")
 def pipeline_q5(spark, d):
     return _pipeline(spark, d)["query_5"]
 
