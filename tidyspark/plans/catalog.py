@@ -893,7 +893,49 @@ def pipeline_q2(spark, d):
     return _pipeline(spark, d)["query_2"]
 
 
-@register("pipeline_q3", None)
+@register("pipeline_q3", """
+WITH v AS (
+  SELECT o.*, c.c_mktsegment, n.n_nationkey, n.n_name,
+         o.o_orderdate + to_hours(CAST(12 + o.o_custkey % 11 AS BIGINT))
+                       + to_minutes(CAST(o.o_orderkey % 60 AS BIGINT)) AS st,
+         CAST(o.o_orderkey % 90 + 10 AS BIGINT) AS mins
+  FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey
+  LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey),
+status AS (
+  SELECT n_nationkey AS ParkID,
+         CASE WHEN o_orderstatus = 'P' THEN CAST(left(o_orderpriority, 1) AS INTEGER) END AS sec,
+         CAST(o_orderdate AS DATE) AS d, strftime(st, '%H:%M:%S') AS t0,
+         strftime(st + to_minutes(mins), '%H:%M:%S') AS t1, mins AS total,
+         CASE WHEN o_orderpriority LIKE '1%' THEN 'Busy'
+              WHEN o_orderpriority LIKE '2%' THEN 'Calm  staff'
+              ELSE substr(o_orderpriority, 3) END AS cond,
+         CASE WHEN o_orderpriority LIKE '1%' THEN lower(c_mktsegment) || ' crowd' ELSE '' END
+           AS cond_obs,
+         CASE WHEN o_orderstatus = 'O' THEN 'Some' WHEN o_orderstatus = 'F' THEN 'ND'
+              ELSE 'None' END AS litter,
+         CASE WHEN o_orderstatus = 'O' THEN 'in trees' ELSE '' END AS litter_obs,
+         CASE WHEN o_orderpriority LIKE '5%' THEN NULL ELSE o_orderkey % 40 + 30 END AS temp,
+         [struct_pack(a := 'Humans', n := ''),
+          struct_pack(a := upper(left(c_mktsegment, 1)) || lower(substr(c_mktsegment, 2)),
+                      n := (o_custkey % 4) || ', leashed'),
+          struct_pack(a := regexp_replace(
+                              array_to_string(list_transform(string_split(lower(n_name), ' '),
+                                  lambda w: upper(left(w, 1)) || substr(w, 2)), ' '),
+                              '[^a-zA-Z0-9 \t\n\r\f#(),:]', '', 'g') || ' Birds',
+                      n := '')] AS animals
+  FROM v),
+b AS (SELECT DISTINCT ParkID, sec, d, t0, t1, total, cond, cond_obs, litter, litter_obs, temp,
+             unnest(animals, recursive := true)
+      FROM status),
+pk AS (SELECT DISTINCT n_nationkey AS ParkID,
+              regexp_replace(array_to_string(list_transform(string_split(lower(n_name), ' '),
+                              lambda w: upper(left(w, 1)) || substr(w, 2)), ' ') || ' Park',
+                             '[^a-zA-Z0-9 \t\n\r\f#(),:]', '', 'g') AS ParkName
+       FROM v)
+SELECT pk.ParkName, b.a AS AnimalName, COUNT(*) AS Total
+FROM b LEFT JOIN pk ON b.ParkID = pk.ParkID
+GROUP BY b.ParkID, pk.ParkName, b.a
+""")
 def pipeline_q3(spark, d):
     return _pipeline(spark, d)["query_3"]
 
