@@ -79,6 +79,10 @@ def stage_sightings(sightings: DataFrame) -> DataFrame:
 
 # -- keyed tables -----------------------------------------------------------------------
 
+VOCABULARIES = {"areas", "parkconditions", "parklitters", "animals", "weathers", "colors",
+                "locations", "activities", "interactions"}
+
+
 class _Keyer:
     """Fresh build (dense keys from 1) or merge into stored tables."""
 
@@ -92,7 +96,9 @@ class _Keyer:
             # distinct rows written once, then numbered (no copies to split)
             out = dense_key(rows.distinct(), order_by or natural_key, key,
                             materialize=self.cut, split_copies=False)
-            if self.cut:        # written once; later tables join back to it
+            # facts and bridges are written once (joined back and reported on
+            # repeatedly); a vocabulary is re-read from its small written input
+            if self.cut and name not in VOCABULARIES:
                 out = materialize(out, f"survey-{name}")
         else:
             out = merge_into_path(self.spark, f"{self.store.rstrip('/')}/{name}", rows,
