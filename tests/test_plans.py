@@ -25,3 +25,22 @@ def test_scan_reads_only_needed_columns(spark):
     df = entry.queries()["q1_count_distinct_by"](spark, SF001)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<l_partkey:bigint,l_suppkey:bigint>" in plan
+
+
+def test_pipeline_stages_have_no_pair_joins_or_python(spark, monkeypatch):
+    import tidyspark.operators.keys as K
+    import tidyspark.plans.survey as S
+    from tidyspark.plans.pipeline import survey_inputs
+    from tidyspark.sources.headers import normalize_headers
+    bad, real = [], S.materialize
+
+    def spy(df, label="stage"):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        bad.extend((label, n) for n in PYTHON_NODES + PAIR_NODES if n in plan)
+        return real(df, label)
+
+    monkeypatch.setattr(S, "materialize", spy)
+    monkeypatch.setattr(K, "_materialize", spy)
+    v, s = survey_inputs(spark, SF001)
+    S.normalize_survey(spark, normalize_headers(v), normalize_headers(s))
+    assert bad == []
