@@ -57,3 +57,12 @@ def test_write_report_ordered_parts(spark, tmp_path):
     write_report(df, out, order_by=["n_nationkey"])
     back = spark.read.option("header", True).option("inferSchema", True).csv(out)
     assert sorted(r[0] for r in back.collect()) == list(range(25))
+
+
+def test_csv_declared_schema_is_normalised(spark, tmp_path):
+    path = tmp_path / "in2.csv"
+    path.write_text("Park ID,Total Time (min)\n1,30\n")
+    schema = T.StructType([T.StructField("Park ID", T.StringType()),
+                           T.StructField("Total Time (min)", T.IntegerType())])
+    df = read_csv(spark, str(path), schema)
+    assert df.columns == ["ParkID", "TotalTimemin"] and df.first()["TotalTimemin"] == 30

@@ -21,9 +21,9 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
              drop: str | None = None, multiline: bool = False,
              corrupt_column: str | None = None) -> DataFrame:
     """CSV with a header. A declared ``schema`` is given in *raw* header order
-    (names are replaced by the normalised ones); without it every column is a
-    string. Malformed rows are kept (PERMISSIVE) and flagged in
-    ``corrupt_column`` when asked.
+    and names; without it every column is a string. With ``normalize`` the
+    header names are then normalised. Malformed rows are kept (PERMISSIVE) and
+    flagged in ``corrupt_column`` when asked.
     """
     reader = (spark.read.option("header", header).option("encoding", encoding)
               .option("multiLine", multiline).option("mode", "PERMISSIVE"))
@@ -35,7 +35,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
         # the header line names the columns; the declared schema types them by position
         reader = reader.option("enforceSchema", True).schema(schema)
     df = reader.csv(path)
-    if normalize and schema is None:
+    if normalize:
         df = normalize_headers(df) if drop is None else normalize_headers(df, drop)
     return df
 
