@@ -23,9 +23,6 @@ from pyspark.sql import functions as F
 
 from tidyspark.specs import TableSpec
 
-RESULT_COLS = ["table_name", "check_name", "column_name", "violations"]
-
-
 def _row(df: DataFrame, table: str, check: str, column: str, n_col) -> DataFrame:
     return df.select(F.lit(table).alias("table_name"), F.lit(check).alias("check_name"),
                      F.lit(column).alias("column_name"),

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidyspark.functions.parse import items_outside_parens, section_name, split_hier_id, \
-    split_note, strip_parens
+    split_note
 from tidyspark.functions.text import MISSING, missing_to
 from tidyspark.operators.keys import dense_key
 
@@ -80,10 +80,3 @@ def extract_sections(df: DataFrame, id_col: str, name_col: str, marker: str = "s
     opts.setdefault("split_copies", False)
     return dense_key(s, [parent, child, label], key, **opts).select(key, parent, child, label)
 
-
-def base_names(df: DataFrame, id_col: str, name_col: str, parent: str = "ParkID",
-               label: str = "ParkName") -> DataFrame:
-    """Entities without their section part: ("13.1", "X (Section ...)") -> (13, "X")."""
-    hid = split_hier_id(id_col)
-    return (df.select(hid["parent"].alias(parent), strip_parens(name_col).alias(label))
-            .groupBy(parent).agg(F.min(label).alias(label)))
