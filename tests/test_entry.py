@@ -24,3 +24,10 @@ def test_small_queries_against_oracle(spark):
         problems, _ = oracle_check.compare(qs[name](spark, "/root/testdata/sf0.001"), con,
                                            oracle[name])
         assert not problems, (name, problems)
+
+
+def test_flagship_matches_its_oracle(spark):
+    import oracle_check
+    con = oracle_check.duck("/root/testdata/sf0.001")
+    problems, n = oracle_check.compare(entry.entry(spark), con, entry.oracle_sql()["pipeline_q5"])
+    assert not problems and n > 0, problems
