@@ -31,3 +31,19 @@ def test_flagship_matches_its_oracle(spark):
     con = oracle_check.duck("/root/testdata/sf0.001")
     problems, n = oracle_check.compare(entry.entry(spark), con, entry.oracle_sql()["pipeline_q5"])
     assert not problems and n > 0, problems
+
+
+def test_column_types_match_oracle(spark):
+    import oracle_check
+    con = oracle_check.duck("/root/testdata/sf0.001")
+    duck_to_spark = {"INTEGER": "int", "BIGINT": "bigint", "VARCHAR": "string",
+                     "DOUBLE": "double", "DATE": "date", "TIMESTAMP": "timestamp_ntz"}
+    qs, oracle = entry.queries(), entry.oracle_sql()
+    for name in oracle:
+        if name.startswith("pipeline"):
+            continue
+        got = {f.name: f.dataType.simpleString()
+               for f in qs[name](spark, "/root/testdata/sf0.001").schema.fields}
+        res = con.sql(oracle[name])
+        want = {c: duck_to_spark.get(str(t), str(t)) for c, t in zip(res.columns, res.types)}
+        assert got == want, name
