@@ -6,11 +6,27 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidyspark.llm import byte_bpe, token_counts, warc
-from tidyspark.llm.common import table
+from tidyspark.llm import byte_bpe, langid, token_counts, toxicity, warc
+from tidyspark.llm.common import crc_mod, table
 from tidyspark.session import scratch_path
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = crc_mod(F.col("doc_id"), 4) == 2
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), ~held_out)
+    out, name = toxicity.score(docs, model, keep=["doc_id"])
+    return out.select("doc_id", held_out.alias("held_out"), F.col(f"{name}.*"))
+
+
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = crc_mod(F.col("doc_id"), 3) == 1
+    model = langid.train(docs, ~held_out, public_tokenizers.path("piece_bpe_32k.model"))
+    out, name = langid.predict(docs, model, keep=["doc_id"])
+    return out.select("doc_id", held_out.alias("held_out"), F.col(f"{name}.*"))
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     path = scratch_path(spark, "warc")
@@ -43,6 +59,8 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
+    "op3_language": op3_language,
     "op4_warc": op4_warc,
     "op7_token_counts": op7_token_counts,
     "op10_byte_bpe": op10_byte_bpe,
