@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidyspark.llm import byte_bpe, langid, token_counts, toxicity, warc
+from tidyspark.llm import (ann, byte_bpe, chat, decontaminate, langid, licences, ngram_join, token_counts, toxicity,
+                           warc)
 from tidyspark.llm.common import crc_mod, table
 from tidyspark.session import scratch_path
 
@@ -19,6 +20,14 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held_out.alias("held_out"), F.col(f"{name}.*"))
 
 
+def op2_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tables hold no paths; a document's is made of its source, language and id."""
+    docs = table(spark, sf_dir, "documents")
+    path = F.concat_ws("/", F.lit(""), F.coalesce("source", F.lit("unknown")), F.coalesce("lang", F.lit("unknown")),
+                       F.col("doc_id").cast("string"))
+    return licences.licences(docs, path)
+
+
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = crc_mod(F.col("doc_id"), 3) == 1
@@ -47,11 +56,45 @@ FROM m
 """
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.classes(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"),
                                      public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.chat_format(table(spark, sf_dir, "conversations"))
+
+
+OP9_SQL = """
+WITH t AS (SELECT DISTINCT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text
+           FROM conversations WHERE conv_id IS NOT NULL),
+     c AS (SELECT conv_id, count(*) AS n_turns,
+                  list(role || chr(31) || text ORDER BY turn NULLS FIRST, role, sha256(text)) AS turns,
+                  string_agg('<|im_start|>' || role || chr(10) || replace(text, '<|im_', '< |im_')
+                             || '<|im_end|>' || chr(10), '' ORDER BY turn NULLS FIRST, role, sha256(text)) AS rendered
+           FROM t GROUP BY conv_id),
+     p AS (SELECT DISTINCT i AS n_turns, md5(array_to_string(turns[1:i], chr(30))) AS prefix
+           FROM (SELECT turns, n_turns, unnest(range(1, n_turns)) AS i FROM c)),
+     w AS (SELECT min(conv_id) AS conv_id, n_turns, any_value(rendered) AS rendered, count(*) AS n_copies,
+                  md5(array_to_string(turns, chr(30))) AS prefix
+           FROM c GROUP BY turns, n_turns)
+SELECT conv_id, CAST(0 AS BIGINT) AS part, n_turns, n_copies, rendered
+FROM w WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.n_turns = w.n_turns AND p.prefix = w.prefix)
+"""
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip_digests(table(spark, sf_dir, "documents"),
                                        public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
@@ -60,9 +103,14 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op2_licences": op2_licences,
     "op3_language": op3_language,
     "op4_warc": op4_warc,
+    "op5_decontamination": op5_decontamination,
+    "op6_ngram_join": op6_ngram_join,
     "op7_token_counts": op7_token_counts,
+    "op8_nearest": op8_nearest,
+    "op9_chat": op9_chat,
     "op10_byte_bpe": op10_byte_bpe,
 }
-ORACLE = {"op4_warc": OP4_SQL}
+ORACLE = {"op4_warc": OP4_SQL, "op9_chat": OP9_SQL}
