@@ -296,3 +296,23 @@ def classes(df: DataFrame, id_col: str = "doc_id", text: str = "text", n: int =
     alone = found.where(F.col("node").isNull() | F.col("id").isNull())
     return (taking.select("id", "node").join(of_node, "node").select("id", "class_id", "n_links")
             .union(alone.select("id", F.col("id").alias("class_id"), F.lit(0).cast("long").alias("n_links"))))
+
+
+BROADCAST_IDS = 1_000_000         # ids of 8 bytes
+
+
+def one_of_each(df: DataFrame, id_col: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The rows of ``df`` that stay when one row of each class is kept (its smallest id), with the same columns.
+
+    Rows without an id stay; an id of several different texts stays if it names the class of one of them.
+    """
+    names = (F.col("id") == F.col("class_id")).cast("int")
+    by_id = write_stage(classes(df, id_col, text, **options).where("id IS NOT NULL").groupBy("id")
+                        .agg(F.sum(names).alias("naming")).where("naming <> 1"), "ngram-decisions")
+    gone, again = by_id.where("naming = 0").select("id"), by_id.where("naming > 1").select("id")
+    if by_id.count() <= BROADCAST_IDS:
+        gone, again = F.broadcast(gone), F.broadcast(again)
+    left = df.join(gone, df[id_col] == gone["id"], "left_anti")
+    single = left.join(again, left[id_col] == again["id"], "left_anti")
+    repeated = left.join(again, left[id_col] == again["id"], "left_semi").dropDuplicates([id_col, text])
+    return single.union(repeated)
