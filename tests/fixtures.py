@@ -1,4 +1,4 @@
-"""Small survey-shaped inputs written by hand (raw headers, messy text)."""
+"""Small survey-shaped inputs of our own making (raw headers, messy text)."""
 
 from pyspark.sql import types as T
 
@@ -7,16 +7,16 @@ VISIT_HEADERS = ["Area Name", "Area ID", "Park Name", "Park ID", "Date", "Start
                  "Other Animal Sightings", "Litter", "Temperature & Weather"]
 
 VISITS = [
-    ("NORTH SIDE", "A", "Hill Park", "1", "3/1/20", "3:14:00 PM", "4:05:00 PM", "51", "Busy",
-     "Humans, Dogs, Pigeons", "Some", "43 degrees, sunny"),
-    ("NORTH SIDE", "A", "Oak Park", "2", "3/1/20", "3:30:00 PM", "4:00:00 PM", "", "Calm",
-     "Humans, Dogs (3, all on leashes), Hawks (2)", "Some, in trees", "cold, clear"),
-    ("NORTH SIDE", "A", "Lake Park (Section Near Boathouse)", "3.1", "3/1/20", "3:00:00 PM",
-     "3:30:00 PM", "30", "Calm, pick-up game", "Humans, Pigeons", "None",
-     "40-ish degrees, but sunny!"),
-    ("NORTH SIDE", "A", "Lake Park (Section Near Bridge)", "3.2", "3/1/20", "3:40:00 PM",
-     "4:10:00 PM", "30", '"Cool" - Sam', "Humans, Cat", "", "44 degrees, sunny, with 20-30 mph gusts"),
-    ("SOUTH SIDE", "B", "Elm Square", "4", "3/1/20", "11:50:00 PM", "12:10:00 AM", None, None,
+    ("RIVERBANK", "R", "Orchard Green", "1", "9/14/21", "8:05:30 AM", "8:45:30 AM", "40", "Empty",
+     "Geese, Foxes, Hens", "Little", "17 degrees, foggy"),
+    ("RIVERBANK", "R", "Mill Meadow", "2", "9/14/21", "9:10:00 AM", "9:55:00 AM", "", "Muddy",
+     "Geese, Foxes (2, one limping), Toads (9)", "Little, near the gate", "damp, dim"),
+    ("RIVERBANK", "R", "Canal Walk (Section North of the Lock)", "3.1", "9/15/21", "1:00:00 PM",
+     "1:25:00 PM", "25", "Muddy, school outing", "Geese, Hens", "Nothing",
+     "21-odd degrees, but hazy!"),
+    ("RIVERBANK", "R", "Canal Walk (Section by the Tow Path)", "3.2", "9/15/21", "1:40:00 PM",
+     "2:05:00 PM", "25", '"Lovely" - Kim', "Geese, Otter", "", "22.5 degrees, hazy, with two showers"),
+    ("HILLTOP", "H", "Beacon Field", "4", "9/15/21", "11:35:00 PM", "12:15:00 AM", None, None,
      None, None, None),
 ]
 
@@ -27,18 +27,18 @@ SIGHTING_HEADERS = ["SquirrelID", "Park ID", "Primary Fur Color", "Highlights in
                     "Squirrel Longitude (-DD.DDDDDD)"]
 
 SIGHTINGS = [
-    ("1A-01", "1", "Gray", "Cinnamon, White", "", "10-20", "Ground Plane", "on lawn",
-     "Foraging, Eating (nut)", "Indifferent", "", "40.85", "-73.93"),
-    ("1A-01", "1", "Gray", "Cinnamon, White", "", "10-20", "Ground Plane", "on lawn",
-     "Foraging, Eating (nut)", "Indifferent", "", "40.85", "-73.93"),
-    ("1A-02", "1", "Black", "", "dark tail", "<5", "Above Ground (tree, high)", "",
-     "Climbing", "Runs From", "", "40.851", "-73.931"),
-    ("2B-01", "2", "Cinnamon", "Gray", "", "", "Ground Plane", "",
-     "Running, Chasing (another squirrel, fast)", "Approaches, Indifferent", "", "40.84", "-73.94"),
-    ("3C-01", "3.1", "Gray", "", "", "8 or 10", "Above Ground", "", "Foraging",
-     "", "", "40.71", "-73.99"),
-    ("3C-02", "3", "Gray", "White", "", ">30", "Above Ground", "", "Foraging, Climbing",
-     "Watching", "", "40.711", "-73.991"),
+    ("Q-7", "1", "Russet", "Amber, Cream", "", "4-9", "Low Wall", "by the well",
+     "Digging, Napping (twice)", "Curious", "", "51.50", "-0.12"),
+    ("Q-7", "1", "Russet", "Amber, Cream", "", "4-9", "Low Wall", "by the well",
+     "Digging, Napping (twice)", "Curious", "", "51.50", "-0.12"),
+    ("Q-8", "1", "Slate", "", "pale ears", "<7", "Up High (roof, gutter)", "",
+     "Leaping", "Flees", "", "51.501", "-0.121"),
+    ("R-2", "2", "Amber", "Russet", "", "", "Low Wall", "",
+     "Sprinting, Sparring (with a rival, loudly)", "Begs, Curious", "", "51.49", "-0.13"),
+    ("T-1", "3.1", "Russet", "", "", "6 or 11", "Up High", "", "Digging",
+     "", "", "51.61", "-0.19"),
+    ("T-2", "3", "Russet", "Cream", "", ">25", "Up High", "", "Digging, Leaping",
+     "Staring", "", "51.611", "-0.191"),
 ]
 
 

@@ -12,7 +12,7 @@ def _one(spark, value, expr, schema="s string"):
 
 
 def test_clean_and_default(spark):
-    assert _one(spark, '  "Cool" - Sam!  ', X.clean("s")) == "Cool  Sam"
+    assert _one(spark, '  "Lovely" - Kim!  ', X.clean("s")) == "Lovely  Kim"
     assert _one(spark, "", X.missing_to("s")) == "ND"
     assert _one(spark, None, X.missing_to("s")) == "ND"
     assert _one(spark, "a\x0bb", X.clean("s")) == "ab"        # vertical tab is not kept
@@ -49,47 +49,68 @@ def test_range_number_head_tail(spark):
     assert r(">30") == (30, None)
     assert r("8 or 10") == (8, 10)
     assert r("high") == (None, None)
-    assert _one(spark, "40-ish degrees, but sunny", P.extract_number("s")) == 40
-    assert _one(spark, "40ish degrees", P.extract_number("s")) == 40
-    assert _one(spark, "sunny 20-30 mph", P.extract_number("s")) is None
-    assert _one(spark, "sunny 20-30 mph", P.extract_number("s", fallback=True)) == 20
-    assert tuple(_one(spark, "Some, in trees, east", P.split_head_tail("s"))) == \
-        ("Some", "in trees, east")
+    assert _one(spark, "21-odd degrees, but hazy", P.extract_number("s")) == 21
+    assert _one(spark, "21odd degrees", P.extract_number("s")) == 21
+    assert _one(spark, "gales 20-30 knots", P.extract_number("s")) is None
+    assert _one(spark, "gales 20-30 knots", P.extract_number("s", fallback=True)) == 20
+    assert tuple(_one(spark, "Little, near the gate, wet", P.split_head_tail("s"))) == \
+        ("Little", "near the gate, wet")
     assert tuple(_one(spark, "None", P.split_head_tail("s"))) == ("None", "")
 
 
 def test_lists_notes_clauses(spark):
-    items = _one(spark, "Humans, Dogs (3, all on leashes), Downy Woodpecker (2), Robins",
-                 P.items_outside_parens("s"))
-    assert items == ["Humans", "Dogs (3, all on leashes)", "Downy Woodpecker (2)", "Robins"]
-    assert tuple(_one(spark, "Dogs (3, all on leashes)", P.split_note("s"))) == \
-        ("Dogs", "3, all on leashes")
-    assert tuple(_one(spark, "sunny, but windy", P.cut_clause("s"))) == ("sunny", "but windy")
-    assert tuple(_one(spark, "sunny without wind", P.cut_clause("s"))) == \
-        ("sunny without wind", "")
+    items = lambda v: _one(spark, v, P.items_outside_parens("s"))
+    assert items("Geese, Foxes (2, one limping), Toads (9), Hens") == \
+        ["Geese", "Foxes (2, one limping)", "Toads (9)", "Hens"]
+    assert items("Foxes (2, still, Hens") == ["Foxes (2, still, Hens"]      # never closed
+    assert items("a\nb, c") == ["a\nb", "c"] and items("") == [] and items(None) is None
+    note = lambda v: tuple(_one(spark, v, P.split_note("s")))
+    assert note("Foxes (2, one limping)") == ("Foxes", "2, one limping")
+    assert note("Foxes (2) (russet)") == ("Foxes", "2, russet")
+    assert note("Foxes (2, still") == ("Foxes (2, still", "") and note("Hens") == ("Hens", "")
+    cut = lambda v: tuple(_one(spark, v, P.cut_clause("s")))
+    assert cut("hazy, but mild") == ("hazy", "but mild")
+    assert cut("hazy without rain") == ("hazy without rain", "")
+    assert cut("hazy but\nmild\n") == ("hazy", "but\nmild\n")
+
+
+def test_items_of_any_length(spark):
+    df = spark.range(1).select(F.concat(F.repeat(F.lit("x"), 1_000_000), F.lit(", y"),
+                                        F.repeat(F.lit(" (a, b)"), 20_000)).alias("s"))
+    got = df.select(F.explode(P.items_outside_parens("s")).alias("i")).select(F.length("i")).collect()
+    assert [r[0] for r in got] == [1_000_000, 140_001]
 
 
 def test_descriptors(spark):
     d = lambda v: tuple(_one(spark, v, P.descriptors_after("s")))
-    assert d("43 degrees, sunny") == (["sunny"], "")
-    assert d("43 degrees") == (["ND"], "")
-    assert d("cold, clear") == (["cold", "clear"], "")
-    assert d("40ish degrees, but sunny") == (["ND"], "but sunny")
-    assert d("44 degrees, sunny, with 20 mph gusts") == (["sunny"], "with 20 mph gusts")
+    assert d("17 degrees, foggy") == (["foggy"], "")
+    assert d("17 degrees") == (["ND"], "")
+    assert d("damp, dim") == (["damp", "dim"], "")
+    assert d("21odd degrees, but hazy") == (["ND"], "but hazy")
+    assert d("22.5 degrees, hazy, with two showers") == (["hazy"], "with two showers")
+    assert d("17 degrees, foggy, then 9 degrees") == (["foggy", "then 9 degrees"], "")
+    assert d("foggy, 17 degrees, dim") == (["foggy", "dim"], "")
     assert d(None) == (["ND"], "")
 
 
+def test_decimals(spark):
+    assert _one(spark, "22.5 degrees", P.extract_number("s")) == 22
+    assert _one(spark, "12.5", P.fill_minutes("s", F.lit("10:00:00"), F.lit("11:00:00"))) == 12
+
+
 def test_hier_id_and_sections(spark):
     assert tuple(_one(spark, "13.1", P.split_hier_id("s"))) == (13, 1)
     assert tuple(_one(spark, "13", P.split_hier_id("s"))) == (13, None)
-    assert _one(spark, "Sara Park (Section Above Delancey St)", P.section_name("s")) == \
-        "Above Delancey St"
-    assert _one(spark, "Hill Park", P.section_name("s")) is None
-    assert _one(spark, "Sara Park (Section X)", P.strip_parens("s")) == "Sara Park"
+    assert tuple(_one(spark, "9999999999.1", P.split_hier_id("s"))) == (9999999999, 1)
+    assert _one(spark, "Canal Walk (Section North of the Lock)", P.section_name("s")) == \
+        "North Of The Lock"
+    assert _one(spark, "Walk (Section by the Section House)", P.section_name("s")) == "By The Section House"
+    assert _one(spark, "Beacon Field", P.section_name("s")) is None
+    assert _one(spark, "Canal Walk (Section X)", P.strip_parens("s")) == "Canal Walk"
 
 
 def test_parsers_stay_in_jvm(spark):
-    df = spark.createDataFrame([("43 degrees, sunny (x, y)",)], "s string")
+    df = spark.createDataFrame([("17 degrees, foggy (x, y)",)], "s string")
     out = df.select(P.descriptors_after("s"), P.parse_range("s"), P.split_note("s"),
                     F.explode(P.items_outside_parens("s")))
     plan = out._jdf.queryExecution().executedPlan().toString()

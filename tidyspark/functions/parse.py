@@ -16,14 +16,17 @@ from pyspark.sql import functions as F
 from tidyspark.functions.text import MISSING
 
 # --- fixed values ---------------------------------------------------------------
-# One list item: characters other than comma or "(", or a whole parenthetical
-# (so commas inside parentheses do not split).
-ITEM_OUTSIDE_PARENS = r"(?:[^,(]|\([^)]*\))+"
+# One list item: runs without comma or "(", and parentheticals (so commas inside
+# parentheses do not split; an unclosed one reaches to the end). Possessive runs
+# keep the matcher's stack flat for items of any length.
+ITEM_OUTSIDE_PARENS = r"(?:[^,(]++|\([^)]*+\)?)++"
 # A parenthetical note and its body.
 PAREN_NOTE = r"\([^)]*\)"
 PAREN_BODY = r"\(([^)]*)\)"
-# Clause words that start an observation ("sunny but windy", "sunny with gusts").
+# Clause words that start an observation ("mild but damp", "mild with showers").
 CLAUSE_WORDS = ("but", "with")
+# A number, its decimals and a suffix such as "-ish", before a unit.
+MEASURE = r"(\d+)(?:\.\d+)?(?:-?[A-Za-z]+)?\s*"
 # Unit that follows a temperature.
 TEMPERATURE_UNIT = "degrees"
 # -----------------------------------------------------------------------------
@@ -70,8 +73,9 @@ def minutes_between(start, end, fmt: str = "HH:mm:ss") -> Column:
 
 
 def fill_minutes(minutes, start, end, fmt: str = "HH:mm:ss") -> Column:
-    """Stated duration if it is a number, else the minutes between the two times."""
-    return F.coalesce(F.trim(_c(minutes)).try_cast("int"), minutes_between(start, end, fmt))
+    """Stated duration (whole minutes of "12.5") if it is a number, else the minutes between the two times."""
+    stated = F.regexp_extract(F.trim(_c(minutes)), r"^([+-]?\d+)(?:\.\d*)?$", 1).try_cast("int")
+    return F.coalesce(stated, minutes_between(start, end, fmt))
 
 
 # -- numbers -----------------------------------------------------------------------
@@ -94,14 +98,14 @@ def parse_range(c, default: int | None = None) -> Column:
 
 
 def extract_number(c, unit: str | None = TEMPERATURE_UNIT, fallback: bool = False) -> Column:
-    """The number written before ``unit`` ("43 degrees", "40-ish degrees"); NULL if none.
+    """The whole number written before ``unit`` ("43.5 degrees", "40-ish degrees"); NULL if none.
 
     With ``fallback`` the first number anywhere is used when no unit follows.
     """
     s = _c(c)
     if unit is None:
         return F.regexp_extract(s, r"(\d+)", 1).try_cast("int")
-    before_unit = F.regexp_extract(s, r"(\d+)(?:-?[A-Za-z]+)?\s*" + unit, 1).try_cast("int")
+    before_unit = F.regexp_extract(s, MEASURE + unit, 1).try_cast("int")
     if fallback:
         return F.coalesce(before_unit, F.regexp_extract(s, r"(\d+)", 1).try_cast("int"))
     return before_unit
@@ -124,16 +128,21 @@ def items_outside_parens(c) -> Column:
                        lambda x: F.trim(x))
 
 
+def split_items(c, sep: str = ",") -> Column:
+    """Items of a cell: outside parentheses for a comma, else split at the literal ``sep``."""
+    return items_outside_parens(c) if sep == "," else F.split(_c(c), r"\Q" + sep + r"\E")
+
+
 def split_note(c) -> Column:
-    """struct(value, note): value without parentheticals, body of the first one ('' if none)."""
+    """struct(value, note): value without parentheticals, their bodies joined by ", " ('' if none)."""
     s = _c(c)
     value = F.trim(F.regexp_replace(s, PAREN_NOTE, ""))
-    note = F.trim(F.regexp_extract(s, PAREN_BODY, 1))
+    note = F.array_join(F.transform(F.regexp_extract_all(s, F.lit(PAREN_BODY), 1), lambda x: F.trim(x)), ", ")
     return F.struct(value.alias("value"), note.alias("note"))
 
 
 def clause_pattern(words=CLAUSE_WORDS) -> str:
-    return r"\b(?:" + "|".join(words) + r")\b.*$"
+    return r"(?s)\b(?:" + "|".join(words) + r")\b.*$"
 
 
 def cut_clause(c, words=CLAUSE_WORDS) -> Column:
@@ -150,14 +159,14 @@ def cut_clause(c, words=CLAUSE_WORDS) -> Column:
 
 def descriptors_after(c, marker: str = TEMPERATURE_UNIT, default: str = MISSING,
                       words=CLAUSE_WORDS) -> Column:
-    """struct(items array, clause) for cells like "43 degrees, sunny, windy with gusts".
+    """struct(items array, clause) for cells like "17 degrees, foggy, mild with showers".
 
-    Text after the marker (or all text if the marker is absent) is cut at the
-    first clause word; the rest is split on commas. No item -> [default].
+    The first measure before the marker is taken out; the text is cut at the
+    first clause word and the rest split on commas. No item -> [default].
     The same parser serves the vocabulary and the bridge.
     """
     s = F.coalesce(_c(c), F.lit(""))
-    after = F.when(s.contains(marker), F.substring_index(s, marker, -1)).otherwise(s)
+    after = F.regexp_replace(s, r"(?s)^(.*?)" + MEASURE.replace(r"(\d+)", r"\d+") + marker, "$1")
     pat = clause_pattern(words)
     clause = F.regexp_extract(after, pat, 0)
     body = F.regexp_replace(after, pat, "")
@@ -166,7 +175,7 @@ def descriptors_after(c, marker: str = TEMPERATURE_UNIT, default: str = MISSING,
     return F.struct(items.alias("items"), clause.alias("clause"))
 
 
-def split_hier_id(c, sep: str = ".", type_: str = "int") -> Column:
+def split_hier_id(c, sep: str = ".", type_: str = "bigint") -> Column:
     """struct(parent, child) from "13.1"; a missing part -> NULL."""
     parts = F.split(_c(c).cast("string"), re.escape(sep))
     return F.struct(F.get(parts, 0).try_cast(type_).alias("parent"),
@@ -179,12 +188,12 @@ def strip_parens(c) -> Column:
 
 
 def section_name(c, marker: str = "section") -> Column:
-    """Section label from "Park (Section Above Delancey St)" -> "Above Delancey St".
+    """Section label from "Park (Section North of the Mill)" -> "North Of The Mill".
 
-    Text after the first case-insensitive marker, closing parenthesis removed,
-    initcap'ed; NULL when the marker is absent.
+    All text after the first case-insensitive marker, closing parenthesis
+    removed, initcap'ed; NULL when the marker is absent.
     """
     low = F.lower(_c(c))
-    rest = F.get(F.split(low, marker), 1)
+    rest = F.substr(low, F.locate(marker, low) + len(marker))
     rest = F.trim(F.regexp_replace(rest, r"\)\s*$", ""))
     return F.when(low.contains(marker), F.initcap(rest))

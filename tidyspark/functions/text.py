@@ -72,5 +72,5 @@ def fill_default(df: DataFrame, cols, default: str = MISSING) -> DataFrame:
 
 
 def strip_quotes(c) -> Column:
-    """Remove double quotes (a quoted remark such as '"Cool" - Hank')."""
+    """Remove double quotes (a quoted remark such as '"Lovely" - Kim')."""
     return F.trim(F.regexp_replace(_c(c), '"', ""))
