@@ -1,5 +1,6 @@
 """dense_key and merge_new_rows: exactness, NULLs, idempotence, partition independence, plans."""
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,35 +10,42 @@ from tidyspark.operators.keys import dense_key
 from tidyspark.operators.merge import merge_new_rows, new_rows
 
 
+@pytest.fixture
+def many_partitions(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def _rows(df):
     return sorted((tuple(r) for r in df.collect()), key=repr)
 
 
-def test_dense_key_matches_row_number_many_buckets(spark):
+def test_dense_key_matches_row_number_many_buckets(spark, many_partitions):
     li = spark.read.parquet(f"{SF01}/lineitem.parquet").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
     order = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
-    got = dense_key(li, order, "k", start=7, rows_per_bucket=3000)
+    got = dense_key(li, order, "k", start=7)
     want = li.withColumn("k", F.row_number().over(Window.orderBy(*order)) + 7)
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
     ks = got.agg(F.min("k"), F.max("k"), F.countDistinct("k")).first()
     assert tuple(ks) == (8, 7 + li.count(), li.count())
 
 
-def test_dense_key_nulls_first_and_ties_broken(spark):
+def test_dense_key_nulls_first_and_ties_broken(spark, many_partitions):
     schema = T.StructType([T.StructField("a", T.StringType()), T.StructField("b", T.IntegerType())])
     rows = [(None, 3), ("x", 2), (None, 1), ("a", 5), ("x", 1), ("a", None)] * 50
     rows = [(a, None if b is None else b + i) for i, (a, b) in enumerate(rows)]
     df = spark.createDataFrame(rows, schema)
-    got = dense_key(df, ["a"], "k", rows_per_bucket=20)      # many buckets, ties on a
+    got = dense_key(df, ["a"], "k")      # many buckets, ties on a
     want = df.withColumn("k", F.row_number().over(Window.orderBy("a", "b")))
     assert _rows(got) == _rows(want)
 
 
 def test_dense_key_independent_of_partitioning(spark):
     o = spark.read.parquet(f"{SF01}/orders.parquet").select("o_orderkey", "o_orderdate")
-    a = dense_key(o.repartition(1), ["o_orderdate"], "k", rows_per_bucket=1000)
-    b = dense_key(o.repartition(13), ["o_orderdate"], "k", rows_per_bucket=1000)
+    a = dense_key(o.repartition(1), ["o_orderdate"], "k")
+    b = dense_key(o.repartition(13), ["o_orderdate"], "k")
     assert _rows(a) == _rows(b)
 
 
@@ -48,13 +56,36 @@ def test_dense_key_empty_and_single(spark):
     assert _rows(dense_key(one, ["x"], "k", start=41)) == [("a", 42)]
 
 
-def test_dense_key_plan_has_no_single_partition_exchange_over_rows(spark):
+def test_dense_key_plans_have_no_single_partition_exchange(spark, monkeypatch, many_partitions):
+    from tidyspark.operators import keys
+    plans, real = [], keys._materialize
+
+    def spy(df, label="stage"):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return real(df, label)
+
+    monkeypatch.setattr(keys, "_materialize", spy)
     li = spark.read.parquet(f"{SF01}/lineitem.parquet").select("l_orderkey", "l_linenumber")
-    df = dense_key(li, ["l_orderkey", "l_linenumber"], "k", rows_per_bucket=5000)
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "SinglePartition" not in plan
-    assert "hashpartitioning(__dkb" in plan
-    assert "PythonUDF" not in plan and "ArrowEvalPython" not in plan
+    df = dense_key(li, ["l_orderkey", "l_linenumber"], "k")
+    plans.append(df._jdf.queryExecution().executedPlan().toString())
+    assert not any(x in p for p in plans for x in ("SinglePartition", "Window", "PythonUDF"))
+    assert sum("rangepartitioning" in p for p in plans) == 1      # the only exchange of rows
+    assert "Exchange rangepartitioning" not in plans[-1] and "hashpartitioning" not in plans[-1]
+
+
+def test_dense_key_does_not_depend_on_how_its_files_are_split(spark):
+    df = spark.range(20_000).select((F.col("id") % 7).cast("int").alias("a"))
+    old = spark.conf.get("spark.sql.files.minPartitionNum", None)
+    got = dense_key(df, ["a"], "k")
+    try:
+        spark.conf.set("spark.sql.files.minPartitionNum", "61")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+        r = got.agg(F.min("k"), F.max("k"), F.countDistinct("k")).first()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.set("spark.sql.files.minPartitionNum", old) if old else spark.conf.unset(
+            "spark.sql.files.minPartitionNum")
+    assert tuple(r) == (1, 20_000, 20_000)
 
 
 def _merge_inputs(spark):
@@ -104,27 +135,31 @@ def test_merge_plan_is_null_safe_anti_join(spark):
     assert "CartesianProduct" not in plan
 
 
-def test_dense_key_loop_search_for_many_buckets(spark, monkeypatch):
-    from tidyspark.operators import keys
-    used = []
-    real = keys._bucket_loop
-    monkeypatch.setattr(keys, "_bucket_loop", lambda t, c: used.append(len(c)) or real(t, c))
-    o = spark.read.parquet(f"{SF01}/orders.parquet").select(
-        "o_orderkey", F.nullif("o_orderpriority", F.lit("1-URGENT")).alias("p"), "o_orderdate")
-    order = ["p", "o_orderdate", "o_orderkey"]
-    got = dense_key(o, order, "k", rows_per_bucket=20, max_buckets=700)
-    assert used and used[0] > keys.CASE_TREE_MAX_CUTS
-    want = o.withColumn("k", F.row_number().over(Window.orderBy(*order)))
-    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+def test_small_batch_does_not_shuffle_the_stored_table(spark):
+    stored = spark.read.parquet(f"{SF01}/lineitem.parquet").select("l_orderkey", "l_linenumber")
+    batch = stored.limit(5).union(spark.createDataFrame([(-1, 1), (None, 2)], stored.schema))
+    fresh = new_rows(stored, batch, ["l_orderkey", "l_linenumber"])
+    plan = fresh._jdf.queryExecution().executedPlan().toString()
+    scan = plan[:plan.index("lineitem.parquet")]
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert "LeftSemi" in scan and "hashpartitioning" not in scan[scan.index("LeftSemi"):]
+    assert _rows(fresh) == _rows(batch.where("l_orderkey is null or l_orderkey = -1"))
+
+
+def test_large_batch_gives_the_same(spark, monkeypatch):
+    from tidyspark.operators import merge
+    existing, batch = _merge_inputs(spark)
+    small = _rows(new_rows(existing, batch, ["c_name", "seg"]))
+    monkeypatch.setattr(merge, "BROADCAST_ROWS", 3)
+    assert _rows(new_rows(existing, batch, ["c_name", "seg"])) == small
 
 
-def test_dense_key_splits_a_hot_group_of_copies(spark):
+def test_dense_key_splits_a_hot_group_of_copies(spark, many_partitions):
     li = spark.read.parquet(f"{SF01}/lineitem.parquet").select("l_returnflag", "l_linestatus")
     hot = li.where("l_returnflag <> 'A'").select(F.lit("HOT").alias("l_returnflag"),
                                                 F.lit("X").alias("l_linestatus"))
     df = li.unionByName(hot)            # about 40% of the rows are one copy group
-    got = dense_key(df, ["l_returnflag", "l_linestatus"], "k", rows_per_bucket=2000,
-                    materialize=True)
+    got = dense_key(df, ["l_returnflag", "l_linestatus"], "k")
     n = df.count()
     assert tuple(got.agg(F.min("k"), F.max("k"), F.countDistinct("k")).first()) == (1, n, n)
     want = df.withColumn("k", F.row_number().over(Window.orderBy("l_returnflag", "l_linestatus")))
@@ -133,3 +168,6 @@ def test_dense_key_splits_a_hot_group_of_copies(spark):
     w = want.groupBy("l_returnflag", "l_linestatus").agg(F.min("k"), F.max("k"), F.count("*"))
     assert _rows(g) == _rows(w)
     assert hot.count() > n // 3
+    # the group of copies was written by several tasks
+    files = got.where("l_returnflag = 'HOT'").select(F.input_file_name()).distinct().count()
+    assert files > 1

@@ -11,8 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidyspark.functions.parse import items_outside_parens, section_name, split_hier_id, \
-    split_note
+from tidyspark.functions.parse import section_name, split_hier_id, split_items, split_note
 from tidyspark.functions.text import MISSING, missing_to
 from tidyspark.operators.keys import dense_key
 
@@ -28,10 +27,6 @@ def vocabulary(values: DataFrame, name: str, key: str, start: int = 0,
     if default is not None:
         v = v.select(missing_to(name, default).alias(name))
     v = v.where(F.col(name).isNotNull()).distinct()
-    # the distinct values are written once, so the numbering passes do not
-    # re-scan and re-shuffle the source; they are unique: no copies to split
-    dense_opts.setdefault("materialize", True)
-    dense_opts.setdefault("split_copies", False)
     return dense_key(v, order_by or [name], key, start=start, **dense_opts).select(key, name)
 
 
@@ -45,10 +40,13 @@ def dim_from_list(df: DataFrame, value, name: str, key: str, sep: str | None = "
     """Many values per cell.
 
     ``sep=","`` splits outside parentheses; notes in parentheses are removed
-    when ``strip_notes``. Any other ``sep`` is a regex for ``split``.
+    when ``strip_notes``. Any other ``sep`` is taken literally.
     """
-    col = _c(value)
-    items = items_outside_parens(col) if sep == "," else F.split(col, sep)
+    return _dim_from_items(df, split_items(_c(value), sep), name, key, strip_notes, **opts)
+
+
+def _dim_from_items(df: DataFrame, items: Column, name: str, key: str, strip_notes: bool,
+                    **opts) -> DataFrame:
     ex = df.select(F.explode(items).alias(name))
     if strip_notes:
         ex = ex.select(split_note(name)["value"].alias(name))
@@ -59,8 +57,20 @@ def dim_from_list(df: DataFrame, value, name: str, key: str, sep: str | None = "
 def dim_from_columns(df: DataFrame, values: list, name: str, key: str, sep: str | None = ",",
                      strip_notes: bool = True, **opts) -> DataFrame:
     """One shared vocabulary from several (multi-valued) columns."""
-    joined = F.concat_ws(sep or ",", *[_c(v) for v in values])
-    return dim_from_list(df, joined, name, key, sep=sep, strip_notes=strip_notes, **opts)
+    none = F.array().cast("array<string>")
+    items = F.concat(*[F.coalesce(split_items(_c(v), sep or ","), none) for v in values])
+    return _dim_from_items(df, items, name, key, strip_notes, **opts)
+
+
+def section_rows(df: DataFrame, id_col: str, name_col: str, marker: str = "section",
+                 parent: str = "ParkID", child: str = "SectionID",
+                 label: str = "ParkSectionName") -> DataFrame:
+    """Distinct sections without keys."""
+    hid = split_hier_id(id_col)
+    return (df.where(F.lower(F.col(name_col)).contains(marker))
+            .select(hid["parent"].alias(parent), hid["child"].alias(child),
+                    section_name(name_col, marker).alias(label))
+            .distinct())
 
 
 def extract_sections(df: DataFrame, id_col: str, name_col: str, marker: str = "section",
@@ -71,12 +81,6 @@ def extract_sections(df: DataFrame, id_col: str, name_col: str, marker: str = "s
 
     Natural key is (parent, child, label); keys ordered by it.
     """
-    hid = split_hier_id(id_col)
-    s = (df.where(F.lower(F.col(name_col)).contains(marker))
-         .select(hid["parent"].alias(parent), hid["child"].alias(child),
-                 section_name(name_col, marker).alias(label))
-         .distinct())
-    opts.setdefault("materialize", True)
-    opts.setdefault("split_copies", False)
+    s = section_rows(df, id_col, name_col, marker, parent, child, label)
     return dense_key(s, [parent, child, label], key, **opts).select(key, parent, child, label)
 

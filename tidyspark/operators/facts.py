@@ -1,7 +1,8 @@
 """Fact assembly: dimension lookups, role-playing lookups and bridge tables.
 
 Broadcast policy: a dimension is hinted for broadcast only after its row count
-is checked against ``broadcast_max_rows`` (a bounded ``limit(n+1).count()``).
+is checked against ``broadcast_max_rows`` and its bytes against
+``BROADCAST_BYTES`` (one pass over at most n+1 rows).
 Without a bound the planner decides: AQE measures the shuffled build side at
 run time and switches to a broadcast join only under
 ``spark.sql.adaptive.autoBroadcastJoinThreshold``; otherwise a sort-merge join
@@ -13,21 +14,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidyspark.functions.parse import items_outside_parens, split_note
+from tidyspark.functions.parse import split_items, split_note
 from tidyspark.operators.keys import dense_key
 
 
+BROADCAST_BYTES = 64 << 20
+
+
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
 def checked_broadcast(dim: DataFrame, max_rows: int | None) -> DataFrame:
-    """Broadcast-hint ``dim`` only if it provably has at most ``max_rows`` rows."""
+    """Broadcast-hint ``dim`` only if it has at most ``max_rows`` rows and ``BROADCAST_BYTES`` of data."""
     if max_rows is None:
         return dim
-    if dim.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(dim)
-    return dim
+    width = sum((F.coalesce(F.octet_length(F.col(f.name).cast("string")), F.lit(0)) + 8
+                 for f in dim.schema.fields), F.lit(0))
+    rows, size = dim.limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum(width)).first()
+    return F.broadcast(dim) if rows <= max_rows and (size or 0) <= BROADCAST_BYTES else dim
 
 
 def lookup(fact: DataFrame, dim: DataFrame, on, dim_name: str, dim_key: str,
@@ -61,20 +66,15 @@ def bridge(fact: DataFrame, fact_key: str, value, dim: DataFrame, dim_name: str,
     Items are split outside parentheses, the note is the body of an item's
     parenthetical, the value is looked up in ``dim``. With ``key`` a dense
     surrogate key ordered by (fact_key, dim_key, note) is added. Any ``sep``
-    other than "," is a plain ``split`` regex.
+    other than "," is taken literally.
     """
-    cell = F.col(value) if isinstance(value, str) else value
-    split = items_outside_parens(cell) if sep == "," else F.split(cell, sep)
-    items = fact.select(fact_key, F.explode(split).alias("__item"))
+    items = fact.select(fact_key, F.explode(split_items(value, sep)).alias("__item"))
     parts = split_note("__item")
     items = (items.select(fact_key, parts["value"].alias("__value"), parts["note"].alias(note))
              .where(F.col("__value") != ""))
     out = lookup(items, dim, "__value", dim_name, dim_key,
                  broadcast_max_rows=broadcast_max_rows).select(fact_key, dim_key, note)
     if key is not None:
-        # bridge rows may repeat (an item listed twice in one cell): written
-        # once, so copies are spread over buckets and numbered exactly
-        dense_opts.setdefault("materialize", True)
         out = dense_key(out, [fact_key, dim_key, note], key, start=start, **dense_opts)
         out = out.select(key, fact_key, dim_key, note)
     return out

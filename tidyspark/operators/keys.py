@@ -6,29 +6,21 @@ by the remaining orderable columns), exactly like
 ``start + row_number() OVER (ORDER BY ...)``, but the sort is spread over many
 tasks:
 
-1. count the rows and pick the number of buckets ``b`` (bounded by
-   ``max_buckets``);
-2. sample the ordering tuple, sort the sample in Spark and take every n-th
-   tuple as a **literal** cut point (only the ``b - 1`` cut points reach the
-   driver);
-3. bucket = number of cut points <= row tuple, a balanced binary search
-   written as nested ``CASE`` expressions — a pure function of the row, so a
-   recomputed task puts every row in the same bucket;
-4. count rows per bucket (``b`` numbers reach the driver) and turn them into
-   exclusive prefix offsets, a literal array;
-5. key = start + offset[bucket] + row_number() over (partition by bucket
-   order by tuple).
-
-The only data exchange is the hash shuffle by bucket that feeds the window;
-there is no ``SinglePartition`` exchange over data rows unless the input is so
-small that one bucket is enough.
+1. one range exchange on the ordering tuple and a local sort;
+2. the sorted rows are written once, each with its position (partition number
+   and place inside the partition) as a stored column;
+3. one count per written partition gives the offsets;
+4. key = start + offset of the partition + place, a pass without an exchange.
+
+The position is evaluated once, in the job that writes it, so every later pass
+sees the same one however the files are split. Copies of one row are told
+apart by an arrival number inside that job, so the range exchange may spread a
+group of copies that holds a large share of all rows over many partitions.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,60 +43,19 @@ def _as_col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-# above this many cut points the bucket search is a loop over a literal array
-# (constant expression size); below it a CASE tree that compiles into codegen
-CASE_TREE_MAX_CUTS = 255
-
-
-def _bucket_expr(tuple_col: Column, cuts: list[Column]) -> Column:
-    """Number of cut points <= tuple (cut points sorted ascending)."""
-    if len(cuts) > CASE_TREE_MAX_CUTS:
-        return _bucket_loop(tuple_col, cuts)
-
-    def search(lo: int, hi: int) -> Column:
-        # answer lies in [lo, hi]; cuts[lo .. hi-1] decide it
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi + 1) // 2          # is tuple >= cuts[mid-1] ?
-        return F.when(tuple_col < cuts[mid - 1], search(lo, mid - 1)).otherwise(search(mid, hi))
-    return search(0, len(cuts))
-
-
-def _bucket_loop(tuple_col: Column, cuts: list[Column]) -> Column:
-    """The same binary search as ``aggregate`` over ceil(log2(k+1)) steps."""
-    arr = F.array(*cuts)                  # folded to one literal array
-    steps = max(1, math.ceil(math.log2(len(cuts) + 1)))
-
-    def step(acc, _i):
-        lo, hi = acc["lo"], acc["hi"]
-        mid = F.floor((lo + hi + 1) / 2).cast("int")
-        below = tuple_col < F.element_at(arr, mid)
-        return F.when(lo >= hi, acc).when(
-            below, F.struct(lo.alias("lo"), (mid - 1).alias("hi"))).otherwise(
-            F.struct(mid.alias("lo"), hi.alias("hi")))
-
-    start = F.struct(F.lit(0).alias("lo"), F.lit(len(cuts)).alias("hi"))
-    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, step, lambda acc: acc["lo"])
+PLACE_BITS = 33               # of monotonically_increasing_id: the place inside a partition
 
 
 def dense_key(df: DataFrame, order_by, name: str = "key", start: int | Column = 0, *,
-              tie_break: list[str] | None = None,
-              rows_per_bucket: int = 50_000, max_buckets: int = 16384,
-              sample_per_bucket: int = 64, seed: int = 17,
-              materialize: bool = False, split_copies: bool | None = None,
-              n_rows: int | None = None) -> DataFrame:
+              tie_break: list[str] | None = None, materialize: bool = True) -> DataFrame:
     """Add ``name`` = start + 1-based rank of each row in ascending tuple order.
 
     ``order_by`` holds column names or Column expressions (ascending, NULLs
     first, as Spark orders them). ``tie_break`` defaults to every other
     orderable column so equal prefixes still get a deterministic order.
-    ``materialize`` writes the input once as parquet below the session's
-    checkpoint folder, so an expensive upstream (an anti join, a distinct) is
-    evaluated once; the count then comes from metadata and the sample and
-    bucket-count passes read only the ordering columns. ``split_copies``
-    (default: ``materialize``; needs it) spreads a group of identical rows over
-    several buckets; without it such copies share one bucket. Inputs that are
-    unique on the ordering tuple do not need it.
+    ``materialize`` writes the input below the session's checkpoint folder
+    before the range exchange samples and shuffles it; leave it on unless the input
+    is already a stored table.
     """
     if isinstance(order_by, (str, Column)):
         order_by = [order_by]
@@ -114,56 +65,23 @@ def dense_key(df: DataFrame, order_by, name: str = "key", start: int | Column =
         tie_break = [f.name for f in df.schema.fields
                      if f.name not in named and _orderable(f.dataType)]
     order_cols += [F.col(c) for c in tie_break]
-    if split_copies is None:
-        split_copies = materialize
     if materialize:
         df = _materialize(df, "dense-key-input")
-    if materialize and split_copies:
-        # Copies of one tuple are interchangeable; their position in the
-        # written files is fixed (same splits, same row order in every pass),
-        # so it breaks their ties deterministically and lets the cut points
-        # split a group of copies that holds a large share of all rows.
-        df = df.withColumn("__dkpos", F.monotonically_increasing_id())
-        order_cols.append(F.col("__dkpos"))
-    helper = [f"__dk{i}" for i in range(len(order_cols))]
-    keyed = df.withColumns({h: c for h, c in zip(helper, order_cols)})
-
-    n = keyed.count() if n_rows is None else n_rows
-    buckets = max(1, min(max_buckets, math.ceil(n / max(1, rows_per_bucket))))
-
-    if buckets == 1:
-        bucketed = keyed.withColumn("__dkb", F.lit(0))
-        offsets = [0]
-    else:
-        fraction = min(1.0, buckets * sample_per_bucket / max(1, n))
-        step = max(1, int(fraction * n / buckets))   # sample rows per bucket
-        sample = (keyed.select(*helper).sample(False, fraction, seed)
-                  .withColumn("__dkr", F.row_number().over(Window.orderBy(*helper)))
-                  .where(F.col("__dkr") % step == 0)
-                  .select(*helper).distinct())
-        # the sample is bounded (about buckets * sample_per_bucket rows); only
-        # its cut points reach the driver, as JSON so every type comes back exact
-        schema = keyed.select(*helper).schema
-        cut_json = [r[0] for r in sample.orderBy(*helper)
-                    .select(F.to_json(F.struct(*helper))).collect()]
-        if len(cut_json) > buckets - 1:       # keep max_buckets a hard bound
-            m = len(cut_json)
-            cut_json = [cut_json[(i + 1) * m // buckets] for i in range(buckets - 1)]
-        cuts = [F.from_json(F.lit(j), schema) for j in cut_json]
-        bucketed = (keyed.withColumn("__dkt", F.struct(*helper))
-                    .withColumn("__dkb", _bucket_expr(F.col("__dkt"), cuts)).drop("__dkt"))
-        counts = dict(bucketed.groupBy("__dkb").count().collect())
-        offsets, running = [], 0
-        for b in range(len(cuts) + 1):
-            offsets.append(running)
-            running += counts.get(b, 0)
-
-    offset_col = (F.lit(0) if len(offsets) == 1 else
-                  F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]),
-                               F.col("__dkb") + 1))
+    helper = [f"__dk{i}" for i in range(len(order_cols) + 1)]
+    keyed = df.withColumns(dict(zip(helper, [*order_cols, F.monotonically_increasing_id()])))
+    placed = (keyed.repartitionByRange(*helper).sortWithinPartitions(*helper)
+              .select(*df.columns, F.monotonically_increasing_id().alias("__dkpos")))
+    stored = _materialize(placed, "dense-key-sorted")
+
+    part = F.shiftright("__dkpos", PLACE_BITS)
+    counts = sorted(stored.groupBy(part.alias("p")).count().collect())     # a row per partition
+    offsets, running = [], 0
+    for p, n in counts:
+        offsets.append((p, running))
+        running += n
+    before = F.broadcast(df.sparkSession.createDataFrame(offsets, "__dkp long, __dkbefore long"))
     start_col = start if isinstance(start, Column) else F.lit(int(start))
-    w = Window.partitionBy("__dkb").orderBy(*helper)
-    out = bucketed.withColumn(
-        name, (start_col.cast("long") + offset_col + F.row_number().over(w)).cast("long"))
-    return out.drop("__dkb", "__dkpos", *helper)
-
+    place = F.col("__dkpos").bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
+    key = (start_col.cast("long") + F.col("__dkbefore") + place + 1).cast("long")
+    return (stored.withColumn("__dkp", part).join(before, "__dkp")
+            .withColumn(name, key).drop("__dkp", "__dkbefore", "__dkpos"))

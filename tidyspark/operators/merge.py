@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidyspark.operators.keys import dense_key
+from tidyspark.session import materialize as _materialize
 
 
 def _dedupe_on(df: DataFrame, natural_key: list[str]) -> DataFrame:
@@ -26,23 +27,50 @@ def _dedupe_on(df: DataFrame, natural_key: list[str]) -> DataFrame:
     hot key before the shuffle; the survivor does not depend on row order.
     """
     others = [c for c in df.columns if c not in natural_key]
+    df = df.distinct()              # exact copies go by hash aggregation first
     if not others:
-        return df.distinct()
+        return df
     # min over a struct = lexicographically smallest full row, deterministic
     picked = df.groupBy(*natural_key).agg(F.min(F.struct(*others)).alias("__row"))
     return picked.select(*natural_key, *[F.col("__row")[c].alias(c) for c in others]).select(
         *df.columns)
 
 
+BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 << 20
+
+
+def _fits_broadcast(keys: DataFrame) -> bool:
+    """At most BROADCAST_ROWS keys and BROADCAST_BYTES of them, read from a written batch."""
+    width = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 16
+                 for c in keys.columns), F.lit(0))
+    rows, size = keys.agg(F.count(F.lit(1)), F.sum(width)).first()
+    return rows <= BROADCAST_ROWS and (size or 0) <= BROADCAST_BYTES
+
+
+def _matches(left: DataFrame, right: str, natural_key: list[str]):
+    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(F.col(f"{right}.{c}")) for c in natural_key])
+
+
 def new_rows(existing: DataFrame | None, batch: DataFrame, natural_key: list[str]) -> DataFrame:
-    """Batch rows (deduplicated on the natural key) that are not stored yet."""
+    """Batch rows (deduplicated on the natural key) that are not stored yet.
+
+    The cost follows the batch: the stored keys are first reduced to those that
+    the batch has. For a batch of checked size its keys are broadcast, and the
+    stored table is only scanned, never shuffled; for a larger one both sides
+    are shuffled on the key.
+    """
     batch = _dedupe_on(batch, natural_key)
     if existing is None:
         return batch
-    stored = existing.select(*natural_key).alias("__s")
-    cond = reduce(lambda a, b: a & b,
-                  [batch[c].eqNullSafe(F.col(f"__s.{c}")) for c in natural_key])
-    return batch.join(stored, cond, "left_anti")
+    batch = _materialize(batch, "merge-batch")
+    stored = existing.select(*natural_key)
+    keys = batch.select(*natural_key)
+    if _fits_broadcast(keys):
+        known = stored.join(F.broadcast(keys.alias("__b")), _matches(stored, "__b", natural_key),
+                            "left_semi").distinct()
+        stored = F.broadcast(known)      # no more rows than the batch
+    return batch.join(stored.alias("__s"), _matches(batch, "__s", natural_key), "left_anti")
 
 
 def max_key(existing: DataFrame | None, key: str) -> int:
@@ -75,8 +103,6 @@ def merge_new_rows(existing: DataFrame | None, batch: DataFrame, natural_key, ke
         merged = fresh if existing is None else existing.unionByName(fresh)
         return (merged, fresh) if return_new else merged
     start = max_key(existing, key)
-    # new rows are unique on the natural key: no copies to split
-    dense_opts.setdefault("split_copies", False)
     numbered = dense_key(fresh, order_by, key, start=start, materialize=materialize,
                          **dense_opts)
     out_cols = existing.columns if existing is not None else [key, *cols]

@@ -66,9 +66,11 @@ def count_bridge(bridge: DataFrame, visit: str, item: str, visit_fact: DataFrame
     v = visit_fact.select(F.col(visit_key).alias(visit), F.col(group))
     joined = bridge.select(visit, item).join(v, on=visit, how="left")
     if item_attr is not None:
+        # the attribute joins counted (group, item) rows, not the bridge
         attrs = item_dim.select(F.col(item_dim_key).alias(item), F.col(item_attr))
-        joined = joined.join(attrs, on=item, how="left")
-        counts = joined.groupBy(group, item_attr).agg(F.count(F.lit(1)).alias(count_name))
+        per_item = joined.groupBy(group, item).agg(F.count(F.lit(1)).alias("__n"))
+        counts = (per_item.join(attrs, on=item, how="left").groupBy(group, item_attr)
+                  .agg(F.sum("__n").alias(count_name)))
         out = _names(counts, group, group_dim, group_dim_key, list(group_cols))
         return out.select(group, *group_cols, item_attr, count_name)
     counts = joined.groupBy(group, item).agg(F.count(F.lit(1)).alias(count_name))
@@ -87,10 +89,8 @@ def rank_by_frequency(bridge: DataFrame, item: str, dim: DataFrame, dim_key: str
     """
     counts = bridge.groupBy(item).agg(F.count(F.lit(1)).alias("__n"))
     named = _names(counts, item, dim, dim_key, [name])
-    # the aggregate is written once (one row per item) so the numbering passes
-    # do not repeat the aggregation over the whole bridge
     ranked = dense_key(named, [-F.col("__n"), F.col(name).isNull(), F.col(name)], rank_name,
-                       tie_break=[item], materialize=True, split_copies=False)
+                       tie_break=[item])
     cols = [rank_name, F.col(name).alias(label or name)]
     if count_name:
         cols.append(F.col("__n").alias(count_name))
