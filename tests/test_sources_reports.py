@@ -66,3 +66,50 @@ def test_csv_declared_schema_is_normalised(spark, tmp_path):
                            T.StructField("Total Time (min)", T.IntegerType())])
     df = read_csv(spark, str(path), schema)
     assert df.columns == ["ParkID", "TotalTimemin"] and df.first()["TotalTimemin"] == 30
+
+
+def test_csv_columns_are_bound_by_name(spark, tmp_path):
+    path = tmp_path / "swapped.csv"
+    path.write_text("B,A\nx,1\ny,2\n")
+    schema = T.StructType([T.StructField("A", T.IntegerType()), T.StructField("B", T.StringType())])
+    assert _rows(read_csv(spark, str(path), schema)) == [(1, "x"), (2, "y")]
+    absent = T.StructType([T.StructField("C", T.StringType())])
+    try:
+        read_csv(spark, str(path), absent)
+        raise AssertionError("expected an error")
+    except ValueError:
+        pass
+
+
+def test_first_load_that_died_leaves_no_table(spark, tmp_path):
+    from tidyspark.sources.tables import merge_into_path
+    folder = tmp_path / "store" / "names"
+    folder.mkdir(parents=True)
+    batch = spark.createDataFrame([("b",), ("a",)], "name string")
+    assert read_table(spark, str(folder)) is None
+    assert _rows(merge_into_path(spark, str(folder), batch, ["name"], "id")) == [(1, "a"), (2, "b")]
+
+
+def test_literal_separators(spark):
+    from tidyspark.operators import dims
+    df = spark.createDataFrame([("ab", "cd|e"), (None, "f")], "x string, y string")
+    got = dims.dim_from_columns(df, ["x", "y"], "name", "id", sep="|")
+    assert [r[1] for r in sorted(got.collect())] == ["ab", "cd", "e", "f"]
+
+
+def test_broadcast_hint_is_bounded_in_bytes(spark):
+    from tidyspark.operators.facts import checked_broadcast
+    wide = spark.range(3).select("id", F.repeat(F.lit("x"), 40_000_000).alias("name"))
+    hinted = lambda d, n: "ResolvedHint" in d._jdf.queryExecution().analyzed().toString()
+    assert hinted(checked_broadcast(spark.range(3).toDF("id"), 5), 5)
+    assert not hinted(checked_broadcast(wide, 5), 5)
+    assert not hinted(checked_broadcast(spark.range(9).toDF("id"), 5), 5)
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    import pytest
+    from types import SimpleNamespace as N
+    from tidyspark.session import ensure_checkpoint_dir
+    sc = N(getCheckpointDir=lambda: None, getConf=lambda: {}, master="spark://host:7077")
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(N(sparkContext=sc, conf={}))

@@ -16,7 +16,7 @@ import sys
 from pyspark.sql import SparkSession
 
 from tidyspark.plans.pipeline import run_pipeline
-from tidyspark.session import RECOMMENDED_CONF, ensure_checkpoint_dir
+from tidyspark.session import RECOMMENDED_CONF, drop_scratch, ensure_checkpoint_dir
 from tidyspark.sources.tables import read_csv
 
 
@@ -29,12 +29,15 @@ def main(argv=None) -> int:
     ap.add_argument("--date-format", default="M/d/yy")
     ap.add_argument("--pivot-year", type=int, default=2049)
     ap.add_argument("--encoding", default="UTF-8")
+    ap.add_argument("--scratch", help="shared folder for staged tables (default: spark.checkpoint.dir)")
     args = ap.parse_args(argv)
 
     builder = SparkSession.builder.appName("tidyspark")
     for k, v in RECOMMENDED_CONF.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
+    if args.scratch:
+        spark.sparkContext.setCheckpointDir(args.scratch)
     ensure_checkpoint_dir(spark)
     visits = read_csv(spark, args.visits, encoding=args.encoding, normalize=False)
     sightings = read_csv(spark, args.sightings, encoding=args.encoding, normalize=False)
@@ -43,6 +46,7 @@ def main(argv=None) -> int:
     bad = out["audit"].where("violations > 0").collect()   # one row per rule at most
     for r in bad:
         print(f"{r.table_name}.{r.column_name}: {r.check_name} = {r.violations}")
+    drop_scratch(spark)
     return 1 if bad else 0
 
 

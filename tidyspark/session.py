@@ -7,9 +7,11 @@ one in. ``local_session`` exists for tests, the bench and the examples.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 # Settings that matter at any scale: AQE re-plans joins and partition counts from
@@ -48,8 +50,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint folder.
 
     On a cluster this is the shared folder named by ``spark.checkpoint.dir``;
-    it is read from the session and never replaced. Only when nothing is set
-    (local runs, tests) a folder under the local temp dir is created.
+    it is read from the session and never replaced. Only a local session
+    (``local[...]``, as in tests) without one gets a folder under the local temp
+    dir; any other master without one is an error, since executors would write
+    to their own disks.
     """
     try:
         sc = spark.sparkContext
@@ -64,27 +68,43 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if configured is None:
             raise RuntimeError("set spark.checkpoint.dir to a shared folder")
         return configured
-    sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="tidyspark-ckpt-"))
+    if configured is None:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        configured = tempfile.mkdtemp(prefix="tidyspark-ckpt-")
+    sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
 
+_RUN = f"tidyspark-{uuid.uuid4().hex[:12]}"      # this process's scratch tables share one folder
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the checkpoint folder for staged tables and round trips."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{_RUN}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete this process's staged tables. Frames that read them can't be used afterwards."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{ensure_checkpoint_dir(spark).rstrip('/')}/{_RUN}")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df, label: str = "stage"):
     """Cut lineage by writing ``df`` as parquet below the checkpoint folder.
 
     Later passes read the written files: a row count comes from parquet
-    metadata and a pass over a few columns reads only those columns. Falls back
-    to a reliable ``checkpoint()`` for schemas parquet cannot store.
+    metadata and a pass over a few columns reads only those columns. Types that
+    parquet cannot store (and only those) go to a reliable ``checkpoint()``.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
     try:
         df.write.parquet(path)
-    except Exception:  # e.g. interval or void columns
+    except AnalysisException as e:
+        if "UNSUPPORTED_DATA_TYPE_FOR_DATASOURCE" not in str(e):
+            raise
         return df.checkpoint(eager=True)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 

@@ -8,11 +8,16 @@ and overwrites the same files.
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidyspark.operators.merge import merge_new_rows
+from tidyspark.session import materialize
 from tidyspark.sources.headers import normalize_headers
 
 
@@ -20,21 +25,28 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
              header: bool = True, encoding: str = "UTF-8", normalize: bool = True,
              drop: str | None = None, multiline: bool = False,
              corrupt_column: str | None = None) -> DataFrame:
-    """CSV with a header. A declared ``schema`` is given in *raw* header order
-    and names; without it every column is a string. With ``normalize`` the
-    header names are then normalised. Malformed rows are kept (PERMISSIVE) and
-    flagged in ``corrupt_column`` when asked.
+    """CSV with a header. Columns of a declared ``schema`` are bound by their raw
+    header names, in whatever order the file has them (a missing one is an
+    error); without it every column is a string. With ``normalize`` the header
+    names are then normalised. A value that can't be read as its declared type
+    becomes NULL, and ``corrupt_column`` (if named) keeps that row's raw values.
     """
     reader = (spark.read.option("header", header).option("encoding", encoding)
               .option("multiLine", multiline).option("mode", "PERMISSIVE"))
-    if schema is not None:
-        if corrupt_column:
-            schema = T.StructType(list(schema.fields) + [T.StructField(corrupt_column,
-                                                                      T.StringType())])
-            reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
-        # the header line names the columns; the declared schema types them by position
-        reader = reader.option("enforceSchema", True).schema(schema)
     df = reader.csv(path)
+    if schema is not None and header:
+        absent = [f.name for f in schema.fields if f.name not in df.columns]
+        if absent:
+            raise ValueError(f"the header lacks {absent}")
+        raw = [F.col(f"`{f.name}`") for f in schema.fields]
+        typed = [c.try_cast(f.dataType) for c, f in zip(raw, schema.fields)]
+        out = [t.alias(f.name) for t, f in zip(typed, schema.fields)]
+        if corrupt_column:
+            bad = reduce(lambda a, b: a | b, [r.isNotNull() & t.isNull() for r, t in zip(raw, typed)])
+            out.append(F.when(bad, F.to_csv(F.struct(*raw))).alias(corrupt_column))
+        df = df.select(*out)
+    elif schema is not None:
+        df = reader.schema(schema).csv(path)
     if normalize:
         df = normalize_headers(df) if drop is None else normalize_headers(df, drop)
     return df
@@ -42,15 +54,15 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet",
                schema: T.StructType | None = None, **options) -> DataFrame | None:
-    """Stored table or None when the path does not exist (only that case)."""
+    """Stored table, or None when the path does not exist or holds no file yet
+    (a first load that ended before its commit)."""
     reader = spark.read.format(fmt).options(**options)
     if schema is not None:
         reader = reader.schema(schema)
     try:
         return reader.load(path)
     except AnalysisException as e:
-        if (getattr(e, "getCondition", lambda: None)() == "PATH_NOT_FOUND"
-                or "PATH_NOT_FOUND" in str(e)):
+        if re.search("PATH_NOT_FOUND|UNABLE_TO_INFER_SCHEMA", str(e)):
             return None
         raise
 
@@ -102,7 +114,9 @@ def read_jdbc(spark: SparkSession, url: str, table: str | None = None, *, query:
         return spark.read.jdbc(url, table or f"({query}) AS q", predicates=predicates,
                                properties=props)
     reader = spark.read.format("jdbc").option("url", url).options(**props)
-    reader = reader.option("query", query) if query else reader.option("dbtable", table)
+    # a query can't be read in ranges under its own option, only as a derived table
+    reader = (reader.option("query", query) if query and not partition_column
+              else reader.option("dbtable", table or f"({query}) AS q"))
     if partition_column:
         reader = (reader.option("partitionColumn", partition_column)
                   .option("lowerBound", str(lower_bound)).option("upperBound", str(upper_bound))
@@ -152,5 +166,6 @@ def merge_into_jdbc(spark: SparkSession, url: str, table: str, batch: DataFrame,
                     if key else read_jdbc(spark, url, table, properties=properties))
     _, fresh = merge_new_rows(existing, batch, natural_key, key, order_by,
                               return_new=True, **merge_opts)
+    fresh = materialize(fresh, "jdbc-new")        # the count must not see the appended rows
     write_jdbc(fresh, url, table, properties)
     return fresh.count()
