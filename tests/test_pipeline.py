@@ -19,35 +19,55 @@ def _rows(df):
 
 def test_vocabularies_and_facts(spark):
     t = normalize_survey(spark, *_inputs(spark))
-    assert _rows(t["areas"]) == [(1, "A", "NORTH SIDE"), (2, "B", "SOUTH SIDE")]
-    assert _rows(t["parks"]) == [(1, 1, "Hill Park"), (2, 1, "Oak Park"), (3, 1, "Lake Park"),
-                                 (4, 2, "Elm Square")]
-    assert _rows(t["parksections"]) == [(1, 3, 1, "Near Boathouse"), (2, 3, 2, "Near Bridge")]
+    assert _rows(t["areas"]) == [(1, "H", "HILLTOP"), (2, "R", "RIVERBANK")]
+    assert _rows(t["parks"]) == [(1, 2, "Orchard Green"), (2, 2, "Mill Meadow"), (3, 2, "Canal Walk"),
+                                 (4, 1, "Beacon Field")]
+    assert _rows(t["parksections"]) == [(1, 3, 1, "North Of The Lock"), (2, 3, 2, "By The Tow Path")]
     assert [r[1] for r in sorted(t["animals"].collect())] == \
-        ["Cat", "Dogs", "Hawks", "Humans", "ND", "Pigeons"]
-    assert [r[1] for r in sorted(t["weathers"].collect())] == ["ND", "clear", "cold", "sunny"]
+        ["Foxes", "Geese", "Hens", "ND", "Otter", "Toads"]
+    assert [r[1] for r in sorted(t["weathers"].collect())] == ["ND", "damp", "dim", "foggy", "hazy"]
     assert [r[1] for r in sorted(t["activities"].collect())] == \
-        ["Chasing", "Climbing", "Eating", "Foraging", "Running"]
+        ["Digging", "Leaping", "Napping", "Sparring", "Sprinting"]
     ps = {r["ParkStatusID"]: r for r in t["parkstatus"].collect()}
-    assert [ps[i]["TotalTime"] for i in range(1, 6)] == [51, 30, 30, 30, 20]
-    assert ps[1]["TemperatureDegrees"] == 43 and ps[3]["TemperatureDegrees"] == 40
+    assert [ps[i]["TotalTime"] for i in range(1, 6)] == [40, 45, 25, 25, 40]
+    assert [ps[i]["TemperatureDegrees"] for i in range(1, 6)] == [17, None, 21, 22, None]
     animals = _rows(t["parkstatusanimals"].where(F.col("ParkStatusAnimalObs") != ""))
-    assert [r[3] for r in animals] == ["3, all on leashes", "2"]
+    assert [r[3] for r in animals] == ["2, one limping", "9"]
     assert t["squirrels"].count() == 5       # the duplicated sighting row is one squirrel row
+    # every highlight colour is kept, not only the first
+    colors = {r["ColorID"]: r["ColorName"] for r in t["colors"].collect()}
+    ids = {r["SquirrelDataID"]: r["SquirrelID"] for r in t["squirrels"].collect()}
+    high = sorted((ids[r["SquirrelDataID"]], colors[r["ColorID"]]) for r in t["squirrelhighlights"].collect())
+    assert high == [("Q-7", "Amber"), ("Q-7", "Cream"), ("Q-8", "ND"), ("R-2", "Russet"), ("T-1", "ND"),
+                    ("T-2", "Cream")]
 
 
 def test_reports(spark):
     r = survey_reports(normalize_survey(spark, *_inputs(spark)))
     assert [tuple(x) for x in r["query_1"].collect()] == \
-        [(1, "Hill Park", 2), (2, "Oak Park", 1), (3, "Lake Park", 2)]
-    assert [tuple(x) for x in r["query_2"].collect()] == [(1, "NORTH SIDE", 5)]
+        [(1, "Orchard Green", 2), (2, "Mill Meadow", 1), (3, "Canal Walk", 2)]
+    assert [tuple(x) for x in r["query_2"].collect()] == [(2, "RIVERBANK", 5)]
     assert [tuple(x) for x in r["query_4"].collect()] == \
-        [(1, "Foraging"), (2, "Climbing"), (3, "Chasing"), (4, "Eating"), (5, "Running")]
+        [(1, "Digging"), (2, "Leaping"), (3, "Napping"), (4, "Sparring"), (5, "Sprinting")]
     q3 = {(a, b): c for a, b, c in r["query_3"].collect()}
-    assert q3[("Lake Park", "Humans")] == 2 and q3[("Elm Square", "ND")] == 1
+    assert q3[("Canal Walk", "Geese")] == 2 and q3[("Beacon Field", "ND")] == 1
     assert [tuple(x) for x in r["query_5"].collect()] == [
-        (1, "Hill Park", "Black", 1), (1, "Hill Park", "Gray", 1), (2, "Oak Park", "Cinnamon", 1),
-        (3, "Lake Park", "Gray", 2)]
+        (1, "Orchard Green", "Russet", 1), (1, "Orchard Green", "Slate", 1), (2, "Mill Meadow", "Amber", 1),
+        (3, "Canal Walk", "Russet", 2)]
+
+
+def test_only_the_tables_asked_for(spark):
+    t = normalize_survey(spark, *_inputs(spark), only={"squirrelactivities"})
+    assert set(t) == {"colors", "activities", "squirrels", "squirrelactivities"}
+
+
+def test_second_name_of_a_park_is_reported(spark):
+    v, s = _inputs(spark)
+    other = v.where("ParkID = '2'").withColumn("ParkName", F.lit("Old Mill Meadow"))
+    t = normalize_survey(spark, v.unionByName(other), s)
+    bad = [tuple(r) for r in survey_audit(t).where("violations > 0").collect()]
+    assert bad == [("parkvariants", "primary_key_duplicates", "ParkID", 2)]
+    assert t["parkvariants"].where("ParkID = 2").count() == 2
 
 
 def test_audit_clean_and_broken(spark):
@@ -75,7 +95,7 @@ def test_store_merge_adds_only_new_rows(spark, tmp_store):
     full = normalize_survey(spark, v, s, store=tmp_store)
     after = {r[1]: r[0] for r in full["animals"].collect()}
     assert all(after[n] == k for n, k in before.items())      # known keys never change
-    assert after["Hawks"] == max(before.values()) + 1          # new value numbered after max
+    assert after["Toads"] == max(before.values()) + 1          # new value numbered after max
 
 
 def test_csv_source_roundtrip(spark, tmp_path):
@@ -125,12 +145,12 @@ def test_command_line_run_is_idempotent(spark, tmp_path):
 
 def test_section_without_number_links_by_name(spark):
     extra = spark.createDataFrame(
-        [("SOUTH SIDE", "B", "Bay Park (section near Pier)", "5", "3/2/20", "1:00:00 PM",
-          "1:30:00 PM", "30", "Busy", "Humans", "None", "50 degrees, sunny")],
+        [("HILLTOP", "H", "Quarry Wood (section near Cave)", "5", "9/16/21", "1:00:00 PM",
+          "1:30:00 PM", "30", "Empty", "Geese", "Nothing", "19 degrees, foggy")],
         fixtures.visits_df(spark).schema)
     v = normalize_headers(fixtures.visits_df(spark).unionByName(extra))
     t = normalize_survey(spark, v, normalize_headers(fixtures.sightings_df(spark)))
     sec = {r["ParkSectionName"]: r for r in t["parksections"].collect()}
-    assert sec["Near Pier"]["ParkID"] == 5 and sec["Near Pier"]["SectionID"] is None
+    assert sec["Near Cave"]["ParkID"] == 5 and sec["Near Cave"]["SectionID"] is None
     row = t["parkstatus"].where("ParkID = 5").first()
-    assert row["ParkSectionID"] == sec["Near Pier"]["ParkSectionID"]
+    assert row["ParkSectionID"] == sec["Near Cave"]["ParkSectionID"]

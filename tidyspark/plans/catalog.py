@@ -378,7 +378,8 @@ def split_parens(spark, d):
 WITH i AS (SELECT p_partkey, trim(unnest(regexp_extract_all({NOTED_LIST_SQL},
                                          '(?:[^,(]|\\([^)]*\\))+'))) AS item FROM part)
 SELECT p_partkey, item, trim(regexp_replace(item, '\\([^)]*\\)', '', 'g')) AS value,
-       trim(regexp_extract(item, '\\(([^)]*)\\)', 1)) AS note
+       array_to_string(list_transform(regexp_extract_all(item, '\\(([^)]*)\\)', 1), lambda x: trim(x)), ', ')
+         AS note
 FROM i
 """)
 def split_note(spark, d):
@@ -403,6 +404,69 @@ def _clause_text():
                                 F.lit(" but "), F.col("p_type"))))
 
 
+@register("split_many_notes", """
+WITH i AS (SELECT p_partkey, p_name || ' (' || p_size || ')' || ' (' || p_type || ', all)' AS item FROM part)
+SELECT p_partkey, item, p_name AS value, p_size || ', ' || p_type || ', all' AS note
+FROM i JOIN part USING (p_partkey)
+""")
+def split_many_notes(spark, d):
+    """Every note is kept: two parentheticals on one item."""
+    i = load(spark, d, "part").select("p_partkey", F.concat(
+        "p_name", F.lit(" ("), F.col("p_size").cast("string"), F.lit(")"), F.lit(" ("), "p_type",
+        F.lit(", all)")).alias("item"))
+    n = P.split_note("item")
+    return i.select("p_partkey", "item", n["value"].alias("value"), n["note"].alias("note"))
+
+
+@register("open_paren_items", """
+SELECT p_partkey, unnest([p_name, p_brand || ' (' || p_size || ', ' || p_type || ', rest']) AS item FROM part
+""")
+def open_paren_items(spark, d):
+    """An unclosed parenthesis keeps its text, commas included, in one item."""
+    cell = F.concat("p_name", F.lit(", "), "p_brand", F.lit(" ("), F.col("p_size").cast("string"), F.lit(", "),
+                    "p_type", F.lit(", rest"))
+    return load(spark, d, "part").select("p_partkey", F.explode(P.items_outside_parens(cell)).alias("item"))
+
+
+@register("decimal_measures", """
+SELECT p_partkey, p_size AS degrees, p_size AS minutes, unnest([p_name, 'felt like ' || p_size || ' degrees'])
+         AS descriptor
+FROM part
+""")
+def decimal_measures(spark, d):
+    """Decimals before the unit, and a second marker after the first."""
+    size = F.col("p_size").cast("string")
+    t = load(spark, d, "part").select("p_partkey", F.concat(
+        size, F.lit(".5 degrees, "), "p_name", F.lit(", felt like "), size, F.lit(" degrees")).alias("weather"),
+        F.concat(size, F.lit(".5")).alias("stated"))
+    return t.select("p_partkey", P.extract_number("weather").alias("degrees"),
+                    P.fill_minutes("stated", F.lit("10:00:00"), F.lit("11:00:00")).alias("minutes"),
+                    F.explode(P.descriptors_after("weather")["items"]).alias("descriptor"))
+
+
+@register("items_documents", """
+SELECT doc_id, count(*) AS n_items, CAST(sum(length(item)) AS BIGINT) AS n_chars, max(length(item)) AS longest
+FROM (SELECT doc_id, trim(unnest(regexp_extract_all(text, '(?:[^,(]|\\([^)]*\\)?)+'))) AS item FROM documents)
+GROUP BY doc_id
+""")
+def items_documents(spark, d):
+    """List items of whole texts, line breaks and long items included."""
+    items = load(spark, d, "documents").select("doc_id", F.explode(P.items_outside_parens("text")).alias("item"))
+    return items.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_items"),
+                                       F.sum(F.length("item")).alias("n_chars"),
+                                       F.max(F.length("item")).cast("long").alias("longest"))
+
+
+@register("clause_documents", """
+WITH p AS (SELECT doc_id, text, length(regexp_extract(text, '^((?s).*?)\\b(?:but|with)\\b', 1)) AS before,
+                  regexp_matches(text, '\\b(?:but|with)\\b') AS found FROM documents)
+SELECT doc_id, CASE WHEN found THEN substr(text, before + 1) ELSE '' END AS clause FROM p
+""")
+def clause_documents(spark, d):
+    """The clause of a whole text runs over its line breaks."""
+    return load(spark, d, "documents").select("doc_id", P.cut_clause("text")["clause"].alias("clause"))
+
+
 @register("cut_clause", f"""
 WITH t AS (SELECT p_partkey, {_CLAUSE_SQL} AS remark FROM part)
 SELECT p_partkey, remark,
@@ -440,8 +504,7 @@ def _desc_text():
 DESCRIPTORS_SQL = f"""
 WITH t AS (SELECT p_partkey, coalesce({_DESC_SQL}, '') AS weather FROM part),
 a AS (SELECT p_partkey, weather,
-             CASE WHEN contains(weather, 'degrees') THEN regexp_extract(weather, '.*degrees(.*)$', 1)
-                  ELSE weather END AS after FROM t),
+             regexp_replace(weather, '\\d+(?:-?[A-Za-z]+)?\\s*degrees', '') AS after FROM t),
 b AS (SELECT p_partkey, weather, regexp_extract(after, '\\b(?:but|with)\\b.*$', 0) AS clause,
              list_filter(list_transform(string_split(
                  regexp_replace(after, '\\b(?:but|with)\\b.*$', ''), ','), lambda x: trim(x)),
@@ -476,17 +539,18 @@ def hier_id(spark, d):
 
 
 _SECTION_NAME_SQL = """CASE WHEN p_type IN ('SMALL', 'LARGE')
-                 THEN p_name || ' (Section ' || p_brand || ' ' || p_type || ')' ELSE p_name END"""
+                 THEN p_name || ' (Section ' || p_brand || ' by section ' || p_type || ')' ELSE p_name END"""
 _SECTION_ID_SQL = """CASE WHEN p_type IN ('SMALL', 'LARGE') THEN p_partkey || '.' || p_size
                  ELSE CAST(p_partkey AS VARCHAR) END"""
 
 
 @register("sections", f"""
 WITH t AS (SELECT {_SECTION_ID_SQL} AS pid, {_SECTION_NAME_SQL} AS pname FROM part),
-s AS (SELECT DISTINCT TRY_CAST(split_part(pid, '.', 1) AS INTEGER) AS ParkID,
-             TRY_CAST(nullif(split_part(pid, '.', 2), '') AS INTEGER) AS SectionID,
+s AS (SELECT DISTINCT TRY_CAST(split_part(pid, '.', 1) AS BIGINT) AS ParkID,
+             TRY_CAST(nullif(split_part(pid, '.', 2), '') AS BIGINT) AS SectionID,
              array_to_string(list_transform(string_split(
-                 trim(regexp_replace(string_split(lower(pname), 'section')[2], '\\)\\s*$', '')), ' '),
+                 trim(regexp_replace(substr(lower(pname), strpos(lower(pname), 'section') + 7),
+                                     '\\)\\s*$', '')), ' '),
                  lambda w: upper(left(w, 1)) || substr(w, 2)), ' ') AS ParkSectionName
       FROM t WHERE contains(lower(pname), 'section'))
 SELECT ROW_NUMBER() OVER (ORDER BY ParkID NULLS FIRST, SectionID NULLS FIRST,
@@ -500,8 +564,8 @@ def sections(spark, d):
     t = p.select(
         F.when(sec, F.concat_ws(".", "p_partkey", "p_size"))
          .otherwise(F.col("p_partkey").cast("string")).alias("pid"),
-        F.when(sec, F.concat(F.col("p_name"), F.lit(" (Section "), F.col("p_brand"), F.lit(" "),
-                             F.col("p_type"), F.lit(")")))
+        F.when(sec, F.concat(F.col("p_name"), F.lit(" (Section "), F.col("p_brand"),
+                             F.lit(" by section "), F.col("p_type"), F.lit(")")))
          .otherwise(F.col("p_name")).alias("pname"))
     return dims.extract_sections(t, "pid", "pname")
 
@@ -839,18 +903,17 @@ def audit_labels(spark, d):
 
 # ==== end-to-end pipeline (B24) on survey-shaped data derived from the tables ================
 
-_PIPELINE_RUNS: dict = {}
+def _tables(spark, d, only=None):
+    """The survey tables of ``only`` (and those they refer to), built afresh from the folder."""
+    from tidyspark.plans.pipeline import survey_inputs
+    from tidyspark.plans.survey import normalize_survey
+    visits, sightings = survey_inputs(spark, d)
+    return normalize_survey(spark, normalize_headers(visits), normalize_headers(sightings), only=only)
 
 
-def _pipeline(spark, d):
-    """One pipeline run per (session, input folder); its tables are written
-    below the checkpoint folder, so the six pipeline queries share it."""
-    from tidyspark.plans.pipeline import run_pipeline, survey_inputs
-    run_key = (spark.conf.get("spark.app.id", None) or id(spark), d)
-    if run_key not in _PIPELINE_RUNS:
-        visits, sightings = survey_inputs(spark, d)
-        _PIPELINE_RUNS[run_key] = run_pipeline(spark, visits, sightings)
-    return _PIPELINE_RUNS[run_key]
+def _report(spark, d, name):
+    from tidyspark.plans.survey import REPORT_TABLES, survey_report
+    return survey_report(_tables(spark, d, REPORT_TABLES[name]), name)
 
 
 @register("pipeline_q1", """
@@ -867,7 +930,7 @@ FROM q LEFT JOIN pk ON q.ParkID = pk.ParkID
 GROUP BY q.ParkID, pk.ParkName
 """)
 def pipeline_q1(spark, d):
-    return _pipeline(spark, d)["query_1"]
+    return _report(spark, d, "query_1")
 
 
 @register("pipeline_q2", """
@@ -890,7 +953,7 @@ LEFT JOIN areas ar ON q.AreaID = ar.AreaID
 GROUP BY q.AreaID, ar.AreaName
 """)
 def pipeline_q2(spark, d):
-    return _pipeline(spark, d)["query_2"]
+    return _report(spark, d, "query_2")
 
 
 @register("pipeline_q3", """
@@ -906,18 +969,18 @@ status AS (
          CASE WHEN o_orderstatus = 'P' THEN CAST(left(o_orderpriority, 1) AS INTEGER) END AS sec,
          CAST(o_orderdate AS DATE) AS d, strftime(st, '%H:%M:%S') AS t0,
          strftime(st + to_minutes(mins), '%H:%M:%S') AS t1, mins AS total,
-         CASE WHEN o_orderpriority LIKE '1%' THEN 'Busy'
-              WHEN o_orderpriority LIKE '2%' THEN 'Calm  staff'
+         CASE WHEN o_orderpriority LIKE '1%' THEN 'Full'
+              WHEN o_orderpriority LIKE '2%' THEN 'Lovely  warden'
               ELSE substr(o_orderpriority, 3) END AS cond,
-         CASE WHEN o_orderpriority LIKE '1%' THEN lower(c_mktsegment) || ' crowd' ELSE '' END
+         CASE WHEN o_orderpriority LIKE '1%' THEN lower(c_mktsegment) || ' outing' ELSE '' END
            AS cond_obs,
-         CASE WHEN o_orderstatus = 'O' THEN 'Some' WHEN o_orderstatus = 'F' THEN 'ND'
-              ELSE 'None' END AS litter,
-         CASE WHEN o_orderstatus = 'O' THEN 'in trees' ELSE '' END AS litter_obs,
+         CASE WHEN o_orderstatus = 'O' THEN 'Little' WHEN o_orderstatus = 'F' THEN 'ND'
+              ELSE 'Nothing' END AS litter,
+         CASE WHEN o_orderstatus = 'O' THEN 'near the gate' ELSE '' END AS litter_obs,
          CASE WHEN o_orderpriority LIKE '5%' THEN NULL ELSE o_orderkey % 40 + 30 END AS temp,
-         [struct_pack(a := 'Humans', n := ''),
+         [struct_pack(a := 'Geese', n := ''),
           struct_pack(a := upper(left(c_mktsegment, 1)) || lower(substr(c_mktsegment, 2)),
-                      n := (o_custkey % 4) || ', leashed'),
+                      n := (o_custkey % 4) || ', asleep'),
           struct_pack(a := regexp_replace(
                               array_to_string(list_transform(string_split(lower(n_name), ' '),
                                   lambda w: upper(left(w, 1)) || substr(w, 2)), ' '),
@@ -937,7 +1000,7 @@ FROM b LEFT JOIN pk ON b.ParkID = pk.ParkID
 GROUP BY b.ParkID, pk.ParkName, b.a
 """)
 def pipeline_q3(spark, d):
-    return _pipeline(spark, d)["query_3"]
+    return _report(spark, d, "query_3")
 
 
 @register("pipeline_q4", """
@@ -965,7 +1028,7 @@ SELECT ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, value ASC NULLS LAST) AS Top,
 FROM items GROUP BY value
 """)
 def pipeline_q4(spark, d):
-    return _pipeline(spark, d)["query_4"]
+    return _report(spark, d, "query_4")
 
 
 @register("pipeline_q5", """
@@ -996,12 +1059,13 @@ FROM sight LEFT JOIN pk ON sight.ParkID = pk.ParkID
 GROUP BY sight.ParkID, pk.ParkName, sight.prim
 """)
 def pipeline_q5(spark, d):
-    return _pipeline(spark, d)["query_5"]
+    return _report(spark, d, "query_5")
 
 
 @register("pipeline_audit", None)
 def pipeline_audit(spark, d):
-    return _pipeline(spark, d)["audit"]
+    from tidyspark.plans.survey import survey_audit
+    return survey_audit(_tables(spark, d))
 
 
 # DuckDB sums BIGINT counts into HUGEINT; the audit reports counts as BIGINT

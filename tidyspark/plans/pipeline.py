@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidyspark.plans.survey import normalize_survey, survey_audit, survey_reports
+from tidyspark.plans.survey import REPORT_TABLES, normalize_survey, survey_audit, survey_report
 from tidyspark.sources.headers import normalize_headers
 from tidyspark.sources.tables import write_report
 
@@ -52,20 +52,20 @@ def survey_inputs(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
                    .otherwise(minutes.cast("string"))
                    .alias("Total Time (in minutes, if available)"),
                   F.when(F.col("o_orderpriority").startswith("1"),
-                         F.concat(F.lit("Busy, "), F.lower("c_mktsegment"), F.lit(" crowd")))
-                   .when(F.col("o_orderpriority").startswith("2"), F.lit('"Calm" - staff'))
+                         F.concat(F.lit("Full, "), F.lower("c_mktsegment"), F.lit(" outing")))
+                   .when(F.col("o_orderpriority").startswith("2"), F.lit('"Lovely" - warden'))
                    .otherwise(F.substring("o_orderpriority", 3, 20)).alias("Park Conditions"),
-                  F.concat(F.lit("Humans, "), F.initcap("c_mktsegment"), F.lit(" ("),
-                           (F.col("o_custkey") % 4).cast("string"), F.lit(", leashed), "),
+                  F.concat(F.lit("Geese, "), F.initcap("c_mktsegment"), F.lit(" ("),
+                           (F.col("o_custkey") % 4).cast("string"), F.lit(", asleep), "),
                            F.initcap("n_name"), F.lit(" Birds")).alias("Other Animal Sightings"),
-                  F.when(F.col("o_orderstatus") == "O", F.lit("Some, in trees"))
+                  F.when(F.col("o_orderstatus") == "O", F.lit("Little, near the gate"))
                    .when(F.col("o_orderstatus") == "F", F.lit(None).cast("string"))
-                   .otherwise(F.lit("None")).alias("Litter"),
-                  F.when(F.col("o_orderpriority").startswith("5"), F.lit("cold, clear"))
+                   .otherwise(F.lit("Nothing")).alias("Litter"),
+                  F.when(F.col("o_orderpriority").startswith("5"), F.lit("damp, dim"))
                    .when(F.col("o_orderpriority").startswith("4"),
-                         F.concat(size.cast("string"), F.lit("-ish degrees, but sunny!")))
+                         F.concat(size.cast("string"), F.lit("-odd degrees, but hazy!")))
                    .otherwise(F.concat(size.cast("string"), F.lit(" degrees, "),
-                                       F.lower("o_orderstatus"), F.lit(", windy, sunny with gusts")))
+                                       F.lower("o_orderstatus"), F.lit(", misty, hazy with showers")))
                    .alias("Temperature & Weather")))
 
     sightings = (li.join(p, li.l_partkey == p.p_partkey, "left")
@@ -82,14 +82,14 @@ def survey_inputs(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
                             F.concat(F.col("p_size").cast("string"), F.lit("-"),
                                      (F.col("p_size") + 5).cast("string")))
                       .otherwise(F.lit(None).cast("string")).alias("Above Ground (Height in Feet)"),
-                     F.when(F.col("l_linestatus") == "O", F.lit("Ground Plane"))
-                      .otherwise(F.lit("Above Ground (tree, high)")).alias("Location"),
+                     F.when(F.col("l_linestatus") == "O", F.lit("Low Wall"))
+                      .otherwise(F.lit("Up High (roof, gutter)")).alias("Location"),
                      F.lit(None).cast("string").alias("Specific Location"),
                      F.concat(F.regexp_replace(F.initcap("p_name"), " ", ", "), F.lit(" ("),
                               F.col("l_quantity").cast("int").cast("string"), F.lit(")"))
                       .alias("Activities"),
-                     F.when(F.col("l_discount") > 0.05, F.lit("Indifferent, Approaches"))
-                      .otherwise(F.lit("Runs From")).alias("Interactions with Humans"),
+                     F.when(F.col("l_discount") > 0.05, F.lit("Curious, Begs"))
+                      .otherwise(F.lit("Flees")).alias("Interactions with Humans"),
                      F.lit(None).cast("string").alias("Other Notes or Observations"),
                      (F.lit(40.7) + F.col("l_extendedprice") / 1e6).alias(
                          "Squirrel Latitude (DD.DDDDDD)"),
@@ -102,22 +102,27 @@ def run_pipeline(spark: SparkSession, visits: DataFrame, sightings: DataFrame,
                  **stage_opts) -> dict[str, DataFrame]:
     """Normalise (and merge into ``store``), then audit and report.
 
-    With ``report_dir`` each report is also written as ``<report_dir>/query_N``,
-    one headed CSV file per report.
+    With ``report_dir`` each report is also written to the folder
+    ``<report_dir>/query_N`` as one headed CSV file (reports are a few rows per
+    park, area or activity).
     """
     t = normalize_survey(spark, normalize_headers(visits), normalize_headers(sightings),
                          store=store, **stage_opts)
     out = dict(t)
     out["audit"] = survey_audit(t)
-    reps = survey_reports(t)
+    reps = {name: survey_report(t, name) for name in REPORT_TABLES}
     out.update(reps)
     if report_dir is not None:
         for name, df in reps.items():
-            write_report(df, f"{report_dir.rstrip('/')}/{name}")
+            write_report(df, f"{report_dir.rstrip('/')}/{name}", single_file=True)
     return out
 
 
 def flagship(spark: SparkSession, d: str) -> DataFrame:
-    """The full pipeline on tables derived from ``d``; returns the Q5 report."""
+    """The full pipeline on tables derived from ``d``: runs the audit, returns the Q5 report."""
     visits, sightings = survey_inputs(spark, d)
-    return run_pipeline(spark, visits, sightings)["query_5"]
+    out = run_pipeline(spark, visits, sightings)
+    bad = out["audit"].where("violations > 0").collect()     # one row per rule at most
+    if bad:
+        raise ValueError(f"audit: {bad}")
+    return out["query_5"]

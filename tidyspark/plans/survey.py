@@ -1,4 +1,4 @@
-"""The park-visit / sighting survey normalised into 18 keyed tables, then reported.
+"""The park-visit / sighting survey normalised into keyed tables, then reported.
 
 Inputs are the two wide survey tables after header normalisation:
 
@@ -43,15 +43,17 @@ def stage_visits(visits: DataFrame, date_fmt: str = "M/d/yy", pivot_year: int |
     text = {c: (X.KEEP_TEXT, "", X.MISSING) for c in
             ["AreaName", "AreaID", "ParkName", "ParkConditions", "OtherAnimalSightings",
              "Litter", TW]}
-    v = X.clean_text(visits.withColumn("ParkID", F.col("ParkID").cast("string")), text)
+    # numbers are read before cleaning, which drops decimal points
+    numbers = {"TemperatureDegrees": P.extract_number(TW),
+               "StatedMinutes": F.col("TotalTimeinminutesifavailable").cast("string")}
+    v = X.clean_text(visits.withColumn("ParkID", F.col("ParkID").cast("string")).withColumns(numbers), text)
     v = v.withColumns({
         "Date": P.parse_date(F.trim("Date"), date_fmt, pivot_year),
         "StartTime": P.parse_time(F.trim("StartTime"), time_fmt),
         "EndTime": P.parse_time(F.trim("EndTime"), time_fmt),
     })
-    total = X.clean(F.col("TotalTimeinminutesifavailable").cast("string"))
     return v.withColumn("TotalTimeinminutesifavailable",
-                        P.fill_minutes(total, "StartTime", "EndTime"))
+                        P.fill_minutes("StatedMinutes", "StartTime", "EndTime")).drop("StatedMinutes")
 
 
 def stage_sightings(sightings: DataFrame) -> DataFrame:
@@ -67,22 +69,18 @@ def stage_sightings(sightings: DataFrame) -> DataFrame:
     }
     s = X.clean_text(sightings.withColumnsRenamed({LAT: "SquirrelLatitude",
                                                    LON: "SquirrelLongitude"}), spec)
-    rng = P.parse_range(F.regexp_replace(F.col("AboveGroundHeightinFeet").cast("string"),
-                                         X.KEEP_RANGE, ","))
+    height = F.regexp_replace(F.col("AboveGroundHeightinFeet").cast("string"), r"(\d)\.\d+", "$1")
+    rng = P.parse_range(F.regexp_replace(height, X.KEEP_RANGE, ","))
     return s.withColumns({
         "ParkID": P.split_hier_id("ParkID")["parent"],
         "MinHeightFeet": rng["min"], "MaxHeightFeet": rng["max"],
-        "SquirrelLatitude": F.col("SquirrelLatitude").cast("double"),
-        "SquirrelLongitude": F.col("SquirrelLongitude").cast("double"),
+        "SquirrelLatitude": F.col("SquirrelLatitude").try_cast("double"),
+        "SquirrelLongitude": F.col("SquirrelLongitude").try_cast("double"),
     })
 
 
 # -- keyed tables -----------------------------------------------------------------------
 
-VOCABULARIES = {"areas", "parkconditions", "parklitters", "animals", "weathers", "colors",
-                "locations", "activities", "interactions"}
-
-
 class _Keyer:
     """Fresh build (dense keys from 1) or merge into stored tables."""
 
@@ -93,13 +91,8 @@ class _Keyer:
                  columns=None) -> DataFrame:
         natural_key = list(natural_key)
         if self.store is None:
-            # distinct rows written once, then numbered (no copies to split)
-            out = dense_key(rows.distinct(), order_by or natural_key, key,
-                            materialize=self.cut, split_copies=False)
-            # facts and bridges are written once (joined back and reported on
-            # repeatedly); a vocabulary is re-read from its small written input
-            if self.cut and name not in VOCABULARIES:
-                out = materialize(out, f"survey-{name}")
+            # numbering leaves the rows written, in order: later passes read that file
+            out = dense_key(rows.distinct(), order_by or natural_key, key, materialize=self.cut)
         else:
             out = merge_into_path(self.spark, f"{self.store.rstrip('/')}/{name}", rows,
                                   natural_key, key, order_by)
@@ -107,44 +100,89 @@ class _Keyer:
 
 
 def _join_back(rows: DataFrame, table: DataFrame, natural_key, key: str) -> DataFrame:
-    """Attach the stored key to staged rows by NULL-safe match on the natural key."""
-    t = table.select(key, *[F.col(c).alias(f"__t_{c}") for c in natural_key])
-    cond = None
+    """Attach the stored key to staged rows by NULL-safe match on the natural key.
+
+    Rows meet on one hash of the natural key; its columns are compared after that.
+    """
+    t = table.select(key, F.xxhash64(*natural_key).alias("__t_hash"),
+                     *[F.col(c).alias(f"__t_{c}") for c in natural_key])
+    cond = F.xxhash64(*[rows[c] for c in natural_key]) == t["__t_hash"]
     for c in natural_key:
-        e = rows[c].eqNullSafe(t[f"__t_{c}"])
-        cond = e if cond is None else cond & e
-    return rows.join(t, cond, "left").drop(*[f"__t_{c}" for c in natural_key])
+        cond = cond & rows[c].eqNullSafe(t[f"__t_{c}"])
+    return rows.join(t, cond, "left").drop("__t_hash", *[f"__t_{c}" for c in natural_key])
+
+
+# table -> the tables that its rows refer to
+REFERS_TO = {
+    "areas": (), "parks": ("areas",), "parkvariants": ("areas",), "parksections": (),
+    "parkconditions": (), "parklitters": (), "animals": (), "weathers": (),
+    "parkstatus": ("parksections", "parkconditions", "parklitters"),
+    "parkstatuswheater": ("parkstatus", "weathers"), "parkstatusanimals": ("parkstatus", "animals"),
+    "colors": (), "locations": (), "activities": (), "interactions": (), "squirrels": ("colors",),
+    "squirrelhighlights": ("squirrels", "colors"),
+    "squirrelhumaninteractions": ("squirrels", "interactions"),
+    "squirrellocations": ("squirrels", "locations"), "squirrelactivities": ("squirrels", "activities"),
+}
+
+
+def _with_references(tables) -> set[str]:
+    found, left = set(), list(tables)
+    while left:
+        name = left.pop()
+        if name not in found:
+            found.add(name)
+            left += REFERS_TO[name]
+    return found
 
 
 def normalize_survey(spark: SparkSession, visits: DataFrame, sightings: DataFrame,
-                     store: str | None = None, cut_lineage: bool = True,
+                     store: str | None = None, cut_lineage: bool = True, only=None,
                      **stage_opts) -> dict[str, DataFrame]:
-    """Build the 18 tables. ``cut_lineage`` writes the staged inputs and each
-    keyed table once below the checkpoint folder, so the many passes that
-    number and join back read files instead of recomputing the staging."""
+    """Build the tables, or those of ``only`` and the ones they refer to.
+
+    ``cut_lineage`` writes the staged inputs and each keyed table once below
+    the checkpoint folder, so the passes that number and join back read files
+    instead of recomputing the staging."""
     key = _Keyer(spark, store, cut_lineage)
+    wanted = _with_references(REFERS_TO if only is None else only)
+    t: dict[str, DataFrame] = {}
+    if wanted & VISIT_TABLES:
+        _visit_tables(spark, visits, store, cut_lineage, key, wanted, t, **stage_opts)
+    if wanted & SIGHTING_TABLES:
+        _sighting_tables(sightings, cut_lineage, key, wanted, t)
+    return t
+
+
+SIGHTING_TABLES = {"colors", "locations", "activities", "interactions", "squirrels", "squirrelhighlights",
+                   "squirrelhumaninteractions", "squirrellocations", "squirrelactivities"}
+VISIT_TABLES = set(REFERS_TO) - SIGHTING_TABLES
+
+
+def _visit_tables(spark, visits, store, cut_lineage, key, wanted, t, **stage_opts) -> None:
     cut = (lambda df, label: materialize(df, f"survey-{label}")) if cut_lineage else \
         (lambda df, label: df)
     v = cut(stage_visits(visits, **stage_opts), "visits")
-    s = cut(stage_sightings(sightings), "sightings")
-    t: dict[str, DataFrame] = {}
+    hid = P.split_hier_id("ParkID")
 
     # areas, parks, sections (natural park IDs are kept)
-    t["areas"] = key("areas", v.select(F.col("AreaID").alias("Area_ID"), "AreaName"),
-                     ["AreaName", "Area_ID"], "AreaID", ["AreaName", "Area_ID"])
-    hid = P.split_hier_id("ParkID")
-    park_rows = (v.select(hid["parent"].alias("ParkID"), "AreaName", F.col("AreaID").alias("Area_ID"),
-                          P.strip_parens("ParkName").alias("ParkName"))
-                 .groupBy("ParkID").agg(F.min(F.struct("ParkName", "AreaName", "Area_ID")).alias("r"))
-                 .select("ParkID", "r.*"))
-    park_rows = _join_back(park_rows, t["areas"], ["AreaName", "Area_ID"], "AreaID")
-    park_rows = park_rows.select("ParkID", "AreaID", "ParkName")
-    t["parks"] = park_rows if store is None else merge_into_path(
-        spark, f"{store.rstrip('/')}/parks", park_rows, ["ParkID"], None)
-    sec = dims.extract_sections(v, "ParkID", "ParkName")
-    t["parksections"] = cut(sec, "parksections") if store is None else key(
-        "parksections", sec.drop("ParkSectionID"), ["ParkID", "SectionID", "ParkSectionName"],
-        "ParkSectionID")
+    if "areas" in wanted:
+        t["areas"] = key("areas", v.select(F.col("AreaID").alias("Area_ID"), "AreaName"),
+                         ["AreaName", "Area_ID"], "AreaID", ["AreaName", "Area_ID"])
+    if wanted & {"parks", "parkvariants"}:
+        named = v.select(hid["parent"].alias("ParkID"), "AreaName", F.col("AreaID").alias("Area_ID"),
+                         P.strip_parens("ParkName").alias("ParkName")).distinct()
+        named = _join_back(named, t["areas"], ["AreaName", "Area_ID"], "AreaID")
+        # every (name, area) seen for an ID; a park takes its smallest, the audit counts the others
+        variants = cut(named.select("ParkID", "AreaID", "ParkName", "AreaName", "Area_ID"), "parkvariants")
+        t["parkvariants"] = variants.select("ParkID", "AreaID", "ParkName")
+        park_rows = (variants.groupBy("ParkID")
+                     .agg(F.min(F.struct("ParkName", "AreaName", "Area_ID", "AreaID")).alias("r"))
+                     .select("ParkID", F.col("r.AreaID").alias("AreaID"), F.col("r.ParkName").alias("ParkName")))
+        t["parks"] = cut(park_rows, "parks") if store is None else merge_into_path(
+            spark, f"{store.rstrip('/')}/parks", park_rows, ["ParkID"], None)
+    if "parksections" in wanted:
+        t["parksections"] = key("parksections", dims.section_rows(v, "ParkID", "ParkName"),
+                                ["ParkID", "SectionID", "ParkSectionName"], "ParkSectionID")
 
     # single-valued vocabularies from the head of a "value, remark" cell
     cond = P.split_head_tail(X.strip_quotes("ParkConditions"))
@@ -153,22 +191,27 @@ def normalize_survey(spark: SparkSession, visits: DataFrame, sightings: DataFram
                        "ConditionsObs": cond["tail"],
                        "ParkLitter": X.missing_to(litter["head"]),
                        "LitterObs": litter["tail"]})
-    t["parkconditions"] = key("parkconditions",
-                              v.select(F.col("ParkCondition").alias("ParkConditionName")),
-                              ["ParkConditionName"], "ParkConditionID")
-    t["parklitters"] = key("parklitters", v.select(F.col("ParkLitter").alias("ParkLitterName")),
-                           ["ParkLitterName"], "ParkLitterID")
+    if "parkconditions" in wanted:
+        t["parkconditions"] = key("parkconditions",
+                                  v.select(F.col("ParkCondition").alias("ParkConditionName")),
+                                  ["ParkConditionName"], "ParkConditionID")
+    if "parklitters" in wanted:
+        t["parklitters"] = key("parklitters", v.select(F.col("ParkLitter").alias("ParkLitterName")),
+                               ["ParkLitterName"], "ParkLitterID")
 
     # multi-valued vocabularies: one parser for vocabulary and bridge
-    animal_items = F.transform(P.items_outside_parens("OtherAnimalSightings"),
-                               lambda x: P.split_note(x)["value"])
-    t["animals"] = key("animals", v.select(F.explode(animal_items).alias("AnimalName"))
-                       .where(F.col("AnimalName") != ""), ["AnimalName"], "AnimalID")
+    if "animals" in wanted:
+        animal_items = F.transform(P.items_outside_parens("OtherAnimalSightings"),
+                                   lambda x: P.split_note(x)["value"])
+        t["animals"] = key("animals", v.select(F.explode(animal_items).alias("AnimalName"))
+                           .where(F.col("AnimalName") != ""), ["AnimalName"], "AnimalID")
     weather = P.descriptors_after(TW)
-    v = v.withColumns({"WeatherItems": weather["items"], "WeatherObs": weather["clause"],
-                       "TemperatureDegrees": P.extract_number(TW)})
-    t["weathers"] = key("weathers", v.select(F.explode("WeatherItems").alias("WeatherName")),
-                        ["WeatherName"], "WeatherID")
+    v = v.withColumns({"WeatherItems": weather["items"], "WeatherObs": weather["clause"]})
+    if "weathers" in wanted:
+        t["weathers"] = key("weathers", v.select(F.explode("WeatherItems").alias("WeatherName")),
+                            ["WeatherName"], "WeatherID")
+    if "parkstatus" not in wanted:
+        return
 
     # visit fact: keyed once on its natural key
     # a visit belongs to the section named in its park name, matched on the
@@ -189,30 +232,40 @@ def normalize_survey(spark: SparkSession, visits: DataFrame, sightings: DataFram
     v = v.withColumns({"ParkID": F.col("__pid"),
                        "TotalTime": F.col("TotalTimeinminutesifavailable")})
     t["parkstatus"] = key("parkstatus", v.select(*status_cols), status_cols, "ParkStatusID")
-    v = cut(_join_back(v, t["parkstatus"], status_cols, "ParkStatusID"), "visits-keyed")
+    if not wanted & {"parkstatuswheater", "parkstatusanimals"}:
+        return
+    v = _join_back(v, t["parkstatus"], status_cols, "ParkStatusID")
+    v = cut(v.select("ParkStatusID", "WeatherItems", "WeatherObs", "OtherAnimalSightings"), "visits-keyed")
 
     # visit bridges
-    t["parkstatuswheater"] = key(
-        "parkstatuswheater",
-        facts.bridge_from_items(v, "ParkStatusID", F.col("WeatherItems"), t["weathers"],
-                                "WeatherName", "WeatherID", {"WeatherObs": F.col("WeatherObs")}),
-        ["ParkStatusID", "WeatherID", "WeatherObs"], "ParkStatusWheaterID")
-    t["parkstatusanimals"] = key(
-        "parkstatusanimals",
-        facts.bridge(v, "ParkStatusID", "OtherAnimalSightings", t["animals"], "AnimalName",
-                     "AnimalID", note="ParkStatusAnimalObs"),
-        ["ParkStatusID", "AnimalID", "ParkStatusAnimalObs"], "ParkStatusAnimalID")
-
-    # sighting vocabularies
-    t["colors"] = key("colors", _items(s, ["PrimaryFurColor", "HighlightsinFurColor"], "ColorName"),
-                      ["ColorName"], "ColorID")
-    t["locations"] = key("locations", _items(s, ["Location"], "LocationName"),
-                         ["LocationName"], "LocationID")
-    t["activities"] = key("activities", _items(s, ["Activities"], "ActivityName"),
-                          ["ActivityName"], "ActivityID")
-    t["interactions"] = key("interactions", _items(s, ["InteractionswithHumans"],
-                                                   "InteractionName"),
-                            ["InteractionName"], "InteractionID")
+    if "parkstatuswheater" in wanted:
+        t["parkstatuswheater"] = key(
+            "parkstatuswheater",
+            facts.bridge_from_items(v, "ParkStatusID", F.col("WeatherItems"), t["weathers"],
+                                    "WeatherName", "WeatherID", {"WeatherObs": F.col("WeatherObs")}),
+            ["ParkStatusID", "WeatherID", "WeatherObs"], "ParkStatusWheaterID")
+    if "parkstatusanimals" in wanted:
+        t["parkstatusanimals"] = key(
+            "parkstatusanimals",
+            facts.bridge(v, "ParkStatusID", "OtherAnimalSightings", t["animals"], "AnimalName",
+                         "AnimalID", note="ParkStatusAnimalObs"),
+            ["ParkStatusID", "AnimalID", "ParkStatusAnimalObs"], "ParkStatusAnimalID")
+
+
+def _sighting_tables(sightings, cut_lineage, key, wanted, t) -> None:
+    cut = (lambda df, label: materialize(df, f"survey-{label}")) if cut_lineage else \
+        (lambda df, label: df)
+    s = cut(stage_sightings(sightings), "sightings")
+    for name, cols, value, id_ in [
+        ("colors", ["PrimaryFurColor", "HighlightsinFurColor"], "ColorName", "ColorID"),
+        ("locations", ["Location"], "LocationName", "LocationID"),
+        ("activities", ["Activities"], "ActivityName", "ActivityID"),
+        ("interactions", ["InteractionswithHumans"], "InteractionName", "InteractionID"),
+    ]:
+        if name in wanted:
+            t[name] = key(name, _items(s, cols, value), [value], id_)
+    if "squirrels" not in wanted:
+        return
 
     # sighting fact: primary colour and first highlight are two roles of one vocabulary
     first_highlight = F.get(P.items_outside_parens("HighlightsinFurColor"), 0)
@@ -231,25 +284,29 @@ def normalize_survey(spark: SparkSession, visits: DataFrame, sightings: DataFram
                "SquirrelLatitude", "SquirrelLongitude", "SquirrelMinHeightFeet",
                "SquirrelMaxHeightFeet"]
     t["squirrels"] = key("squirrels", s.select(*sq_cols), sq_cols, "SquirrelDataID")
-    s = cut(_join_back(s, t["squirrels"], sq_cols, "SquirrelDataID"), "sightings-keyed")
-
-    # sighting bridges
-    for name, col, dim, dname, dkey, note in [
+    bridges = [(name, *rest) for name, *rest in [
+        ("squirrelhighlights", "HighlightsinFurColor", "colors", "ColorName", "ColorID",
+         "SquirrelHighlightObs"),
         ("squirrelhumaninteractions", "InteractionswithHumans", "interactions",
          "InteractionName", "InteractionID", "SquirrelHumanInteractionObs"),
         ("squirrellocations", "Location", "locations", "LocationName", "LocationID",
          "SquirrelLocationObs"),
         ("squirrelactivities", "Activities", "activities", "ActivityName", "ActivityID",
          "SquirrelActivityObs"),
-    ]:
+    ] if name in wanted]
+    if not bridges:
+        return
+    s = _join_back(s, t["squirrels"], sq_cols, "SquirrelDataID")
+    s = cut(s.select("SquirrelDataID", *[col for _, col, *_ in bridges]), "sightings-keyed")
+    for name, col, dim, dname, dkey, note in bridges:
         rows = facts.bridge(s, "SquirrelDataID", col, t[dim], dname, dkey, note=note)
         t[name] = key(name, rows, ["SquirrelDataID", dkey, note],
                       _bridge_key_name(name))
-    return t
 
 
 def _bridge_key_name(table: str) -> str:
-    return {"squirrelhumaninteractions": "SquirrelHumanInteractionID",
+    return {"squirrelhighlights": "SquirrelHighlightID",
+            "squirrelhumaninteractions": "SquirrelHumanInteractionID",
             "squirrellocations": "SquirrelLocationID",
             "squirrelactivities": "SquirrelActivityID"}[table]
 
@@ -266,6 +323,9 @@ SPECS = [
     TableSpec("areas", primary_key=("AreaID",), not_null=("AreaID", "AreaName")),
     TableSpec("parks", primary_key=("ParkID",), not_null=("ParkID", "ParkName"),
               foreign_keys=(fk("AreaID", "areas"),)),
+    TableSpec("parkvariants", primary_key=("ParkID",), not_null=("ParkID",)),
+    TableSpec("squirrelhighlights", primary_key=("SquirrelHighlightID",),
+              foreign_keys=(fk("SquirrelDataID", "squirrels"), fk("ColorID", "colors"))),
     TableSpec("parksections", primary_key=("ParkSectionID",),
               foreign_keys=(fk("ParkID", "parks"),)),
     TableSpec("parkstatus", primary_key=("ParkStatusID",), not_null=("ParkID", "Date"),
@@ -299,32 +359,58 @@ def survey_audit(t: dict[str, DataFrame]) -> DataFrame:
     return audit(t, SPECS)
 
 
+REPORT_TABLES = {
+    "query_1": ("squirrels", "parks"), "query_2": ("squirrels", "parks", "areas"),
+    "query_3": ("parkstatusanimals", "parkstatus", "animals", "parks"),
+    "query_4": ("squirrelactivities", "activities"), "query_5": ("squirrels", "parks", "colors"),
+}
+
+
 def survey_reports(t: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """The five reports, columns named as in the surveyed result files."""
+    return {name: survey_report(t, name) for name in REPORT_TABLES}
+
+
+def survey_report(t: dict[str, DataFrame], name: str) -> DataFrame:
+    """One report; ``t`` needs the tables of ``REPORT_TABLES[name]``."""
+    return {"query_1": _report_1, "query_2": _report_2, "query_3": _report_3, "query_4": _report_4,
+            "query_5": _report_5}[name](t)
+
+
+def _report_1(t: dict[str, DataFrame]) -> DataFrame:
     q1 = reports.count_distinct_by(t["squirrels"], "ParkID", "SquirrelID", "qty_squirrel",
                                    t["parks"], "ParkID", ["ParkName"])
+    return q1.orderBy(F.asc_nulls_last("ParkID"))
+
+
+def _report_2(t: dict[str, DataFrame]) -> DataFrame:
     q2 = reports.count_distinct_by_parent(t["squirrels"], "ParkID", "SquirrelID", t["parks"],
                                           "ParkID", "AreaID", "qty_squirrel", t["areas"],
                                           "AreaID", ["AreaName"])
+    return q2.orderBy(F.asc_nulls_last("AreaID"))
+
+
+def _report_3(t: dict[str, DataFrame]) -> DataFrame:
     q3 = reports.count_bridge(t["parkstatusanimals"], "ParkStatusID", "AnimalID",
                               t["parkstatus"], "ParkStatusID", "ParkID", "Total",
                               t["animals"], "AnimalID", ["AnimalName"], t["parks"], "ParkID",
                               ["ParkName"])
+    return (q3.orderBy(F.asc_nulls_last("ParkID"), F.asc_nulls_last("AnimalName"))
+            .select("ParkName", "AnimalName", "Total"))
+
+
+def _report_4(t: dict[str, DataFrame]) -> DataFrame:
     q4 = reports.rank_by_frequency(t["squirrelactivities"], "ActivityID", t["activities"],
                                    "ActivityID", "ActivityName", "Top", "TopActivities")
+    return q4.orderBy("Top")
+
+
+def _report_5(t: dict[str, DataFrame]) -> DataFrame:
     q5 = reports.count_by_attribute(t["squirrels"], "ParkID", "SquirrelPrimFurColorID", "Total",
                                     t["parks"], "ParkID", ["ParkName"], t["colors"], "ColorID",
                                     ["ColorName"], keep_attr_key=False)
-    return {
-        "query_1": q1.orderBy(F.asc_nulls_last("ParkID")),
-        "query_2": q2.orderBy(F.asc_nulls_last("AreaID")),
-        "query_3": q3.orderBy(F.asc_nulls_last("ParkID"), F.asc_nulls_last("AnimalName"))
-                     .select("ParkName", "AnimalName", "Total"),
-        "query_4": q4.orderBy("Top"),
-        "query_5": q5.withColumnRenamed("ColorName", "PrimaryFurColors")
-                     .orderBy(F.asc_nulls_last("ParkID"), "Total",
-                              F.asc_nulls_last("PrimaryFurColors")),
-    }
+    return (q5.withColumnRenamed("ColorName", "PrimaryFurColors")
+            .orderBy(F.asc_nulls_last("ParkID"), "Total", F.asc_nulls_last("PrimaryFurColors")))
 
 
 def register_views(tables: dict[str, DataFrame], prefix: str = "") -> None:
