@@ -786,9 +786,10 @@ AUDIT_SPECS = [
 
 
 @register("audit", """
-WITH o AS (SELECT * FROM orders WHERE o_orderstatus <> 'F'),
-c AS (SELECT c_custkey, c_name, nullif(c_mktsegment, 'FURNITURE') AS c_mktsegment FROM customer
-      WHERE c_nationkey <> 3),
+WITH o AS (SELECT * REPLACE (CASE WHEN o_orderstatus = 'F' THEN -o_orderkey - 1 ELSE o_orderkey END AS o_orderkey)
+           FROM orders),
+c AS (SELECT CASE WHEN c_nationkey = 3 THEN -c_custkey - 1 ELSE c_custkey END AS c_custkey, c_name,
+             nullif(c_mktsegment, 'FURNITURE') AS c_mktsegment FROM customer),
 l AS (SELECT * FROM lineitem)
 SELECT 'orders' AS table_name, 'primary_key_duplicates' AS check_name,
        'o_orderkey' AS column_name,
@@ -825,9 +826,11 @@ UNION ALL SELECT 'part', 'primary_key_duplicates', 'p_partkey',
 """)
 def audit_tables(spark, d):
     tables = {
-        "orders": load(spark, d, "orders").where(F.col("o_orderstatus") != "F"),
-        "customer": load(spark, d, "customer").where(F.col("c_nationkey") != 3).select(
-            "c_custkey", "c_name",
+        "orders": load(spark, d, "orders").withColumn("o_orderkey", F.when(
+            F.col("o_orderstatus") == "F", -F.col("o_orderkey") - 1).otherwise(F.col("o_orderkey"))),
+        "customer": load(spark, d, "customer").select(
+            F.when(F.col("c_nationkey") == 3, -F.col("c_custkey") - 1).otherwise(F.col("c_custkey")).alias("c_custkey"),
+            "c_name",
             F.nullif("c_mktsegment", F.lit("FURNITURE")).alias("c_mktsegment")),
         "lineitem": load(spark, d, "lineitem"),
         "part": load(spark, d, "part"),
@@ -883,7 +886,7 @@ def clean_conversations(spark, d):
 
 
 @register("audit_labels", """
-WITH d AS (SELECT * FROM documents WHERE lang <> 'de')
+WITH d AS (SELECT CASE WHEN lang = 'de' THEN -doc_id - 1 ELSE doc_id END AS doc_id FROM documents)
 SELECT 'labels' AS table_name, 'primary_key_duplicates' AS check_name, 'doc_id' AS column_name,
        coalesce((SELECT sum(n) FROM (SELECT count(*) AS n FROM labels GROUP BY doc_id
                                      HAVING count(*) > 1)), 0) AS violations
@@ -895,7 +898,8 @@ UNION ALL SELECT 'labels', 'foreign_key_orphans', 'doc_id',
 """)
 def audit_labels(spark, d):
     tables = {"labels": load(spark, d, "labels"),
-              "documents": load(spark, d, "documents").where(F.col("lang") != "de")}
+              "documents": load(spark, d, "documents").select(
+                  F.when(F.col("lang") == "de", -F.col("doc_id") - 1).otherwise(F.col("doc_id")).alias("doc_id"))}
     spec = TableSpec("labels", primary_key=("doc_id",), not_null=("quality", "toxic"),
                      foreign_keys=(fk("doc_id", "documents"),))
     return audit(tables, [spec])
@@ -1062,13 +1066,177 @@ def pipeline_q5(spark, d):
     return _report(spark, d, "query_5")
 
 
-@register("pipeline_audit", None)
+# -- every table of the pipeline, keys included ----------------------------------------------
+
+_INITCAP = "array_to_string(list_transform(string_split(lower({0}), ' '), lambda w: upper(left(w, 1)) || substr(w, 2)), ' ')"
+_CLEAN = "regexp_replace({0}, '[^a-zA-Z0-9 \\t\\n\\r\\f#(),:]', '', 'g')"
+
+_SURVEY_SQL = f"""
+WITH v0 AS (
+  SELECT o.*, c.c_mktsegment, n.n_nationkey, n.n_name, r.r_name, o.o_orderstatus = 'P' AS sectioned,
+         o.o_orderdate + to_hours(CAST(12 + o.o_custkey % 11 AS BIGINT))
+                       + to_minutes(CAST(o.o_orderkey % 60 AS BIGINT)) AS st,
+         CAST(o.o_orderkey % 90 + 10 AS BIGINT) AS mins
+  FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey
+  LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey LEFT JOIN region r ON n.n_regionkey = r.r_regionkey),
+v AS (
+  SELECT n_nationkey AS ParkID, upper(r_name) AS AreaName, left(r_name, 1) AS Area_ID,
+         {_CLEAN.format(_INITCAP.format("n_name"))} || ' Park' AS ParkName,
+         CASE WHEN sectioned THEN CAST(left(o_orderpriority, 1) AS BIGINT) END AS SectionID,
+         CASE WHEN sectioned THEN {_INITCAP.format("substr(o_orderpriority, 3, 20)")} END AS ParkSectionName,
+         CAST(o_orderdate AS DATE) AS "Date", strftime(st, '%H:%M:%S') AS StartTime,
+         strftime(st + to_minutes(mins), '%H:%M:%S') AS EndTime, CAST(mins AS INTEGER) AS TotalTime,
+         CASE WHEN o_orderpriority LIKE '1%' THEN 'Full' WHEN o_orderpriority LIKE '2%' THEN 'Lovely  warden'
+              ELSE substr(o_orderpriority, 3) END AS ParkConditionName,
+         CASE WHEN o_orderpriority LIKE '1%' THEN lower(c_mktsegment) || ' outing' ELSE '' END AS ConditionsObs,
+         CASE WHEN o_orderstatus = 'O' THEN 'Little' WHEN o_orderstatus = 'F' THEN 'ND' ELSE 'Nothing' END
+           AS ParkLitterName,
+         CASE WHEN o_orderstatus = 'O' THEN 'near the gate' ELSE '' END AS LitterObs,
+         CASE WHEN o_orderpriority NOT LIKE '5%' THEN CAST(o_orderkey % 40 + 30 AS INTEGER) END AS TemperatureDegrees,
+         CASE WHEN o_orderpriority LIKE '5%' THEN ['damp', 'dim'] WHEN o_orderpriority LIKE '4%' THEN ['ND']
+              ELSE [lower(o_orderstatus), 'misty', 'hazy'] END AS weathers,
+         CASE WHEN o_orderpriority LIKE '5%' THEN '' WHEN o_orderpriority LIKE '4%' THEN 'but hazy'
+              ELSE 'with showers' END AS WeatherObs,
+         [struct_pack(item := 'Geese', note := ''),
+          struct_pack(item := {_INITCAP.format("c_mktsegment")}, note := (o_custkey % 4) || ', asleep'),
+          struct_pack(item := {_CLEAN.format(_INITCAP.format("n_name"))} || ' Birds', note := '')] AS animals
+  FROM v0),
+s AS (
+  SELECT 'S-' || l.l_partkey AS SquirrelID, s.s_nationkey AS ParkID, {_INITCAP.format("p.p_type")} AS prim,
+         list_transform(string_split(p.p_name, ' '), lambda w: upper(left(w, 1)) || lower(substr(w, 2))) AS words,
+         p.p_brand AS SquirrelColorNotes, 'ND' AS SquirrelSpecificLocation, 'ND' AS SquirrelObservations,
+         40.7 + l.l_extendedprice / 1e6 AS SquirrelLatitude, -73.9 - l.l_discount AS SquirrelLongitude,
+         CASE WHEN l.l_returnflag = 'R' THEN 0 WHEN l.l_returnflag = 'A' THEN p.p_size END AS SquirrelMinHeightFeet,
+         CASE WHEN l.l_returnflag = 'R' THEN p.p_size WHEN l.l_returnflag = 'A' THEN p.p_size + 5 END
+           AS SquirrelMaxHeightFeet,
+         CASE WHEN l.l_linestatus = 'O' THEN 'Low Wall' ELSE 'Up High' END AS place,
+         CASE WHEN l.l_linestatus = 'O' THEN '' ELSE 'roof, gutter' END AS place_note,
+         CASE WHEN l.l_discount > 0.05 THEN ['Curious', 'Begs'] ELSE ['Flees'] END AS meets,
+         CAST(CAST(l.l_quantity AS INTEGER) AS VARCHAR) AS qty
+  FROM lineitem l LEFT JOIN part p ON l.l_partkey = p.p_partkey LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey),
+areas AS (SELECT row_number() OVER (ORDER BY AreaName, Area_ID) AS AreaID, AreaName, Area_ID
+          FROM (SELECT DISTINCT AreaName, Area_ID FROM v)),
+parks AS (SELECT DISTINCT v.ParkID, a.AreaID, v.ParkName FROM v JOIN areas a USING (AreaName, Area_ID)),
+parksections AS (
+  SELECT row_number() OVER (ORDER BY ParkID, SectionID, ParkSectionName) AS ParkSectionID, *
+  FROM (SELECT DISTINCT ParkID, SectionID, ParkSectionName FROM v WHERE ParkSectionName IS NOT NULL)),
+parkconditions AS (SELECT row_number() OVER (ORDER BY ParkConditionName) AS ParkConditionID, ParkConditionName
+                   FROM (SELECT DISTINCT ParkConditionName FROM v)),
+parklitters AS (SELECT row_number() OVER (ORDER BY ParkLitterName) AS ParkLitterID, ParkLitterName
+                FROM (SELECT DISTINCT ParkLitterName FROM v)),
+animals AS (SELECT row_number() OVER (ORDER BY AnimalName) AS AnimalID, AnimalName
+            FROM (SELECT DISTINCT a.item AS AnimalName FROM (SELECT unnest(animals) AS a FROM v))),
+weathers AS (SELECT row_number() OVER (ORDER BY WeatherName) AS WeatherID, WeatherName
+             FROM (SELECT DISTINCT unnest(weathers) AS WeatherName FROM v)),
+status_rows AS (
+  SELECT v.*, p.ParkSectionID, c.ParkConditionID, l.ParkLitterID FROM v
+  LEFT JOIN parksections p ON p.ParkID = v.ParkID AND p.SectionID = v.SectionID
+                          AND p.ParkSectionName = v.ParkSectionName
+  JOIN parkconditions c USING (ParkConditionName) JOIN parklitters l USING (ParkLitterName)),
+numbered_status AS (
+  SELECT *, dense_rank() OVER (ORDER BY ParkID NULLS FIRST, ParkSectionID NULLS FIRST, "Date" NULLS FIRST, StartTime,
+                               EndTime, TotalTime, ParkConditionID, ConditionsObs, ParkLitterID, LitterObs,
+                               TemperatureDegrees NULLS FIRST) AS ParkStatusID
+  FROM status_rows),
+parkstatus AS (
+  SELECT DISTINCT ParkStatusID, ParkID, ParkSectionID, "Date", StartTime, EndTime, TotalTime, ParkConditionID,
+         ConditionsObs, ParkLitterID, LitterObs, TemperatureDegrees FROM numbered_status),
+parkstatuswheater AS (
+  SELECT row_number() OVER (ORDER BY ParkStatusID, WeatherID, WeatherObs) AS ParkStatusWheaterID, *
+  FROM (SELECT DISTINCT ParkStatusID, WeatherID, WeatherObs
+        FROM (SELECT ParkStatusID, WeatherObs, unnest(weathers) AS WeatherName FROM numbered_status)
+        JOIN weathers USING (WeatherName))),
+parkstatusanimals AS (
+  SELECT row_number() OVER (ORDER BY ParkStatusID, AnimalID, ParkStatusAnimalObs) AS ParkStatusAnimalID, *
+  FROM (SELECT DISTINCT ParkStatusID, AnimalID, a.note AS ParkStatusAnimalObs
+        FROM (SELECT ParkStatusID, unnest(animals) AS a FROM numbered_status) JOIN animals ON AnimalName = a.item)),
+colors AS (SELECT row_number() OVER (ORDER BY ColorName) AS ColorID, ColorName
+           FROM (SELECT prim AS ColorName FROM s UNION SELECT unnest(words) FROM s)),
+locations AS (SELECT row_number() OVER (ORDER BY LocationName) AS LocationID, LocationName
+              FROM (SELECT DISTINCT place AS LocationName FROM s)),
+activities AS (SELECT row_number() OVER (ORDER BY ActivityName) AS ActivityID, ActivityName
+               FROM (SELECT DISTINCT unnest(words) AS ActivityName FROM s)),
+interactions AS (SELECT row_number() OVER (ORDER BY InteractionName) AS InteractionID, InteractionName
+                 FROM (SELECT DISTINCT unnest(meets) AS InteractionName FROM s)),
+numbered_sights AS (
+  SELECT s.*, c1.ColorID AS SquirrelPrimFurColorID, c2.ColorID AS SquirrelHighFurColorID,
+         dense_rank() OVER (ORDER BY SquirrelID, ParkID NULLS FIRST, c1.ColorID, c2.ColorID, SquirrelColorNotes,
+                            SquirrelSpecificLocation, SquirrelObservations, SquirrelLatitude, SquirrelLongitude,
+                            SquirrelMinHeightFeet NULLS FIRST, SquirrelMaxHeightFeet NULLS FIRST) AS SquirrelDataID
+  FROM s JOIN colors c1 ON c1.ColorName = s.prim JOIN colors c2 ON c2.ColorName = s.words[1]),
+squirrels AS (
+  SELECT DISTINCT SquirrelDataID, SquirrelID, ParkID, SquirrelPrimFurColorID, SquirrelHighFurColorID,
+         SquirrelColorNotes, SquirrelSpecificLocation, SquirrelObservations, SquirrelLatitude, SquirrelLongitude,
+         SquirrelMinHeightFeet, SquirrelMaxHeightFeet FROM numbered_sights),
+squirrelhighlights AS (
+  SELECT row_number() OVER (ORDER BY SquirrelDataID, ColorID) AS SquirrelHighlightID, *
+  FROM (SELECT DISTINCT SquirrelDataID, ColorID, '' AS SquirrelHighlightObs
+        FROM (SELECT SquirrelDataID, unnest(words) AS ColorName FROM numbered_sights) JOIN colors USING (ColorName))),
+squirrelactivities AS (
+  SELECT row_number() OVER (ORDER BY SquirrelDataID, ActivityID, SquirrelActivityObs) AS SquirrelActivityID, *
+  FROM (SELECT DISTINCT SquirrelDataID, ActivityID,
+               CASE WHEN i = len(words) THEN qty ELSE '' END AS SquirrelActivityObs
+        FROM (SELECT *, unnest(range(1, len(words) + 1)) AS i FROM numbered_sights)
+        JOIN activities ON ActivityName = words[i])),
+squirrellocations AS (
+  SELECT row_number() OVER (ORDER BY SquirrelDataID, LocationID, SquirrelLocationObs) AS SquirrelLocationID, *
+  FROM (SELECT DISTINCT SquirrelDataID, LocationID, place_note AS SquirrelLocationObs
+        FROM numbered_sights JOIN locations ON LocationName = place)),
+squirrelhumaninteractions AS (
+  SELECT row_number() OVER (ORDER BY SquirrelDataID, InteractionID) AS SquirrelHumanInteractionID, *
+  FROM (SELECT DISTINCT SquirrelDataID, InteractionID, '' AS SquirrelHumanInteractionObs
+        FROM (SELECT SquirrelDataID, unnest(meets) AS InteractionName FROM numbered_sights)
+        JOIN interactions USING (InteractionName)))
+"""
+
+for _name in ["areas", "parks", "parksections", "parkconditions", "parklitters", "animals", "weathers", "parkstatus",
+              "parkstatuswheater", "parkstatusanimals", "colors", "locations", "activities", "interactions",
+              "squirrels", "squirrelhighlights", "squirrelactivities", "squirrellocations",
+              "squirrelhumaninteractions"]:
+    register(f"pipeline_{_name}", f"{_SURVEY_SQL}SELECT * FROM {_name}")(
+        lambda spark, d, name=_name: _tables(spark, d, {name})[name])
+
+
+_AUDITED = ["parkstatus", "squirrels", "parksections", "areas", "parks", "colors", "parkconditions", "parklitters"]
+
+
+@register("pipeline_audit", f"""{_SURVEY_SQL},
+k AS (SELECT * FROM parks WHERE ParkID % 5 <> 3), c AS (SELECT * FROM colors WHERE ColorID % 4 <> 2)
+SELECT * FROM (
+  SELECT 'parks' AS table_name, 'foreign_key_orphans' AS check_name, 'AreaID' AS column_name, 0 AS violations
+  UNION ALL SELECT 'parks', 'primary_key_duplicates', 'ParkID', 0
+  UNION ALL SELECT 'parkstatus', 'foreign_key_orphans', 'ParkID',
+    (SELECT count(*) FROM parkstatus WHERE ParkID NOT IN (SELECT ParkID FROM k))
+  UNION ALL SELECT 'squirrels', 'foreign_key_orphans', 'ParkID',
+    (SELECT count(*) FROM squirrels WHERE ParkID NOT IN (SELECT ParkID FROM k))
+  UNION ALL SELECT 'parksections', 'foreign_key_orphans', 'ParkID',
+    (SELECT count(*) FROM parksections WHERE ParkID NOT IN (SELECT ParkID FROM k))
+  UNION ALL SELECT 'squirrels', 'foreign_key_orphans', 'SquirrelPrimFurColorID',
+    (SELECT count(*) FROM squirrels WHERE SquirrelPrimFurColorID NOT IN (SELECT ColorID FROM c))
+  UNION ALL SELECT 'squirrels', 'foreign_key_orphans', 'SquirrelHighFurColorID',
+    (SELECT count(*) FROM squirrels WHERE SquirrelHighFurColorID NOT IN (SELECT ColorID FROM c))
+  UNION ALL SELECT 'squirrels', 'not_null', 'SquirrelMinHeightFeet',
+    (SELECT count(*) FROM squirrels WHERE SquirrelMinHeightFeet IS NULL)
+  UNION ALL SELECT 'parkstatus', 'max_length', 'LitterObs',
+    (SELECT count(*) FROM parkstatus WHERE length(LitterObs) > 10))
+""")
 def pipeline_audit(spark, d):
-    from tidyspark.plans.survey import survey_audit
-    return survey_audit(_tables(spark, d))
+    """The audit over the pipeline's tables with every fifth park key and every fourth colour key changed."""
+    t = _tables(spark, d, _AUDITED)
+    moved = dict(t, parks=t["parks"].withColumn(
+                     "ParkID", F.when(F.col("ParkID") % 5 == 3, -F.col("ParkID")).otherwise(F.col("ParkID"))),
+                 colors=t["colors"].withColumn(
+                     "ColorID", F.when(F.col("ColorID") % 4 == 2, -F.col("ColorID")).otherwise(F.col("ColorID"))))
+    return audit(moved, [
+        TableSpec("parks", primary_key=("ParkID",), foreign_keys=(fk("AreaID", "areas"),)),
+        TableSpec("parksections", foreign_keys=(fk("ParkID", "parks"),)),
+        TableSpec("parkstatus", foreign_keys=(fk("ParkID", "parks"),), max_length={"LitterObs": 10}),
+        TableSpec("squirrels", not_null=("SquirrelMinHeightFeet",), foreign_keys=(
+            fk("ParkID", "parks"), fk("SquirrelPrimFurColorID", "colors", "ColorID"),
+            fk("SquirrelHighFurColorID", "colors", "ColorID")))])
 
 
 # DuckDB sums BIGINT counts into HUGEINT; the audit reports counts as BIGINT
-for _name in ("audit", "audit_labels"):
+for _name in ("audit", "audit_labels", "pipeline_audit"):
     ORACLE[_name] = ("SELECT table_name, check_name, column_name, "
                      "CAST(violations AS BIGINT) AS violations FROM (" + ORACLE[_name] + ")")
