@@ -1,6 +1,7 @@
 """Driver contract: entry runs, every query has a callable, oracle keys are queries."""
 
 import __spark_entry__ as entry
+from tidyspark.plans.catalog import ORACLE
 
 
 def test_entry_smoke(spark):
@@ -38,12 +39,25 @@ def test_column_types_match_oracle(spark):
     con = oracle_check.duck("/root/testdata/sf0.001")
     duck_to_spark = {"INTEGER": "int", "BIGINT": "bigint", "VARCHAR": "string",
                      "DOUBLE": "double", "DATE": "date", "TIMESTAMP": "timestamp_ntz"}
-    qs, oracle = entry.queries(), entry.oracle_sql()
-    for name in oracle:
+    qs = entry.queries()
+    for name in ORACLE:
         if name.startswith("pipeline"):
             continue
         got = {f.name: f.dataType.simpleString()
                for f in qs[name](spark, "/root/testdata/sf0.001").schema.fields}
-        res = con.sql(oracle[name])
+        res = con.sql(ORACLE[name])
         want = {c: duck_to_spark.get(str(t), str(t)) for c, t in zip(res.columns, res.types)}
         assert got == want, name
+
+
+def test_entry_works_without_the_llm_folders(tmp_path):
+    import os
+    import shutil
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.abspath(entry.__file__))
+    shutil.copytree(os.path.join(root, "tidyspark"), tmp_path / "tidyspark", ignore=shutil.ignore_patterns("llm"))
+    shutil.copy(os.path.join(root, "__spark_entry__.py"), tmp_path)
+    code = "import __spark_entry__ as e; q = e.queries(); assert len(q) > 40 and 'pipeline' not in q, q"
+    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True,
+                   env={k: v for k, v in os.environ.items() if k != "PYTHONPATH"})

@@ -5,15 +5,16 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SF001
+from tidyspark.plans.catalog import QUERIES
 
 PYTHON_NODES = ("PythonUDF", "BatchEvalPython", "ArrowEvalPython", "MapInPandas",
                 "FlatMapGroupsInPandas")
 PAIR_NODES = ("CartesianProduct", "BroadcastNestedLoopJoin")
-SKIP = {"pipeline_q1", "pipeline_q2", "pipeline_q3", "pipeline_q4", "pipeline_q5",
-        "pipeline_audit", "csv_roundtrip", "parquet_roundtrip"}
+SKIP = {"csv_roundtrip", "parquet_roundtrip"}
+NAMES = sorted(n for n in set(QUERIES) - SKIP if not n.startswith("pipeline_"))
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - SKIP))
+@pytest.mark.parametrize("name", NAMES)
 def test_query_plan(spark, name):
     df = entry.queries()[name](spark, SF001)
     plan = df._jdf.queryExecution().executedPlan().toString()

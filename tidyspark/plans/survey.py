@@ -21,6 +21,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidyspark.functions import parse as P
 from tidyspark.functions import text as X
@@ -95,7 +96,7 @@ class _Keyer:
             out = dense_key(rows.distinct(), order_by or natural_key, key, materialize=self.cut)
         else:
             out = merge_into_path(self.spark, f"{self.store.rstrip('/')}/{name}", rows,
-                                  natural_key, key, order_by)
+                                  natural_key, key, order_by, schema=SCHEMAS[name])
         return out.select(*(columns or [key, *rows.columns]))
 
 
@@ -179,7 +180,8 @@ def _visit_tables(spark, visits, store, cut_lineage, key, wanted, t, **stage_opt
                      .agg(F.min(F.struct("ParkName", "AreaName", "Area_ID", "AreaID")).alias("r"))
                      .select("ParkID", F.col("r.AreaID").alias("AreaID"), F.col("r.ParkName").alias("ParkName")))
         t["parks"] = cut(park_rows, "parks") if store is None else merge_into_path(
-            spark, f"{store.rstrip('/')}/parks", park_rows, ["ParkID"], None)
+            spark, f"{store.rstrip('/')}/parks", park_rows, ["ParkID"], None,
+            schema=SCHEMAS["parks"])
     if "parksections" in wanted:
         t["parksections"] = key("parksections", dims.section_rows(v, "ParkID", "ParkName"),
                                 ["ParkID", "SectionID", "ParkSectionName"], "ParkSectionID")
@@ -319,40 +321,68 @@ def _items(df: DataFrame, cols, name: str) -> DataFrame:
 
 # -- contracts, audit, reports -------------------------------------------------------------
 
+_TYPES = {"bigint": T.LongType(), "int": T.IntegerType(), "double": T.DoubleType(), "date": T.DateType(),
+          "string": T.StringType()}
+
+
+def _spec(name: str, ddl: str, required=(), lengths=None, refs=()) -> TableSpec:
+    """A contract from "name type, ..." whose first column is the primary key."""
+    schema = T.StructType([T.StructField(column, _TYPES[kind]) for column, kind in map(str.split, ddl.split(", "))])
+    key = schema.fields[0].name
+    return TableSpec(name, schema=schema, primary_key=(key,), not_null=(key, *required),
+                     max_length=lengths or {}, foreign_keys=tuple(refs))
+
+
+def _vocabulary(name: str, key: str, column: str, length: int = 50) -> TableSpec:
+    return _spec(name, f"{key} bigint, {column} string", (column,), {column: length})
+
+
+def _bridge(name: str, key: str, fact: str, item: str, note: str, fact_table: str, item_table: str) -> TableSpec:
+    return _spec(name, f"{key} bigint, {fact} bigint, {item} bigint, {note} string", (), {note: 250},
+                 (fk(fact, fact_table), fk(item, item_table)))
+
+
+# the lengths and required columns are fixed values of the declared schema
 SPECS = [
-    TableSpec("areas", primary_key=("AreaID",), not_null=("AreaID", "AreaName")),
-    TableSpec("parks", primary_key=("ParkID",), not_null=("ParkID", "ParkName"),
-              foreign_keys=(fk("AreaID", "areas"),)),
-    TableSpec("parkvariants", primary_key=("ParkID",), not_null=("ParkID",)),
-    TableSpec("squirrelhighlights", primary_key=("SquirrelHighlightID",),
-              foreign_keys=(fk("SquirrelDataID", "squirrels"), fk("ColorID", "colors"))),
-    TableSpec("parksections", primary_key=("ParkSectionID",),
-              foreign_keys=(fk("ParkID", "parks"),)),
-    TableSpec("parkstatus", primary_key=("ParkStatusID",), not_null=("ParkID", "Date"),
-              foreign_keys=(fk("ParkID", "parks"), fk("ParkSectionID", "parksections"),
-                            fk("ParkConditionID", "parkconditions"),
-                            fk("ParkLitterID", "parklitters"))),
-    TableSpec("parkstatuswheater", primary_key=("ParkStatusWheaterID",),
-              foreign_keys=(fk("ParkStatusID", "parkstatus"), fk("WeatherID", "weathers"))),
-    TableSpec("parkstatusanimals", primary_key=("ParkStatusAnimalID",),
-              foreign_keys=(fk("ParkStatusID", "parkstatus"), fk("AnimalID", "animals"))),
-    TableSpec("squirrels", primary_key=("SquirrelDataID",),
-              foreign_keys=(fk("ParkID", "parks"), fk("SquirrelPrimFurColorID", "colors", "ColorID"),
-                            fk("SquirrelHighFurColorID", "colors", "ColorID"))),
-    TableSpec("squirrelactivities", primary_key=("SquirrelActivityID",),
-              foreign_keys=(fk("SquirrelDataID", "squirrels"), fk("ActivityID", "activities"))),
-    TableSpec("squirrelhumaninteractions", primary_key=("SquirrelHumanInteractionID",),
-              foreign_keys=(fk("SquirrelDataID", "squirrels"),
-                            fk("InteractionID", "interactions"))),
-    TableSpec("squirrellocations", primary_key=("SquirrelLocationID",),
-              foreign_keys=(fk("SquirrelDataID", "squirrels"), fk("LocationID", "locations"))),
-] + [TableSpec(n, primary_key=(k,), not_null=(k, c), max_length={c: 100}) for n, k, c in [
-    ("parkconditions", "ParkConditionID", "ParkConditionName"),
-    ("parklitters", "ParkLitterID", "ParkLitterName"),
-    ("animals", "AnimalID", "AnimalName"), ("weathers", "WeatherID", "WeatherName"),
-    ("colors", "ColorID", "ColorName"), ("locations", "LocationID", "LocationName"),
-    ("activities", "ActivityID", "ActivityName"),
-    ("interactions", "InteractionID", "InteractionName")]]
+    _spec("areas", "AreaID bigint, AreaName string, Area_ID string", ("AreaName",), {"AreaName": 50, "Area_ID": 5}),
+    _spec("parks", "ParkID bigint, AreaID bigint, ParkName string", ("ParkName",), {"ParkName": 50},
+          (fk("AreaID", "areas"),)),
+    _spec("parkvariants", "ParkID bigint, AreaID bigint, ParkName string", (), {"ParkName": 50}),
+    _spec("parksections", "ParkSectionID bigint, ParkID bigint, SectionID bigint, ParkSectionName string", (),
+          {"ParkSectionName": 50}, (fk("ParkID", "parks"),)),
+    _spec("parkstatus", "ParkStatusID bigint, ParkID bigint, ParkSectionID bigint, Date date, StartTime string, "
+          "EndTime string, TotalTime int, ParkConditionID bigint, ConditionsObs string, ParkLitterID bigint, "
+          "LitterObs string, TemperatureDegrees int", ("ParkID", "Date", "StartTime", "EndTime"),
+          {"ConditionsObs": 250, "LitterObs": 250},
+          (fk("ParkID", "parks"), fk("ParkSectionID", "parksections"), fk("ParkConditionID", "parkconditions"),
+           fk("ParkLitterID", "parklitters"))),
+    _spec("squirrels", "SquirrelDataID bigint, SquirrelID string, ParkID bigint, SquirrelPrimFurColorID bigint, "
+          "SquirrelHighFurColorID bigint, SquirrelColorNotes string, SquirrelSpecificLocation string, "
+          "SquirrelObservations string, SquirrelLatitude double, SquirrelLongitude double, "
+          "SquirrelMinHeightFeet int, SquirrelMaxHeightFeet int", ("SquirrelID",),
+          {"SquirrelID": 15, "SquirrelColorNotes": 250, "SquirrelSpecificLocation": 250, "SquirrelObservations": 250},
+          (fk("ParkID", "parks"), fk("SquirrelPrimFurColorID", "colors", "ColorID"),
+           fk("SquirrelHighFurColorID", "colors", "ColorID"))),
+    _vocabulary("parkconditions", "ParkConditionID", "ParkConditionName"),
+    _vocabulary("parklitters", "ParkLitterID", "ParkLitterName"),
+    _vocabulary("animals", "AnimalID", "AnimalName"), _vocabulary("weathers", "WeatherID", "WeatherName"),
+    _vocabulary("colors", "ColorID", "ColorName", 128), _vocabulary("locations", "LocationID", "LocationName"),
+    _vocabulary("activities", "ActivityID", "ActivityName"),
+    _vocabulary("interactions", "InteractionID", "InteractionName"),
+    _bridge("parkstatuswheater", "ParkStatusWheaterID", "ParkStatusID", "WeatherID", "WeatherObs", "parkstatus",
+            "weathers"),
+    _bridge("parkstatusanimals", "ParkStatusAnimalID", "ParkStatusID", "AnimalID", "ParkStatusAnimalObs",
+            "parkstatus", "animals"),
+    _bridge("squirrelhighlights", "SquirrelHighlightID", "SquirrelDataID", "ColorID", "SquirrelHighlightObs",
+            "squirrels", "colors"),
+    _bridge("squirrelactivities", "SquirrelActivityID", "SquirrelDataID", "ActivityID", "SquirrelActivityObs",
+            "squirrels", "activities"),
+    _bridge("squirrelhumaninteractions", "SquirrelHumanInteractionID", "SquirrelDataID", "InteractionID",
+            "SquirrelHumanInteractionObs", "squirrels", "interactions"),
+    _bridge("squirrellocations", "SquirrelLocationID", "SquirrelDataID", "LocationID", "SquirrelLocationObs",
+            "squirrels", "locations"),
+]
+SCHEMAS = {spec.name: spec.schema for spec in SPECS}
 
 
 def survey_audit(t: dict[str, DataFrame]) -> DataFrame:

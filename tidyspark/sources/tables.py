@@ -87,17 +87,18 @@ def write_report(df: DataFrame, path: str, order_by=None, fmt: str = "csv",
 
 
 def merge_into_path(spark: SparkSession, path: str, batch: DataFrame, natural_key, key: str | None,
-                    order_by=None, fmt: str = "parquet", **merge_opts) -> DataFrame:
+                    order_by=None, fmt: str = "parquet", schema: T.StructType | None = None,
+                    **merge_opts) -> DataFrame:
     """Idempotent update of a stored table: append only the unmatched batch rows.
 
     First run (no table at ``path``) numbers every batch row from 1. Returns the
-    table as stored after the run.
+    table as stored after the run. ``schema``: the declared one, used when reading.
     """
-    existing = read_table(spark, path, fmt)
+    existing = read_table(spark, path, fmt, schema)
     _, fresh = merge_new_rows(existing, batch, natural_key, key, order_by,
                               return_new=True, **merge_opts)
     fresh.write.format(fmt).mode("append").save(path)
-    return read_table(spark, path, fmt)
+    return read_table(spark, path, fmt, schema)
 
 
 # -- JDBC -----------------------------------------------------------------------------
