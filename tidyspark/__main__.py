@@ -1,6 +1,6 @@
 """Command line: normalise the two survey CSVs, merge into a store, write reports.
 
-    python -m tidyspark --visits park-data.csv --sightings squirrel-data.csv \\
+    python -m tidyspark --visits visits.csv --sightings sightings.csv \\
         --store /shared/store --reports /shared/output [--date-format M/d/yy]
 
 Runs with the active Spark configuration (``spark-submit`` on a cluster, or a
