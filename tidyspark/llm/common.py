@@ -31,10 +31,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 _SHIPPED = "_tidyspark_shipped"
+BATCH_SETTING, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
 
 
 def ship_code(spark: SparkSession) -> None:
-    """Send this package to the executors once per session (as ``--py-files`` would)."""
+    """Send this package to the executors once per session (as ``--py-files`` would).
+
+    Also bounds Arrow batches: texts may be long, so a batch has at most ``BATCH_ROWS`` rows.
+    """
+    if int(spark.conf.get(BATCH_SETTING)) > BATCH_ROWS:
+        spark.conf.set(BATCH_SETTING, str(BATCH_ROWS))
     sc = spark.sparkContext
     if getattr(sc, _SHIPPED, False):
         return
@@ -74,9 +80,9 @@ _WORKER: dict = {}
 
 
 def worker_cached(key, make: Callable):
-    """One object per key in a Python worker; the least recently made goes beyond four."""
+    """One object per key in a Python worker; the least recently made goes beyond two."""
     if key not in _WORKER:
-        while len(_WORKER) >= 4:
+        while len(_WORKER) >= 2:
             _WORKER.pop(next(iter(_WORKER)))
         _WORKER[key] = make()
     return _WORKER[key]
@@ -85,7 +91,7 @@ def worker_cached(key, make: Callable):
 class Memo(dict):
     """A bounded memo: computes a missing value, starts afresh beyond ``limit`` entries."""
 
-    def __init__(self, compute: Callable, limit: int = 300_000):
+    def __init__(self, compute: Callable, limit: int = 100_000):
         super().__init__()
         self.compute, self.limit = compute, limit
 
@@ -96,7 +102,7 @@ class Memo(dict):
         return value
 
 
-def text_slices(batch: pa.RecordBatch, column: str, most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def text_slices(batch: pa.RecordBatch, column: str, most_bytes: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows holding at most ``most_bytes`` of text (one row at least)."""
     col = batch.column(batch.schema.get_field_index(column))
     n = batch.num_rows

@@ -111,8 +111,8 @@ class Lattice:
         """log of the summed probability of each word, one column per language."""
         out = np.empty((len(words), prob.shape[1]))
         short = [i for i, w in enumerate(words) if len(w) <= 64]
-        for a in range(0, len(short), 20_000):
-            some = short[a:a + 20_000]
+        for a in range(0, len(short), 10_000):
+            some = short[a:a + 10_000]
             chosen = [words[i] for i in some]
             parts = self.matches(chosen)
             alpha = self.forward(chosen, prob, parts)[parts[5]]
@@ -226,7 +226,7 @@ def train(df: DataFrame, learn: Column, model_path: str, text: str = "text", lan
 
 
 class Scorer:
-    def __init__(self, pieces: list[str], prob: np.ndarray, most_words: int = 400_000):
+    def __init__(self, pieces: list[str], prob: np.ndarray, most_words: int = 200_000):
         self.lattice = Lattice(pieces)
         self.prob = _lifted(prob, self.lattice)
         self.most = most_words

@@ -60,7 +60,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 def _word_memo() -> Memo:
-    return worker_cached("ngram_words", lambda: Memo(lambda w: xxhash.xxh64_intdigest(w.encode()), 500_000))
+    return worker_cached("ngram_words", lambda: Memo(lambda w: xxhash.xxh64_intdigest(w.encode()), 300_000))
 
 
 def ngram_set(text: str | None, n: int, memo: Memo) -> np.ndarray:
