@@ -81,8 +81,8 @@ class PrefixEncoder:
                 self.ends.add_word(t.decode("latin-1"), (i, len(t)))
         self.ends.make_automaton()
         self.pattern, self.plain = regex.compile(pattern), plain_pattern(pattern)
-        self.apart = Memo(self._apart, 1_000_000)
-        self.memo = Memo(self.encode_piece, 300_000)
+        self.apart = Memo(self._apart, 400_000)
+        self.memo = Memo(self.encode_piece, 200_000)
 
     def _apart(self, pair: int) -> bool:
         left, right = pair >> BITS, pair & ((1 << BITS) - 1)
@@ -227,14 +227,24 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, text: str = "text",
     """Append a struct (ids array<int>) holding the identifiers of ``text``."""
     get = encoder_of(df.sparkSession, ranks_path, pattern)
 
-    def per_texts(texts):
-        encoder = get()
-        ids = [np.array(encoder.encode(t), dtype=np.int32) for t in texts]
-        offsets = np.concatenate([[0], np.cumsum([len(i) for i in ids])]).astype(np.int32)
-        flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
-        return [pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))]
+    return append_struct(df, text, FIELDS, lambda texts: [_id_lists(get(), texts)], keep)
+
+
+def _id_lists(encoder: PrefixEncoder, texts: list[str | None]) -> pa.ListArray:
+    ids = [np.array(encoder.encode(t), dtype=np.int32) for t in texts]
+    offsets = np.concatenate([[0], np.cumsum([len(i) for i in ids])]).astype(np.int32)
+    flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
 
-    return append_struct(df, text, FIELDS, per_texts, keep)
+
+def _bytes_of(vocabulary: pa.Array, lists: pa.ListArray) -> pa.Array:
+    """The tokens' bytes, joined row by row: taken tokens lie side by side, so only offsets change."""
+    flat = vocabulary.take(lists.flatten())
+    ends = np.frombuffer(flat.buffers()[1], np.int64)[flat.offset:flat.offset + len(flat) + 1]
+    rows = np.array(lists.offsets) - lists.offsets[0].as_py()
+    joined = pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), len(lists), [None, pa.py_buffer(ends[rows].copy()), flat.buffers()[2]])
+    return joined.cast(arrow_type(T.BinaryType()))
 
 
 def decode(df: DataFrame, ranks_path: str, ids, keep: list[str] | None = None) -> tuple[DataFrame, str]:
@@ -250,26 +260,34 @@ def decode(df: DataFrame, ranks_path: str, ids, keep: list[str] | None = None) -
         vocabulary = worker_cached(("byte_bpe_tokens", ranks_path),
                                    lambda: pa.array(tokens.value, pa.large_binary()))
         for b in batches:
-            lists = b.column(len(keep))
-            flat = vocabulary.take(lists.flatten())
-            ends = np.frombuffer(flat.buffers()[1], np.int64)[flat.offset:flat.offset + len(flat) + 1]
-            rows = np.array(lists.offsets) - lists.offsets[0].as_py()
-            joined = pa.LargeBinaryArray.from_buffers(
-                pa.large_binary(), len(lists), [None, pa.py_buffer(ends[rows].copy()), flat.buffers()[2]])
             yield pa.RecordBatch.from_arrays(
-                [*(b.column(i) for i in range(len(keep))), joined.cast(arrow_type(T.BinaryType()))],
+                [*(b.column(i) for i in range(len(keep))), _bytes_of(vocabulary, b.column(len(keep)))],
                 names=[*keep, out])
 
     return picked.mapInArrow(run, schema), out
 
 
+ROUND_TRIP = T.StructType([*FIELDS.fields, T.StructField("decoded", T.BinaryType())])
+
+
+def round_trip(df: DataFrame, ranks_path: str, pattern: str, text: str = "text",
+               keep: list[str] | None = None) -> tuple[DataFrame, str]:
+    """Append a struct (ids, decoded): encode and decode in one task, so that one worker process serves both."""
+    get = encoder_of(df.sparkSession, ranks_path, pattern)
+
+    def per_texts(texts):
+        lists = _id_lists(get(), texts)
+        vocabulary = worker_cached(("byte_bpe_tokens", ranks_path), lambda: pa.array(get().tokens, pa.large_binary()))
+        return [lists, _bytes_of(vocabulary, lists)]
+
+    return append_struct(df, text, ROUND_TRIP, per_texts, keep)
+
+
 def round_trip_digests(df: DataFrame, ranks_path: str, pattern: str, keep: list[str],
                        text: str = "text") -> DataFrame:
     """Encode, decode, and digest both: n_tokens, ids_sha256, decoded_sha256 beside ``keep``."""
-    encoded, e = encode(df, ranks_path, pattern, text, keep)
-    ids = F.col(f"{e}.ids")
-    listed = encoded.select(*keep, F.size(ids).cast("long").alias("n_tokens"),
-                            F.sha2(F.array_join(ids, ",").cast("binary"), 256).alias("ids_sha256"),
-                            ids.alias(e))
-    decoded, d = decode(listed, ranks_path, F.col(e), [*keep, "n_tokens", "ids_sha256"])
-    return decoded.select(*keep, "n_tokens", "ids_sha256", F.sha2(F.col(d), 256).alias("decoded_sha256"))
+    done, name = round_trip(df, ranks_path, pattern, text, keep)
+    ids = F.col(f"{name}.ids")
+    return done.select(*keep, F.size(ids).cast("long").alias("n_tokens"),
+                       F.sha2(F.array_join(ids, ",").cast("binary"), 256).alias("ids_sha256"),
+                       F.sha2(F.col(f"{name}.decoded"), 256).alias("decoded_sha256"))
