@@ -64,6 +64,20 @@ def test_many_copies_of_one_vector(spark):
     same(got, brute([(i, np.float32(v).tolist()) for i, v in rows], lambda q: q % 20 == 0, 5))
 
 
+def test_outliers_of_dense_clusters_get_all_their_rows(spark):
+    rng = np.random.default_rng(3)
+    x = rng.standard_normal((1040, 16))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x[40:] = x[:2].repeat(500, axis=0) + 0.02 * x[40:]                    # 40 outliers, two tight clusters
+    rows = [(i, x[j].astype("float32").tolist()) for i, j in enumerate(rng.permutation(len(x)))]
+    is_query = lambda q: q % 4 == 0
+    got = found(ann.nearest(table(spark, rows), F.col("vec_id") % 4 == 0, sample_queries=6, chunk=100))
+    assert len(got) == 260 and all(len(g) == 20 for g in got.values())
+    want = brute(rows, is_query, 20)
+    hits = sum(len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in want)
+    assert hits >= 0.9 * 20 * len(want)
+
+
 def test_recall_and_scores_of_the_query(spark):
     import __spark_entry__ as entry
     sf = "/root/testdata/sf0.01"

@@ -7,11 +7,19 @@ vectors reached (over all trees) number ``effort``. Those are scored exactly.
 
 ``effort`` is measured, not guessed: a bounded sample of queries is compared
 with all vectors by brute force, and the least effort whose recall on it
-reaches ``target`` is taken, together with the shortest prefix it ever needs.
+reaches ``target`` is taken, together with the shortest prefix it ever needs. It
+is at least ``trees * (k + 1)``, which no fewer than k + 1 vectors can fill.
 Sorted arrays are dealt out by tree and that shortest prefix; a prefix that
 holds many vectors is dealt into chunks that every query of the prefix meets, so
 no task holds an unbounded part of an array.
 
+The sample may miss queries in sparse regions. Those that reach less than
+``effort`` by the sample's shortest prefix have an effort measured on a sample of
+their own (no less than the first), and go on to the longest prefix by which they
+reach it, found from the sizes of all shorter prefixes; at the empty one a query
+meets all vectors, once. Arrays are dealt out again by those lengths, as far as such
+queries have prefixes in them.
+
 Inner products are searched as angles: vectors are scaled by the largest norm
 and get one more coordinate that makes their lengths equal; queries get zero.
 
@@ -21,8 +29,8 @@ among a query's k nearest, since ties go to the smaller id.
 Defined results: null, empty or zero vectors and those with null or non-finite
 components take no part, nor do rows without an id or with another length than
 the most frequent; of several vectors of one id the greatest (component by
-component) counts; ties go to the smaller id; with fewer than k candidates
-reached all reached are returned; an empty table gives no rows.
+component) counts; ties go to the smaller id; a query has fewer than k rows only
+if the table has fewer other vectors; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -145,7 +153,8 @@ def _tune(entries: DataFrame, sample: list, kind: str, planes, k: int, target: f
         counts[i, pos] = n
     within = counts[:, ::-1].cumsum(axis=1)[:, ::-1]               # vectors with a prefix of d bits or more
     depths = [np.array([d for i, d in best if i == j]) for j in range(len(sample))]
-    for effort in sorted({int(2 ** (e / 4)) for e in range(20, 4 * 62)}):
+    least = planes.shape[1] // BITS * (k + 1)                                  # a vector counts once a tree at most
+    for effort in sorted({max(least, int(2 ** (e / 4))) for e in range(20, 4 * 62)}):
         stop = np.array([np.flatnonzero(c >= effort).max(initial=0) for c in within])
         found = np.concatenate([d >= s for d, s in zip(depths, stop)])
         if not len(found) or found.mean() >= target or stop.max() == 0:
@@ -192,14 +201,15 @@ def nearest(df: DataFrame, is_query: Column, id_col: str = "vec_id", vec: str =
     shift = BITS - floor
     of_tree = F.posexplode("keys").alias("tree", "key")
     candidates = entries.select("rep", "vec", of_tree).withColumn("prefix", F.shiftright("key", shift))
-    sizes = (candidates.groupBy("tree", "prefix").agg(F.count(F.lit(1)).alias("n"))
-             .select("tree", "prefix", F.ceil(F.col("n") / chunk).cast("int").alias("chunks")))
-    sizes = write_stage(sizes, "ann-prefixes")
+    sizes = write_stage(candidates.groupBy("tree", "prefix").agg(F.count(F.lit(1)).alias("n")), "ann-prefixes")
+    chunks = F.ceil(F.col("n") / chunk).cast("int").alias("chunks")
+    each_part = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
+    own_part = F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int")
+    in_chunks = sizes.select("tree", "prefix", chunks)
     asked_in = (queries.select("rep", "vec", F.posexplode("query_keys").alias("tree", "key"))
                 .withColumn("prefix", F.shiftright("key", shift))
-                .join(sizes, ["tree", "prefix"]).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))))
-    dealt = (candidates.join(sizes, ["tree", "prefix"])
-             .withColumn("part", F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int")))
+                .join(in_chunks, ["tree", "prefix"]).withColumn("part", each_part))
+    dealt = candidates.join(in_chunks, ["tree", "prefix"]).withColumn("part", own_part)
     columns = ["tree", "prefix", "part", "rep", "key"]
 
     def count_reach(group: pd.DataFrame) -> pd.DataFrame:
@@ -219,11 +229,35 @@ def nearest(df: DataFrame, is_query: Column, id_col: str = "vec_id", vec: str =
     depths = range(BITS + 1 - floor)
     reach = (both.groupBy("tree", "prefix", "part").applyInPandas(count_reach, "rep long, reach array<long>")
              .groupBy("rep").agg(*[F.sum(F.col("reach")[i]).alias(f"r{i}") for i in depths]))
-    # the deepest level with enough vectors, else the shortest prefix
-    stop = F.lit(floor)
+    # the deepest level with enough vectors
+    stop = F.lit(None)
     for i in depths:
         stop = F.when(F.col(f"r{i}") >= effort, F.lit(floor + i)).otherwise(stop)
-    reach = write_stage(reach.select("rep", stop.cast("int").alias("stop")), "ann-depths")
+    reach = write_stage(reach.select("rep", stop.cast("int").alias("stop")).where("stop IS NOT NULL"), "ann-depths")
+
+    # the other queries: the longest prefix below the floor, down to the empty one, with enough vectors
+    late = queries.join(reach, "rep", "left_anti").select("rep", "vec", F.posexplode("query_keys").alias("tree", "key"))
+    late = write_stage(late, "ann-late")
+    sample = (queries.join(late.select("rep").distinct(), "rep", "left_semi").select("rep", "vec", "query_keys")
+              .orderBy(F.xxhash64("rep"), "rep").limit(sample_queries).collect())
+    late_effort = max(effort, _tune(entries, sample, kind, planes, k, target)[0]) if sample else effort
+    shorter = (sizes.select("tree", "n", "prefix", F.explode(F.sequence(F.lit(0), F.lit(max(floor - 1, 0)))).alias("level"))
+               .withColumn("prefix", F.expr(f"shiftright(prefix, {floor} - level)"))
+               .groupBy("level", "tree", "prefix").agg(F.sum("n").alias("n")))
+    shorter = write_stage(shorter, "ann-shorter")
+    at_level = F.expr(f"shiftright(key, {BITS} - level)")
+    enough = (late.select("rep", "tree", "key", F.explode(F.sequence(F.lit(0), F.lit(max(floor - 1, 0)))).alias("level"))
+              .where("level > 0").withColumn("prefix", at_level).join(shorter, ["level", "tree", "prefix"])
+              .groupBy("rep", "level").agg(F.sum("n").alias("n")).where(F.col("n") >= late_effort)
+              .groupBy("rep").agg(F.max("level").alias("found")))
+    # all trees are alike at the empty prefix: one will do
+    late = write_stage(late.join(enough, "rep", "left").withColumn("level", F.coalesce("found", F.lit(0)))
+                       .where("level > 0 OR tree = 0").withColumn("prefix", at_level)
+                       .select("level", "tree", "prefix", "rep", "key", "vec"), "ann-late-levels")
+    levels = sorted(r[0] for r in late.select("level").distinct().collect())           # BITS at most
+    met = (shorter.join(late.select("level", "tree", "prefix").distinct(), ["level", "tree", "prefix"], "left_semi")
+           .select("level", "tree", "prefix", chunks))
+    met = write_stage(met, "ann-late-prefixes")
 
     def score(group: pd.DataFrame) -> pd.DataFrame:
         is_q = group["is_query"].to_numpy()
@@ -246,11 +280,21 @@ def nearest(df: DataFrame, is_query: Column, id_col: str = "vec_id", vec: str =
                     out.append((rep, reps[top].tolist(), (x[top] * y[i]).sum(axis=1).tolist()))
         return pd.DataFrame(out, columns=["rep", "found", "score"]) if out else _empty("rep", "found", "score")
 
-    with_vec = (dealt.select(*columns, "vec", F.lit(0).alias("stop"), F.lit(False).alias("is_query"))
-                .union(asked_in.join(reach, "rep")
-                       .select(*columns, "vec", "stop", F.lit(True).alias("is_query"))))
-    found = (with_vec.groupBy("tree", "prefix", "part")
-             .applyInPandas(score, "rep long, found array<long>, score array<double>"))
+    def scored(dealt, asked_in, *of):
+        with_vec = (dealt.select(*of, *columns, "vec", F.lit(0).alias("stop"), F.lit(False).alias("is_query"))
+                    .union(asked_in.select(*of, *columns, "vec", "stop", F.lit(True).alias("is_query"))))
+        return (with_vec.groupBy(*of, "tree", "prefix", "part")
+                .applyInPandas(score, "rep long, found array<long>, score array<double>"))
+
+    found = scored(dealt, asked_in.join(reach, "rep"))
+    if levels:
+        keys = ["level", "tree", "prefix"]
+        again = (entries.select("rep", "vec", of_tree)
+                 .select("*", F.explode(F.array(*[F.lit(v) for v in levels])).alias("level"))
+                 .where("level > 0 OR tree = 0").withColumn("prefix", at_level)
+                 .join(met, keys).withColumn("part", own_part))
+        found = found.union(scored(again, late.join(met, keys).withColumn("part", each_part)
+                                   .withColumn("stop", F.col("level")), "level"))
 
     def merge(group: pd.DataFrame) -> pd.DataFrame:
         best = dict(zip(np.concatenate(group["found"].to_list()).tolist(),
