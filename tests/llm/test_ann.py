@@ -78,6 +78,18 @@ def test_outliers_of_dense_clusters_get_all_their_rows(spark):
     assert hits >= 0.9 * 20 * len(want)
 
 
+def test_no_group_holds_all_queries_of_a_prefix(spark):
+    rows = spark.range(1000).selectExpr("id AS rep", "0 AS tree", "if(id < 900, 0, 1) AS prefix")
+    sizes = rows.groupBy("tree", "prefix").count().withColumnRenamed("count", "n")
+    dealt, asked = ann._deal(rows, rows.where("rep % 2 = 0"), sizes, ["tree", "prefix"], 50)
+    group = ["tree", "prefix", "part", "query_part"]
+    for side in (dealt, asked):
+        assert max(r["count"] for r in side.groupBy(*group).count().collect()) <= 100
+    pairs = (dealt.withColumnRenamed("rep", "c").join(asked.withColumnRenamed("rep", "q"), group)
+             .select("q", "c").groupBy("q", "c").count())
+    assert pairs.count() == 450 * 900 + 50 * 100 and pairs.where("count > 1").count() == 0
+
+
 def test_recall_and_scores_of_the_query(spark):
     import __spark_entry__ as entry
     sf = "/root/testdata/sf0.01"

@@ -9,9 +9,9 @@ vectors reached (over all trees) number ``effort``. Those are scored exactly.
 with all vectors by brute force, and the least effort whose recall on it
 reaches ``target`` is taken, together with the shortest prefix it ever needs. It
 is at least ``trees * (k + 1)``, which no fewer than k + 1 vectors can fill.
-Sorted arrays are dealt out by tree and that shortest prefix; a prefix that
-holds many vectors is dealt into chunks that every query of the prefix meets, so
-no task holds an unbounded part of an array.
+Sorted arrays are dealt out by tree and that shortest prefix; the vectors of a
+prefix are dealt into chunks, its queries too, and every chunk of vectors
+meets every chunk of queries, so no task holds an unbounded part of either.
 
 The sample may miss queries in sparse regions. Those that reach less than
 ``effort`` by the sample's shortest prefix have an effort measured on a sample of
@@ -161,6 +161,23 @@ def _tune(entries: DataFrame, sample: list, kind: str, planes, k: int, target: f
             return effort, int(max(0, stop.min() - 1))
 
 
+def _deal(candidates: DataFrame, queries: DataFrame, sizes: DataFrame, keys: list[str], chunk: int):
+    """Candidates and queries with ``part`` and ``query_part``: chunks of about ``chunk`` rows, all pairs of a key's."""
+    asked = queries.groupBy(*keys).agg(F.count(F.lit(1)).alias("asked"))
+    chunks = write_stage(sizes.join(asked, keys).select(
+        *keys, *[F.ceil(F.col(n) / chunk).cast("int").alias(c) for n, c in (("n", "chunks"), ("asked", "query_chunks"))]),
+        "ann-chunks")
+
+    def own(n):
+        return F.pmod(F.xxhash64("rep"), F.col(n)).cast("int")
+
+    def each(n):
+        return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+
+    return (candidates.join(chunks, keys).withColumn("part", own("chunks")).withColumn("query_part", each("query_chunks")),
+            queries.join(chunks, keys).withColumn("part", each("chunks")).withColumn("query_part", own("query_chunks")))
+
+
 def nearest(df: DataFrame, is_query: Column, id_col: str = "vec_id", vec: str = "embedding", k: int = 20,
             trees: int = 24, target: float = 0.94, sample_queries: int = 64, chunk: int = 8000) -> DataFrame:
     """Rows (query_id, rank, vec_id, score) for the rows where ``is_query`` (over ``id_col``) holds."""
@@ -202,15 +219,11 @@ def nearest(df: DataFrame, is_query: Column, id_col: str = "vec_id", vec: str =
     of_tree = F.posexplode("keys").alias("tree", "key")
     candidates = entries.select("rep", "vec", of_tree).withColumn("prefix", F.shiftright("key", shift))
     sizes = write_stage(candidates.groupBy("tree", "prefix").agg(F.count(F.lit(1)).alias("n")), "ann-prefixes")
-    chunks = F.ceil(F.col("n") / chunk).cast("int").alias("chunks")
-    each_part = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
-    own_part = F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int")
-    in_chunks = sizes.select("tree", "prefix", chunks)
-    asked_in = (queries.select("rep", "vec", F.posexplode("query_keys").alias("tree", "key"))
-                .withColumn("prefix", F.shiftright("key", shift))
-                .join(in_chunks, ["tree", "prefix"]).withColumn("part", each_part))
-    dealt = candidates.join(in_chunks, ["tree", "prefix"]).withColumn("part", own_part)
-    columns = ["tree", "prefix", "part", "rep", "key"]
+    asked_keys = (queries.select("rep", "vec", F.posexplode("query_keys").alias("tree", "key"))
+                  .withColumn("prefix", F.shiftright("key", shift)))
+    dealt, asked_in = _deal(candidates, asked_keys, sizes, ["tree", "prefix"], chunk)
+    group = ["tree", "prefix", "part", "query_part"]
+    columns = [*group, "rep", "key"]
 
     def count_reach(group: pd.DataFrame) -> pd.DataFrame:
         keys = np.sort(group["key"].to_numpy()[~group["is_query"].to_numpy()])
@@ -227,7 +240,7 @@ def nearest(df: DataFrame, is_query: Column, id_col: str = "vec_id", vec: str =
     both = (dealt.select(*columns, F.lit(False).alias("is_query"))
             .union(asked_in.select(*columns, F.lit(True).alias("is_query"))))
     depths = range(BITS + 1 - floor)
-    reach = (both.groupBy("tree", "prefix", "part").applyInPandas(count_reach, "rep long, reach array<long>")
+    reach = (both.groupBy(*group).applyInPandas(count_reach, "rep long, reach array<long>")
              .groupBy("rep").agg(*[F.sum(F.col("reach")[i]).alias(f"r{i}") for i in depths]))
     # the deepest level with enough vectors
     stop = F.lit(None)
@@ -255,9 +268,6 @@ def nearest(df: DataFrame, is_query: Column, id_col: str = "vec_id", vec: str =
                        .where("level > 0 OR tree = 0").withColumn("prefix", at_level)
                        .select("level", "tree", "prefix", "rep", "key", "vec"), "ann-late-levels")
     levels = sorted(r[0] for r in late.select("level").distinct().collect())           # BITS at most
-    met = (shorter.join(late.select("level", "tree", "prefix").distinct(), ["level", "tree", "prefix"], "left_semi")
-           .select("level", "tree", "prefix", chunks))
-    met = write_stage(met, "ann-late-prefixes")
 
     def score(group: pd.DataFrame) -> pd.DataFrame:
         is_q = group["is_query"].to_numpy()
@@ -283,7 +293,7 @@ def nearest(df: DataFrame, is_query: Column, id_col: str = "vec_id", vec: str =
     def scored(dealt, asked_in, *of):
         with_vec = (dealt.select(*of, *columns, "vec", F.lit(0).alias("stop"), F.lit(False).alias("is_query"))
                     .union(asked_in.select(*of, *columns, "vec", "stop", F.lit(True).alias("is_query"))))
-        return (with_vec.groupBy(*of, "tree", "prefix", "part")
+        return (with_vec.groupBy(*of, *group)
                 .applyInPandas(score, "rep long, found array<long>, score array<double>"))
 
     found = scored(dealt, asked_in.join(reach, "rep"))
@@ -291,10 +301,9 @@ def nearest(df: DataFrame, is_query: Column, id_col: str = "vec_id", vec: str =
         keys = ["level", "tree", "prefix"]
         again = (entries.select("rep", "vec", of_tree)
                  .select("*", F.explode(F.array(*[F.lit(v) for v in levels])).alias("level"))
-                 .where("level > 0 OR tree = 0").withColumn("prefix", at_level)
-                 .join(met, keys).withColumn("part", own_part))
-        found = found.union(scored(again, late.join(met, keys).withColumn("part", each_part)
-                                   .withColumn("stop", F.col("level")), "level"))
+                 .where("level > 0 OR tree = 0").withColumn("prefix", at_level))
+        again, late = _deal(again, late, shorter, keys, chunk)
+        found = found.union(scored(again, late.withColumn("stop", F.col("level")), "level"))
 
     def merge(group: pd.DataFrame) -> pd.DataFrame:
         best = dict(zip(np.concatenate(group["found"].to_list()).tolist(),
