@@ -101,6 +101,47 @@ def test_salvage_never_loses_undamaged_records():
         assert covered == sum(starts[i + 1] - starts[i] for i in range(12) if i not in ids)
 
 
+def test_salvage_inside_members_of_many_records():
+    plain = [record(i, random.Random(i).randbytes(400)) for i in range(6)]
+    bad = plain[2].replace(b"Content-Type:", b"Content-Type ")
+    member, last = gzip.compress(b"".join([*plain[:2], bad, *plain[3:]])), gzip.compress(record(9, b"last"))
+    ids, gaps = summary(member + last)
+    assert ids == [0, 1, 3, 4, 5, 9] and [g[:2] for g in gaps] == [(0, len(member))]
+    start = len(plain[0] + plain[1])
+    assert gaps[0][2] == f"header without a colon, inflated bytes {start} to {start + len(bad)}"
+    whole = gzip.compress(b"".join(plain))
+    cut = whole[:len(whole) * 3 // 4]
+    for tail in (b"", last):
+        ids, gaps = summary(cut + tail)
+        assert ids == [0, 1, 2, 3] + [9] * bool(tail)
+        assert len(gaps) == 1 and len(cut) // 2 < gaps[0][0] < gaps[0][1] == len(cut) and "gzip" in gaps[0][2]
+    wrong_sum = whole[:-8] + bytes([whole[-8] ^ 1]) + whole[-7:]
+    ids, gaps = summary(wrong_sum + last)
+    assert ids == [0, 1, 2, 3, 4, 5, 9] and [g[:2] for g in gaps] == [(len(whole), len(whole))]
+
+
+def http_record(i, block, payload, content_type=b"application/http; msgtype=response"):
+    sha1 = [warc._base32(hashlib.sha1(x).hexdigest()).encode() for x in (payload, block)]
+    return (b"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:record:%d>\r\nContent-Type: %s\r\n"
+            b"WARC-Payload-Digest: sha1:%s\r\nWARC-Block-Digest: sha1:%s\r\nContent-Length: %d\r\n\r\n%s\r\n\r\n"
+            % (i, content_type, *sha1, len(block), block))
+
+
+def test_digests_of_http_records():
+    head = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n"
+    chunked = b"4\r\nsome\r\n6;x=y\r\n\r\n\r\nab\r\n0\r\n\r\n"
+    good = [http_record(0, head + b"\r\npage", b"page"), http_record(1, head + b"\r\n", b""),
+            http_record(2, head + b"Transfer-Encoding: chunked\r\n\r\n" + chunked, b"some\r\n\r\nab"),
+            http_record(3, head + b"Transfer-Encoding: chunked\r\n\r\n" + chunked, chunked),
+            http_record(4, b"as it is", b"as it is", b"text/plain")]
+    assert summary(b"".join(good)) == (list(range(5)), [])
+    wrong_page, wrong_head = good[0].replace(b"page", b"pale"), good[0].replace(b"200 OK", b"404 OK")
+    other = http_record(5, head + b"\r\npage", b"other")
+    for bad, why in ((wrong_page, "block"), (wrong_head, "block"), (other, "payload")):
+        ids, gaps = summary(bad + good[1])
+        assert ids == [1] and [g[2] for g in gaps] == [f"{why} digest differs"]
+
+
 def test_gaps_are_logged(spark):
     folder = tempfile.mkdtemp(prefix="warc-")
     with open(os.path.join(folder, "x.warc"), "wb") as f:

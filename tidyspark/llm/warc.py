@@ -9,10 +9,17 @@ concatenated members skip.
 Reading: archives come whole through Spark's binary source (the writer bounds
 the records of an archive). The reader walks a file record by record and
 checks each one: the gzip checksum, the version line, the header block, the
-declared length, the end of record, and the payload digest. When a check fails
-it searches for the next gzip member or version line from which a record
-passes all checks, goes on from there, and logs the byte gap in between with
-the reason.
+declared length, the end of record, and the SHA-1 digests of block and payload
+(of an HTTP message the payload is the entity body). When a check fails it
+searches for the next gzip member or version line from which a record passes
+all checks, goes on from there, and logs the byte gap in between with the reason.
+
+A member may hold many records and may be damaged: the search also goes through
+what inflates of it. A gap between records of one member has the member's bytes,
+and its reason tells which inflated bytes are lost; where a member breaks off,
+the gap begins behind the bytes of its last good record; a wrong checksum behind
+good records is logged as a gap of no bytes. A member of one record that breaks
+off is a gap as a whole.
 
 Of records with equal payloads of at least ``revisit_bytes`` the one with the
 largest id is the response and the others are revisits that refer to it;
@@ -125,6 +132,35 @@ _RESYNC = re.compile(rb"\x1f\x8b\x08|WARC/1\.[0-9]\r?\n")
 _VERSION = re.compile(rb"WARC/1\.[0-9]\r?\n")
 
 
+def _dechunked(body: bytes) -> bytes:
+    """A chunked HTTP body without its chunk lines, as far as they are in order."""
+    out, at = [], 0
+    while m := re.compile(rb"([0-9A-Fa-f]{1,15})[^\r\n]*\r\n").match(body, at):
+        size = int(m[1], 16)
+        out.append(body[m.end():m.end() + size])
+        at = m.end() + size + 2
+        if not size:
+            break
+    return b"".join(out)
+
+
+def _payloads(headers: dict, block: bytes) -> Iterator[bytes]:
+    """What the payload digest may cover: the block, of an HTTP message its body as sent or as put together."""
+    if not headers.get("content-type", "").lower().startswith("application/http"):
+        yield block
+        return
+    end = re.search(rb"\r?\n\r?\n", block)
+    body = block[end.end():] if end else b""
+    yield body
+    if end and re.search(rb"(?im)^transfer-encoding:.*chunked", block[:end.start()]):
+        yield _dechunked(body)
+
+
+def _has_digest(stated: str, data: bytes) -> bool:
+    found = hashlib.sha1(data).hexdigest()
+    return stated[5:].upper() == _base32(found) or stated[5:].lower() == found
+
+
 def parse_record(data: bytes, at: int) -> tuple[dict, bytes, int]:
     """The record that begins at ``data[at]``: headers, body, and the position behind it."""
     if not _VERSION.match(data, at):
@@ -145,10 +181,14 @@ def parse_record(data: bytes, at: int) -> tuple[dict, bytes, int]:
     if data[stop:stop + len(RECORD_END)] != RECORD_END:
         raise BadRecord("no end of record at the declared length")
     body = data[start:stop]
+    digest = headers.get("warc-block-digest", "")
+    if digest.startswith("sha1:") and not _has_digest(digest, body):
+        raise BadRecord("block digest differs")
     digest = headers.get("warc-payload-digest", "")
-    if headers.get("warc-type") != "revisit" and digest.startswith("sha1:"):
-        if digest[5:] != _base32(hashlib.sha1(body).hexdigest()):
-            raise BadRecord("payload digest differs")
+    # a revisit has no payload, a segment only a part of it
+    if (headers.get("warc-type") != "revisit" and "warc-segment-number" not in headers
+            and digest.startswith("sha1:") and not any(_has_digest(digest, x) for x in _payloads(headers, body))):
+        raise BadRecord("payload digest differs")
     return headers, body, stop + len(RECORD_END)
 
 
@@ -167,17 +207,87 @@ def member_at(data: bytes, at: int, window: int = 1 << 16) -> tuple[bytes, int]:
     return b"".join(parts), pos - len(unpack.unused_data)
 
 
+def partial_member(data: bytes, at: int, window: int = 1 << 16) -> tuple[bytes, list[tuple[int, int]], int | None]:
+    """What inflates of a damaged gzip member, window by window and byte by byte in the last one.
+
+    Returns the content, marks (bytes inflated, position behind their source), and the
+    position behind the member if only its checksum or length is wrong.
+    """
+    unpack, content, marks, view, pos = zlib.decompressobj(31), bytearray(), [], memoryview(data), at
+    while not unpack.eof and pos < len(data):
+        try:
+            piece = unpack.decompress(view[pos:pos + window])
+            if window > 1 and pos + window >= len(data) and not unpack.eof:
+                raise zlib.error("cut off")
+            content += piece
+        except zlib.error as e:
+            if window == 1:
+                behind = {"incorrect data check": 5, "incorrect length check": 1}.get(str(e).rpartition(": ")[2])
+                return bytes(content), marks, behind and min(pos + behind, len(data))
+            unpack, window = zlib.decompressobj(31), 1
+            unpack.decompress(view[at:pos])
+            continue
+        pos = min(pos + window, len(data))
+        marks.append((len(content), pos))
+    return bytes(content), marks, None
+
+
+def _records(content: bytes) -> Iterator[tuple]:
+    """('record', start, end, headers, body) and ('gap', start, end, reason, None) of inflated bytes."""
+    at, bad_from, reason = 0, None, ""
+    while at < len(content):
+        try:
+            headers, body, end = parse_record(content, at)
+        except BadRecord as e:
+            if bad_from is None:
+                bad_from, reason = at, str(e)
+            following = _VERSION.search(content, at + 1)
+            at = following.start() if following else len(content)
+            continue
+        if bad_from is not None:
+            yield "gap", bad_from, at, reason, None
+            bad_from = None
+        yield "record", at, end, headers, body
+        at = end
+    if bad_from is not None:
+        yield "gap", bad_from, len(content), reason, None
+
+
+def _of_member(data: bytes, at: int) -> tuple[list[tuple], int, str | None]:
+    """Records and gaps of the gzip member at ``data[at]``, the position behind them, and why it breaks off there.
+
+    Raises BadRecord if there is content but no record in it, or a single record
+    and nothing else in a member without an end.
+    """
+    error, behind = None, None
+    try:
+        content, behind = member_at(data, at)
+    except BadRecord as e:
+        error = str(e)
+        content, marks, behind = partial_member(data, at)
+    inner = list(_records(content))
+    good = [f[2] for f in inner if f[0] == "record"]
+    broken = error if behind is None else None
+    if not good and (error or inner) or broken and len(inner) == 1 and good[-1] == len(content):
+        raise BadRecord(error or inner[0][3])
+    if broken:                                          # the rest belongs to the gap behind
+        inner = [f for f in inner if f[1] < good[-1]]
+        behind = next(pos for made, pos in marks if made >= good[-1])
+    found = [(kind, at, behind, what if kind == "record" else f"{what}, inflated bytes {a} to {b}", body)
+             for kind, a, b, what, body in inner]
+    if error and not broken:
+        found.append(("gap", behind, behind, error, None))
+    return found, behind, broken and f"{broken}, behind inflated byte {good[-1]}"
+
+
 def salvage(data: bytes) -> Iterator[tuple]:
     """('record', start, end, headers, body) and ('gap', start, end, reason, None) in file order."""
     at, bad_from, reason = 0, None, ""
     while at < len(data):
+        broken = None
         try:
             if _MEMBER.match(data, at):
-                content, end = member_at(data, at)
-                found, pos = [], 0
-                while pos < len(content):
-                    headers, body, pos = parse_record(content, pos)
-                    found.append(("record", at, end, headers, body))
+                found, end, broken = _of_member(data, at)
             else:
                 headers, body, end = parse_record(data, at)
                 found = [("record", at, end, headers, body)]
@@ -192,6 +302,12 @@ def salvage(data: bytes) -> Iterator[tuple]:
             bad_from = None
         yield from found
         at = end
+        if broken and (at == len(data) or _MEMBER.match(data, at)):
+            yield "gap", at, at, broken, None
+        elif broken:
+            bad_from, reason = at, broken
+            following = _RESYNC.search(data, at)
+            at = following.start() if following else len(data)
     if bad_from is not None:
         yield "gap", bad_from, len(data), reason, None
 
