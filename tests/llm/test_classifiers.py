@@ -102,6 +102,24 @@ def test_forward_sums_all_segmentations():
         assert np.allclose(counts[i], change, atol=1e-3)
 
 
+def test_long_runs_of_an_untrained_script(spark):
+    scripts = "".join(map(chr, range(0x1400, 0x1400 + 50)))                  # Canadian syllabics, no pieces
+    rows = [(i, f"the cat and the dog went home number {i}", "en") for i in range(30)]
+    rows += [(100 + i, f"der Hund und die Katze gehen nach Hause {i}", "de") for i in range(30)]
+    rows += [(200, f"the {scripts[:47]} house", "en")]                       # may be learned from
+    model = langid.train(docs(spark, rows), F.lit(True), P.path("piece_bpe_32k.model"))
+    assert np.isfinite(model[2]).all() and np.allclose(model[2].sum(axis=0), 1)
+    text = "the cat and the dog went home"
+    texts = docs(spark, [(1, text, None), (2, f"{text} {scripts}", None), (3, f"{scripts} {text} {scripts[:44]}", None)])
+    out, name = langid.predict(texts, model)
+    got = {r.doc_id: r[name] for r in out.collect()}
+    assert all(r.lang_pred == "en" and 0.5 < r.score <= 1 for r in got.values())
+    scorer = langid.Scorer(model[1], model[2])
+    logs = scorer.lattice.log_words([scripts, scripts[:30]], scorer.prob)
+    apart = np.log(langid.UNKNOWN) * 20                                      # 20 more unknown characters
+    assert np.allclose(logs[0] - logs[1], apart)
+
+
 def test_language_cases(spark):
     english, french = "the house and the water over there ", "la maison et l'eau qui est ici "
     rows = [(i, (english if i % 2 else french) * (1 + i % 3), "en" if i % 2 else "fr") for i in range(60)]

@@ -39,6 +39,7 @@ START = "▁"                  # marks the beginning of a word in the vocabulary
 LONGEST_TRAINED = 48
 UNKNOWN = 1e-9               # probability of a character that is no piece, in every language
 LIFT = 30.0                  # factor per character that keeps products near one
+LEAST = 1e-200               # words with smaller products are summed with other scales
 
 
 def letters(text: str | None) -> list[str]:
@@ -115,39 +116,61 @@ class Lattice:
             some = short[a:a + 10_000]
             chosen = [words[i] for i in some]
             parts = self.matches(chosen)
-            alpha = self.forward(chosen, prob, parts)[parts[5]]
+            alpha = self.forward(chosen, prob, parts)
             lift = np.array([(len(w) + 1) * math.log(LIFT) for w in chosen])[:, None]
-            out[some] = np.log(alpha) - lift
+            with np.errstate(divide="ignore"):
+                out[some] = np.log(alpha[parts[5]]) - lift
+            for i in np.flatnonzero(self._tiny(alpha, parts[4])):
+                out[some[i]] = self._log_long(chosen[i], prob)
         for i, w in enumerate(words):
             if len(w) > 64:
                 out[i] = self._log_long(w, prob)
         return out
 
+    @staticmethod
+    def _tiny(alpha: np.ndarray, begins: np.ndarray) -> np.ndarray:
+        """Words whose sums come near the smallest numbers somewhere, in any language."""
+        return np.minimum.reduceat(alpha, begins, axis=0).min(axis=1) < LEAST
+
     def _log_long(self, word: str, prob: np.ndarray) -> np.ndarray:
-        """The same sum with rescaling at every character, for words of any length."""
+        """The same sum with a scale per language, for words of any length."""
         piece, start, end, local, begins, ends = self.matches([word])
         n = len(word) + 2
         window = np.zeros((self.longest + 1, prob.shape[1]))
         window[0] = 1.0
-        log_scale = 0.0
+        log_scale = np.zeros(prob.shape[1])
         order = np.argsort(local, kind="stable")
         cuts = np.searchsorted(local[order], np.arange(n + 1))
         for at in range(1, n):
             part = order[cuts[at]:cuts[at + 1]]
             value = (window[(start[part]) % len(window)] * prob[piece[part]]).sum(axis=0)
             window[at % len(window)] = value
-            top = value.max()
-            if top < 1e-100 or top > 1e100:
-                window /= top
-                log_scale += math.log(top)
+            if value.min() < 1e-100 or value.max() > 1e100:
+                window /= value
+                log_scale += np.log(value)
         with np.errstate(divide="ignore"):
             return np.log(window[(n - 1) % len(window)]) + log_scale - (len(word) + 1) * math.log(LIFT)
 
     def expected(self, words: list[str], weight: np.ndarray, prob: np.ndarray) -> np.ndarray:
         """Expected piece counts (one column per language) over weighted words."""
         parts = self.matches(words)
-        piece, start, end, local, begins, ends = parts
         alpha = self.forward(words, prob, parts)
+        tiny = self._tiny(alpha, parts[4])
+        if not tiny.any():
+            return self._expected(parts, alpha, weight, prob)
+        total, rest = np.zeros((self.n + 1, prob.shape[1])), np.flatnonzero(~tiny)
+        if len(rest):
+            total += self.expected([words[i] for i in rest], weight[rest], prob)
+        for i in np.flatnonzero(tiny):
+            # a factor per character and language that makes the word's sum one changes no share
+            factor = np.exp(-self._log_long(words[i], prob) / (len(words[i]) + 1)) / LIFT
+            scaled = prob * factor ** self.length[:, None]
+            parts = self.matches([words[i]])
+            total += self._expected(parts, self.forward([words[i]], scaled, parts), weight[i:i + 1], scaled)
+        return total
+
+    def _expected(self, parts, alpha: np.ndarray, weight: np.ndarray, prob: np.ndarray) -> np.ndarray:
+        piece, start, end, local, begins, ends = parts
         beta = np.zeros_like(alpha)
         beta[ends] = 1.0
         for part, targets, runs in self._steps(-(local - self.length[piece]), start):
