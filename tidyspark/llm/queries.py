@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import zlib
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidyspark.llm import (ann, byte_bpe, chat, decontaminate, langid, licences, ngram_join, token_counts, toxicity,
-                           warc)
+from tidyspark.llm import (ann, byte_bpe, chat, decontaminate, langid, licences, ngram_join, spelling, token_counts,
+                           toxicity, warc)
 from tidyspark.llm.common import crc_mod, table
 from tidyspark.session import scratch_path
 
@@ -101,6 +103,70 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                                        public_tokenizers.PATTERN, ["doc_id"])
 
 
+def misspelt(doc_id: str, run: str) -> str:
+    """One in 199 runs of a document loses a letter, chosen by a checksum."""
+    h = zlib.crc32(f"{doc_id}:{run}".encode())
+    if h % 199:
+        return run
+    cut = h % len(run)
+    return run[:cut] + run[cut + 1:]
+
+
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.word_counts(table(spark, sf_dir, "documents"), alter=misspelt)
+    return spelling.variant_groups(words)
+
+
+# The checksum is computed byte by byte from its polynomial; near words are found by equal rests after one
+# letter is taken away, not by bitsets.
+OP11_SQL = """
+WITH RECURSIVE crc_table AS (
+  SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END,
+                          i) ORDER BY i) AS steps
+  FROM range(256) AS t(i)),
+runs AS (
+  SELECT doc_id, run, count(*) AS n
+  FROM (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS doc_id,
+               unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                         '[a-z\u00C0-\u00FF]+')) AS run
+        FROM documents)
+  GROUP BY ALL),
+hashed AS (
+  SELECT run, n,
+         xor(list_reduce(flatten(list_transform(string_split(doc_id || ':' || run, ''),
+                                                lambda c: CASE WHEN unicode(c) < 128 THEN [CAST(unicode(c) AS BIGINT)]
+                                                               ELSE [195::BIGINT, unicode(c) - 64] END)),
+                         lambda c, b: xor(c >> 8, steps[xor(c % 256, b) + 1]), 4294967295), 4294967295) AS h
+  FROM runs, crc_table),
+words AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n
+  FROM (SELECT n, CASE WHEN h % 199 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2)
+                       ELSE run END AS word FROM hashed)
+  WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+rests AS (
+  SELECT word, n, i, left(word, i) || substr(word, i + 2) AS rest
+  FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words)),
+near AS (
+  SELECT a.word, a.n, b.word AS other, b.n AS other_n FROM rests a JOIN rests b
+  ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, a.n, b.word, b.n FROM rests a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, b.n, a.word, a.n FROM rests a JOIN words b ON a.rest = b.word),
+best AS (
+  SELECT word, count(*) AS n_near, arg_min(other, {'n': -other_n, 'w': other}) AS other, max(other_n) AS other_n
+  FROM near GROUP BY word),
+forms AS (
+  SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near,
+         CASE WHEN b.other_n >= 5 * w.n THEN b.other END AS form,
+         CASE WHEN b.other_n >= 5 * w.n THEN b.other_n END AS form_n
+  FROM words w LEFT JOIN best b ON w.word = b.word),
+path AS (
+  SELECT word, word AS at FROM forms
+  UNION ALL SELECT p.word, f.form FROM path p JOIN forms f ON p.at = f.word WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, p.at AS root, f.n, f.n_near, f.form_n
+FROM forms f JOIN path p ON p.word = f.word JOIN forms e ON e.word = p.at AND e.form IS NULL
+"""
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_licences": op2_licences,
@@ -112,5 +178,6 @@ QUERIES = {
     "op8_nearest": op8_nearest,
     "op9_chat": op9_chat,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_spelling": op11_spelling,
 }
-ORACLE = {"op4_warc": OP4_SQL, "op9_chat": OP9_SQL}
+ORACLE = {"op4_warc": OP4_SQL, "op9_chat": OP9_SQL, "op11_spelling": OP11_SQL}
