@@ -63,6 +63,12 @@ def write_stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch table that no later step reads."""
+    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jvm_path, True)
+
+
 def fresh_name(df: DataFrame, stem: str) -> str:
     taken = {c.lower() for c in df.columns}
     name = stem

@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidyspark.llm import (ann, byte_bpe, chat, decontaminate, langid, licences, ngram_join, spelling, token_counts,
-                           toxicity, warc)
+from tidyspark.llm import (ann, byte_bpe, centroids, chat, decontaminate, langid, licences, ngram_join, quality, spelling,
+                           token_counts, toxicity, warc)
 from tidyspark.llm.common import crc_mod, table
 from tidyspark.session import scratch_path
 
@@ -167,6 +167,52 @@ FROM forms f JOIN path p ON p.word = f.word JOIN forms e ON e.word = p.at AND e.
 """
 
 
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.clusters(table(spark, sf_dir, "embeddings"))
+
+
+def _op12_sql(rounds: int = 10) -> str:
+    """Plain rounds without bounds, one after the other, over components as rows."""
+    steps = ["""
+kept AS (
+  SELECT row_number() OVER () AS r, vec_id, embedding FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+parts AS MATERIALIZED (
+  SELECT r, i, CAST(floor(1024 * CAST(embedding[i] AS DOUBLE)) AS BIGINT) AS x
+  FROM (SELECT r, embedding, unnest(range(1, 65)) AS i FROM kept)),
+firsts AS (
+  SELECT r, CAST(row_number() OVER (ORDER BY sha256('3:' || coalesce(CAST(vec_id AS VARCHAR), '')), embedding) - 1
+                 AS INTEGER) AS c
+  FROM kept QUALIFY c < 8),
+c0 AS MATERIALIZED (SELECT c, i, x AS y FROM firsts JOIN parts USING (r))"""]
+    for n in range(rounds + 1):
+        steps.append(f"""
+a{n} AS MATERIALIZED (
+  SELECT r, arg_min(c, {{'d': d, 'c': c}}) AS c, CAST(min(d) AS BIGINT) AS d
+  FROM (SELECT r, c, sum((x - y) * (x - y)) AS d FROM parts JOIN c{n} USING (i) GROUP BY r, c) GROUP BY r)""")
+        if n < rounds:
+            steps.append(f"""
+s{n} AS (SELECT c, i, sum(x) AS s, count(*) AS n FROM a{n} JOIN parts USING (r) GROUP BY c, i),
+c{n + 1} AS MATERIALIZED (
+  SELECT c, i, CASE WHEN n IS NULL THEN y ELSE CAST((s - (s % n + n) % n) // n AS BIGINT) END AS y
+  FROM c{n} LEFT JOIN s{n} USING (c, i))""")
+    return "WITH" + ",".join(steps) + f"""
+SELECT k.vec_id, a.c AS cluster, a.d AS distance, CAST(sum(a.d) OVER (PARTITION BY a.c) AS BIGINT) AS cluster_inertia,
+       CAST(sum(a.d) OVER () AS BIGINT) AS inertia, h.centroid_sha256
+FROM kept k JOIN a{rounds} a USING (r)
+JOIN (SELECT c, sha256(string_agg(CAST(y AS VARCHAR), ',' ORDER BY i)) AS centroid_sha256 FROM c{rounds} GROUP BY c) h
+ON h.c = a.c
+"""
+
+
+def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = crc_mod(F.col("doc_id"), 3) == 1
+    model = quality.train(docs, table(spark, sf_dir, "labels"), ~held_out)
+    out, name = quality.score(docs, model, keep=["doc_id"])
+    return out.select("doc_id", held_out.alias("held_out"), F.col(f"{name}.*"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_licences": op2_licences,
@@ -179,5 +225,8 @@ QUERIES = {
     "op9_chat": op9_chat,
     "op10_byte_bpe": op10_byte_bpe,
     "op11_spelling": op11_spelling,
+    "op12_centroids": op12_centroids,
+    "op13_quality": op13_quality,
 }
-ORACLE = {"op4_warc": OP4_SQL, "op9_chat": OP9_SQL, "op11_spelling": OP11_SQL}
+ORACLE = {"op4_warc": OP4_SQL, "op9_chat": OP9_SQL, "op11_spelling": OP11_SQL,
+          "op12_centroids": _op12_sql()}
