@@ -27,7 +27,7 @@ def vocabulary(values: DataFrame, name: str, key: str, start: int = 0,
     if default is not None:
         v = v.select(missing_to(name, default).alias(name))
     v = v.where(F.col(name).isNotNull()).distinct()
-    return dense_key(v, order_by or [name], key, start=start, **dense_opts).select(key, name)
+    return dense_key(v, order_by or [name], key, start=start, unique=True, **dense_opts).select(key, name)
 
 
 def dim_from_column(df: DataFrame, value, name: str, key: str, **opts) -> DataFrame:
@@ -82,5 +82,5 @@ def extract_sections(df: DataFrame, id_col: str, name_col: str, marker: str = "s
     Natural key is (parent, child, label); keys ordered by it.
     """
     s = section_rows(df, id_col, name_col, marker, parent, child, label)
-    return dense_key(s, [parent, child, label], key, **opts).select(key, parent, child, label)
+    return dense_key(s, [parent, child, label], key, unique=True, **opts).select(key, parent, child, label)
 

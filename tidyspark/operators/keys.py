@@ -6,16 +6,22 @@ by the remaining orderable columns), exactly like
 ``start + row_number() OVER (ORDER BY ...)``, but the sort is spread over many
 tasks:
 
-1. one range exchange on the ordering tuple and a local sort;
+1. one range exchange on the ordering columns themselves and a local sort;
 2. the sorted rows are written once, each with its position (partition number
    and place inside the partition) as a stored column;
 3. one count per written partition gives the offsets;
 4. key = start + offset of the partition + place, a pass without an exchange.
 
 The position is evaluated once, in the job that writes it, so every later pass
-sees the same one however the files are split. Copies of one row are told
-apart by an arrival number inside that job, so the range exchange may spread a
-group of copies that holds a large share of all rows over many partitions.
+sees the same one however the files are split.
+
+Copies of one row are told apart by an arrival number, so the range exchange
+may spread a group of copies that holds a large share of all rows over many
+partitions. A task that is run again must give a row the same number, so the
+number is taken from rows read from files: from the frame's own when it only
+reads, filters and projects stored files, else from one written copy. A caller
+that knows the rows to differ (``unique``: a distinct, a grouping) needs neither
+number nor copy.
 """
 
 from __future__ import annotations
@@ -46,31 +52,49 @@ def _as_col(c) -> Column:
 PLACE_BITS = 33               # of monotonically_increasing_id: the place inside a partition
 
 
+READS_ONLY = {"Project", "Filter", "LogicalRelation", "SubqueryAlias", "View"}    # plan nodes
+
+
+def _reads_files_only(df: DataFrame) -> bool:
+    """Whether ``df`` is a deterministic projection or selection of stored files, whose rows come in file order."""
+    if not df.inputFiles():
+        return False
+    left = [df._jdf.queryExecution().analyzed()]
+    while left:
+        node = left.pop()
+        if node.nodeName().split(" ")[0] not in READS_ONLY or not node.deterministic():
+            return False
+        left += [node.children().apply(i) for i in range(node.children().size())]
+    return True
+
+
 def dense_key(df: DataFrame, order_by, name: str = "key", start: int | Column = 0, *,
-              tie_break: list[str] | None = None, materialize: bool = True) -> DataFrame:
+              tie_break: list[str] | None = None, unique: bool = False, materialize: bool = True) -> DataFrame:
     """Add ``name`` = start + 1-based rank of each row in ascending tuple order.
 
     ``order_by`` holds column names or Column expressions (ascending, NULLs
     first, as Spark orders them). ``tie_break`` defaults to every other
     orderable column so equal prefixes still get a deterministic order.
-    ``materialize`` writes the input below the session's checkpoint folder
-    before the range exchange samples and shuffles it; leave it on unless the input
-    is already a stored table.
+    ``unique``: no two rows are equal in all these columns. ``materialize=False``
+    keeps the input from being written first even if it isn't a reading of stored files
+    (a caller whose rows come in the same order whenever a task is run again).
     """
     if isinstance(order_by, (str, Column)):
         order_by = [order_by]
-    order_cols = [_as_col(c) for c in order_by]
+    order = [_as_col(c) for c in order_by]
     if tie_break is None:
         named = {c for c in order_by if isinstance(c, str)}
         tie_break = [f.name for f in df.schema.fields
                      if f.name not in named and _orderable(f.dataType)]
-    order_cols += [F.col(c) for c in tie_break]
-    if materialize:
-        df = _materialize(df, "dense-key-input")
-    helper = [f"__dk{i}" for i in range(len(order_cols) + 1)]
-    keyed = df.withColumns(dict(zip(helper, [*order_cols, F.monotonically_increasing_id()])))
-    placed = (keyed.repartitionByRange(*helper).sortWithinPartitions(*helper)
-              .select(*df.columns, F.monotonically_increasing_id().alias("__dkpos")))
+    order += [F.col(c) for c in tie_break]
+    columns = df.columns
+    if not unique:
+        if materialize and not _reads_files_only(df):
+            df = _materialize(df, "dense-key-input")
+        df = df.withColumn("__dkarrival", F.monotonically_increasing_id())
+        order.append(F.col("__dkarrival"))
+    placed = (df.repartitionByRange(*order).sortWithinPartitions(*order)
+              .select(*columns, F.monotonically_increasing_id().alias("__dkpos")))
     stored = _materialize(placed, "dense-key-sorted")
 
     part = F.shiftright("__dkpos", PLACE_BITS)

@@ -52,18 +52,19 @@ def _matches(left: DataFrame, right: str, natural_key: list[str]):
     return reduce(lambda a, b: a & b, [left[c].eqNullSafe(F.col(f"{right}.{c}")) for c in natural_key])
 
 
-def new_rows(existing: DataFrame | None, batch: DataFrame, natural_key: list[str]) -> DataFrame:
-    """Batch rows (deduplicated on the natural key) that are not stored yet.
+def distinct_batch(batch: DataFrame, natural_key: list[str]) -> DataFrame:
+    """The batch with one row per natural key, written once."""
+    return _materialize(_dedupe_on(batch, natural_key), "merge-batch")
+
+
+def unmatched(existing: DataFrame, batch: DataFrame, natural_key: list[str]) -> DataFrame:
+    """Rows of a written batch whose natural key ``existing`` does not have.
 
     The cost follows the batch: the stored keys are first reduced to those that
     the batch has. For a batch of checked size its keys are broadcast, and the
     stored table is only scanned, never shuffled; for a larger one both sides
     are shuffled on the key.
     """
-    batch = _dedupe_on(batch, natural_key)
-    if existing is None:
-        return batch
-    batch = _materialize(batch, "merge-batch")
     stored = existing.select(*natural_key)
     keys = batch.select(*natural_key)
     if _fits_broadcast(keys):
@@ -73,6 +74,13 @@ def new_rows(existing: DataFrame | None, batch: DataFrame, natural_key: list[str
     return batch.join(stored.alias("__s"), _matches(batch, "__s", natural_key), "left_anti")
 
 
+def new_rows(existing: DataFrame | None, batch: DataFrame, natural_key: list[str]) -> DataFrame:
+    """Batch rows (deduplicated on the natural key) that are not stored yet."""
+    if existing is None:
+        return _dedupe_on(batch, natural_key)
+    return unmatched(existing, distinct_batch(batch, natural_key), natural_key)
+
+
 def max_key(existing: DataFrame | None, key: str) -> int:
     """COALESCE(MAX(key), 0): one scalar reaches the driver."""
     if existing is None:
@@ -82,16 +90,13 @@ def max_key(existing: DataFrame | None, key: str) -> int:
 
 
 def merge_new_rows(existing: DataFrame | None, batch: DataFrame, natural_key, key: str | None,
-                   order_by=None, *, materialize: bool = True,
-                   return_new: bool = False, **dense_opts):
+                   order_by=None, *, return_new: bool = False, **dense_opts):
     """Stored rows UNION ALL unmatched batch rows numbered after the current maximum.
 
     ``existing`` may be None (first load). ``batch`` carries the table's columns
     except ``key``. ``order_by`` (default: the natural key) orders the new keys.
-    ``materialize`` writes the new rows once before numbering them, so the
-    anti join is not recomputed by the numbering passes. ``key=None`` keeps
-    the batch's own identifiers (a natural key): unmatched rows are appended
-    as they are.
+    ``key=None`` keeps the batch's own identifiers (a natural key): unmatched
+    rows are appended as they are.
     """
     if isinstance(natural_key, str):
         natural_key = [natural_key]
@@ -103,8 +108,8 @@ def merge_new_rows(existing: DataFrame | None, batch: DataFrame, natural_key, ke
         merged = fresh if existing is None else existing.unionByName(fresh)
         return (merged, fresh) if return_new else merged
     start = max_key(existing, key)
-    numbered = dense_key(fresh, order_by, key, start=start, materialize=materialize,
-                         **dense_opts)
+    # one row per natural key is left, so the rows differ
+    numbered = dense_key(fresh, order_by, key, start=start, unique=True, **dense_opts)
     out_cols = existing.columns if existing is not None else [key, *cols]
     numbered = numbered.select(*out_cols)
     merged = numbered if existing is None else existing.unionByName(numbered)

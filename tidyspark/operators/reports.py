@@ -90,7 +90,7 @@ def rank_by_frequency(bridge: DataFrame, item: str, dim: DataFrame, dim_key: str
     counts = bridge.groupBy(item).agg(F.count(F.lit(1)).alias("__n"))
     named = _names(counts, item, dim, dim_key, [name])
     ranked = dense_key(named, [-F.col("__n"), F.col(name).isNull(), F.col(name)], rank_name,
-                       tie_break=[item])
+                       tie_break=[item], unique=True)
     cols = [rank_name, F.col(name).alias(label or name)]
     if count_name:
         cols.append(F.col("__n").alias(count_name))

@@ -85,15 +85,15 @@ def stage_sightings(sightings: DataFrame) -> DataFrame:
 class _Keyer:
     """Fresh build (dense keys from 1) or merge into stored tables."""
 
-    def __init__(self, spark: SparkSession, store: str | None, cut: bool = True):
-        self.spark, self.store, self.cut = spark, store, cut
+    def __init__(self, spark: SparkSession, store: str | None):
+        self.spark, self.store = spark, store
 
     def __call__(self, name: str, rows: DataFrame, natural_key, key: str, order_by=None,
                  columns=None) -> DataFrame:
         natural_key = list(natural_key)
         if self.store is None:
             # numbering leaves the rows written, in order: later passes read that file
-            out = dense_key(rows.distinct(), order_by or natural_key, key, materialize=self.cut)
+            out = dense_key(rows.distinct(), order_by or natural_key, key, unique=True)
         else:
             out = merge_into_path(self.spark, f"{self.store.rstrip('/')}/{name}", rows,
                                   natural_key, key, order_by, schema=SCHEMAS[name])
@@ -144,7 +144,7 @@ def normalize_survey(spark: SparkSession, visits: DataFrame, sightings: DataFram
     ``cut_lineage`` writes the staged inputs and each keyed table once below
     the checkpoint folder, so the passes that number and join back read files
     instead of recomputing the staging."""
-    key = _Keyer(spark, store, cut_lineage)
+    key = _Keyer(spark, store)
     wanted = _with_references(REFERS_TO if only is None else only)
     t: dict[str, DataFrame] = {}
     if wanted & VISIT_TABLES:
