@@ -1,5 +1,8 @@
 """Parsers and cleaners on hand-made cells with expected values worked out by hand."""
 
+import random
+import re
+
 from pyspark.sql import functions as F
 
 from tidyspark.functions import parse as P
@@ -115,3 +118,76 @@ def test_parsers_stay_in_jvm(spark):
                     F.explode(P.items_outside_parens("s")))
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "PythonUDF" not in plan and "BatchEvalPython" not in plan
+
+
+def _depth_items(text):
+    """Items by walking over the letters."""
+    out, depth, item = [], 0, ""
+    for ch in text:
+        if ch == "," and depth == 0:
+            out.append(item)
+            item = ""
+            continue
+        depth = max(0, depth + (ch == "(") - (ch == ")"))
+        item += ch
+    return [x.strip(" ") for x in [*out, item] if x]
+
+
+def _depth_note(text):
+    """Value and note with a stack of open parentheses."""
+    stack, pairs = [], {}
+    for i, ch in enumerate(text):
+        if ch == "(":
+            stack.append(i)
+        elif ch == ")" and stack:
+            pairs[stack.pop()] = i
+    value, notes, i = "", [], 0
+    while i < len(text):
+        if i in pairs:
+            notes.append(text[i + 1:pairs[i]].strip(" "))
+            i = pairs[i]
+        else:
+            value += text[i]
+        i += 1
+    return value.strip(" "), ", ".join(notes)
+
+
+def test_nested_and_unbalanced_parentheses(spark):
+    rnd = random.Random(11)
+    cells = ["Dogs (a (b), c), Cats", "Dogs (a (b))", "a (b, (c, d (e, f)) g), h) i, (j", "((a), b), c", "()(()), ,",
+             "x (y (z", "x) y (z (w)) v"]
+    cells += ["".join(rnd.choice(["(", ")", ",", "a", " b", "é"]) for _ in range(rnd.randint(1, 30))) for _ in range(400)]
+    cells += ["".join(rnd.choice("((,))ab ") for _ in range(n)) for n in (255, 256, 257, 511, 2000)]
+    df = spark.createDataFrame([(i, c) for i, c in enumerate(cells)], "i int, s string")
+    got = df.select("i", P.items_outside_parens("s").alias("items"), P.split_note("s").alias("n"),
+                    P.strip_parens("s").alias("stripped")).orderBy("i").collect()
+    for r, c in zip(got, cells):
+        if "(" not in c:
+            assert r["items"] == _depth_items(c), c
+        if re.search(P.NESTED, c):
+            assert r["items"] == _depth_items(c) and tuple(r.n) == _depth_note(c), c
+            assert r.stripped == _depth_note(c)[0]
+
+
+def test_nested_cells_of_any_length(spark):
+    df = spark.range(1).select(
+        F.concat(F.lit("d (a (b), "), F.repeat(F.lit("x"), 1_000_000), F.lit("), y")).alias("long"),
+        F.concat(F.lit("v (("), F.repeat(F.lit("a (b, c), "), 20_000), F.lit(")), w")).alias("notes"),
+        F.concat(F.repeat(F.lit("i (n (m, o)), "), 20_000), F.lit("last")).alias("items"))
+    long, notes, items = df.select(*[P.items_outside_parens(c) for c in df.columns]).first()
+    assert [len(x) for x in long] == [1_000_011, 1] and [len(x) for x in notes] == [200_006, 1]
+    assert len(items) == 20_001 and set(items[:-1]) == {"i (n (m, o))"}
+    n = df.select(P.split_note("items")).first()[0]
+    assert n.note == ", ".join(["n (m, o)"] * 20_000) and n.value.endswith("last")
+
+
+def test_signs_cases_decimals_and_text_behind_sections(spark):
+    number = lambda v, **kw: _one(spark, v, P.extract_number("s", **kw))
+    assert number("-5 degrees") == -5 and number("43 Degrees") == 43 and number("40-45 degrees") == 45
+    assert number("about +7.5 DEGREES", type_="double") == 7.5 and number("-0.5 degrees", type_="double") == -0.5
+    assert number("gales -3", fallback=True) == -3 and number("x2-3", unit=None) == 2
+    section = lambda v: _one(spark, v, P.section_name("s"))
+    assert section("Park (Section A) North") == "A"
+    assert section("Park (Section A (east (far)) end) North").lower() == "a (east (far)) end"
+    assert section("Walk Section North") == "North" and section("Walk (Section )") == ""
+    assert _one(spark, "Park (a (b) c) Hill", P.strip_parens("s")) == "Park  Hill"

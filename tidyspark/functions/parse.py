@@ -23,10 +23,16 @@ ITEM_OUTSIDE_PARENS = r"(?:[^,(]++|\([^)]*+\)?)++"
 # A parenthetical note and its body.
 PAREN_NOTE = r"\([^)]*\)"
 PAREN_BODY = r"\(([^)]*)\)"
+# A parenthesis opened before the last one was closed: the three patterns above don't hold there.
+NESTED = r"\([^)]*\("
+# Markers of a list and the runs between them.
+MARKERS_AND_RUNS = r"[(),]|[^(),]++"
 # Clause words that start an observation ("mild but damp", "mild with showers").
 CLAUSE_WORDS = ("but", "with")
-# A number, its decimals and a suffix such as "-ish", before a unit.
-MEASURE = r"(\d+)(?:\.\d+)?(?:-?[A-Za-z]+)?\s*"
+# A number with its sign (the dash of "20-30" is none).
+WHOLE = r"(?:(?<![\w.)])[+-])?\d+"
+# A number, its decimals and a suffix such as "-ish", before a unit in any case.
+MEASURE = "(" + WHOLE + r")(?:\.\d+)?(?:-?[A-Za-z]+)?\s*(?i)"
 # Unit that follows a temperature.
 TEMPERATURE_UNIT = "degrees"
 # -----------------------------------------------------------------------------
@@ -97,18 +103,22 @@ def parse_range(c, default: int | None = None) -> Column:
     return F.struct(mn.alias("min"), mx.alias("max"))
 
 
-def extract_number(c, unit: str | None = TEMPERATURE_UNIT, fallback: bool = False) -> Column:
-    """The whole number written before ``unit`` ("43.5 degrees", "40-ish degrees"); NULL if none.
+def extract_number(c, unit: str | None = TEMPERATURE_UNIT, fallback: bool = False, type_: str = "int") -> Column:
+    """The number written before ``unit`` ("43 Degrees", "-5 degrees", "40-ish degrees"); NULL if none.
 
-    With ``fallback`` the first number anywhere is used when no unit follows.
+    ``type_="int"`` gives its whole part, ``"double"`` also its decimals. With
+    ``fallback`` the first number anywhere is used when no unit follows.
     """
     s = _c(c)
+    whole, measure = WHOLE, MEASURE
+    if type_ != "int":
+        whole = WHOLE + r"(?:\.\d+)?"
+        measure = MEASURE.replace("(" + WHOLE + r")(?:\.\d+)?", "(" + whole + ")")
+    first = F.regexp_extract(s, "(" + whole + ")", 1).try_cast(type_)
     if unit is None:
-        return F.regexp_extract(s, r"(\d+)", 1).try_cast("int")
-    before_unit = F.regexp_extract(s, MEASURE + unit, 1).try_cast("int")
-    if fallback:
-        return F.coalesce(before_unit, F.regexp_extract(s, r"(\d+)", 1).try_cast("int"))
-    return before_unit
+        return first
+    before_unit = F.regexp_extract(s, measure + unit, 1).try_cast(type_)
+    return F.coalesce(before_unit, first) if fallback else before_unit
 
 
 # -- structure ----------------------------------------------------------------------
@@ -122,10 +132,105 @@ def split_head_tail(c, sep: str = ",") -> Column:
     return F.struct(head.alias("head"), tail.alias("tail"))
 
 
+# Nested parentheses: the cell is cut into markers and runs once, and a running depth
+# goes over these pieces. All of it is one expression, so a value that several
+# steps need is bound to a lambda's variable and evaluated once a row.
+
+CHUNK = 256                  # pieces whose depths are found from one starting depth
+
+
+def _let(value: Column, then) -> Column:
+    """``then(value)`` with ``value`` evaluated once."""
+    return F.get(F.transform(F.array(value), then), 0)
+
+
+def _fields(**values: Column) -> Column:
+    """A struct whose names hold inside lambdas."""
+    return F.named_struct(*[x for k, v in values.items() for x in (F.lit(k), v)])
+
+
+def _pieces(s: Column) -> Column:
+    return F.regexp_extract_all(s, F.lit(MARKERS_AND_RUNS), 0)
+
+
+def _step(depth: Column, delta: Column) -> Column:
+    """A closing parenthesis without an opening one leaves the depth at zero."""
+    return F.greatest(depth + delta, F.lit(0))
+
+
+def running_depth(deltas: Column) -> Column:
+    """The depth before each of an array's steps (+1, 0, -1), never under zero.
+
+    Arrays can only grow by copying, so they grow a chunk at a time: a chunk takes a
+    depth d to max(end, d + sum), where end is its result from depth zero; starting depths
+    follow from these pairs, and each chunk then counts from its own.
+    """
+    def of(x):
+        chunks = F.transform(F.sequence(F.lit(0), F.floor((F.size(x) - 1) / CHUNK).cast("int")),
+                             lambda k: F.slice(x, k * CHUNK + 1, F.lit(CHUNK)))
+        return _let(chunks, counted)
+
+    def counted(chunks):
+        effects = F.transform(chunks, lambda c: _fields(
+            end=F.aggregate(c, F.lit(0), _step), sum=F.aggregate(c, F.lit(0), lambda a, v: a + v)))
+        starts = F.aggregate(effects, F.array(F.lit(0)), lambda a, e: F.array_append(
+            a, F.greatest(e["end"], F.element_at(a, -1) + e["sum"])))
+        # the depth behind the last step is left out in every chunk, and the last start
+        return F.flatten(F.zip_with(chunks, F.slice(starts, F.lit(1), F.size(chunks)), lambda c, d: F.slice(
+            F.aggregate(c, F.array(d), lambda a, v: F.array_append(a, _step(F.element_at(a, -1), v))),
+            F.lit(1), F.size(c))))
+
+    return F.when(F.size(deltas) > 0, _let(deltas, of)).otherwise(F.array().cast("array<int>"))
+
+
+def _places(flags: Column) -> Column:
+    """1-based places of the true ones in an array of booleans."""
+    return F.filter(F.transform(flags, lambda f, i: F.when(f, i + 1)), lambda i: i.isNotNull())
+
+
+def _between(pieces: Column, ends: Column) -> Column:
+    """The text between one place and the next, for an array of (after, before) places."""
+    return F.transform(ends, lambda e: F.array_join(
+        F.slice(pieces, e["after"] + 1, F.greatest(e["before"] - e["after"] - 1, F.lit(0))), ""))
+
+
+def _nested_items(s: Column) -> Column:
+    def of(pieces):
+        deltas = F.transform(pieces, lambda x: F.when(x == "(", 1).when(x == ")", -1).otherwise(0))
+        cuts = _places(F.zip_with(pieces, running_depth(deltas), lambda x, d: (x == ",") & (d == 0)))
+        return _let(cuts, lambda at: F.filter(_between(pieces, F.zip_with(
+            F.concat(F.array(F.lit(0)), at), F.concat(at, F.array(F.size(pieces) + 1)),
+            lambda a, b: _fields(after=a, before=b))), lambda x: x != ""))
+    return _let(_pieces(s), of)
+
+
+def _nested_note(s: Column) -> Column:
+    def of(pieces):
+        # an opening parenthesis is one only if some closing one is left for it, read from the end
+        back = running_depth(F.transform(F.reverse(pieces), lambda x: F.when(x == ")", 1).when(x == "(", -1).otherwise(0)))
+        deltas = F.zip_with(pieces, F.reverse(back), lambda x, left: F.when((x == "(") & (left > 0), 1)
+                            .when(x == ")", -1).otherwise(0))
+        return _let(deltas, lambda step: _let(F.zip_with(running_depth(step), step, lambda d, v: _fields(
+            depth=d, step=v)), lambda at: parts(pieces, at)))
+
+    def parts(pieces, at):
+        opens = _places(F.transform(at, lambda z: (z["depth"] == 0) & (z["step"] == 1)))
+        closes = _places(F.transform(at, lambda z: (z["depth"] == 1) & (z["step"] == -1)))
+        bodies = _between(pieces, F.zip_with(opens, closes, lambda a, b: _fields(after=a, before=b)))
+        outside = F.zip_with(pieces, at, lambda x, z: F.when((z["depth"] == 0) & (z["step"] < 1), x))
+        return _fields(value=F.trim(F.array_join(outside, "")),
+                       note=F.array_join(F.transform(bodies, lambda x: F.trim(x)), ", "))
+    return _let(_pieces(s), of)
+
+
 def items_outside_parens(c) -> Column:
-    """Comma-separated items as an array; commas inside parentheses do not split."""
-    return F.transform(F.regexp_extract_all(_c(c), F.lit(ITEM_OUTSIDE_PARENS), 0),
-                       lambda x: F.trim(x))
+    """Comma-separated items as an array; commas inside parentheses, nested ones too, do not split.
+
+    A parenthesis that is never closed reaches to the end; one that closes nothing is text.
+    """
+    s = _c(c)
+    plain = F.regexp_extract_all(s, F.lit(ITEM_OUTSIDE_PARENS), 0)
+    return F.transform(F.when(s.rlike(NESTED), _nested_items(s)).otherwise(plain), lambda x: F.trim(x))
 
 
 def split_items(c, sep: str = ",") -> Column:
@@ -134,11 +239,16 @@ def split_items(c, sep: str = ",") -> Column:
 
 
 def split_note(c) -> Column:
-    """struct(value, note): value without parentheticals, their bodies joined by ", " ('' if none)."""
+    """struct(value, note): value without parentheticals, their bodies joined by ", " ('' if none).
+
+    A note ends where its own parenthesis closes; notes inside it are part of
+    its body. Parentheses without a partner are text.
+    """
     s = _c(c)
     value = F.trim(F.regexp_replace(s, PAREN_NOTE, ""))
     note = F.array_join(F.transform(F.regexp_extract_all(s, F.lit(PAREN_BODY), 1), lambda x: F.trim(x)), ", ")
-    return F.struct(value.alias("value"), note.alias("note"))
+    # one struct, so that value and note share the scan
+    return F.when(s.rlike(NESTED), _nested_note(s)).otherwise(_fields(value=value, note=note))
 
 
 def clause_pattern(words=CLAUSE_WORDS) -> str:
@@ -166,7 +276,7 @@ def descriptors_after(c, marker: str = TEMPERATURE_UNIT, default: str = MISSING,
     The same parser serves the vocabulary and the bridge.
     """
     s = F.coalesce(_c(c), F.lit(""))
-    after = F.regexp_replace(s, r"(?s)^(.*?)" + MEASURE.replace(r"(\d+)", r"\d+") + marker, "$1")
+    after = F.regexp_replace(s, r"(?s)^(.*?)" + MEASURE.replace("(" + WHOLE + ")", WHOLE) + marker, "$1")
     pat = clause_pattern(words)
     clause = F.regexp_extract(after, pat, 0)
     body = F.regexp_replace(after, pat, "")
@@ -184,16 +294,27 @@ def split_hier_id(c, sep: str = ".", type_: str = "bigint") -> Column:
 
 def strip_parens(c) -> Column:
     """Name without parenthetical notes."""
-    return F.trim(F.regexp_replace(_c(c), PAREN_NOTE, ""))
+    s = _c(c)
+    return F.when(s.rlike(NESTED), _nested_note(s)["value"]).otherwise(F.trim(F.regexp_replace(s, PAREN_NOTE, "")))
+
+
+def _before_closing(s: Column) -> Column:
+    """Text up to the first parenthesis that closes none opened in it."""
+    def of(pieces):
+        deltas = F.transform(pieces, lambda x: F.when(x == "(", 1).when(x == ")", -1).otherwise(0))
+        ends = _places(F.zip_with(pieces, running_depth(deltas), lambda x, d: (x == ")") & (d == 0)))
+        end = F.coalesce(F.get(ends, 0), F.size(pieces) + 1)
+        return F.array_join(F.slice(pieces, F.lit(1), end - 1), "")
+    return (F.when(~s.contains(")"), s).when(s.rlike(r"^[^()]*\)"), F.substring_index(s, ")", 1))
+            .otherwise(_let(_pieces(s), of)))
 
 
 def section_name(c, marker: str = "section") -> Column:
-    """Section label from "Park (Section North of the Mill)" -> "North Of The Mill".
+    """Section label from "Park (Section North of the Mill) East" -> "North Of The Mill".
 
-    All text after the first case-insensitive marker, closing parenthesis
-    removed, initcap'ed; NULL when the marker is absent.
+    Text after the first case-insensitive marker up to the parenthesis that
+    closes the one it stands in (else to the end), initcap'ed; NULL when the marker is absent.
     """
     low = F.lower(_c(c))
     rest = F.substr(low, F.locate(marker, low) + len(marker))
-    rest = F.trim(F.regexp_replace(rest, r"\)\s*$", ""))
-    return F.when(low.contains(marker), F.initcap(rest))
+    return F.when(low.contains(marker), F.initcap(F.trim(_before_closing(F.trim(rest)))))
