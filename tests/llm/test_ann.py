@@ -106,3 +106,17 @@ def test_recall_and_scores_of_the_query(spark):
 def test_prefix_length():
     a = np.array([0, 1, 1 << 47, (1 << 48) - 1])
     assert ann.prefix_length(a, np.zeros(4, np.int64)).tolist() == [48, 47, 0, 0]
+
+
+def test_ties_at_the_last_place_go_to_smaller_ids(spark):
+    rnd = np.random.default_rng(8)
+    x = rnd.integers(-1, 2, (600, 6)).astype(float)
+    rows = [(i, [float(v) for v in r]) for i, r in enumerate(x) if np.abs(r).sum()]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for r in ann.nearest(df, F.col("vec_id") % 20 == 0, k=5, target=1.0).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    by_id = dict(rows)
+    for q, found in got.items():
+        want = sorted((-sum(a * b for a, b in zip(by_id[q], v)), i) for i, v in rows if i != q)[:5]
+        assert [(i, -s) for s, i in want] == [(i, s) for _, i, s in sorted(found)], q

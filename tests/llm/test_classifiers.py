@@ -151,3 +151,25 @@ def test_language_held_out(spark):
 def test_memo_is_bounded():
     memo = Memo(lambda k: k * 2, 10)
     assert [memo[i % 25] for i in range(100)] == [i % 25 * 2 for i in range(100)] and len(memo) <= 10
+
+
+def test_worker_objects_are_kept_by_content():
+    from tidyspark.llm.common import content_key, worker_cached
+    a, b = [f"piece{i}" for i in range(100)], [f"other{i}" for i in range(100)]
+    assert content_key(a) != content_key(b) and content_key(["ab", "c"]) != content_key(["a", "bc"])
+    assert content_key(["a"], "b") != content_key("a", ["b"]) and content_key(list(a)) == content_key(a)
+    assert worker_cached(("t", content_key(a)), lambda: a) is a and worker_cached(("t", content_key(b)), lambda: b) is b
+
+
+def test_languages_written_without_spaces_are_learned_from_whole_runs(spark):
+    rnd = random.Random(4)
+
+    def text(letters):
+        return "".join(rnd.choice(letters) for _ in range(400))
+
+    one, two = "あいうえおかきくけこさしすせそ", "가나다라마바사아자차카타파하"
+    rows = [(i, text(one if i % 2 else two), "ja" if i % 2 else "ko") for i in range(40)]
+    d = docs(spark, rows)
+    model = langid.train(d, F.col("doc_id") < 30, P.path("piece_bpe_32k.model"))
+    out, name = langid.predict(d, model, keep=["doc_id", "lang"])
+    assert all(r.p == r.lang for r in out.where("doc_id >= 30").select("lang", F.col(f"{name}.lang_pred").alias("p")).collect())

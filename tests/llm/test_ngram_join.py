@@ -116,3 +116,16 @@ def test_components(spark):
     got = {x.node: x.root for x in components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == {x: find(x) for x in parent if find(x) != x}
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_bands_for_every_similarity():
+    import math
+    for s in (0.99, 0.5, 0.3, 0.2, 0.1):
+        bands, rows = J.choose_bands(s, 0.9, 200)
+        assert 1 - (1 - s ** rows) ** bands >= 0.9 and bands * rows <= 200
+    assert J.choose_bands(1.0, 0.9) == (1, 32)
+    with pytest.raises(ValueError, match="needs 90 hashes"):
+        J.choose_bands(0.05, 0.99, 64)
+    for bad in (0.0, -1.0, 1.1, math.nan):
+        with pytest.raises(ValueError):
+            J.choose_bands(bad, 0.9)

@@ -1,9 +1,12 @@
 import gzip
 import hashlib
 import os
+import pathlib
 import random
 import tempfile
 
+import pytest
+
 from tidyspark.llm import warc
 
 SCHEMA = "page_id long, url string, html string, node string, payload string, of_digest string"
@@ -149,3 +152,29 @@ def test_gaps_are_logged(spark):
     rows = warc.read_archives(spark, folder).orderBy("start_byte").collect()
     assert [(r.kind, r.record_id) for r in rows] == [("record", 1), ("gap", None), ("record", 2)]
     assert rows[1].end_byte - rows[1].start_byte == 4 and rows[1].reason == "no version line"
+
+
+@pytest.mark.parametrize("filler", [b"WARC/1.0\r\n", b"WARC/1.0\n", b"WARC/1.0\r\nA: b\r\n", b"\x1f\x8b\x08",
+                                    b"\x1f\x8b\x08\x08", b"\x1f\x8b\x08\x00\x00\x00\x00\x00\x00\x03"])
+def test_salvage_time_grows_with_size(filler):
+    import time
+
+    def seconds(n):
+        data = filler * (n // len(filler))
+        t = time.process_time()
+        found = list(warc.salvage(data + warc.record_bytes(1, "u", b"x", hashlib.sha1(b"x").hexdigest(), None, True)))
+        assert [f[0] for f in found] == ["gap", "record"]
+        return time.process_time() - t
+    small = seconds(250_000)
+    assert seconds(1_000_000) < 8 * small + 1.0
+
+
+def test_archives_are_bounded_in_bytes(spark, tmp_store):
+    import random
+    rnd = random.Random(3)
+    pages = spark.createDataFrame([(i, "u", "".join(rnd.choices("abcdefghijklmnop", k=20_000))) for i in range(60)],
+                                  "page_id long, url string, html string").coalesce(1)
+    warc.write_archives(warc.plan_records(pages), f"{tmp_store}/w", archive_bytes=200_000)
+    files = [p for p in pathlib.Path(f"{tmp_store}/w").rglob("part-*")]
+    assert len(files) > 1 and max(p.stat().st_size for p in files) < 250_000
+    assert warc.read_archives(spark, f"{tmp_store}/w").where("kind = 'record'").count() == 60

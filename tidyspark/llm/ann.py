@@ -283,11 +283,18 @@ def nearest(df: DataFrame, is_query: Column, id_col: str = "vec_id", vec: str =
             begin = np.searchsorted(keys, low)
             end = np.searchsorted(keys, low + (np.int64(1) << bits))
             products = y @ x.T
+            scale = np.sqrt((y * y).sum(axis=1)) * largest
             for i, (s, e, rep) in enumerate(zip(begin, end, part["rep"])):
                 if s < e:
                     some = products[i, s:e]
-                    top = s + (np.argpartition(-some, k)[:k + 1] if e - s > k + 1 else np.arange(e - s))
-                    out.append((rep, reps[top].tolist(), (x[top] * y[i]).sum(axis=1).tolist()))
+                    top = np.arange(s, e)
+                    if e - s > k + 1:
+                        # all that may equal the last place, whatever the rounding of either way to multiply
+                        last = np.partition(some, e - s - k - 1)[e - s - k - 1]
+                        top = s + np.flatnonzero(some >= last - 1e-9 * scale[i])
+                    exact = (x[top] * y[i]).sum(axis=1)
+                    first = np.lexsort((reps[top], -exact))[:k + 1]
+                    out.append((rep, reps[top][first].tolist(), exact[first].tolist()))
         return pd.DataFrame(out, columns=["rep", "found", "score"]) if out else _empty("rep", "found", "score")
 
     def scored(dealt, asked_in, *of):

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidyspark.llm.common import (Memo, append_struct, arrow_type, broadcast_value, fresh_name,
+from tidyspark.llm.common import (Memo, append_struct, arrow_type, broadcast_value, content_key, fresh_name,
                                   ship_code, whole_chunks, worker_cached)
 from tidyspark.llm.token_counts import PLAIN, plain_pattern
 
@@ -215,8 +215,8 @@ def encoder_of(spark, ranks_path: str, pattern: str):
     """A function for tasks that gives the worker's encoder; the vocabulary (fixed size) is broadcast."""
     tokens = read_ranks(ranks_path)
     model = broadcast_value(spark, (tokens, Merges(tokens).parts))
-    return lambda: worker_cached(("byte_bpe", ranks_path, pattern),
-                                 lambda: PrefixEncoder(*model.value, pattern))
+    key = content_key(tokens, pattern)
+    return lambda: worker_cached(("byte_bpe", key), lambda: PrefixEncoder(*model.value, pattern))
 
 
 FIELDS = T.StructType([T.StructField("ids", T.ArrayType(T.IntegerType()))])
@@ -250,15 +250,15 @@ def _bytes_of(vocabulary: pa.Array, lists: pa.ListArray) -> pa.Array:
 def decode(df: DataFrame, ranks_path: str, ids, keep: list[str] | None = None) -> tuple[DataFrame, str]:
     """Append a binary column with the bytes of the identifiers in column ``ids``."""
     ship_code(df.sparkSession)
-    tokens = broadcast_value(df.sparkSession, read_ranks(ranks_path))
+    ranks = read_ranks(ranks_path)
+    tokens, key = broadcast_value(df.sparkSession, ranks), content_key(ranks)
     keep = list(df.columns) if keep is None else list(keep)
     out, probe = fresh_name(df, "llm_bytes"), fresh_name(df, "llm_ids")
     picked = df.select(*[df[c] for c in keep], F.coalesce(ids, F.array().cast("array<int>")).alias(probe))
     schema = T.StructType([picked.schema[c] for c in keep] + [T.StructField(out, T.BinaryType())])
 
     def run(batches):
-        vocabulary = worker_cached(("byte_bpe_tokens", ranks_path),
-                                   lambda: pa.array(tokens.value, pa.large_binary()))
+        vocabulary = worker_cached(("byte_bpe_tokens", key), lambda: pa.array(tokens.value, pa.large_binary()))
         for b in batches:
             yield pa.RecordBatch.from_arrays(
                 [*(b.column(i) for i in range(len(keep))), _bytes_of(vocabulary, b.column(len(keep)))],
@@ -273,11 +273,11 @@ ROUND_TRIP = T.StructType([*FIELDS.fields, T.StructField("decoded", T.BinaryType
 def round_trip(df: DataFrame, ranks_path: str, pattern: str, text: str = "text",
                keep: list[str] | None = None) -> tuple[DataFrame, str]:
     """Append a struct (ids, decoded): encode and decode in one task, so that one worker process serves both."""
-    get = encoder_of(df.sparkSession, ranks_path, pattern)
+    get, key = encoder_of(df.sparkSession, ranks_path, pattern), content_key(read_ranks(ranks_path))
 
     def per_texts(texts):
         lists = _id_lists(get(), texts)
-        vocabulary = worker_cached(("byte_bpe_tokens", ranks_path), lambda: pa.array(get().tokens, pa.large_binary()))
+        vocabulary = worker_cached(("byte_bpe_tokens", key), lambda: pa.array(get().tokens, pa.large_binary()))
         return [lists, _bytes_of(vocabulary, lists)]
 
     return append_struct(df, text, ROUND_TRIP, per_texts, keep)

@@ -8,6 +8,7 @@ column under a name the input does not use, so extra columns with any name
 
 from __future__ import annotations
 
+import hashlib
 import os
 import tempfile
 import uuid
@@ -82,6 +83,22 @@ def broadcast_value(spark: SparkSession, value):
     return spark.sparkContext.broadcast(value)
 
 
+def content_key(*parts) -> str:
+    """A key for ``worker_cached`` that differs when the contents do: bytes, texts, numbers, or lists of these."""
+    digest = hashlib.sha256()
+
+    def add(x):
+        if isinstance(x, (list, tuple)):
+            digest.update(b"[%d]" % len(x))
+            for y in x:
+                add(y)
+            return
+        data = x if isinstance(x, bytes) else x.tobytes() if isinstance(x, np.ndarray) else str(x).encode()
+        digest.update(b"%d:" % len(data) + data)
+    add(parts)
+    return digest.hexdigest()
+
+
 _WORKER: dict = {}
 
 

@@ -31,12 +31,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidyspark.llm.common import (append_struct, broadcast_value, fresh_name, ship_code, text_slices,
+from tidyspark.llm.common import (append_struct, broadcast_value, content_key, ship_code, text_slices,
                                   whole_chunks, worker_cached, write_stage)
 
 WORDS = re.compile(r"[^\W\d_]+")
 START = "▁"                  # marks the beginning of a word in the vocabulary
-LONGEST_TRAINED = 48
+LONGEST_TRAINED = 48         # letters of a training word
 UNKNOWN = 1e-9               # probability of a character that is no piece, in every language
 LIFT = 30.0                  # factor per character that keeps products near one
 LEAST = 1e-200               # words with smaller products are summed with other scales
@@ -210,8 +210,9 @@ def train(df: DataFrame, learn: Column, model_path: str, text: str = "text", lan
                 found: dict = {}
                 for k, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                     for w in letters(t):
-                        if len(w) <= LONGEST_TRAINED:
-                            found[k, w] = found.get((k, w), 0) + 1
+                        for at in range(0, len(w), LONGEST_TRAINED):       # a longer run teaches piece by piece
+                            piece = k, w[at:at + LONGEST_TRAINED]
+                            found[piece] = found.get(piece, 0) + 1
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([k for k, _ in found], pa.string()), pa.array([w for _, w in found], pa.string()),
                      pa.array(list(found.values()), pa.int64())], names=["lang", "word", "n"])
@@ -222,12 +223,12 @@ def train(df: DataFrame, learn: Column, model_path: str, text: str = "text", lan
                             for k in languages]).alias("weight")), "langid-words")
     n, size = len(languages), len(pieces)
     prob = np.full((size, n), 1.0 / size)
-    vocabulary = broadcast_value(spark, pieces)
+    vocabulary, of_pieces = broadcast_value(spark, pieces), content_key(pieces)
     for _ in range(rounds):
         model = broadcast_value(spark, prob)
 
         def expect(batches):
-            lattice = worker_cached(("langid_lattice", size), lambda: Lattice(vocabulary.value))
+            lattice = worker_cached(("langid_lattice", of_pieces), lambda: Lattice(vocabulary.value))
             lifted, total = _lifted(model.value, lattice), 0.0
             for b in batches:
                 for a in range(0, b.num_rows, 5000):
@@ -290,7 +291,7 @@ def predict(df: DataFrame, model, text: str = "text", keep: list[str] | None = N
     """Append a struct (lang_pred, score); returns the frame and the struct's name."""
     languages, pieces, prob = model
     shared = broadcast_value(df.sparkSession, (languages, pieces, prob))
-    token = fresh_name(df, "langid") + str(hash(prob.tobytes()))
+    token = content_key(languages, pieces, prob)
 
     def per_texts(texts):
         names, own_pieces, own_prob = shared.value

@@ -43,13 +43,21 @@ MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
 def choose_bands(similarity: float, recall: float, most_hashes: int = 128) -> tuple[int, int]:
-    """(bands, rows): the most rows whose bands reach the recall at the similarity within the hash budget."""
-    best = (1, 1)
+    """(bands, rows): the most rows whose bands reach the recall at the similarity within the hash budget.
+
+    An error if no number of rows does: fewer bands would lose pairs.
+    """
+    if not (0 < similarity <= 1 and 0 < recall < 1):
+        raise ValueError("similarity must be over 0 and at most 1, recall between 0 and 1")
+    best, needed = None, math.inf
     for rows in range(1, 33):
         hit = similarity ** rows
-        bands = 1 if hit >= 1 else math.ceil(math.log(1 - recall) / math.log(1 - hit))
+        bands = 1 if hit >= 1 else max(1, math.ceil(math.log1p(-recall) / math.log1p(-hit)))
+        needed = min(needed, bands * rows)
         if bands * rows <= most_hashes:
             best = (bands, rows)
+    if best is None:
+        raise ValueError(f"similarity {similarity} at recall {recall} needs {needed} hashes, more than {most_hashes}")
     return best
 
 

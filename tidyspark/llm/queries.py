@@ -42,9 +42,11 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     path = scratch_path(spark, "warc")
     warc.write_archives(warc.plan_records(pages), path)
-    return (warc.read_archives(spark, path, with_payload=False).where("kind = 'record'")
-            .select(F.col("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
-                    "refers_to"))
+    # archives just written have no gaps: one would mean a lost page, and ends the job
+    lost = F.raise_error(F.concat(F.lit("gap in an archive just written: "), "reason"))
+    return (warc.read_archives(spark, path, with_payload=False)
+            .select(F.when(F.col("kind") == "record", F.col("record_id")).otherwise(lost.cast("long")).alias("page_id"),
+                    "payload_bytes", "payload_digest", "record_type", "refers_to"))
 
 
 OP4_SQL = """

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidyspark.llm.common import Memo, append_struct, broadcast_value, whole_chunks, worker_cached
+from tidyspark.llm.common import Memo, append_struct, broadcast_value, content_key, whole_chunks, worker_cached
 
 END = "</w>"
 BITS = 20                      # an identifier fits in so many bits
@@ -169,8 +169,9 @@ def count_tokens(df: DataFrame, vocab_path: str, limit: int = 2048, text: str =
     driver and broadcast, so executors need no copy of it.
     """
     with open(vocab_path, encoding="utf-8") as f:
-        definition = broadcast_value(df.sparkSession, f.read())
-    key = ("token_counts", vocab_path)
+        vocabulary = f.read()
+    definition = broadcast_value(df.sparkSession, vocabulary)
+    key = ("token_counts", content_key(vocabulary))
 
     def per_texts(texts):
         counter = worker_cached(key, lambda: WordCounter(definition.value))

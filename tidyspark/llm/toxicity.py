@@ -16,8 +16,7 @@ the toxic passages. Their surprises, -log(expectation), add up, and a logistic
 curve fitted on the training texts turns the sum into a probability.
 
 Training uses a documented bound: at most about ``most_labels`` labelled
-texts, chosen by a hash of the id, equal texts once; at most ``most_entries``
-entries. Scoring covers every word of every text.
+texts, chosen by a hash of the id, equal texts once. Scoring covers every word of every text.
 
 Defined results: a null or empty text has no segment and gets the curve's
 lowest score; repeated rows are scored row by row; repeated labels of an id
@@ -38,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidyspark.llm.common import (Memo, append_struct, broadcast_value, sampled, ship_code, text_slices,
+from tidyspark.llm.common import (Memo, append_struct, broadcast_value, content_key, sampled, ship_code, text_slices,
                                   whole_chunks, worker_cached, write_stage)
 
 WORDS = re.compile(r"[^\W\d_]+")
@@ -144,7 +143,7 @@ def _dirichlet(prior: float, toxic: Column, clean: Column, sum_toxic: float, sum
 
 
 def train(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id", text: str = "text",
-          label: str = "toxic", most_labels: int = 30_000, most_entries: int = 50_000, prior: float = 0.1,
+          label: str = "toxic", most_labels: int = 30_000, prior: float = 0.1,
           least_z: float = 3.5, significant: float = 0.05) -> Model:
     """Learn from labelled rows of ``labels`` (a predicate ``learn`` over ``id_col``) joined to ``docs``."""
     spark = docs.sparkSession
@@ -178,7 +177,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_
     odds, variance = _dirichlet(prior, F.col("toxic_texts"), F.col("clean_texts"), *sums[2:])
     chosen = [r[0] for r in counted.select("entry", odds.alias("odds"), (F.abs(odds) / F.sqrt(variance)).alias("z"))
               .where((F.col("z") >= least_z) & (F.abs("odds") >= 1.0))
-              .orderBy(F.desc("z"), "entry").limit(most_entries).select("entry").collect()]
+              .select("entry").collect()]              # words of the bounded sample
 
     # the chosen entries and "the rest" divide all words: their scores are true likelihood ratios
     share_entries = broadcast_value(spark, frozenset(chosen))
@@ -191,7 +190,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_
     per_entry = (sample.mapInArrow(_count_words(classifier), COUNTS)
                  .groupBy("entry").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")))
     ratio = {}
-    for e, t, c in per_entry.collect():                  # at most most_entries + 1 rows
+    for e, t, c in per_entry.collect():                  # a row per chosen entry
         alpha, strength = prior * (t + c), prior * (sum_toxic + sum_clean)
         ratio[e] = math.log((t + alpha) / (sum_toxic + strength)) - math.log((c + alpha) / (sum_clean + strength))
     usual = min(ratio.pop("", -1e-3), -1e-3)
@@ -224,18 +223,18 @@ def _chance(sample: DataFrame, draft: Model, sum_clean: float) -> float:
     return (n + 0.5) * math.exp(CHANCE_FLOOR) / max(sum_clean, 1.0)
 
 
-BIN, BINS = 0.5, 200
+BIN = 0.5
 
 
 def _surprises(sample: DataFrame, model: Model) -> list[tuple[float, int, int]]:
-    """(surprise, toxic texts, clean texts) in at most BINS bins."""
+    """(surprise, toxic texts, clean texts) in bins, no more than the sample has texts."""
     shared = broadcast_value(sample.sparkSession, model)
     fields = T.StructType([T.StructField("bin", T.IntegerType())])
 
     def per_texts(texts):
         m = shared.value
         memo = Memo(m.word_score)
-        return [[min(BINS - 1, int(sum(p[2] for p in m.passages(t, memo)[1]) / BIN)) for t in texts]]
+        return [[int(sum(p[2] for p in m.passages(t, memo)[1]) / BIN) for t in texts]]
 
     out, name = append_struct(sample, "text", fields, per_texts, keep=["toxic"])
     rows = (out.groupBy(F.col(f"{name}.bin").alias("bin"))
@@ -269,11 +268,11 @@ def score(df: DataFrame, model: Model, text: str = "text", threshold: float = 0.
           keep: list[str] | None = None) -> tuple[DataFrame, str]:
     """Append a struct: score, predicted, and the toxic passages as word positions with their surprise."""
     shared = broadcast_value(df.sparkSession, model)
-    token = str(id(model))
+    token = content_key(sorted(model.entries.items()), model.usual, model.chance)
 
     def per_texts(texts):
         m = shared.value
-        memo = worker_cached(("toxicity", token, m.chance), lambda: Memo(m.word_score))
+        memo = worker_cached(("toxicity", token), lambda: Memo(m.word_score))
         found = [m.passages(t, memo) for t in texts]
         scores = [m.probability(sum(p[2] for p in f)) for _, f in found]
         return [scores, [int(s >= threshold) for s in scores], [n for n, _ in found],

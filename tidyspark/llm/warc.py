@@ -7,7 +7,7 @@ separator after every row; here it is an empty gzip member, which readers of
 concatenated members skip.
 
 Reading: archives come whole through Spark's binary source (the writer bounds
-the records of an archive). The reader walks a file record by record and
+the records and bytes of an archive). The reader walks a file record by record and
 checks each one: the gzip checksum, the version line, the header block, the
 declared length, the end of record, and the SHA-1 digests of block and payload
 (of an HTTP message the payload is the entity body). When a check fails it
@@ -104,29 +104,71 @@ def plan_records(pages: DataFrame, id_col: str = "page_id", url: str = "url", pa
                          is_response.alias("is_response"))
 
 
-def write_archives(records: DataFrame, path: str, records_per_archive: int = 2000) -> None:
-    """Write planned records as archives of at most ``records_per_archive`` records below ``path``."""
+PARTS = 8                        # rows of the text sink in one archive, at most
+
+
+def write_archives(records: DataFrame, path: str, records_per_archive: int = 2000,
+                   archive_bytes: int = 64 << 20) -> None:
+    """Write planned records below ``path``, as archives of at most that many records and about that many bytes.
+
+    A row of the text sink holds the members of one part of an archive, so its rows bound
+    both; a single larger record is a part of its own.
+    """
     ship_code(records.sparkSession)
     columns = ["record_id", "url", "payload", "payload_digest", "refers_to", "is_response"]
+    parts = min(PARTS, records_per_archive)
+    most_records, most_bytes = max(1, records_per_archive // parts), max(1, archive_bytes // parts)
 
     def members(batches):
+        held, size = [], 0
+
+        def part():
+            return pa.RecordBatch.from_arrays([pa.array([EMPTY_MEMBER.join(held)], pa.binary())], names=["member"])
+
         for b in batches:
             for start in range(0, b.num_rows, 200):
-                rows = zip(*(b.column(i).slice(start, 200).to_pylist() for i in range(len(columns))))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([gzip.compress(record_bytes(*r), 6, mtime=0) for r in rows], pa.binary())],
-                    names=["member"])
+                for r in zip(*(b.column(i).slice(start, 200).to_pylist() for i in range(len(columns)))):
+                    member = gzip.compress(record_bytes(*r), 6, mtime=0)
+                    if held and (size + len(member) > most_bytes or len(held) == most_records):
+                        yield part()
+                        held, size = [], 0
+                    held.append(member)
+                    size += len(member) + len(EMPTY_MEMBER)
+        if held:
+            yield part()
 
     (records.select(*columns).mapInArrow(members, "member binary")
      .select(F.col("member").cast("string").alias("value"))     # the bytes as they are
      .write.option("encoding", "ISO-8859-1").option("lineSep", EMPTY_MEMBER.decode("latin-1"))
-     .option("maxRecordsPerFile", records_per_archive).text(path))
+     .option("maxRecordsPerFile", parts).text(path))
 
 
 class BadRecord(Exception):
     pass
 
 
+class Places:
+    """Where byte strings occur next in one buffer; an occurrence found once serves every start before it.
+
+    Starts only go on through the file, so all searches together read it once.
+    """
+
+    def __init__(self, data: bytes):
+        self.data, self.known = data, {}
+
+    def next(self, needle: bytes, at: int) -> int:
+        """The first place from ``at`` on, or the buffer's length."""
+        if at >= len(self.data):
+            return len(self.data)
+        start, found = self.known.get(needle, (0, -1))
+        if not start <= at <= found:
+            found = self.data.find(needle, at)
+            found = len(self.data) if found < 0 else found
+            self.known[needle] = (at, found)
+        return found
+
+
+MOST_HEADERS = 1 << 16            # bytes of a record's or a gzip member's header
 _MEMBER = re.compile(rb"\x1f\x8b\x08")
 _RESYNC = re.compile(rb"\x1f\x8b\x08|WARC/1\.[0-9]\r?\n")
 _VERSION = re.compile(rb"WARC/1\.[0-9]\r?\n")
@@ -161,19 +203,30 @@ def _has_digest(stated: str, data: bytes) -> bool:
     return stated[5:].upper() == _base32(found) or stated[5:].lower() == found
 
 
-def parse_record(data: bytes, at: int) -> tuple[dict, bytes, int]:
-    """The record that begins at ``data[at]``: headers, body, and the position behind it."""
-    if not _VERSION.match(data, at):
+def parse_record(data: bytes, at: int, places: Places | None = None) -> tuple[dict, bytes, int]:
+    """The record that begins at ``data[at]``: headers, body, and the position behind it.
+
+    Header lines are read one by one up to MOST_HEADERS bytes, so a version line that begins
+    no record costs no more than the lines that look like headers behind it.
+    """
+    places = places or Places(data)
+    version = _VERSION.match(data, at)
+    if not version:
         raise BadRecord("no version line")
-    end = data.find(RECORD_END, at)
-    if end < 0:
+    end = places.next(RECORD_END, at)
+    if end == len(data):
         raise BadRecord("headers not ended")
-    headers = {}
-    for line in data[at:end].split(b"\r\n")[1:]:
-        name, colon, value = line.partition(b":")
-        if not colon:
-            raise BadRecord("header without a colon")
-        headers[name.strip().lower().decode("latin-1")] = value.strip().decode("utf-8", "replace")
+    if end - at > MOST_HEADERS:
+        raise BadRecord("headers too long")
+    headers, begin = {}, at
+    while begin < end:
+        stop = min(places.next(b"\r\n", begin), end)
+        if begin > at:
+            name, colon, value = data[begin:stop].partition(b":")
+            if not colon:
+                raise BadRecord("header without a colon")
+            headers[name.strip().lower().decode("latin-1")] = value.strip().decode("utf-8", "replace")
+        begin = stop + 2
     if not re.fullmatch(r"\d{1,15}", headers.get("content-length", "")):
         raise BadRecord("no valid length")
     start = end + len(RECORD_END)
@@ -192,6 +245,24 @@ def parse_record(data: bytes, at: int) -> tuple[dict, bytes, int]:
     return headers, body, stop + len(RECORD_END)
 
 
+def _check_member_header(data: bytes, at: int, places: Places) -> None:
+    """A gzip header that ends within MOST_HEADERS bytes; its strings are looked up, not inflated."""
+    if len(data) < at + 10:
+        raise BadRecord("gzip member cut off")
+    flags, pos = data[at + 3], at + 10
+    if flags & 0xE0:
+        raise BadRecord("gzip: reserved flags")
+    if flags & 4:                                            # extra fields with their length
+        pos += 2 + int.from_bytes(data[pos:pos + 2], "little")
+    for bit in (8, 16):                                      # name and comment, each up to a zero
+        if flags & bit:
+            pos = places.next(b"\0", pos) + 1
+    if pos > len(data):
+        raise BadRecord("gzip member cut off")
+    if pos - at > MOST_HEADERS + (1 << 16):
+        raise BadRecord("gzip header too long")
+
+
 def member_at(data: bytes, at: int, window: int = 1 << 16) -> tuple[bytes, int]:
     """The gzip member at ``data[at]`` and the position behind it, read window by window."""
     unpack, parts, view, pos = zlib.decompressobj(31), [], memoryview(data), at
@@ -235,9 +306,10 @@ def partial_member(data: bytes, at: int, window: int = 1 << 16) -> tuple[bytes,
 def _records(content: bytes) -> Iterator[tuple]:
     """('record', start, end, headers, body) and ('gap', start, end, reason, None) of inflated bytes."""
     at, bad_from, reason = 0, None, ""
+    places = Places(content)
     while at < len(content):
         try:
-            headers, body, end = parse_record(content, at)
+            headers, body, end = parse_record(content, at, places)
         except BadRecord as e:
             if bad_from is None:
                 bad_from, reason = at, str(e)
@@ -253,13 +325,14 @@ def _records(content: bytes) -> Iterator[tuple]:
         yield "gap", bad_from, len(content), reason, None
 
 
-def _of_member(data: bytes, at: int) -> tuple[list[tuple], int, str | None]:
+def _of_member(data: bytes, at: int, places: Places) -> tuple[list[tuple], int, str | None]:
     """Records and gaps of the gzip member at ``data[at]``, the position behind them, and why it breaks off there.
 
     Raises BadRecord if there is content but no record in it, or a single record
     and nothing else in a member without an end.
     """
     error, behind = None, None
+    _check_member_header(data, at, places)
     try:
         content, behind = member_at(data, at)
     except BadRecord as e:
@@ -283,13 +356,14 @@ def _of_member(data: bytes, at: int) -> tuple[list[tuple], int, str | None]:
 def salvage(data: bytes) -> Iterator[tuple]:
     """('record', start, end, headers, body) and ('gap', start, end, reason, None) in file order."""
     at, bad_from, reason = 0, None, ""
+    places = Places(data)
     while at < len(data):
         broken = None
         try:
             if _MEMBER.match(data, at):
-                found, end, broken = _of_member(data, at)
+                found, end, broken = _of_member(data, at, places)
             else:
-                headers, body, end = parse_record(data, at)
+                headers, body, end = parse_record(data, at, places)
                 found = [("record", at, end, headers, body)]
         except BadRecord as e:
             if bad_from is None:
