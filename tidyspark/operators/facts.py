@@ -51,6 +51,42 @@ def lookup(fact: DataFrame, dim: DataFrame, on, dim_name: str, dim_key: str,
     return f.join(d, on=probe, how="left").drop(probe)
 
 
+TRACKED = 8192                 # values that the summary of frequent ones keeps
+MOST_HEAVY = 1000
+
+
+def heavy_hashes(df: DataFrame, value, share: float = 0.005) -> list[int]:
+    """Hashes of the values that hold at least about ``share`` of the rows, at most MOST_HEAVY.
+
+    Every task keeps a summary of TRACKED counters; the summaries are merged, so neither the values nor
+    their number reach one task. A value is left out only if it has under
+    ``share`` + 7 / TRACKED of the rows.
+    """
+    found = (df.select(F.xxhash64(_c(value)).alias("h"), _c(value).isNotNull().alias("known")).where("known")
+             .agg(F.expr(f"approx_top_k(h, {MOST_HEAVY}, {TRACKED})").alias("top"), F.count(F.lit(1)).alias("n")).first())
+    return [r["item"] for r in found["top"] if r["count"] >= share * found["n"]]
+
+
+def lookup_spread(fact: DataFrame, dim: DataFrame, on, dim_name: str, dim_key: str, as_: str | None = None,
+                  share: float = 0.005) -> DataFrame:
+    """``lookup`` for a large dimension and values that hold a large part of the fact.
+
+    Rows with a heavy value stay where they are: the dimension rows of these (at
+    most MOST_HEAVY hashes, one row per name) are broadcast. All other rows meet the rest
+    of the dimension by a shuffle, in which no value is heavy. Rows without
+    a value take part in neither join. The fact is read twice more than by ``lookup``.
+    """
+    as_ = as_ or dim_key
+    probe = "__lk_" + as_
+    f = fact.withColumn(probe, _c(on))
+    d = dim.select(F.col(dim_name).alias(probe), F.col(dim_key).alias(as_)).where(F.col(probe).isNotNull())
+    heavy = F.xxhash64(probe).isin(heavy_hashes(fact, on, share))
+    none = f.where(F.col(probe).isNull()).withColumn(as_, F.lit(None).cast(d.schema[as_].dataType))
+    stay = f.where(F.col(probe).isNotNull() & heavy).join(F.broadcast(d.where(heavy)), probe, "left")
+    rest = f.where(F.col(probe).isNotNull() & ~heavy).join(d.where(~heavy), probe, "left")
+    return rest.unionByName(stay).unionByName(none.select(*rest.columns)).drop(probe)
+
+
 def build_fact(df: DataFrame, lookups: list[dict], columns: list | None = None) -> DataFrame:
     """Chain lookups (each a dict of ``lookup`` keyword arguments) and project."""
     for spec in lookups:

@@ -9,7 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tidyspark.operators.facts import TRACKED
 from tidyspark.operators.keys import dense_key
 
 
@@ -97,6 +99,34 @@ def rank_by_frequency(bridge: DataFrame, item: str, dim: DataFrame, dim_key: str
     return ranked.select(*cols)
 
 
+def top_by_frequency(bridge: DataFrame, item: str, k: int, rank_name: str = "Top", count_name: str = "n") -> DataFrame:
+    """The first ``k`` places of the items by occurrence count (desc), ties by item, NULL last; exactly.
+
+    First every task keeps a summary of TRACKED counters of item hashes, and the merged
+    summary names all items that have more than ``7 / TRACKED`` of the rows. Only these are
+    counted, so the vocabulary is neither shuffled nor sorted. That settles the
+    result if place ``k`` has more rows than an item left out can have; otherwise
+    (a flat vocabulary, or fewer items than places) all items are counted, and each task keeps its best ``k``.
+    """
+    rows = bridge.select(F.col(item))
+    seen = rows.agg(F.expr(f"approx_top_k(xxhash64(`{item}`), {TRACKED // 4}, {TRACKED})").alias("top"),
+                    F.count(F.lit(1)).alias("n")).first()
+    hashes = [r["item"] for r in seen["top"]]            # at most TRACKED / 4 numbers
+    # the most rows that an item left out can have
+    unseen = max([7 * seen["n"] / TRACKED] + [r["count"] for r in seen["top"][TRACKED // 4 - 1:]])
+
+    def best(of: DataFrame) -> DataFrame:
+        counts = of.groupBy(item).agg(F.count(F.lit(1)).alias(count_name))
+        return counts.orderBy(F.desc(count_name), F.col(item).asc_nulls_last()).limit(k)
+
+    top = best(rows.where(F.xxhash64(item).isin(hashes)))
+    places = top.collect() if len(hashes) >= k else []           # k rows
+    if len(places) < k or places[-1][count_name] <= unseen:
+        places = best(rows).collect()
+    schema = T.StructType([T.StructField(rank_name, T.LongType()), *top.schema.fields])
+    return bridge.sparkSession.createDataFrame([(i + 1, *r) for i, r in enumerate(places)], schema)
+
+
 def count_by_attribute(fact: DataFrame, group: str, attr: str, count_name: str = "total",
                        group_dim: DataFrame | None = None, group_dim_key: str | None = None,
                        group_cols=(), attr_dim: DataFrame | None = None,

@@ -100,6 +100,12 @@ class StoredTable:
         v = self.version(number)
         return None if v is None else self._rows(v).drop(BUCKET)
 
+    def added(self, since: int) -> DataFrame | None:
+        """Rows of the highest version in folders that version ``since`` (0: none) does not have; None if none."""
+        new, old = self.version(), self.version(since) if since else Version()
+        folders = [f for f in new.folders if f not in set(old.folders)] if new else []
+        return self._rows(new, folders).drop(BUCKET) if folders else None
+
     # -- writing ---------------------------------------------------------------------
 
     def _write(self, rows: DataFrame, version: Version) -> str:
@@ -191,6 +197,22 @@ class StoredTable:
             fresh = materialize(unmatched(self._known(base, since, rows, natural_key), rows, natural_key),
                                 "store-fresh")
 
+    def append(self, rows: DataFrame, sequence: str, batch_number: int) -> bool:
+        """Add all rows of a numbered batch, unless it was added before; whether they were."""
+        folder = None
+        while True:
+            base = self.version()
+            if self._seen(base, sequence, batch_number):
+                if folder:
+                    delete(self.spark, f"{self.path}/data/{folder}")
+                return False
+            new = self._blank(rows, base.bucket_by if base else (), base)
+            folder = folder or self._write(rows, new)
+            new.batches[sequence] = batch_number
+            if self._publish(replace(new, folders=(base.folders if base else ()) + (folder,),
+                                     largest_key=base.largest_key if base else 0)):
+                return True
+
     @staticmethod
     def _seen(version: Version | None, sequence: str | None, number: int | None) -> bool:
         return bool(version and sequence is not None and number <= version.batches.get(sequence, -1))

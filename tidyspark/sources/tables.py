@@ -21,6 +21,9 @@ from tidyspark.session import materialize
 from tidyspark.sources.headers import normalize_headers
 
 
+RAW_LINE = "__raw_line"
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, *,
              header: bool = True, encoding: str = "UTF-8", normalize: bool = True,
              drop: str | None = None, multiline: bool = False,
@@ -29,11 +32,20 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
     header names, in whatever order the file has them (a missing one is an
     error); without it every column is a string. With ``normalize`` the header
     names are then normalised. A value that can't be read as its declared type
-    becomes NULL, and ``corrupt_column`` (if named) keeps that row's raw values.
+    becomes NULL, and a row with more or fewer fields than the header keeps those
+    that have a column; ``corrupt_column`` (if named) holds the raw text of all such
+    rows. ``read_csv_checked`` rejects them instead.
     """
     reader = (spark.read.option("header", header).option("encoding", encoding)
               .option("multiLine", multiline).option("mode", "PERMISSIVE"))
     df = reader.csv(path)
+    odd = F.lit(None).cast("string")
+    if schema is not None and header and corrupt_column:
+        # surplus and missing fields are seen only if every column is read as a text beside the raw line
+        texts = T.StructType([*df.schema.fields, T.StructField(RAW_LINE, T.StringType())])
+        df = (reader.option("columnNameOfCorruptRecord", RAW_LINE).option("columnPruning", False)
+              .schema(texts).csv(path))
+        odd = F.col(RAW_LINE)
     if schema is not None and header:
         absent = [f.name for f in schema.fields if f.name not in df.columns]
         if absent:
@@ -43,7 +55,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
         out = [t.alias(f.name) for t, f in zip(typed, schema.fields)]
         if corrupt_column:
             bad = reduce(lambda a, b: a | b, [r.isNotNull() & t.isNull() for r, t in zip(raw, typed)])
-            out.append(F.when(bad, F.to_csv(F.struct(*raw))).alias(corrupt_column))
+            out.append(F.coalesce(odd, F.when(bad, F.to_csv(F.struct(*raw)))).alias(corrupt_column))
         df = df.select(*out)
     elif schema is not None:
         df = reader.schema(schema).csv(path)
@@ -137,11 +149,15 @@ def read_jdbc_partitioned(spark: SparkSession, url: str, table: str, column: str
                      lower_bound=lo, upper_bound=hi, num_partitions=num_partitions)
 
 
+def _sql_literal(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
 def table_exists_jdbc(spark: SparkSession, url: str, table: str, schema: str = "public",
                       properties: dict | None = None) -> bool:
     """Catalog probe with the filter pushed to the database and at most one row read."""
     q = ("SELECT 1 AS hit FROM information_schema.tables "
-         f"WHERE table_name = '{table}' AND table_schema = '{schema}'")
+         f"WHERE table_name = {_sql_literal(table)} AND table_schema = {_sql_literal(schema)}")
     return len(read_jdbc(spark, url, query=q, properties=properties).limit(1).collect()) > 0
 
 
