@@ -111,3 +111,85 @@ def test_chat_query_equals_its_sql(spark):
     for name in ("op9_chat", "op4_warc"):
         problems, n = oracle_check.compare(entry.queries()[name](spark, SF), con, entry.oracle_sql()[name])
         assert not problems and n > 0, problems
+
+
+def _file(name):
+    return {n: t for n, t in licences.FILE_TEMPLATES}[name]
+
+
+def _commented(text, mark="# ", width=60):
+    out, line = [], ""
+    for w in text.split():
+        if len(line) + len(w) > width:
+            out.append(mark + line)
+            line = ""
+        line += w + " "
+    return "\n".join([*out, mark + line])
+
+
+HEADERS = {
+    "GPL-2.0": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General "
+               "Public License as published by the Free Software Foundation; either version 2 of the License, or (at your "
+               "option) any later version. This program is distributed in the hope that it will be useful.",
+    "GPL-3.0": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
+               "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
+               "option) any later version.",
+    "AGPL-3.0": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero "
+                "General Public License as published by the Free Software Foundation, either version 3 of the License, or "
+                "(at your option) any later version.",
+    "LGPL-2.1": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
+                "General Public License as published by the Free Software Foundation; either version 2.1 of the License, "
+                "or (at your option) any later version.",
+    "Apache-2.0": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in "
+                  "compliance with the License. You may obtain a copy of the License at the address below.",
+    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL "
+               "was not distributed with this file, You can obtain one at the address below.",
+}
+
+
+def test_each_licence_gets_its_own_name(spark):
+    code = "int main() { return compute(the, values) }\nwhile more code follows in the file here and there\n"
+    rows, want = [], {}
+    for name in dict.fromkeys(n for n, _ in licences.FILE_TEMPLATES):
+        rows.append((len(rows), _commented(f"Copyright 2001 Some Holder. {_file(name)} " + "and so the text goes on. " * 3,
+                                           ""), f"/f{len(rows)}/LICENSE"))
+        want[len(rows) - 1] = (name, True)
+    for name, header in HEADERS.items():
+        for text in (header, code + _commented(header) + "\n" + code, code + _commented(header, " * ") + "\n" + code):
+            rows.append((len(rows), text, f"/h{len(rows)}/a.c"))
+            want[len(rows) - 1] = (name, None)
+    for text in ("This software is not released under the MIT License.", "Not licensed under the Apache License, Version "
+                 "2.0.", "the public may use this work in general"):
+        rows.append((len(rows), text, "/n/a.c"))
+        want[len(rows) - 1] = (None, False)
+    df = spark.createDataFrame(rows, "doc_id long, text string, path string")
+    out, name = licences.own_licences(df, keep=["doc_id"])
+    got = {r.doc_id: (r.own, r.whole) for r in out.select("doc_id", f"{name}.own", f"{name}.whole").collect()}
+    for i, (licence, is_file) in want.items():
+        assert got[i][0] == licence, (rows[i][1], got[i])
+        if is_file is not None:
+            assert (got[i][1] == licence) == is_file or licence is None and got[i][1] is None
+
+
+def test_a_licence_file_holds_for_directories_far_below(spark):
+    rows = [(1, "Copyright 2001 Some Holder\n" + _file("MIT"), "/site/LICENSE"), (2, "text", "/site/a/b/c/d.html"),
+            (3, _commented(_file("BSD-2-Clause")), "/site/a/b/COPYING"), (4, "text", "/site/a/b/c/e.html"),
+            (5, "text", "/site/a/f.html")] + [(10 + i, "text", "/site/hot/x.html") for i in range(200)]
+    out = licences.licences(spark.createDataFrame(rows, "doc_id long, text string, path string"), F.col("path"))
+    got = {r.doc_id: (r.licence, r.how, r.from_directory) for r in out.collect()}
+    assert got[2] == got[4] == ("BSD-2-Clause", "inherited", "/site/a/b") and got[5] == ("MIT", "inherited", "/site")
+    assert all(got[10 + i] == ("MIT", "inherited", "/site") for i in range(200)) and len(got) == len(rows)
+
+
+def test_query_scans_pages_by_their_urls(spark):
+    import __spark_entry__ as entry
+    got = {r.page_id: r for r in entry.queries()["op2_licences"](spark, SF).where("page_id IS NOT NULL").collect()}
+    pages = spark.read.parquet(f"{SF}/pages.parquet").select("page_id", "html").collect()
+    assert len(got) == len(pages)
+    named = 0
+    for p in pages:
+        for notice, name in ((MIT, "MIT"), (APACHE, "Apache-2.0"), (GPL, "GPL-3.0")):
+            if f">{notice}<" in p.html:
+                named += 1
+                assert got[p.page_id].licence == name and got[p.page_id].how == "own"
+    assert named

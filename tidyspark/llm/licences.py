@@ -1,14 +1,19 @@
 """Licence scan: sparse TF-IDF cosine to templates, then inheritance from the nearest ancestor directory.
 
-A passage is a line of a text or the whole text. Its sparse vector over words
+A passage is a line of a text, a window of as many words as a long template has, or the
+whole text; windows go over line breaks and comment signs. A passage's sparse vector over words
 (term frequency times inverse document frequency, counted over all lines of all texts)
-is compared with the vectors of the templates. A text's own licence is the
-template most like one of its lines (``least_cosine`` or more). A text that as
-a whole is that much like a template is a licence file, as is a caller's
-choice of rows: its licence holds for its directory. A text without a licence
-of its own inherits from the nearest directory above it that has one, found by
-joining the ancestors of each directory, not of each file, with the licensed
-directories.
+is compared with the vectors of the templates. A passage names the licence of its most
+similar template (``least_cosine`` or more) whose marks it has: the words, such as
+a version or "affero", that tell licences of nearly the same wording apart. A
+passage that denies the licence names none. A text's own licence is that of its most similar passage.
+
+A text that as a whole is that much like a template, or holds the full text or the heading of a
+licence, is a licence file, as is a caller's choice of rows: its licence holds
+for its directory. A text without a licence of its own inherits from the nearest
+directory above it that has one, found by joining the ancestors of each directory,
+not of each file, with the licensed directories. Directories that hold a large
+part of all texts keep their rows where they are in the last join.
 
 Only template words can add to a cosine's numerator, so just their frequencies
 are gathered: a row per template word reaches the driver. Other words count in
@@ -35,6 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidyspark.llm.common import append_struct, broadcast_value, fresh_name, ship_code, text_slices, worker_cached, write_stage
+from tidyspark.operators.facts import lookup_spread
 
 WORDS = re.compile(r"[a-z0-9.]*[a-z0-9]")
 
@@ -63,8 +69,71 @@ TEMPLATES = [
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
             "associated documentation files, to deal in the Software without restriction."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
+    ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
+                 "Affero General Public License as published by the Free Software Foundation, either version 3 of the "
+                 "License, or (at your option) any later version."),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU "
+                "General Public License as published by the Free Software Foundation; either version 2 of the "
+                "License, or (at your option) any later version."),
+    ("LGPL-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU "
+                 "Lesser General Public License as published by the Free Software Foundation; either version 2.1 of "
+                 "the License, or (at your option) any later version."),
+    ("LGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
+                 "Lesser General Public License as published by the Free Software Foundation, either version 3 of the "
+                 "License, or (at your option) any later version."),
+    ("BSD-2-Clause", "Released under the BSD 2-Clause License."),
+    ("ISC", "Released under the ISC License."),
 ]
 
+_AS_IS = ("THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED "
+          "WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A "
+          "PARTICULAR PURPOSE ARE DISCLAIMED.")
+_BSD = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
+        "the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, "
+        "this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the "
+        "above copyright notice, this list of conditions and the following disclaimer in the documentation and/or "
+        "other materials provided with the distribution. ")
+# What only a licence's own file holds, its full text (of short licences) or its heading.
+FILE_TEMPLATES = [
+    ("AGPL-3.0", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007 Copyright (C) 2007 Free Software "
+                 "Foundation, Inc."),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/ TERMS AND CONDITIONS FOR "
+                   "USE, REPRODUCTION, AND DISTRIBUTION 1. Definitions."),
+    ("BSD-2-Clause", _BSD + _AS_IS),
+    ("BSD-3-Clause", _BSD + "3. Neither the name of the copyright holder nor the names of its contributors may be used "
+                            "to endorse or promote products derived from this software without specific prior written "
+                            "permission. " + _AS_IS),
+    ("GPL-2.0", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991 Copyright (C) 1989, 1991 Free Software Foundation, Inc."),
+    ("GPL-3.0", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007 Copyright (C) 2007 Free Software Foundation, Inc."),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
+            "hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("LGPL-2.1", "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999 Copyright (C) 1991, 1999 Free Software "
+                 "Foundation, Inc."),
+    ("LGPL-3.0", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007 Copyright (C) 2007 Free Software "
+                 "Foundation, Inc."),
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
+            "associated documentation files (the \"Software\"), to deal in the Software without restriction, including "
+            "without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell "
+            "copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the "
+            "following conditions: The above copyright notice and this permission notice shall be included in all "
+            "copies or substantial portions of the Software."),
+    ("MPL-2.0", "Mozilla Public License Version 2.0 1. Definitions 1.1. Contributor means each individual or legal "
+                "entity that creates, contributes to the creation of, or owns Covered Software."),
+]
+# Words that a passage naming the licence has, and words it has not.
+MARKS = {
+    "AGPL-3.0": ("affero 3", ""), "Apache-2.0": ("apache 2.0", ""), "BSD-2-Clause": ("", "endorse 3"),
+    "CC-BY-4.0": ("4.0", "sa nc noncommercial sharealike"), "CC-BY-NC-4.0": ("4.0", "sa sharealike"),
+    "CC-BY-SA-4.0": ("sa 4.0", "nc noncommercial"), "GPL-2.0": ("general 2", "affero lesser 3"),
+    "GPL-3.0": ("general 3", "affero lesser 2"), "LGPL-2.1": ("lesser 2.1", "affero"),
+    "LGPL-3.0": ("lesser 3", "affero 2.1"), "MPL-2.0": ("mozilla 2.0", ""),
+}
+# A passage that says the licence does not hold.
+DENIED = re.compile(r"\b(?:not|never|isn't|aren't|no longer)(?: \w+){0,2} (?:released|licensed|distributed|available|"
+                    r"covered|published|under)\b")
+SHORT = 12                     # words; longer templates are also compared with windows
+
 
 def words_of(passage: str) -> list[str]:
     return WORDS.findall(passage.lower())
@@ -88,7 +157,28 @@ class Comparer:
 
     def best(self, passage: str) -> tuple[float, str]:
         """(cosine, licence) of the most similar template, or (0.0, '')."""
-        counts = Counter(words_of(passage))
+        found = self.ranked(Counter(words_of(passage)))
+        return (-found[0][0], found[0][1]) if found else (0.0, "")
+
+    def named(self, words: list[str], around: set[str]) -> tuple[float, str]:
+        """(cosine, licence) of the most similar template whose marks the passage has, or (0.0, '').
+
+        ``around``: the words of the whole text, for a clause that stands in another passage.
+        """
+        counts = Counter(words)
+        for cosine, name in self.ranked(counts):
+            needed, excluded = (set(m.split()) for m in MARKS.get(name, ("", "")))
+            if name == "BSD-3-Clause" and not {"endorse", "3"} & around:
+                name = "BSD-2-Clause"
+            elif not needed <= counts.keys() or excluded & counts.keys():
+                continue
+            elif name == "BSD-2-Clause" and "endorse" in around:
+                continue
+            return (0.0, "") if DENIED.search(" ".join(words)) else (-cosine, name)
+        return 0.0, ""
+
+    def ranked(self, counts: Counter) -> list[tuple[float, str]]:
+        """(-cosine, licence) of all templates with a word of the passage, the most similar first."""
         products: dict[int, float] = {}
         length = 0.0
         for w, n in counts.items():
@@ -96,12 +186,36 @@ class Comparer:
             length += x * x
             for k, y in self.having.get(w, ()):
                 products[k] = products.get(k, 0.0) + x * y
-        if not products:
-            return 0.0, ""
         length = math.sqrt(length)
-        found = [(-round(p / (length * self.vectors[k][1]), 9), self.vectors[k][0]) for k, p in products.items()]
-        cosine, name = min(found)              # of equal cosines the first name
-        return -cosine, name
+        # of equal cosines the first name
+        return sorted((-round(p / (length * self.vectors[k][1]), 9), self.vectors[k][0]) for k, p in products.items())
+
+
+class Windows:
+    """Long templates against windows of as many words, a quarter of a window apart."""
+
+    def __init__(self, templates: list[tuple[str, str, bool]], lines: int, with_word: dict[str, int]):
+        self.of = []
+        for name, text, is_file in templates:
+            words = words_of(text)
+            if len(words) > SHORT:
+                one = Comparer([(name, text)], lines, with_word)
+                weight = {w: (n * one.idf[w]) ** 2 for w, n in Counter(words).items()}
+                self.of.append((len(words), one, weight, sum(weight.values()), is_file))
+
+    def best(self, words: list[str], least: float) -> tuple[float, str, bool]:
+        """(cosine, licence, only in a licence's file) of the best window, or (0.0, '', False).
+
+        A cosine of ``least`` needs words with ``least`` squared of the template's squared length.
+        """
+        around, found = set(words), (0.0, "", False)
+        for n, one, weight, whole, is_file in self.of:
+            if sum(weight[w] for w in weight.keys() & around) < least * least * whole:
+                continue
+            for at in range(0, max(1, len(words) - n + n // 4), max(1, n // 4)):
+                cosine, name = one.named(words[at:at + n], around)
+                found = max(found, (cosine, name, is_file))
+        return found
 
 
 FIELDS = T.StructType([T.StructField("own", T.StringType()), T.StructField("own_score", T.DoubleType()),
@@ -126,26 +240,37 @@ def _count_lines(vocabulary: frozenset):
 
 
 def own_licences(df: DataFrame, text: str = "text", templates: list[tuple[str, str]] = TEMPLATES,
-                 least_cosine: float = 0.6, keep: list[str] | None = None) -> tuple[DataFrame, str]:
-    """Append a struct: the licence of the best line and of the whole text, each null below the threshold."""
+                 least_cosine: float = 0.6, keep: list[str] | None = None,
+                 file_templates: list[tuple[str, str]] = FILE_TEMPLATES) -> tuple[DataFrame, str]:
+    """Append a struct: the text's own licence, and the one it is the file of, each null below the threshold."""
     spark = df.sparkSession
     ship_code(spark)
-    vocabulary = frozenset(w for _, t in templates for w in words_of(t))
+    long = [(n, t, False) for n, t in templates] + [(n, t, True) for n, t in file_templates]
+    vocabulary = frozenset(w for _, t, _ in long for w in words_of(t))
     counts = dict(df.select(F.col(text).alias("text")).mapInArrow(_count_lines(vocabulary), "word string, n long")
                   .groupBy("word").agg(F.sum("n")).collect())
     lines = counts.pop("", 0)
-    shared = broadcast_value(spark, (templates, lines, counts))
+    shared = broadcast_value(spark, (templates, long, lines, counts))
     token = uuid.uuid4().hex
 
     def per_texts(texts):
-        comparer = worker_cached(("licences", token), lambda: Comparer(*shared.value))
+        short, windows = worker_cached(("licences", token), lambda: (
+            Comparer(shared.value[0], *shared.value[2:]), Windows(*shared.value[1:])))
         found = []
         for t in texts:
-            line, whole = (0.0, ""), (0.0, "")
-            if t and not vocabulary.isdisjoint(WORDS.findall(t.lower())):
-                line = min(((-c, n) for c, n in map(comparer.best, t.split("\n"))), default=(0.0, ""))
-                line, whole = (-line[0], line[1]), comparer.best(t)
-            found.append([x for c, n in (line, whole) for x in ((n, c) if c >= least_cosine else (None, c))])
+            own, whole = (0.0, ""), (0.0, "")
+            words = words_of(t) if t else []
+            around = set(words)
+            if not vocabulary.isdisjoint(around):
+                passages = [words_of(line) for line in t.split("\n")]
+                own = min(((-c, n) for c, n in (short.named(p, around) for p in passages)), default=(0.0, ""))
+                own, whole = (-own[0], own[1]), short.named(words, around)
+                cosine, name, is_file = windows.best(words, least_cosine)
+                # a licence's own file names it better than the notices it quotes
+                if cosine >= least_cosine and (is_file or cosine > own[0]):
+                    own = cosine, name
+                    whole = max(whole, own) if is_file else whole
+            found.append([x for c, n in (own, whole) for x in ((n, c) if c >= least_cosine else (None, c))])
         return [list(column) for column in zip(*found)] if found else [[], [], [], []]
 
     return append_struct(df, text, FIELDS, per_texts, keep)
@@ -182,7 +307,9 @@ def licences(df: DataFrame, path: Column, id_col: str = "doc_id", text: str = "t
                .agg(F.max_by(F.struct("from_directory", "inherited", "inherited_score"), "depth").alias("up"))
                .select("dir", "up.*"))
     own = F.col("own").isNotNull()
-    return (rows.join(nearest, "dir", "left")
+    up = nearest.select(F.col("dir").alias("of_dir"), F.struct("from_directory", "inherited", "inherited_score").alias("up"))
+    # a directory may hold a large part of all texts: its rows stay where they are
+    return (lookup_spread(rows, up, "dir", "of_dir", "up").select("*", "up.*")
             .select(id_col, F.coalesce("own", "inherited").alias("licence"),
                     F.when(own, F.col("own_score")).otherwise(F.col("inherited_score")).alias("score"),
                     F.when(own, "own").when(F.col("inherited").isNotNull(), "inherited").otherwise("none").alias("how"),

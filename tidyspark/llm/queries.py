@@ -23,11 +23,18 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The tables hold no paths; a document's is made of its source, language and id."""
-    docs = table(spark, sf_dir, "documents")
+    """Documents and pages. A page's path is that of its url; a document's is made of its source, language and id."""
+    none = F.lit(None).cast("long")
     path = F.concat_ws("/", F.lit(""), F.coalesce("source", F.lit("unknown")), F.coalesce("lang", F.lit("unknown")),
                        F.col("doc_id").cast("string"))
-    return licences.licences(docs, path)
+    docs = table(spark, sf_dir, "documents").select(F.struct("doc_id", none.alias("page_id")).alias("id"), "text",
+                                                    path.alias("path"))
+    place = F.regexp_replace(F.regexp_replace("url", "[?#].*$", ""), "^[A-Za-z][A-Za-z0-9+.-]*://", "/web/")
+    pages = table(spark, sf_dir, "pages").select(
+        F.struct(none.alias("doc_id"), "page_id").alias("id"), F.regexp_replace("html", "<[^>]*>", "\n").alias("text"),
+        place.alias("path"))
+    return (licences.licences(docs.unionByName(pages), F.col("path"), id_col="id")
+            .select("id.*", "licence", "score", "how", "from_directory"))
 
 
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
