@@ -7,10 +7,11 @@ snapshot if its full hash is the hash of a proper prefix of another one, or if
 an equal one with a smaller id exists. Both are anti-joins on hashes, so no
 pairs are formed, however many share a first turn.
 
-Positions and rolling hashes come in two levels: inside blocks of turn numbers,
-and over the blocks of a conversation, so that a conversation of any length is
-spread over tasks. Maximal conversations are rendered in parts of at most
-``part_turns`` turns.
+Turns are numbered and collapsed by digests of their texts; the texts themselves
+are read again at the end, for the kept conversations only. Positions and rolling
+hashes come in two levels: inside blocks of turn numbers, and over the blocks of a
+conversation, so that a conversation of any length is spread over tasks. Maximal
+conversations are rendered in parts of at most ``part_turns`` turns.
 
 Defined results: rows without a conversation id take no part; rows equal in
 id, turn, role and text count once; different rows of one turn are ordered by
@@ -29,17 +30,23 @@ from tidyspark.llm.common import write_stage
 BLOCK = 1024
 
 
-def numbered_turns(df: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role",
+BROADCAST_CONVERSATIONS = 1_000_000          # ids
+TURN = ["conv", "turn", "role", "digest"]
+
+
+def digested_turns(df: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role",
                    text: str = "text") -> DataFrame:
-    """Distinct turns (conv, block, position, role, text) with positions from 1 in each conversation."""
-    rows = (df.where(F.col(conv_id).isNotNull())
+    """The turns (conv, turn, role, text, digest) of rows with a conversation id."""
+    return (df.where(F.col(conv_id).isNotNull())
             .select(F.col(conv_id).alias("conv"), F.col(turn).cast("long").alias("turn"),
                     F.coalesce(F.col(role).cast("string"), F.lit("unknown")).alias("role"),
                     F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-            .withColumn("digest", F.sha2("text", 256))
-            .dropDuplicates(["conv", "turn", "role", "digest"])
-            .withColumn("block", F.floor(F.col("turn") / BLOCK)))
-    rows = write_stage(rows, "chat-turns")
+            .withColumn("digest", F.unhex(F.sha2("text", 256))))
+
+
+def numbered_turns(turns: DataFrame) -> DataFrame:
+    """Distinct turns (conv, block, position, turn, role, digest) with positions from 1 in each conversation."""
+    rows = write_stage(turns.select(*TURN).distinct().withColumn("block", F.floor(F.col("turn") / BLOCK)), "chat-turns")
     before = (Window.partitionBy("conv").orderBy(F.asc_nulls_first("block"))
               .rowsBetween(Window.unboundedPreceding, -1))
     offsets = (rows.groupBy("conv", "block").agg(F.count(F.lit(1)).alias("n"))
@@ -48,13 +55,13 @@ def numbered_turns(df: DataFrame, conv_id: str = "conv_id", turn: str = "turn",
     inside = Window.partitionBy("conv", "block").orderBy(F.asc_nulls_first("turn"), "role", "digest")
     ranked = rows.withColumn("place", F.row_number().over(inside))
     return (ranked.join(offsets, (F.col("conv") == F.col("of_conv")) & F.col("block").eqNullSafe(F.col("of_block")))
-            .select("conv", "block", (F.col("offset") + F.col("place")).alias("position"), "role", "text"))
+            .select("conv", "block", (F.col("offset") + F.col("place")).alias("position"), "turn", "role", "digest"))
 
 
 def prefix_hashes(turns: DataFrame) -> DataFrame:
     """Rows (conv, position, h1, h2): the rolling hash of the first ``position`` turns."""
     hashed = turns.select("conv", "block", "position", *[
-        F.xxhash64(F.lit(seed), "position", "role", "text").alias(f"t{seed}") for seed in (1, 2)])
+        F.xxhash64(F.lit(seed), "position", "role", "digest").alias(f"t{seed}") for seed in (1, 2)])
     before = (Window.partitionBy("conv").orderBy(F.asc_nulls_first("block"))
               .rowsBetween(Window.unboundedPreceding, -1))
     blocks = hashed.groupBy("conv", "block").agg(*[F.bit_xor(f"t{s}").alias(f"b{s}") for s in (1, 2)])
@@ -79,11 +86,20 @@ def maximal(prefixes: DataFrame) -> DataFrame:
     return whole.join(inner, ["n_turns", "h1", "h2"], "left_anti").select("conv", "n_turns", "n_copies")
 
 
-def render(turns: DataFrame, kept: DataFrame, part_turns: int = 1024) -> DataFrame:
-    """Rows (conv, part, n_turns, n_copies, rendered): the kept conversations in chat markup."""
+def render(turns: DataFrame, numbered: DataFrame, kept: DataFrame, part_turns: int = 1024) -> DataFrame:
+    """Rows (conv, part, n_turns, n_copies, rendered): the kept conversations in chat markup.
+
+    A turn's text meets its position in a grouping that also drops repeated rows.
+    """
     unmarked = F.regexp_replace("text", r"<\|im_", "< |im_")
     piece = F.concat(F.lit("<|im_start|>"), F.col("role"), F.lit("\n"), unmarked, F.lit("<|im_end|>\n"))
-    placed = (turns.join(kept, "conv")
+    places = (numbered.join(kept, "conv")
+              .select(*TURN, F.struct("position", "n_turns", "n_copies").alias("place"), F.lit(None).cast("string").alias("text")))
+    if kept.count() <= BROADCAST_CONVERSATIONS:        # then texts of other conversations needn't be shuffled
+        turns = turns.join(F.broadcast(kept.select("conv")), "conv", "left_semi")
+    texts = turns.select(*TURN, F.lit(None).cast(places.schema["place"].dataType).alias("place"), "text")
+    placed = (places.union(texts).groupBy(*TURN).agg(F.max("place").alias("place"), F.max("text").alias("text"))
+              .where("place IS NOT NULL").select("conv", "role", "text", "place.*")
               .select("conv", "n_turns", "n_copies", F.floor((F.col("position") - 1) / part_turns).alias("part"),
                       F.struct("position", piece.alias("piece")).alias("one")))
     return (placed.groupBy("conv", "part", "n_turns", "n_copies")
@@ -94,6 +110,7 @@ def render(turns: DataFrame, kept: DataFrame, part_turns: int = 1024) -> DataFra
 
 def chat_format(df: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role",
                 text: str = "text", part_turns: int = 1024) -> DataFrame:
-    turns = write_stage(numbered_turns(df, conv_id, turn, role, text), "chat-numbered")
-    kept = write_stage(maximal(prefix_hashes(turns)), "chat-kept")
-    return render(turns, kept, part_turns).withColumnRenamed("conv", conv_id)
+    turns = digested_turns(df, conv_id, turn, role, text)
+    numbered = write_stage(numbered_turns(turns), "chat-numbered")
+    kept = write_stage(maximal(prefix_hashes(numbered)), "chat-kept")
+    return render(turns, numbered, kept, part_turns).withColumnRenamed("conv", conv_id)
