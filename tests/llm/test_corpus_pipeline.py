@@ -53,3 +53,18 @@ def test_awkward_rows_pass_every_stage(spark):
             docs = spark.createDataFrame(docs.collect(), DOC_SCHEMA)
         last = corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect()
         assert sorted((r.doc_id for r in last), key=str) == ([3, 4, None] if some else [])
+
+
+def test_language_stage_rejects_random_letters_and_languages_not_learned(spark):
+    import random
+    rnd = random.Random(9)
+    d = spark.read.parquet(f"{SF}/documents.parquet").where("lang <> 'es'")
+    spanish = [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").where("lang = 'es' AND n_chars > 800")
+               .limit(20).collect()]
+    odd = [(10_000_000 + i, t, None, "odd", len(t)) for i, t in enumerate(spanish)]
+    odd += [(20_000_000 + i, " ".join("".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=rnd.randint(3, 9)))
+                                      for _ in range(60)), None, "odd", 1) for i in range(20)]
+    both = d.unionByName(spark.createDataFrame(odd, d.schema))
+    kept = {r.doc_id for r in corpus_pipeline.keep_known_languages(spark, both, SF).select("doc_id").collect()}
+    assert not {o[0] for o in odd} & kept
+    assert {r.doc_id for r in d.select("doc_id").collect()} <= kept

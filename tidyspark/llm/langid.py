@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from itertools import chain
 
 import numpy as np
@@ -185,6 +186,16 @@ def _lifted(prob: np.ndarray, lattice: Lattice) -> np.ndarray:
     return full * (LIFT ** lattice.length)[:, None]
 
 
+def _sample(rows: DataFrame, counts: dict[str, int], text: str, lang: str, id_col: str,
+            docs_per_language: int) -> DataFrame:
+    """About ``docs_per_language`` texts of each language, chosen by a hash of the id, equal texts once."""
+    cut = F.create_map(*[x for k in sorted(counts) for x in (
+        F.lit(k), F.lit(int(min(1.0, docs_per_language / counts[k]) * (1 << 30))))])
+    return (rows.where(F.pmod(F.xxhash64(F.col(id_col), F.lit(3)), F.lit(1 << 30)) < cut[F.col(lang)])
+            .select(F.col(lang).alias("lang"), F.col(text).alias("text"))
+            .withColumn("digest", F.xxhash64("text")).dropDuplicates(["lang", "digest"]).drop("digest"))
+
+
 def train(df: DataFrame, learn: Column, model_path: str, text: str = "text", lang: str = "lang",
           id_col: str = "doc_id", docs_per_language: int = 1500, rounds: int = 3):
     """(languages, pieces, probabilities) learned from rows where ``learn`` holds and ``lang`` is known.
@@ -198,11 +209,7 @@ def train(df: DataFrame, learn: Column, model_path: str, text: str = "text", lan
     languages, pieces = sorted(counts), read_pieces(model_path)
     if not languages:
         return [], pieces, np.zeros((len(pieces), 0))
-    cut = F.create_map(*[x for k in languages for x in (
-        F.lit(k), F.lit(int(min(1.0, docs_per_language / counts[k]) * (1 << 30))))])
-    chosen = (rows.where(F.pmod(F.xxhash64(F.col(id_col), F.lit(3)), F.lit(1 << 30)) < cut[F.col(lang)])
-              .select(F.col(lang).alias("lang"), F.col(text).alias("text"))
-              .withColumn("digest", F.xxhash64("text")).dropDuplicates(["lang", "digest"]).drop("digest"))
+    chosen = _sample(rows, counts, text, lang, id_col, docs_per_language)
 
     def count_words(batches):
         for whole in batches:
@@ -305,3 +312,48 @@ def predict(df: DataFrame, model, text: str = "text", keep: list[str] | None = N
                 [float(p) if s else 0.0 for p, s in zip(share, sizes)]]
 
     return append_struct(df, text, FIELDS, per_texts, keep)
+
+
+FIT_FIELDS = T.StructType([*FIELDS.fields, T.StructField("per_letter", T.DoubleType()),
+                           T.StructField("distinct_words", T.LongType())])
+
+
+def fits(df: DataFrame, model, text: str = "text", keep: list[str] | None = None) -> tuple[DataFrame, str]:
+    """``predict`` with a measure that does not compare languages: ``per_letter``, the mean log-probability of a
+    letter in the predicted language over the text's distinct words (null without words)."""
+    shared = broadcast_value(df.sparkSession, model)
+    token = content_key(*model)
+
+    def per_texts(texts):
+        names, pieces, prob = shared.value
+        if not names:
+            return [["und"] * len(texts), [0.0] * len(texts), [None] * len(texts), [0] * len(texts)]
+        scorer = worker_cached(("langid", token), lambda: Scorer(pieces, prob))
+        found = []
+        for t in texts:
+            words = Counter(letters(t))
+            if not words:
+                found.append(("und", 0.0, None, 0))
+                continue
+            at = scorer.rows(list(words))
+            own = scorer.logs[at]
+            logs = np.fromiter(words.values(), float, len(words)) @ own
+            best = int(logs.argmax())
+            size = sum(map(len, words))
+            found.append((names[best], float(1 / np.exp(logs - logs[best]).sum()), float(own[:, best].sum() / size),
+                          len(words)))
+        return [list(c) for c in zip(*found)] if found else [[], [], [], []]
+
+    return append_struct(df, text, FIT_FIELDS, per_texts, keep)
+
+
+def usual_fit(df: DataFrame, learn: Column, model, text: str = "text", lang: str = "lang", id_col: str = "doc_id",
+              docs_per_language: int = 1500) -> dict[str, float]:
+    """Mean ``per_letter`` of training texts that are predicted as their own language, a number for each language."""
+    rows = df.where(learn & F.col(lang).isNotNull() & F.col(text).isNotNull())
+    counts = {r[0]: r[1] for r in rows.groupBy(lang).count().collect()}     # a row per language
+    if not counts:
+        return {}
+    out, name = fits(_sample(rows, counts, text, lang, id_col, docs_per_language), model, keep=["lang"])
+    return dict(out.where(F.col(f"{name}.lang_pred") == F.col("lang")).groupBy("lang")
+                .agg(F.avg(f"{name}.per_letter")).collect())
