@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 from conftest import SF001
 from tidyspark.operators.merge import merge_new_rows
 from tidyspark.sources.tables import read_table
-from tidyspark.streaming.incremental import merge_stream
+from tidyspark.sources.store import StoredTable
+from tidyspark.streaming.incremental import merge_stream, merge_stream_into
 
 
 def _rows(df):
@@ -35,3 +36,28 @@ def test_stream_merge_matches_batch_merge(spark, tmp_path):
                       checkpoint_location=str(tmp_path / "ckpt2"))
     q2.awaitTermination(300)
     assert _rows(read_table(spark, target)) == _rows(stored)
+
+
+def test_a_replayed_stream_is_known_by_its_batch_numbers(spark, tmp_path, monkeypatch):
+    cust = spark.read.parquet(f"{SF001}/customer.parquet").select("c_name", "c_mktsegment")
+    src = str(tmp_path / "incoming")
+    cust.where("c_name < 'Customer#000000080'").write.parquet(f"{src}/part=1")
+    cust.write.mode("append").parquet(f"{src}/part=2")
+    table = StoredTable(spark, str(tmp_path / "table"), buckets=4)
+    stream = (spark.readStream.schema("c_name string, c_mktsegment string")
+              .option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(src))
+
+    def run(checkpoint):
+        merge_stream_into(stream, table, "c_name", "id", sequence="customers",
+                          checkpoint_location=str(tmp_path / checkpoint)).awaitTermination(300)
+    run("ckpt")
+    stored, version = _rows(table.read()), table.version()
+    assert len(stored) == cust.count() and [r[0] for r in sorted(stored)] == list(range(1, len(stored) + 1))
+    assert version.batches["customers"] >= 1
+
+    def no_scan(*_):
+        raise AssertionError("stored keys were read")
+    monkeypatch.setattr(StoredTable, "_known", no_scan)
+    run("another")                     # the same batches again, with the same numbers
+    monkeypatch.undo()
+    assert table.version() == version and _rows(table.read()) == stored

@@ -133,94 +133,83 @@ def split_head_tail(c, sep: str = ",") -> Column:
 
 
 # Nested parentheses: the cell is cut into markers and runs once, and a running depth
-# goes over these pieces. All of it is one expression, so a value that several
-# steps need is bound to a lambda's variable and evaluated once a row.
+# goes over these pieces. The expressions are written as SQL texts of one argument,
+# since their many nested lambdas are built in one call that way; a value that
+# several steps need is bound to a lambda's variable and evaluated once a row.
 
 CHUNK = 256                  # pieces whose depths are found from one starting depth
 
 
-def _let(value: Column, then) -> Column:
-    """``then(value)`` with ``value`` evaluated once."""
-    return F.get(F.transform(F.array(value), then), 0)
+def _let(value: str, name: str, then: str) -> str:
+    """``then`` with ``name`` standing for ``value``."""
+    return f"get(transform(array({value}), {name} -> {then}), 0)"
 
 
-def _fields(**values: Column) -> Column:
-    """A struct whose names hold inside lambdas."""
-    return F.named_struct(*[x for k, v in values.items() for x in (F.lit(k), v)])
-
-
-def _pieces(s: Column) -> Column:
-    return F.regexp_extract_all(s, F.lit(MARKERS_AND_RUNS), 0)
-
-
-def _step(depth: Column, delta: Column) -> Column:
-    """A closing parenthesis without an opening one leaves the depth at zero."""
-    return F.greatest(depth + delta, F.lit(0))
-
+def running_depth(deltas: str) -> str:
+    """SQL text: the depth before each of an array's steps (+1, 0, -1), never under zero.
 
-def running_depth(deltas: Column) -> Column:
-    """The depth before each of an array's steps (+1, 0, -1), never under zero.
-
-    Arrays can only grow by copying, so they grow a chunk at a time: a chunk takes a
-    depth d to max(end, d + sum), where end is its result from depth zero; starting depths
-    follow from these pairs, and each chunk then counts from its own.
+    A closing parenthesis without an opening one leaves the depth at zero. Arrays can
+    only grow by copying, so they grow a chunk at a time: a chunk takes a depth d to
+    max(fin, d + sum), where fin is its result from depth zero; starting depths follow
+    from these pairs, and each chunk then counts from its own.
     """
-    def of(x):
-        chunks = F.transform(F.sequence(F.lit(0), F.floor((F.size(x) - 1) / CHUNK).cast("int")),
-                             lambda k: F.slice(x, k * CHUNK + 1, F.lit(CHUNK)))
-        return _let(chunks, counted)
-
-    def counted(chunks):
-        effects = F.transform(chunks, lambda c: _fields(
-            end=F.aggregate(c, F.lit(0), _step), sum=F.aggregate(c, F.lit(0), lambda a, v: a + v)))
-        starts = F.aggregate(effects, F.array(F.lit(0)), lambda a, e: F.array_append(
-            a, F.greatest(e["end"], F.element_at(a, -1) + e["sum"])))
-        # the depth behind the last step is left out in every chunk, and the last start
-        return F.flatten(F.zip_with(chunks, F.slice(starts, F.lit(1), F.size(chunks)), lambda c, d: F.slice(
-            F.aggregate(c, F.array(d), lambda a, v: F.array_append(a, _step(F.element_at(a, -1), v))),
-            F.lit(1), F.size(c))))
+    step = "(a, v) -> greatest(a + v, 0)"
+    grown = "aggregate(c, array(d), (a, v) -> array_append(a, greatest(element_at(a, -1) + v, 0)))"
+    # the depth behind the last step is left out in every chunk, and the last start
+    counted = (f"flatten(zip_with(chunks, slice(starts, 1, size(chunks)), (c, d) -> slice({grown}, 1, size(c))))")
+    starts = ("aggregate(effects, array(0), (a, e) -> "
+              "array_append(a, greatest(e.fin, element_at(a, -1) + e.sum)))")
+    effects = (f"transform(chunks, c -> named_struct('fin', aggregate(c, 0, {step}), "
+               "'sum', aggregate(c, 0, (a, v) -> a + v)))")
+    chunks = (f"transform(sequence(0, cast(floor((size(deltas) - 1) / {CHUNK}) as int)), "
+              f"k -> slice(deltas, k * {CHUNK} + 1, {CHUNK}))")
+    found = _let(chunks, "chunks", _let(effects, "effects", _let(starts, "starts", counted)))
+    return _let(deltas, "deltas", f"if(size(deltas) = 0, cast(array() as array<int>), {found})")
+
+
+def _places(flags: str) -> str:
+    """1-based places of the true ones in an array of booleans."""
+    return f"filter(transform({flags}, (f, i) -> if(f, i + 1, null)), i -> i is not null)"
 
-    return F.when(F.size(deltas) > 0, _let(deltas, of)).otherwise(F.array().cast("array<int>"))
 
+def _between(after: str, before: str) -> str:
+    """The pieces' text between one place and the next, for two arrays of places."""
+    return (f"zip_with({after}, {before}, "
+            "(s, e) -> array_join(slice(pieces, s + 1, greatest(e - s - 1, 0)), ''))")
 
-def _places(flags: Column) -> Column:
-    """1-based places of the true ones in an array of booleans."""
-    return F.filter(F.transform(flags, lambda f, i: F.when(f, i + 1)), lambda i: i.isNotNull())
 
+_PIECES = f"regexp_extract_all(cell, r'{MARKERS_AND_RUNS}', 0)"
+_DELTAS = "transform(pieces, x -> case x when '(' then 1 when ')' then -1 else 0 end)"
+_CUTS = _places(f"zip_with(pieces, {running_depth(_DELTAS)}, (x, d) -> x = ',' and d = 0)")
+NESTED_ITEMS = "cell -> " + _let(_PIECES, "pieces", _let(
+    _CUTS, "cuts", "filter(" + _between("concat(array(0), cuts)", "concat(cuts, array(size(pieces) + 1))")
+    + ", x -> x != '')"))
 
-def _between(pieces: Column, ends: Column) -> Column:
-    """The text between one place and the next, for an array of (after, before) places."""
-    return F.transform(ends, lambda e: F.array_join(
-        F.slice(pieces, e["after"] + 1, F.greatest(e["before"] - e["after"] - 1, F.lit(0))), ""))
+# an opening parenthesis is one only if some closing one is left for it, read from the end
+_LEFT = "reverse(" + running_depth("transform(reverse(pieces), x -> case x when ')' then 1 when '(' then -1 else 0 end)") + ")"
+_STEPS = (f"zip_with(pieces, {_LEFT}, (x, left_over) -> "
+          "case when x = '(' and left_over > 0 then 1 when x = ')' then -1 else 0 end)")
+_AT = f"zip_with({running_depth('steps')}, steps, (d, v) -> named_struct('depth', d, 'step', v))"
+_OPENS = _places("transform(at, z -> z.depth = 0 and z.step = 1)")
+_CLOSES = _places("transform(at, z -> z.depth = 1 and z.step = -1)")
+_OUTSIDE = "zip_with(pieces, at, (x, z) -> if(z.depth = 0 and z.step < 1, x, null))"
+NESTED_NOTE = "cell -> " + _let(_PIECES, "pieces", _let(_STEPS, "steps", _let(
+    _AT, "at", f"named_struct('value', trim(array_join({_OUTSIDE}, '')), 'note', "
+    f"array_join(transform({_between(_OPENS, _CLOSES)}, x -> trim(x)), ', '))")))
 
+# text up to the first parenthesis that closes none opened in it
+_ENDS = _places(f"zip_with(pieces, {running_depth(_DELTAS)}, (x, d) -> x = ')' and d = 0)")
+BEFORE_CLOSING = "cell -> " + _let(_PIECES, "pieces", "array_join(slice(pieces, 1, coalesce(get("
+                                   + _ENDS + ", 0), size(pieces) + 1) - 1), '')")
 
-def _nested_items(s: Column) -> Column:
-    def of(pieces):
-        deltas = F.transform(pieces, lambda x: F.when(x == "(", 1).when(x == ")", -1).otherwise(0))
-        cuts = _places(F.zip_with(pieces, running_depth(deltas), lambda x, d: (x == ",") & (d == 0)))
-        return _let(cuts, lambda at: F.filter(_between(pieces, F.zip_with(
-            F.concat(F.array(F.lit(0)), at), F.concat(at, F.array(F.size(pieces) + 1)),
-            lambda a, b: _fields(after=a, before=b))), lambda x: x != ""))
-    return _let(_pieces(s), of)
 
+def _apply(function: str, s: Column) -> Column:
+    return F.get(F.call_function("transform", F.array(s), F.expr(function)), F.lit(0))
 
-def _nested_note(s: Column) -> Column:
-    def of(pieces):
-        # an opening parenthesis is one only if some closing one is left for it, read from the end
-        back = running_depth(F.transform(F.reverse(pieces), lambda x: F.when(x == ")", 1).when(x == "(", -1).otherwise(0)))
-        deltas = F.zip_with(pieces, F.reverse(back), lambda x, left: F.when((x == "(") & (left > 0), 1)
-                            .when(x == ")", -1).otherwise(0))
-        return _let(deltas, lambda step: _let(F.zip_with(running_depth(step), step, lambda d, v: _fields(
-            depth=d, step=v)), lambda at: parts(pieces, at)))
 
-    def parts(pieces, at):
-        opens = _places(F.transform(at, lambda z: (z["depth"] == 0) & (z["step"] == 1)))
-        closes = _places(F.transform(at, lambda z: (z["depth"] == 1) & (z["step"] == -1)))
-        bodies = _between(pieces, F.zip_with(opens, closes, lambda a, b: _fields(after=a, before=b)))
-        outside = F.zip_with(pieces, at, lambda x, z: F.when((z["depth"] == 0) & (z["step"] < 1), x))
-        return _fields(value=F.trim(F.array_join(outside, "")),
-                       note=F.array_join(F.transform(bodies, lambda x: F.trim(x)), ", "))
-    return _let(_pieces(s), of)
+def _fields(**values: Column) -> Column:
+    """A struct whose names hold inside lambdas."""
+    return F.named_struct(*[x for k, v in values.items() for x in (F.lit(k), v)])
 
 
 def items_outside_parens(c) -> Column:
@@ -230,7 +219,7 @@ def items_outside_parens(c) -> Column:
     """
     s = _c(c)
     plain = F.regexp_extract_all(s, F.lit(ITEM_OUTSIDE_PARENS), 0)
-    return F.transform(F.when(s.rlike(NESTED), _nested_items(s)).otherwise(plain), lambda x: F.trim(x))
+    return F.transform(F.when(s.rlike(NESTED), _apply(NESTED_ITEMS, s)).otherwise(plain), lambda x: F.trim(x))
 
 
 def split_items(c, sep: str = ",") -> Column:
@@ -248,7 +237,7 @@ def split_note(c) -> Column:
     value = F.trim(F.regexp_replace(s, PAREN_NOTE, ""))
     note = F.array_join(F.transform(F.regexp_extract_all(s, F.lit(PAREN_BODY), 1), lambda x: F.trim(x)), ", ")
     # one struct, so that value and note share the scan
-    return F.when(s.rlike(NESTED), _nested_note(s)).otherwise(_fields(value=value, note=note))
+    return F.when(s.rlike(NESTED), _apply(NESTED_NOTE, s)).otherwise(_fields(value=value, note=note))
 
 
 def clause_pattern(words=CLAUSE_WORDS) -> str:
@@ -295,18 +284,13 @@ def split_hier_id(c, sep: str = ".", type_: str = "bigint") -> Column:
 def strip_parens(c) -> Column:
     """Name without parenthetical notes."""
     s = _c(c)
-    return F.when(s.rlike(NESTED), _nested_note(s)["value"]).otherwise(F.trim(F.regexp_replace(s, PAREN_NOTE, "")))
+    return F.when(s.rlike(NESTED), _apply(NESTED_NOTE, s)["value"]).otherwise(F.trim(F.regexp_replace(s, PAREN_NOTE, "")))
 
 
 def _before_closing(s: Column) -> Column:
     """Text up to the first parenthesis that closes none opened in it."""
-    def of(pieces):
-        deltas = F.transform(pieces, lambda x: F.when(x == "(", 1).when(x == ")", -1).otherwise(0))
-        ends = _places(F.zip_with(pieces, running_depth(deltas), lambda x, d: (x == ")") & (d == 0)))
-        end = F.coalesce(F.get(ends, 0), F.size(pieces) + 1)
-        return F.array_join(F.slice(pieces, F.lit(1), end - 1), "")
     return (F.when(~s.contains(")"), s).when(s.rlike(r"^[^()]*\)"), F.substring_index(s, ")", 1))
-            .otherwise(_let(_pieces(s), of)))
+            .otherwise(_apply(BEFORE_CLOSING, s)))
 
 
 def section_name(c, marker: str = "section") -> Column:

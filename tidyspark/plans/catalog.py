@@ -163,10 +163,10 @@ def q5(spark, d):
 
 # ==== sources (B1, B23) ====================================================================
 
-_RAW_HEADERS = {"c_custkey": "Cust Key", "c_name": "Customer Name (full)",
+_RAW_HEADERS = {"c_custkey": "Cust Key", "c_name": "Customer Name (full)", "c_nationkey": "Nation, Key",
                 "c_acctbal": "Account Balance, USD", "c_mktsegment": "Market Segment"}
 HEADERS_SQL = """
-SELECT c_custkey AS CustKey, c_name AS CustomerNamefull, c_acctbal AS AccountBalanceUSD,
+SELECT c_custkey AS CustKey, c_name AS CustomerNamefull, c_nationkey AS NationKey, c_acctbal AS AccountBalanceUSD,
        c_mktsegment AS MarketSegment
 FROM customer
 """
@@ -907,17 +907,18 @@ def audit_labels(spark, d):
 
 # ==== end-to-end pipeline (B24) on survey-shaped data derived from the tables ================
 
-def _tables(spark, d, only=None):
+def _tables(spark, d, only=None, keyed=True):
     """The survey tables of ``only`` (and those they refer to), built afresh from the folder."""
     from tidyspark.plans.pipeline import survey_inputs
     from tidyspark.plans.survey import normalize_survey
     visits, sightings = survey_inputs(spark, d)
-    return normalize_survey(spark, normalize_headers(visits), normalize_headers(sightings), only=only)
+    return normalize_survey(spark, normalize_headers(visits), normalize_headers(sightings), only=only,
+                            keyed=keyed)
 
 
 def _report(spark, d, name):
     from tidyspark.plans.survey import REPORT_TABLES, survey_report
-    return survey_report(_tables(spark, d, REPORT_TABLES[name]), name)
+    return survey_report(_tables(spark, d, REPORT_TABLES[name], keyed=False), name)
 
 
 @register("pipeline_q1", """

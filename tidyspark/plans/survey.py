@@ -137,25 +137,27 @@ def _with_references(tables) -> set[str]:
 
 
 def normalize_survey(spark: SparkSession, visits: DataFrame, sightings: DataFrame,
-                     store: str | None = None, cut_lineage: bool = True, only=None,
+                     store: str | None = None, cut_lineage: bool = True, only=None, keyed: bool = True,
                      **stage_opts) -> dict[str, DataFrame]:
     """Build the tables, or those of ``only`` and the ones they refer to.
 
     ``cut_lineage`` writes the staged inputs and each keyed table once below
     the checkpoint folder, so the passes that number and join back read files
-    instead of recomputing the staging."""
+    instead of recomputing the staging. ``keyed=False`` leaves the key of the
+    sightings out where no bridge needs it (reports that only count them)."""
     key = _Keyer(spark, store)
     wanted = _with_references(REFERS_TO if only is None else only)
     t: dict[str, DataFrame] = {}
     if wanted & VISIT_TABLES:
         _visit_tables(spark, visits, store, cut_lineage, key, wanted, t, **stage_opts)
     if wanted & SIGHTING_TABLES:
-        _sighting_tables(sightings, cut_lineage, key, wanted, t)
+        _sighting_tables(sightings, cut_lineage, key, wanted, t, keyed or store is not None)
     return t
 
 
 SIGHTING_TABLES = {"colors", "locations", "activities", "interactions", "squirrels", "squirrelhighlights",
                    "squirrelhumaninteractions", "squirrellocations", "squirrelactivities"}
+BRIDGES_OF_SIGHTINGS = {"squirrelhighlights", "squirrelhumaninteractions", "squirrellocations", "squirrelactivities"}
 VISIT_TABLES = set(REFERS_TO) - SIGHTING_TABLES
 
 
@@ -254,7 +256,7 @@ def _visit_tables(spark, visits, store, cut_lineage, key, wanted, t, **stage_opt
             ["ParkStatusID", "AnimalID", "ParkStatusAnimalObs"], "ParkStatusAnimalID")
 
 
-def _sighting_tables(sightings, cut_lineage, key, wanted, t) -> None:
+def _sighting_tables(sightings, cut_lineage, key, wanted, t, keyed=True) -> None:
     cut = (lambda df, label: materialize(df, f"survey-{label}")) if cut_lineage else \
         (lambda df, label: df)
     s = cut(stage_sightings(sightings), "sightings")
@@ -285,6 +287,9 @@ def _sighting_tables(sightings, cut_lineage, key, wanted, t) -> None:
                "SquirrelColorNotes", "SquirrelSpecificLocation", "SquirrelObservations",
                "SquirrelLatitude", "SquirrelLongitude", "SquirrelMinHeightFeet",
                "SquirrelMaxHeightFeet"]
+    if not keyed and not wanted & BRIDGES_OF_SIGHTINGS:
+        t["squirrels"] = s.select(*sq_cols).distinct()
+        return
     t["squirrels"] = key("squirrels", s.select(*sq_cols), sq_cols, "SquirrelDataID")
     bridges = [(name, *rest) for name, *rest in [
         ("squirrelhighlights", "HighlightsinFurColor", "colors", "ColorName", "ColorID",
