@@ -89,3 +89,27 @@ def test_query_finds_every_whole_item(spark):
         t = D.compared(d.text)
         assert {(d.doc_id, i) for i, x in items.items() if x in t} <= found
     assert all(r.distance <= len(items[r.item_id]) // 20 for r in rows)
+
+
+def test_every_copy_of_an_item_is_found():
+    r = random.Random(12)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(r.randrange(2, 6)))
+    items = [(i, " ".join(word() for _ in range(r.randrange(12, 30)))) for i in range(4)]
+    matcher = D.Matcher(items, 20)
+    for _ in range(30):
+        parts, planted = [], []
+        for _ in range(r.randrange(1, 7)):
+            k, t = r.choice(items)
+            parts += [" ".join(word() for _ in range(r.randrange(0, 30))), edit(r, t, r.randrange(0, len(t) // 20 + 1))]
+            planted.append(k)
+        text = D.compared(" ".join(parts))
+        got = matcher.every(text)
+        assert sorted(k for k, *_ in got) == sorted(planted)
+        for k, d, start, end in got:
+            assert d <= len(items[k][1]) // 20 and distance(items[k][1], text[start:end])[0] == d
+        for k in set(planted):
+            spans = sorted((s, e) for kk, _, s, e in got if kk == k)
+            assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+    twice = items[0][1] + " " + items[0][1]
+    assert [f[:2] for f in matcher.every(twice)] == [(0, 0), (0, 0)] and len(matcher.matches(twice)) == 1
+    assert matcher.every(None) == matcher.every("") == []

@@ -13,7 +13,8 @@ The test items are a stated set met by every text, in blocks of at most about
 
 Defined results: null, empty or blank items match nothing, and so do null or
 empty texts; items repeated with the same id and text count once; of several
-matches of an item in a text the best is returned, the first of equals; a text
+matches of an item in a text all that don't overlap are returned, better ones
+first to be chosen (``Matcher.matches`` gives the best only, the first of equals); a text
 shorter than an item matches if its distance is within budget; repeated rows
 are matched row by row. Positions count characters of the compared form.
 """
@@ -92,19 +93,63 @@ class Matcher:
     def matches(self, text: str | None) -> list[tuple[int, int, int, int]]:
         """(item id, distance, start, end) of the best match of every item found."""
         t = compared(text)
-        if not t or not self.any:
-            return []
-        implied: dict[int, list[int]] = {}
-        for e, (size, places) in self.scan.iter(t):
-            for k, offset in places:
-                implied.setdefault(k, []).append(e + 1 - size - offset)
-        found = []
-        for k, starts in implied.items():
-            best = self._best(t, k, sorted(set(starts)))
-            if best:
-                found.append((self.items[k][0], *best))
+        found = [(self.items[k][0], *best) for k, starts in self._implied(t).items() if (best := self._best(t, k, starts))]
         return sorted(found, key=lambda f: (f[0] is None, f[0] or 0, *f[1:]))
 
+    def every(self, text: str | None) -> list[tuple[int, int, int, int]]:
+        """(item id, distance, start, end) of the matches of every item that don't overlap each other."""
+        t = compared(text)
+        found = [(self.items[k][0], *f) for k, starts in self._implied(t).items() for f in self._every(t, k, starts)]
+        return sorted(found, key=lambda f: (f[0] is None, f[0] or 0, f[2], *f[1:]))
+
+    def _implied(self, t: str) -> dict[int, list[int]]:
+        """The places where an item begins if a piece of it that was hit is unchanged."""
+        implied: dict[int, set[int]] = {}
+        if t and self.any:
+            for e, (size, places) in self.scan.iter(t):
+                for k, offset in places:
+                    implied.setdefault(k, set()).add(e + 1 - size - offset)
+        return {k: sorted(starts) for k, starts in implied.items()}
+
+    def _every(self, t: str, k: int, starts: list[int]) -> list[tuple[int, int, int]]:
+        item, budget = self.items[k][1], self.budget[k]
+        m, found, i, done = len(item), [], 0, 0
+        while i < len(starts):
+            low = high = starts[i]
+            while i < len(starts) and starts[i] <= high + 2 * budget:
+                high = starts[i]
+                i += 1
+            # what an earlier window has matched is not looked at again
+            left, stop = max(done, low - budget), min(len(t), high + m + budget)
+            gaps = []
+            while (at := t.find(item, left, stop)) >= 0:
+                found.append((0, at, at + m))
+                gaps.append((left, at))
+                left = at + m
+            gaps.append((left, stop))
+            while gaps and budget:
+                a, b = gaps.pop()
+                if b - a < m - budget:
+                    continue
+                hit = self._nearest(t[a:b], k)
+                if hit:
+                    found.append((hit[0], a + hit[1], a + hit[2]))
+                    gaps += [(a, a + hit[1]), (a + hit[2], b)]
+            done = max([done] + [f[2] for f in found])
+        return found
+
+    def _nearest(self, window: str, k: int) -> tuple[int, int, int] | None:
+        """(distance, start, end) of the item's best match in the window, if within its budget."""
+        item, budget = self.items[k][1], self.budget[k]
+        if self.masks[k] is None:
+            self.masks[k] = letter_masks(item)
+        distance, end = myers(self.masks[k], len(item), window)
+        if distance > budget:
+            return None
+        back = window[max(0, end - len(item) - budget):end][::-1]
+        _, length = myers(letter_masks(item[::-1]), len(item), back)
+        return distance, end - length, end
+
     def _best(self, t: str, k: int, starts: list[int]) -> tuple[int, int, int] | None:
         item, budget = self.items[k][1], self.budget[k]
         m, best, i = len(item), None, 0
@@ -148,13 +193,16 @@ def item_blocks(items: DataFrame, item_id: str = "item_id", text: str = "text",
 
 
 def match(df: DataFrame, items: list[tuple[int, str]], text: str = "text", per_edit: int = 20,
-          keep: list[str] | None = None) -> tuple[DataFrame, str]:
-    """Append a struct of arrays (items, distances, starts, ends) for one block of test items."""
+          keep: list[str] | None = None, every: bool = False) -> tuple[DataFrame, str]:
+    """Append a struct of arrays (items, distances, starts, ends) for one block of test items.
+
+    The best match of each item, or ``every`` one.
+    """
     shared, token = broadcast_value(df.sparkSession, items), uuid.uuid4().hex
 
     def per_texts(texts):
         matcher = worker_cached(("decontaminate", token), lambda: Matcher(shared.value, per_edit))
-        found = [matcher.matches(t) for t in texts]
+        found = [(matcher.every if every else matcher.matches)(t) for t in texts]
         return [[[f[k] for f in one] for one in found] for k in range(4)]
 
     return append_struct(df, text, FIELDS, per_texts, keep)
@@ -162,10 +210,10 @@ def match(df: DataFrame, items: list[tuple[int, str]], text: str = "text", per_e
 
 def contamination(df: DataFrame, items: DataFrame, id_col: str = "doc_id", text: str = "text",
                   per_edit: int = 20) -> DataFrame:
-    """Rows (id, item_id, distance, start_char, end_char): every test item found in every text."""
+    """Rows (id, item_id, distance, start_char, end_char): every place where a test item is found, in every text."""
     out = None
     for block in item_blocks(items):
-        matched, name = match(df, block, text, per_edit, keep=[id_col])
+        matched, name = match(df, block, text, per_edit, keep=[id_col], every=True)
         rows = (matched.where(F.size(f"{name}.items") > 0)
                 .select(id_col, F.explode(F.arrays_zip(*[F.col(f"{name}.{c}") for c in FIELDS.names])).alias(name))
                 .select(id_col, *[F.col(f"{name}.{c}").alias(a) for c, a in
