@@ -193,9 +193,14 @@ _AT = f"zip_with({running_depth('steps')}, steps, (d, v) -> named_struct('depth'
 _OPENS = _places("transform(at, z -> z.depth = 0 and z.step = 1)")
 _CLOSES = _places("transform(at, z -> z.depth = 1 and z.step = -1)")
 _OUTSIDE = "zip_with(pieces, at, (x, z) -> if(z.depth = 0 and z.step < 1, x, null))"
-NESTED_NOTE = "cell -> " + _let(_PIECES, "pieces", _let(_STEPS, "steps", _let(
-    _AT, "at", f"named_struct('value', trim(array_join({_OUTSIDE}, '')), 'note', "
-    f"array_join(transform({_between(_OPENS, _CLOSES)}, x -> trim(x)), ', '))")))
+
+
+def _of_notes(then: str) -> str:
+    return "cell -> " + _let(_PIECES, "pieces", _let(_STEPS, "steps", _let(_AT, "at", then)))
+
+
+NESTED_VALUE = _of_notes(f"trim(array_join({_OUTSIDE}, ''))")
+NESTED_BODIES = _of_notes(f"array_join(transform({_between(_OPENS, _CLOSES)}, x -> trim(x)), ', ')")
 
 # text up to the first parenthesis that closes none opened in it
 _ENDS = _places(f"zip_with(pieces, {running_depth(_DELTAS)}, (x, d) -> x = ')' and d = 0)")
@@ -236,8 +241,10 @@ def split_note(c) -> Column:
     s = _c(c)
     value = F.trim(F.regexp_replace(s, PAREN_NOTE, ""))
     note = F.array_join(F.transform(F.regexp_extract_all(s, F.lit(PAREN_BODY), 1), lambda x: F.trim(x)), ", ")
-    # one struct, so that value and note share the scan
-    return F.when(s.rlike(NESTED), _apply(NESTED_NOTE, s)).otherwise(_fields(value=value, note=note))
+    # each field has its own condition, so one that isn't asked for costs nothing
+    nested = s.rlike(NESTED)
+    return _fields(value=F.when(nested, _apply(NESTED_VALUE, s)).otherwise(value),
+                   note=F.when(nested, _apply(NESTED_BODIES, s)).otherwise(note))
 
 
 def clause_pattern(words=CLAUSE_WORDS) -> str:
@@ -284,7 +291,7 @@ def split_hier_id(c, sep: str = ".", type_: str = "bigint") -> Column:
 def strip_parens(c) -> Column:
     """Name without parenthetical notes."""
     s = _c(c)
-    return F.when(s.rlike(NESTED), _apply(NESTED_NOTE, s)["value"]).otherwise(F.trim(F.regexp_replace(s, PAREN_NOTE, "")))
+    return F.when(s.rlike(NESTED), _apply(NESTED_VALUE, s)).otherwise(F.trim(F.regexp_replace(s, PAREN_NOTE, "")))
 
 
 def _before_closing(s: Column) -> Column:

@@ -104,16 +104,18 @@ def bridge(fact: DataFrame, fact_key: str, value, dim: DataFrame, dim_name: str,
     surrogate key ordered by (fact_key, dim_key, note) is added. Any ``sep``
     other than "," is taken literally.
     """
-    items = fact.select(fact_key, F.explode(split_items(value, sep)).alias("__item"))
+    items = fact.select(fact_key, F.posexplode(split_items(value, sep)).alias("__place", "__item"))
     parts = split_note("__item")
-    items = (items.select(fact_key, parts["value"].alias("__value"), parts["note"].alias(note))
+    items = (items.select(fact_key, "__place", parts["value"].alias("__value"), parts["note"].alias(note))
              .where(F.col("__value") != ""))
     out = lookup(items, dim, "__value", dim_name, dim_key,
-                 broadcast_max_rows=broadcast_max_rows).select(fact_key, dim_key, note)
+                 broadcast_max_rows=broadcast_max_rows)
     if key is not None:
-        out = dense_key(out, [fact_key, dim_key, note], key, start=start, **dense_opts)
-        out = out.select(key, fact_key, dim_key, note)
-    return out
+        # an item's place in its cell tells equal rows of one fact row apart
+        out = dense_key(out.select(fact_key, dim_key, note, "__place"), [fact_key, dim_key, note], key, start=start,
+                        **{"tie_break": ["__place"], "unique": True, **dense_opts})
+        return out.select(key, fact_key, dim_key, note)
+    return out.select(fact_key, dim_key, note)
 
 
 def bridge_from_items(fact: DataFrame, fact_key: str, items: Column, dim: DataFrame,
