@@ -224,7 +224,10 @@ def items_outside_parens(c) -> Column:
     """
     s = _c(c)
     plain = F.regexp_extract_all(s, F.lit(ITEM_OUTSIDE_PARENS), 0)
-    return F.transform(F.when(s.rlike(NESTED), _apply(NESTED_ITEMS, s)).otherwise(plain), lambda x: F.trim(x))
+    # most cells have no parenthesis and need no pattern
+    items = (F.when(~s.contains("("), F.filter(F.split(s, ","), lambda x: x != ""))
+             .when(s.rlike(NESTED), _apply(NESTED_ITEMS, s)).otherwise(plain))
+    return F.transform(items, lambda x: F.trim(x))
 
 
 def split_items(c, sep: str = ",") -> Column:
@@ -242,9 +245,9 @@ def split_note(c) -> Column:
     value = F.trim(F.regexp_replace(s, PAREN_NOTE, ""))
     note = F.array_join(F.transform(F.regexp_extract_all(s, F.lit(PAREN_BODY), 1), lambda x: F.trim(x)), ", ")
     # each field has its own condition, so one that isn't asked for costs nothing
-    nested = s.rlike(NESTED)
-    return _fields(value=F.when(nested, _apply(NESTED_VALUE, s)).otherwise(value),
-                   note=F.when(nested, _apply(NESTED_BODIES, s)).otherwise(note))
+    bare, nested = ~s.contains("("), s.rlike(NESTED)
+    return _fields(value=F.when(bare, F.trim(s)).when(nested, _apply(NESTED_VALUE, s)).otherwise(value),
+                   note=F.when(bare, F.lit("")).when(nested, _apply(NESTED_BODIES, s)).otherwise(note))
 
 
 def clause_pattern(words=CLAUSE_WORDS) -> str:

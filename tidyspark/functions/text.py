@@ -7,6 +7,8 @@ inside whole-stage codegen and runs on whole texts of any length.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,9 +36,24 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def replace_chars(c, pattern: str, replacement: str = "") -> Column:
+    """regexp_replace(c, pattern, replacement), quick where ``pattern`` is one negated class ``[^...]``.
+
+    A search for a class starts anew at each character. Here one possessive run tells the texts
+    that have only kept characters, and in the others it skips the kept ones before each other one.
+    """
+    s = _c(c)
+    kept = re.fullmatch(r"\[\^([^\[\]&]+)\]", pattern)
+    if kept is None or re.search(r"[\\$]", replacement):
+        return F.regexp_replace(s, pattern, replacement)
+    run = f"[{kept.group(1)}]*+"
+    return (F.when(s.rlike(rf"\A{run}\z"), s)
+            .otherwise(F.regexp_replace(s, rf"\G({run}){pattern}", "$1" + replacement)))
+
+
 def clean(c, pattern: str = KEEP_TEXT, replacement: str = "") -> Column:
     """trim(regexp_replace(c, pattern, replacement)); trim removes spaces only."""
-    return F.trim(F.regexp_replace(_c(c), pattern, replacement))
+    return F.trim(replace_chars(c, pattern, replacement))
 
 
 def missing_to(c, default: str = MISSING) -> Column:

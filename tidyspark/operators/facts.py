@@ -6,7 +6,9 @@ is checked against ``broadcast_max_rows`` and its bytes against
 Without a bound the planner decides: AQE measures the shuffled build side at
 run time and switches to a broadcast join only under
 ``spark.sql.adaptive.autoBroadcastJoinThreshold``; otherwise a sort-merge join
-is kept, whose skewed partitions AQE splits.
+is kept, whose skewed partitions AQE splits. A dimension of a few values needs the
+bound: AQE doesn't broadcast a side most of whose partitions are empty, and
+all rows of one value would meet it in one task.
 """
 
 from __future__ import annotations
@@ -25,14 +27,17 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def checked_broadcast(dim: DataFrame, max_rows: int | None) -> DataFrame:
-    """Broadcast-hint ``dim`` only if it has at most ``max_rows`` rows and ``BROADCAST_BYTES`` of data."""
-    if max_rows is None:
-        return dim
+def fits_broadcast(dim: DataFrame, max_rows: int) -> bool:
+    """At most ``max_rows`` rows and ``BROADCAST_BYTES`` of data."""
     width = sum((F.coalesce(F.octet_length(F.col(f.name).cast("string")), F.lit(0)) + 8
                  for f in dim.schema.fields), F.lit(0))
     rows, size = dim.limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum(width)).first()
-    return F.broadcast(dim) if rows <= max_rows and (size or 0) <= BROADCAST_BYTES else dim
+    return rows <= max_rows and (size or 0) <= BROADCAST_BYTES
+
+
+def checked_broadcast(dim: DataFrame, max_rows: int | None) -> DataFrame:
+    """Broadcast-hint ``dim`` only if it has at most ``max_rows`` rows and ``BROADCAST_BYTES`` of data."""
+    return F.broadcast(dim) if max_rows is not None and fits_broadcast(dim, max_rows) else dim
 
 
 def lookup(fact: DataFrame, dim: DataFrame, on, dim_name: str, dim_key: str,
@@ -118,6 +123,13 @@ def bridge(fact: DataFrame, fact_key: str, value, dim: DataFrame, dim_name: str,
     return out.select(fact_key, dim_key, note)
 
 
+def noted_items(value, sep: str = ",") -> Column:
+    """A cell's items as an array of struct(value, note), each pair once, without empty values."""
+    pairs = F.transform(split_items(value, sep), lambda x: F.struct(split_note(x)["value"].alias("value"),
+                                                                    split_note(x)["note"].alias("note")))
+    return F.array_distinct(F.filter(pairs, lambda p: p["value"] != ""))
+
+
 def bridge_from_items(fact: DataFrame, fact_key: str, items: Column, dim: DataFrame,
                       dim_name: str, dim_key: str, extra: dict | None = None,
                       broadcast_max_rows: int | None = None) -> DataFrame:

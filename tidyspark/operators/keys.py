@@ -69,7 +69,8 @@ def _reads_files_only(df: DataFrame) -> bool:
 
 
 def dense_key(df: DataFrame, order_by, name: str = "key", start: int | Column = 0, *,
-              tie_break: list[str] | None = None, unique: bool = False, materialize: bool = True) -> DataFrame:
+              tie_break: list[str] | None = None, unique: bool = False, materialize: bool = True,
+              run: str | None = None) -> DataFrame:
     """Add ``name`` = start + 1-based rank of each row in ascending tuple order.
 
     ``order_by`` holds column names or Column expressions (ascending, NULLs
@@ -77,7 +78,8 @@ def dense_key(df: DataFrame, order_by, name: str = "key", start: int | Column =
     orderable column so equal prefixes still get a deterministic order.
     ``unique``: no two rows are equal in all these columns. ``materialize=False``
     keeps the input from being written first even if it isn't a reading of stored files
-    (a caller whose rows come in the same order whenever a task is run again).
+    (a caller whose rows come in the same order whenever a task is run again). ``run`` names
+    a further column for ``key_in_runs``: rows with the same number lie next to each other in key order.
     """
     if isinstance(order_by, (str, Column)):
         order_by = [order_by]
@@ -107,5 +109,31 @@ def dense_key(df: DataFrame, order_by, name: str = "key", start: int | Column =
     start_col = start if isinstance(start, Column) else F.lit(int(start))
     place = F.col("__dkpos").bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
     key = (start_col.cast("long") + F.col("__dkbefore") + place + 1).cast("long")
-    return (stored.withColumn("__dkp", part).join(before, "__dkp")
-            .withColumn(name, key).drop("__dkp", "__dkbefore", "__dkpos"))
+    keyed = stored.withColumn("__dkp", part).join(before, "__dkp").withColumn(name, key)
+    if run is not None:
+        keyed = keyed.withColumn(run, F.col("__dkp"))
+    return keyed.drop("__dkp", "__dkbefore", "__dkpos")
+
+
+def key_in_runs(df: DataFrame, order_by: list[str], name: str, run: str) -> DataFrame:
+    """``name`` = 1-based rank in the order of ``order_by``, without an exchange.
+
+    ``df`` must be made, row by row, from a table that ``dense_key`` numbered (``run`` is its column), without an
+    exchange since, and ``order_by`` begin with that table's key. A task then reads pieces of
+    files, each holding neighbouring keys, and no key's rows are read by two tasks. Each task
+    sorts its rows and writes them with their place; per task and file one count and
+    the smallest key tell how many rows come before.
+    """
+    placed = df.sortWithinPartitions(*order_by).withColumn("__dkpos", F.monotonically_increasing_id())
+    stored = _materialize(placed, "key-in-runs")
+    task = F.shiftright("__dkpos", PLACE_BITS)
+    place = F.col("__dkpos").bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
+    pieces = (stored.groupBy(task.alias("t"), F.col(run).alias("r"))
+              .agg(F.min(order_by[0]).alias("first"), F.min(place).alias("at"), F.count(F.lit(1)).alias("n")).collect())
+    before, running = [], 0
+    for t, r, _, at, n in sorted(pieces, key=lambda x: x["first"]):      # one per task and file
+        before.append((t, r, running - at))
+        running += n
+    before = F.broadcast(df.sparkSession.createDataFrame(before, "__dkt long, __dkr long, __dkbefore long"))
+    return (stored.join(before, (task == before["__dkt"]) & (stored[run] == before["__dkr"]))
+            .withColumn(name, F.col("__dkbefore") + place + 1).drop("__dkt", "__dkr", "__dkbefore", "__dkpos", run))

@@ -27,7 +27,7 @@ from tidyspark.functions import parse as P
 from tidyspark.functions import text as X
 from tidyspark.operators import dims, facts, reports
 from tidyspark.operators.audit import audit
-from tidyspark.operators.keys import dense_key
+from tidyspark.operators.keys import dense_key, key_in_runs
 from tidyspark.session import materialize
 from tidyspark.sources.tables import merge_into_path
 from tidyspark.specs import TableSpec, fk
@@ -35,6 +35,7 @@ from tidyspark.specs import TableSpec, fk
 TW = "Temperature&Weather"
 LAT = "SquirrelLatitudeDD.DDDDDD"
 LON = "SquirrelLongitude-DD.DDDDDD"
+VOCABULARY_ROWS = 200_000        # vocabularies, areas and sections up to this size are broadcast
 
 
 # -- staging ------------------------------------------------------------------------
@@ -71,7 +72,7 @@ def stage_sightings(sightings: DataFrame) -> DataFrame:
     s = X.clean_text(sightings.withColumnsRenamed({LAT: "SquirrelLatitude",
                                                    LON: "SquirrelLongitude"}), spec)
     height = F.regexp_replace(F.col("AboveGroundHeightinFeet").cast("string"), r"(\d)\.\d+", "$1")
-    rng = P.parse_range(F.regexp_replace(height, X.KEEP_RANGE, ","))
+    rng = P.parse_range(X.replace_chars(height, X.KEEP_RANGE, ","))
     return s.withColumns({
         "ParkID": P.split_hier_id("ParkID")["parent"],
         "MinHeightFeet": rng["min"], "MaxHeightFeet": rng["max"],
@@ -100,19 +101,68 @@ class _Keyer:
         return out.select(*(columns or [key, *rows.columns]))
 
 
-def _join_back(rows: DataFrame, table: DataFrame, natural_key, key: str) -> DataFrame:
+def _join_back(rows: DataFrame, table: DataFrame, natural_key, key: str, max_rows: int | None = None) -> DataFrame:
     """Attach the stored key to staged rows by NULL-safe match on the natural key.
 
     Rows meet on one hash of the natural key; its columns are compared after that.
+    A table of at most ``max_rows`` rows is broadcast.
     """
     t = table.select(key, F.xxhash64(*natural_key).alias("__t_hash"),
                      *[F.col(c).alias(f"__t_{c}") for c in natural_key])
+    t = facts.checked_broadcast(t, max_rows)
     cond = F.xxhash64(*[rows[c] for c in natural_key]) == t["__t_hash"]
     for c in natural_key:
         cond = cond & rows[c].eqNullSafe(t[f"__t_{c}"])
     return rows.join(t, cond, "left").drop("__t_hash", *[f"__t_{c}" for c in natural_key])
 
 
+RUN = "__run"
+
+
+def _one_row_a_key(rows: DataFrame, natural_key) -> bool:
+    """Whether no two of these different rows have the same natural key; its hashes are compared first."""
+    hashed = rows.select(*natural_key, F.xxhash64(*natural_key).alias("__hash"))
+    twice = hashed.groupBy("__hash").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").select("__hash")
+    if twice.isEmpty():
+        return True
+    return (hashed.join(twice, "__hash", "left_semi").groupBy(*natural_key).agg(F.count(F.lit(1)).alias("__n"))
+            .where("__n > 1").isEmpty())
+
+
+def _fact_with_cells(key: _Keyer, name: str, rows: DataFrame, natural_key, id_: str, cells, cut):
+    """The keyed fact, and its key with the ``cells`` that the bridges are made of.
+
+    The cells travel with the rows while these are numbered. Where each natural key has
+    one set of cells, as a rule, the numbered rows are the fact and no row has to find its key again
+    (the frame then has a column RUN); else, and for a stored fact, the rows are joined back.
+    """
+    if key.store is None and cells:
+        numbered = dense_key(rows.select(*natural_key, *cells).distinct(), natural_key, id_, unique=True, run=RUN)
+        if _one_row_a_key(numbered, natural_key):
+            return numbered.select(id_, *natural_key), numbered.select(id_, *cells, RUN)
+        rows = numbered.drop(id_, RUN)
+    table = key(name, rows.select(*natural_key), natural_key, id_)
+    if not cells:
+        return table, None
+    keyed = _join_back(rows.select(*natural_key, *cells), table, natural_key, id_)
+    return table, cut(keyed.select(id_, *cells), f"{name}-keyed")
+
+
+def _keyed_bridge(key: _Keyer, name: str, id_: str, keyed: DataFrame, fact_id: str, items, dim: DataFrame,
+                  dim_name: str, dim_id: str, note: str) -> DataFrame:
+    """Rows (fact, item, note) of arrays of struct(value, note), each once, with a key in their order."""
+    order = [fact_id, dim_id, note]
+    in_runs = RUN in keyed.columns and facts.fits_broadcast(dim, VOCABULARY_ROWS)
+    kept = [fact_id, RUN] if in_runs else [fact_id]
+    rows = (keyed.select(*kept, F.explode(items).alias("__item"))
+            .select(*kept, F.col("__item.value").alias("__value"), F.col("__item.note").alias(note)))
+    rows = facts.lookup(rows, dim, "__value", dim_name, dim_id, broadcast_max_rows=VOCABULARY_ROWS)
+    if in_runs:
+        # a fact row's items differ, and so do their keys: every item is in the vocabulary
+        return key_in_runs(rows.select(*order, RUN), order, id_, RUN).select(id_, *order)
+    return key(name, rows.select(*order), order, id_)
+
+
 # table -> the tables that its rows refer to
 REFERS_TO = {
     "areas": (), "parks": ("areas",), "parkvariants": ("areas",), "parksections": (),
@@ -172,9 +222,10 @@ def _visit_tables(spark, visits, store, cut_lineage, key, wanted, t, **stage_opt
         t["areas"] = key("areas", v.select(F.col("AreaID").alias("Area_ID"), "AreaName"),
                          ["AreaName", "Area_ID"], "AreaID", ["AreaName", "Area_ID"])
     if wanted & {"parks", "parkvariants"}:
-        named = v.select(hid["parent"].alias("ParkID"), "AreaName", F.col("AreaID").alias("Area_ID"),
-                         P.strip_parens("ParkName").alias("ParkName")).distinct()
-        named = _join_back(named, t["areas"], ["AreaName", "Area_ID"], "AreaID")
+        named = (v.select("ParkID", "AreaName", "AreaID", "ParkName").distinct()      # parsed once each
+                 .select(hid["parent"].alias("ParkID"), "AreaName", F.col("AreaID").alias("Area_ID"),
+                         P.strip_parens("ParkName").alias("ParkName")).distinct())
+        named = _join_back(named, t["areas"], ["AreaName", "Area_ID"], "AreaID", VOCABULARY_ROWS)
         # every (name, area) seen for an ID; a park takes its smallest, the audit counts the others
         variants = cut(named.select("ParkID", "AreaID", "ParkName", "AreaName", "Area_ID"), "parkvariants")
         t["parkvariants"] = variants.select("ParkID", "AreaID", "ParkName")
@@ -185,7 +236,7 @@ def _visit_tables(spark, visits, store, cut_lineage, key, wanted, t, **stage_opt
             spark, f"{store.rstrip('/')}/parks", park_rows, ["ParkID"], None,
             schema=SCHEMAS["parks"])
     if "parksections" in wanted:
-        t["parksections"] = key("parksections", dims.section_rows(v, "ParkID", "ParkName"),
+        t["parksections"] = key("parksections", dims.section_rows(v.select("ParkID", "ParkName").distinct(), "ParkID", "ParkName"),
                                 ["ParkID", "SectionID", "ParkSectionName"], "ParkSectionID")
 
     # single-valued vocabularies from the head of a "value, remark" cell
@@ -207,12 +258,13 @@ def _visit_tables(spark, visits, store, cut_lineage, key, wanted, t, **stage_opt
     if "animals" in wanted:
         animal_items = F.transform(P.items_outside_parens("OtherAnimalSightings"),
                                    lambda x: P.split_note(x)["value"])
-        t["animals"] = key("animals", v.select(F.explode(animal_items).alias("AnimalName"))
+        t["animals"] = key("animals", v.select("OtherAnimalSightings").distinct()
+                           .select(F.explode(animal_items).alias("AnimalName"))
                            .where(F.col("AnimalName") != ""), ["AnimalName"], "AnimalID")
     weather = P.descriptors_after(TW)
     v = v.withColumns({"WeatherItems": weather["items"], "WeatherObs": weather["clause"]})
     if "weathers" in wanted:
-        t["weathers"] = key("weathers", v.select(F.explode("WeatherItems").alias("WeatherName")),
+        t["weathers"] = key("weathers", v.select(TW).distinct().select(F.explode(weather["items"]).alias("WeatherName")),
                             ["WeatherName"], "WeatherID")
     if "parkstatus" not in wanted:
         return
@@ -225,35 +277,32 @@ def _visit_tables(spark, visits, store, cut_lineage, key, wanted, t, **stage_opt
     secs = t["parksections"].select(F.col("ParkID").alias("__spid"),
                                     F.col("SectionID").alias("__ssid"),
                                     F.col("ParkSectionName").alias("__ssname"), "ParkSectionID")
+    secs = facts.checked_broadcast(secs, VOCABULARY_ROWS)
     v = v.join(secs, (v["__pid"] == secs["__spid"]) & v["__sid"].eqNullSafe(secs["__ssid"])
                & (v["__sname"] == secs["__ssname"]), "left").drop("__spid", "__ssid", "__ssname")
     v = facts.lookup(v, t["parkconditions"], "ParkCondition", "ParkConditionName",
-                     "ParkConditionID")
-    v = facts.lookup(v, t["parklitters"], "ParkLitter", "ParkLitterName", "ParkLitterID")
+                     "ParkConditionID", broadcast_max_rows=VOCABULARY_ROWS)
+    v = facts.lookup(v, t["parklitters"], "ParkLitter", "ParkLitterName", "ParkLitterID",
+                     broadcast_max_rows=VOCABULARY_ROWS)
     status_cols = ["ParkID", "ParkSectionID", "Date", "StartTime", "EndTime", "TotalTime",
                    "ParkConditionID", "ConditionsObs", "ParkLitterID", "LitterObs",
                    "TemperatureDegrees"]
     v = v.withColumns({"ParkID": F.col("__pid"),
                        "TotalTime": F.col("TotalTimeinminutesifavailable")})
-    t["parkstatus"] = key("parkstatus", v.select(*status_cols), status_cols, "ParkStatusID")
-    if not wanted & {"parkstatuswheater", "parkstatusanimals"}:
-        return
-    v = _join_back(v, t["parkstatus"], status_cols, "ParkStatusID")
-    v = cut(v.select("ParkStatusID", "WeatherItems", "WeatherObs", "OtherAnimalSightings"), "visits-keyed")
+    cells = ([] if "parkstatuswheater" not in wanted else ["WeatherItems", "WeatherObs"]) + \
+        ([] if "parkstatusanimals" not in wanted else ["OtherAnimalSightings"])
+    t["parkstatus"], v = _fact_with_cells(key, "parkstatus", v, status_cols, "ParkStatusID", cells, cut)
 
     # visit bridges
     if "parkstatuswheater" in wanted:
-        t["parkstatuswheater"] = key(
-            "parkstatuswheater",
-            facts.bridge_from_items(v, "ParkStatusID", F.col("WeatherItems"), t["weathers"],
-                                    "WeatherName", "WeatherID", {"WeatherObs": F.col("WeatherObs")}),
-            ["ParkStatusID", "WeatherID", "WeatherObs"], "ParkStatusWheaterID")
+        items = F.array_distinct(F.transform("WeatherItems", lambda x: F.struct(
+            x.alias("value"), F.col("WeatherObs").alias("note"))))
+        t["parkstatuswheater"] = _keyed_bridge(key, "parkstatuswheater", "ParkStatusWheaterID", v, "ParkStatusID", items,
+                                               t["weathers"], "WeatherName", "WeatherID", "WeatherObs")
     if "parkstatusanimals" in wanted:
-        t["parkstatusanimals"] = key(
-            "parkstatusanimals",
-            facts.bridge(v, "ParkStatusID", "OtherAnimalSightings", t["animals"], "AnimalName",
-                         "AnimalID", note="ParkStatusAnimalObs"),
-            ["ParkStatusID", "AnimalID", "ParkStatusAnimalObs"], "ParkStatusAnimalID")
+        t["parkstatusanimals"] = _keyed_bridge(key, "parkstatusanimals", "ParkStatusAnimalID", v, "ParkStatusID",
+                                               facts.noted_items("OtherAnimalSightings"), t["animals"], "AnimalName",
+                                               "AnimalID", "ParkStatusAnimalObs")
 
 
 def _sighting_tables(sightings, cut_lineage, key, wanted, t, keyed=True) -> None:
@@ -275,9 +324,9 @@ def _sighting_tables(sightings, cut_lineage, key, wanted, t, keyed=True) -> None
     first_highlight = F.get(P.items_outside_parens("HighlightsinFurColor"), 0)
     s = facts.build_fact(s, [
         dict(dim=t["colors"], on=F.trim("PrimaryFurColor"), dim_name="ColorName",
-             dim_key="ColorID", as_="SquirrelPrimFurColorID"),
+             dim_key="ColorID", as_="SquirrelPrimFurColorID", broadcast_max_rows=VOCABULARY_ROWS),
         dict(dim=t["colors"], on=P.split_note(first_highlight)["value"], dim_name="ColorName",
-             dim_key="ColorID", as_="SquirrelHighFurColorID")])
+             dim_key="ColorID", as_="SquirrelHighFurColorID", broadcast_max_rows=VOCABULARY_ROWS)])
     s = s.withColumns({"SquirrelColorNotes": F.col("ColorNotes"),
                        "SquirrelSpecificLocation": F.col("SpecificLocation"),
                        "SquirrelObservations": F.col("OtherNotesorObservations"),
@@ -290,7 +339,6 @@ def _sighting_tables(sightings, cut_lineage, key, wanted, t, keyed=True) -> None
     if not keyed and not wanted & BRIDGES_OF_SIGHTINGS:
         t["squirrels"] = s.select(*sq_cols).distinct()
         return
-    t["squirrels"] = key("squirrels", s.select(*sq_cols), sq_cols, "SquirrelDataID")
     bridges = [(name, *rest) for name, *rest in [
         ("squirrelhighlights", "HighlightsinFurColor", "colors", "ColorName", "ColorID",
          "SquirrelHighlightObs"),
@@ -301,14 +349,11 @@ def _sighting_tables(sightings, cut_lineage, key, wanted, t, keyed=True) -> None
         ("squirrelactivities", "Activities", "activities", "ActivityName", "ActivityID",
          "SquirrelActivityObs"),
     ] if name in wanted]
-    if not bridges:
-        return
-    s = _join_back(s, t["squirrels"], sq_cols, "SquirrelDataID")
-    s = cut(s.select("SquirrelDataID", *[col for _, col, *_ in bridges]), "sightings-keyed")
+    t["squirrels"], s = _fact_with_cells(key, "squirrels", s, sq_cols, "SquirrelDataID",
+                                         [col for _, col, *_ in bridges], cut)
     for name, col, dim, dname, dkey, note in bridges:
-        rows = facts.bridge(s, "SquirrelDataID", col, t[dim], dname, dkey, note=note)
-        t[name] = key(name, rows, ["SquirrelDataID", dkey, note],
-                      _bridge_key_name(name))
+        t[name] = _keyed_bridge(key, name, _bridge_key_name(name), s, "SquirrelDataID", facts.noted_items(col), t[dim],
+                                dname, dkey, note)
 
 
 def _bridge_key_name(table: str) -> str:
@@ -319,9 +364,11 @@ def _bridge_key_name(table: str) -> str:
 
 
 def _items(df: DataFrame, cols, name: str) -> DataFrame:
+    """The items of the cells; each distinct cell is parsed once."""
     cell = F.concat_ws(",", *[F.col(c) for c in cols])
-    vals = F.transform(P.items_outside_parens(cell), lambda x: P.split_note(x)["value"])
-    return df.select(F.explode(vals).alias(name)).where(F.col(name) != "")
+    vals = F.transform(P.items_outside_parens("__cell"), lambda x: P.split_note(x)["value"])
+    return (df.select(cell.alias("__cell")).distinct()
+            .select(F.explode(vals).alias(name)).where(F.col(name) != ""))
 
 
 # -- contracts, audit, reports -------------------------------------------------------------
