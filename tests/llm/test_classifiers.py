@@ -65,6 +65,23 @@ def test_toxicity_learns_and_handles_cases(spark):
     assert toxicity.score(none, toxicity.train(none, labels, F.lit(True)))[0].count() == 0
 
 
+def test_toxicity_curve_reaches_the_optimum():
+    """Also where the classes hardly overlap and full Newton steps swing."""
+    r = random.Random(5)
+    apart = [(0.0, 0, 25_000), (3.0, 0, 400), (11.0, 0, 4), (13.0, 4, 0), (14.0, 24, 2), (17.0, 900, 0), (60.0, 2000, 0)]
+    cases = [apart, [(0.0, 0, 25_000), (6.0, 0, 300), (14.0, 3000, 0)]]
+    cases += [[(k / 2, r.randrange(3000) if k > 20 else 0, r.randrange(3000) if k < 22 else 0) for k in range(60)]
+              for _ in range(50)]
+    for bins in cases:
+        a, b = toxicity._fit_curve(bins)
+        p = [1 / (1 + math.exp(-a - b * x)) for x, _, _ in bins]
+        slopes = (sum(t - (t + c) * q for q, (_, t, c) in zip(p, bins)) - 1e-3 * a,
+                  sum((t - (t + c) * q) * x for q, (x, t, c) in zip(p, bins)) - 1e-1 * b)
+        assert max(map(abs, slopes)) < 0.01 and b > 0.5, (a, b, slopes)
+    a, b = toxicity._fit_curve(apart)
+    assert a + b * 11 < math.log(0.3 / 0.7) < a + b * 13
+
+
 def test_toxicity_held_out(spark):
     import __spark_entry__ as entry
     out = entry.queries()["op1_toxicity"](spark, SF)

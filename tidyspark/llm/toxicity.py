@@ -243,17 +243,31 @@ def _surprises(sample: DataFrame, model: Model) -> list[tuple[float, int, int]]:
 
 
 def _fit_curve(bins: list[tuple[float, int, int]]) -> tuple[float, float]:
-    """Logistic curve by Newton steps with a small ridge on the slope."""
+    """Logistic curve by Newton steps with a small ridge on the slope.
+
+    A step that would raise the loss is halved: full steps swing about the optimum for ever
+    where the classes hardly overlap.
+    """
     x = np.array([b[0] for b in bins])
     toxic, clean = (np.array([b[i] for b in bins], dtype=float) for i in (1, 2))
     weight, theta = toxic + clean, np.array([-2.0, 0.1])
     design = np.stack([np.ones_like(x), x], 1)
     ridge = np.diag([1e-3, 1e-1])
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(design @ theta, -30, 30)))
+
+    def loss(theta):
+        z = design @ theta
+        return weight @ np.logaddexp(0, z) - toxic @ z + theta @ ridge @ theta / 2
+
+    for _ in range(200):
+        p = 1 / (1 + np.exp(-np.clip(design @ theta, -500, 500)))
         step = np.linalg.solve((design * (weight * p * (1 - p))[:, None]).T @ design + ridge,
                                design.T @ (toxic - weight * p) - ridge @ theta)
-        theta = theta + np.clip(step, -1, 1)
+        here = loss(theta)
+        while np.abs(step).max() > 1e-10 and not loss(theta + step) < here:
+            step = step / 2
+        if np.abs(step).max() <= 1e-10:
+            break
+        theta = theta + step
     return float(theta[0]), float(max(theta[1], 0.0))
 
 
