@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidyspark.functions import parse as P
 from tidyspark.functions import text as X
 from tidyspark.operators import keys
-from tidyspark.plans import survey
+from tidyspark.plans import pipeline, survey
 from tidyspark.sources.headers import normalize_headers
 
 
@@ -92,3 +92,43 @@ def test_cells_without_parentheses(spark):
                                   ["a (b (c), d)", "e"], ["("], ["a", "", "b"]]
     assert [(r.v, r.n) for r in got] == [("a,b", ""), (",a,,b ,", ""), ("", ""), ("", ""), (None, None), ("a)b,c", ""),
                                          ("a ,b", "x, y"), ("a , e", "b (c), d"), ("(", ""), ("a, ,b", "")]
+
+
+def test_only_the_columns_of_the_wanted_tables_are_staged(spark, monkeypatch):
+    staged = {}
+
+    def note(df, label="stage", of=survey.materialize):
+        staged[label] = set(df.columns)
+        return of(df, label)
+    monkeypatch.setattr(survey, "materialize", note)
+    visits, sightings = fixtures.visits_df(spark), _sightings(spark, 9)
+    t = survey.normalize_survey(spark, normalize_headers(visits), sightings, only={"parks", "squirrelactivities"})
+    assert staged["survey-visits"] == {"AreaName", "AreaID", "ParkName", "ParkID"}
+    assert not staged["survey-sightings"] & {"Location", "InteractionswithHumans"}
+    whole = survey.normalize_survey(spark, normalize_headers(visits), sightings, only={"parks", "squirrelactivities", "locations"})
+    for name in ("parks", "squirrelactivities"):
+        assert sorted(map(str, t[name].collect())) == sorted(map(str, whole[name].collect()))
+
+
+def test_heights_and_times_are_parsed_once(spark):
+    plan = survey.stage_sightings(_sightings(spark, 9))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all(") == 1
+    row = spark.createDataFrame([("x",)], "s string")
+    plan = row.select(P.minutes_between("s", "s"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("gettimestamp(") == 2
+
+    cells = [("10-20", 10, 20), ("<30", 0, 30), (">30", 30, None), ("none", None, None), (None, None, None), ("", None, None),
+             ("<5 >9", 0, 9), ("99999999999", None, None)]
+    df = spark.createDataFrame([(c,) for c, *_ in cells], "s string").select(P.parse_range("s").alias("r"))
+    assert [tuple(r.r) for r in df.collect()] == [tuple(x) for _, *x in cells]
+    times = [("23:50:00", "00:10:30", 20), ("00:10:30", "23:50:00", 1419), ("10:00:00", "10:00:00", 0), ("10:00:00", None, None),
+             ("x", "10:00:00", None)]
+    df = spark.createDataFrame([t[:2] for t in times], "a string, b string")
+    assert [r[0] for r in df.select(P.minutes_between("a", "b")).collect()] == [t[2] for t in times]
+
+
+def test_rows_of_few_pieces_are_dealt_out(spark):
+    n = spark.sparkContext.defaultParallelism
+    few, many = spark.range(0, 1000, 1, 1), spark.range(0, 1000, 1, n + 3)
+    assert pipeline._spread(few).rdd.getNumPartitions() == n and pipeline._spread(many).rdd.getNumPartitions() == n + 3
+    assert sorted(r.id for r in pipeline._spread(few).collect()) == list(range(1000))

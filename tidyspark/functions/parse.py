@@ -67,14 +67,14 @@ def parse_time(c, fmt: str = "h:mm:ss a", out: str = "HH:mm:ss") -> Column:
 
 
 def seconds_of_day(c, fmt: str = "HH:mm:ss") -> Column:
-    ts = F.try_to_timestamp(_c(c), F.lit(fmt))
-    return F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
+    # as a lambda's variable the text is parsed once, not for each part of the time
+    return F.get(F.transform(F.array(F.try_to_timestamp(_c(c), F.lit(fmt))),
+                             lambda ts: F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)), 0)
 
 
 def minutes_between(start, end, fmt: str = "HH:mm:ss") -> Column:
     """Whole minutes from ``start`` to ``end`` (times of day); past midnight wraps."""
-    diff = seconds_of_day(end, fmt) - seconds_of_day(start, fmt)
-    diff = F.when(diff < 0, diff + 86400).otherwise(diff)
+    diff = F.pmod(seconds_of_day(end, fmt) - seconds_of_day(start, fmt), F.lit(86400))
     return F.floor(diff / 60).cast("int")
 
 
@@ -92,15 +92,21 @@ def parse_range(c, default: int | None = None) -> Column:
     ``"10-20"``, ``"8 or 10"`` -> (smallest, largest number); ``"<30"`` -> (0, 30);
     ``">30"`` -> (30, NULL); no number -> (default, default).
     """
-    s = _c(c)
-    nums = F.transform(F.regexp_extract_all(s, F.lit(r"(\d+)"), 1), lambda x: x.try_cast("int"))
-    lo, hi = F.array_min(nums), F.array_max(nums)
-    has_num = F.size(nums) > 0
-    mn = (F.when(~has_num, F.lit(default).cast("int"))
-          .when(s.contains("<"), F.lit(0)).otherwise(lo))
-    mx = (F.when(~has_num, F.lit(default).cast("int"))
-          .when(s.contains(">") & ~s.contains("<"), F.lit(None).cast("int")).otherwise(hi))
-    return F.struct(mn.alias("min"), mx.alias("max"))
+    def of(s: Column, nums: Column) -> Column:
+        lo, hi = F.array_min(nums), F.array_max(nums)
+        has_num = F.size(nums) > 0
+        mn = (F.when(~has_num, F.lit(default).cast("int"))
+              .when(s.contains("<"), F.lit(0)).otherwise(lo))
+        mx = (F.when(~has_num, F.lit(default).cast("int"))
+              .when(s.contains(">") & ~s.contains("<"), F.lit(None).cast("int")).otherwise(hi))
+        return _fields(min=mn, max=mx)
+
+    def once(s: Column) -> Column:
+        nums = F.transform(F.regexp_extract_all(s, F.lit(r"(\d+)"), 1), lambda x: x.try_cast("int"))
+        return F.get(F.transform(F.array(nums), lambda found: of(s, found)), 0)
+
+    # the cell, whatever made it, and its numbers are lambdas' variables: evaluated once
+    return F.get(F.transform(F.array(_c(c)), once), 0)
 
 
 def extract_number(c, unit: str | None = TEMPERATURE_UNIT, fallback: bool = False, type_: str = "int") -> Column:

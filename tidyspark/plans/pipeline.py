@@ -22,10 +22,26 @@ def _load(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d.rstrip('/')}/{name}.parquet")
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """Rows that are read in fewer pieces than there are cores are dealt out to all of them.
+
+    Making and parsing the texts takes far longer than reading the short rows that they are made of.
+    """
+    n = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+
+
 def survey_inputs(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    o, c = _load(spark, d, "orders"), _load(spark, d, "customer")
-    n, r = _load(spark, d, "nation"), _load(spark, d, "region")
-    li, p, s = _load(spark, d, "lineitem"), _load(spark, d, "part"), _load(spark, d, "supplier")
+    c, n, r = _load(spark, d, "customer"), _load(spark, d, "nation"), _load(spark, d, "region")
+    o = _spread(_load(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate",
+                                                 "o_orderpriority"))
+    li = _spread(_load(spark, d, "lineitem").select("l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
+                                                    "l_returnflag", "l_linestatus"))
+    s = _load(spark, d, "supplier")
+    # a part's texts are made once, not for each of its lines
+    p = _load(spark, d, "part").select(
+        "p_partkey", "p_brand", "p_size", F.initcap("p_type").alias("p_type"),
+        F.regexp_replace(F.initcap("p_name"), " ", ", ").alias("p_name"))
 
     sectioned = F.col("o_orderstatus") == "P"
     minutes = (F.col("o_orderkey") % 90 + 10).cast("int")
@@ -73,8 +89,8 @@ def survey_inputs(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
                  .select(
                      F.concat(F.lit("S-"), F.col("l_partkey").cast("string")).alias("SquirrelID"),
                      F.col("s_nationkey").cast("string").alias("Park ID"),
-                     F.initcap("p_type").alias("Primary Fur Color"),
-                     F.regexp_replace(F.initcap("p_name"), " ", ", ").alias("Highlights in Fur Color"),
+                     F.col("p_type").alias("Primary Fur Color"),
+                     F.col("p_name").alias("Highlights in Fur Color"),
                      F.col("p_brand").alias("Color Notes"),
                      F.when(F.col("l_returnflag") == "R",
                             F.concat(F.lit("<"), F.col("p_size").cast("string")))
@@ -85,7 +101,7 @@ def survey_inputs(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
                      F.when(F.col("l_linestatus") == "O", F.lit("Low Wall"))
                       .otherwise(F.lit("Up High (roof, gutter)")).alias("Location"),
                      F.lit(None).cast("string").alias("Specific Location"),
-                     F.concat(F.regexp_replace(F.initcap("p_name"), " ", ", "), F.lit(" ("),
+                     F.concat("p_name", F.lit(" ("),
                               F.col("l_quantity").cast("int").cast("string"), F.lit(")"))
                       .alias("Activities"),
                      F.when(F.col("l_discount") > 0.05, F.lit("Curious, Begs"))

@@ -73,12 +73,12 @@ def stage_sightings(sightings: DataFrame) -> DataFrame:
                                                    LON: "SquirrelLongitude"}), spec)
     height = F.regexp_replace(F.col("AboveGroundHeightinFeet").cast("string"), r"(\d)\.\d+", "$1")
     rng = P.parse_range(X.replace_chars(height, X.KEEP_RANGE, ","))
-    return s.withColumns({
+    return s.withColumn("__range", rng).withColumns({
         "ParkID": P.split_hier_id("ParkID")["parent"],
-        "MinHeightFeet": rng["min"], "MaxHeightFeet": rng["max"],
+        "MinHeightFeet": F.col("__range.min"), "MaxHeightFeet": F.col("__range.max"),
         "SquirrelLatitude": F.col("SquirrelLatitude").try_cast("double"),
         "SquirrelLongitude": F.col("SquirrelLongitude").try_cast("double"),
-    })
+    }).drop("__range")
 
 
 # -- keyed tables -----------------------------------------------------------------------
@@ -176,6 +176,27 @@ REFERS_TO = {
 }
 
 
+# table -> the staged columns that it is made of, besides those of the tables it refers to
+MADE_OF = {
+    "areas": ("AreaID", "AreaName"), "parks": ("ParkID", "ParkName"), "parkvariants": ("ParkID", "ParkName"),
+    "parksections": ("ParkID", "ParkName"), "parkconditions": ("ParkConditions",), "parklitters": ("Litter",),
+    "animals": ("OtherAnimalSightings",), "weathers": (TW,),
+    "parkstatus": ("Date", "StartTime", "EndTime", "TotalTimeinminutesifavailable", "TemperatureDegrees"),
+    "parkstatuswheater": (), "parkstatusanimals": (),
+    "colors": ("PrimaryFurColor", "HighlightsinFurColor"), "locations": ("Location",), "activities": ("Activities",),
+    "interactions": ("InteractionswithHumans",),
+    "squirrels": ("SquirrelID", "ParkID", "ColorNotes", "SpecificLocation", "OtherNotesorObservations",
+                  "SquirrelLatitude", "SquirrelLongitude", "MinHeightFeet", "MaxHeightFeet"),
+    "squirrelhighlights": (), "squirrelhumaninteractions": (), "squirrellocations": (), "squirrelactivities": (),
+}
+
+
+def _needed(staged: DataFrame, tables) -> DataFrame:
+    """The staged columns that these tables are made of; the others need no cleaning and no writing."""
+    columns = {c for name in tables for c in MADE_OF[name]}
+    return staged.select(*[F.col(c) for c in staged.columns if c in columns])
+
+
 def _with_references(tables) -> set[str]:
     found, left = set(), list(tables)
     while left:
@@ -214,7 +235,7 @@ VISIT_TABLES = set(REFERS_TO) - SIGHTING_TABLES
 def _visit_tables(spark, visits, store, cut_lineage, key, wanted, t, **stage_opts) -> None:
     cut = (lambda df, label: materialize(df, f"survey-{label}")) if cut_lineage else \
         (lambda df, label: df)
-    v = cut(stage_visits(visits, **stage_opts), "visits")
+    v = cut(_needed(stage_visits(visits, **stage_opts), wanted & VISIT_TABLES), "visits")
     hid = P.split_hier_id("ParkID")
 
     # areas, parks, sections (natural park IDs are kept)
@@ -240,17 +261,15 @@ def _visit_tables(spark, visits, store, cut_lineage, key, wanted, t, **stage_opt
                                 ["ParkID", "SectionID", "ParkSectionName"], "ParkSectionID")
 
     # single-valued vocabularies from the head of a "value, remark" cell
-    cond = P.split_head_tail(X.strip_quotes("ParkConditions"))
-    litter = P.split_head_tail(X.strip_quotes("Litter"))
-    v = v.withColumns({"ParkCondition": X.missing_to(cond["head"]),
-                       "ConditionsObs": cond["tail"],
-                       "ParkLitter": X.missing_to(litter["head"]),
-                       "LitterObs": litter["tail"]})
     if "parkconditions" in wanted:
+        cond = P.split_head_tail(X.strip_quotes("ParkConditions"))
+        v = v.withColumns({"ParkCondition": X.missing_to(cond["head"]), "ConditionsObs": cond["tail"]})
         t["parkconditions"] = key("parkconditions",
                                   v.select(F.col("ParkCondition").alias("ParkConditionName")),
                                   ["ParkConditionName"], "ParkConditionID")
     if "parklitters" in wanted:
+        litter = P.split_head_tail(X.strip_quotes("Litter"))
+        v = v.withColumns({"ParkLitter": X.missing_to(litter["head"]), "LitterObs": litter["tail"]})
         t["parklitters"] = key("parklitters", v.select(F.col("ParkLitter").alias("ParkLitterName")),
                                ["ParkLitterName"], "ParkLitterID")
 
@@ -261,9 +280,9 @@ def _visit_tables(spark, visits, store, cut_lineage, key, wanted, t, **stage_opt
         t["animals"] = key("animals", v.select("OtherAnimalSightings").distinct()
                            .select(F.explode(animal_items).alias("AnimalName"))
                            .where(F.col("AnimalName") != ""), ["AnimalName"], "AnimalID")
-    weather = P.descriptors_after(TW)
-    v = v.withColumns({"WeatherItems": weather["items"], "WeatherObs": weather["clause"]})
     if "weathers" in wanted:
+        weather = P.descriptors_after(TW)
+        v = v.withColumns({"WeatherItems": weather["items"], "WeatherObs": weather["clause"]})
         t["weathers"] = key("weathers", v.select(TW).distinct().select(F.explode(weather["items"]).alias("WeatherName")),
                             ["WeatherName"], "WeatherID")
     if "parkstatus" not in wanted:
@@ -308,7 +327,7 @@ def _visit_tables(spark, visits, store, cut_lineage, key, wanted, t, **stage_opt
 def _sighting_tables(sightings, cut_lineage, key, wanted, t, keyed=True) -> None:
     cut = (lambda df, label: materialize(df, f"survey-{label}")) if cut_lineage else \
         (lambda df, label: df)
-    s = cut(stage_sightings(sightings), "sightings")
+    s = cut(_needed(stage_sightings(sightings), wanted & SIGHTING_TABLES), "sightings")
     for name, cols, value, id_ in [
         ("colors", ["PrimaryFurColor", "HighlightsinFurColor"], "ColorName", "ColorID"),
         ("locations", ["Location"], "LocationName", "LocationID"),
