@@ -23,6 +23,8 @@ ITEM_OUTSIDE_PARENS = r"(?:[^,(]++|\([^)]*+\)?)++"
 # A parenthetical note and its body.
 PAREN_NOTE = r"\([^)]*\)"
 PAREN_BODY = r"\(([^)]*)\)"
+# An item whose only note ends it.
+ONE_NOTE = r"^[^()]*+\([^()]*+\)\z"
 # A parenthesis opened before the last one was closed: the three patterns above don't hold there.
 NESTED = r"\([^)]*\("
 # Markers of a list and the runs between them.
@@ -92,23 +94,30 @@ def parse_range(c, default: int | None = None) -> Column:
     ``"10-20"``, ``"8 or 10"`` -> (smallest, largest number); ``"<30"`` -> (0, 30);
     ``">30"`` -> (30, NULL); no number -> (default, default).
     """
-    def of(s: Column, nums: Column) -> Column:
-        lo, hi = F.array_min(nums), F.array_max(nums)
-        has_num = F.size(nums) > 0
-        mn = (F.when(~has_num, F.lit(default).cast("int"))
-              .when(s.contains("<"), F.lit(0)).otherwise(lo))
-        mx = (F.when(~has_num, F.lit(default).cast("int"))
-              .when(s.contains(">") & ~s.contains("<"), F.lit(None).cast("int")).otherwise(hi))
-        return _fields(min=mn, max=mx)
-
     def once(s: Column) -> Column:
-        nums = F.transform(F.regexp_extract_all(s, F.lit(r"(\d+)"), 1), lambda x: x.try_cast("int"))
-        return F.get(F.transform(F.array(nums), lambda found: of(s, found)), 0)
+        return F.get(F.transform(F.array(range_numbers(s)), lambda found: range_of(s, found, default)), 0)
 
     # the cell, whatever made it, and its numbers are lambdas' variables: evaluated once
     return F.get(F.transform(F.array(_c(c)), once), 0)
 
 
+def range_numbers(c) -> Column:
+    """The whole numbers of a height-like cell."""
+    return F.regexp_extract_all(_c(c), F.lit(r"\d+"), 0).try_cast("array<int>")
+
+
+def range_of(c, numbers, default: int | None = None) -> Column:
+    """``parse_range`` of a cell whose ``numbers`` are found (a stored column is quicker than a lambda's variable)."""
+    s, nums = _c(c), _c(numbers)
+    lo, hi = F.array_min(nums), F.array_max(nums)
+    has_num = F.size(nums) > 0
+    mn = (F.when(~has_num, F.lit(default).cast("int"))
+          .when(s.contains("<"), F.lit(0)).otherwise(lo))
+    mx = (F.when(~has_num, F.lit(default).cast("int"))
+          .when(s.contains(">") & ~s.contains("<"), F.lit(None).cast("int")).otherwise(hi))
+    return _fields(min=mn, max=mx)
+
+
 def extract_number(c, unit: str | None = TEMPERATURE_UNIT, fallback: bool = False, type_: str = "int") -> Column:
     """The number written before ``unit`` ("43 Degrees", "-5 degrees", "40-ish degrees"); NULL if none.
 
@@ -231,7 +240,7 @@ def items_outside_parens(c) -> Column:
     s = _c(c)
     plain = F.regexp_extract_all(s, F.lit(ITEM_OUTSIDE_PARENS), 0)
     # most cells have no parenthesis and need no pattern
-    items = (F.when(~s.contains("("), F.filter(F.split(s, ","), lambda x: x != ""))
+    items = (F.when(~s.contains("("), F.array_remove(F.split(s, ","), ""))
              .when(s.rlike(NESTED), _apply(NESTED_ITEMS, s)).otherwise(plain))
     return F.transform(items, lambda x: F.trim(x))
 
@@ -241,6 +250,14 @@ def split_items(c, sep: str = ",") -> Column:
     return items_outside_parens(c) if sep == "," else F.split(_c(c), r"\Q" + sep + r"\E")
 
 
+def _plain_value(s: Column) -> Column:
+    return F.trim(F.regexp_replace(s, PAREN_NOTE, ""))
+
+
+def _plain_note(s: Column) -> Column:
+    return F.array_join(F.transform(F.regexp_extract_all(s, F.lit(PAREN_BODY), 1), lambda x: F.trim(x)), ", ")
+
+
 def split_note(c) -> Column:
     """struct(value, note): value without parentheticals, their bodies joined by ", " ('' if none).
 
@@ -248,12 +265,35 @@ def split_note(c) -> Column:
     its body. Parentheses without a partner are text.
     """
     s = _c(c)
-    value = F.trim(F.regexp_replace(s, PAREN_NOTE, ""))
-    note = F.array_join(F.transform(F.regexp_extract_all(s, F.lit(PAREN_BODY), 1), lambda x: F.trim(x)), ", ")
     # each field has its own condition, so one that isn't asked for costs nothing
     bare, nested = ~s.contains("("), s.rlike(NESTED)
-    return _fields(value=F.when(bare, F.trim(s)).when(nested, _apply(NESTED_VALUE, s)).otherwise(value),
-                   note=F.when(bare, F.lit("")).when(nested, _apply(NESTED_BODIES, s)).otherwise(note))
+    return _fields(value=F.when(bare, F.trim(s)).when(nested, _apply(NESTED_VALUE, s)).otherwise(_plain_value(s)),
+                   note=F.when(bare, F.lit("")).when(nested, _apply(NESTED_BODIES, s)).otherwise(_plain_note(s)))
+
+
+def noted_items(c) -> Column:
+    """The items outside parentheses as an array of struct(value, note), each pair once, without empty values.
+
+    What form a cell has is asked once, not for each field of each item: a cell without
+    parentheses has no notes, and one without nested ones only items without such.
+    """
+    s = _c(c)
+
+    def pairs(items: Column, of) -> Column:
+        return F.array_distinct(F.filter(F.transform(items, of), lambda p: p["value"] != ""))
+
+    def plain(x: Column) -> Column:
+        # mostly there is one note, and it ends the item
+        head, rest = F.substring_index(x, "(", 1), F.substring_index(x, "(", -1)
+        return (F.when(~x.contains("("), _fields(value=F.trim(x), note=F.lit("")))
+                .when(x.rlike(ONE_NOTE), _fields(value=F.trim(head), note=F.trim(F.substring_index(rest, ")", 1))))
+                .otherwise(_fields(value=_plain_value(x), note=_plain_note(x))))
+
+    bare = F.transform(F.filter(F.array_distinct(F.transform(F.split(s, ","), lambda x: F.trim(x))), lambda x: x != ""),
+                       lambda x: _fields(value=x, note=F.lit("")))
+    return (F.when(~s.contains("("), bare)
+            .when(s.rlike(NESTED), pairs(items_outside_parens(s), split_note))
+            .otherwise(pairs(F.transform(F.regexp_extract_all(s, F.lit(ITEM_OUTSIDE_PARENS), 0), lambda x: F.trim(x)), plain)))
 
 
 def clause_pattern(words=CLAUSE_WORDS) -> str:

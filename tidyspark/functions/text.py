@@ -36,6 +36,14 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _spelled(kept: str) -> str:
+    """A class's members with the ranges of ASCII letters and digits written out.
+
+    The matcher looks up single characters in one table, but tests ranges one after the other.
+    """
+    return re.sub(r"a-z|A-Z|0-9", lambda r: "".join(map(chr, range(ord(r[0][0]), ord(r[0][2]) + 1))), kept)
+
+
 def replace_chars(c, pattern: str, replacement: str = "") -> Column:
     """regexp_replace(c, pattern, replacement), quick where ``pattern`` is one negated class ``[^...]``.
 
@@ -46,7 +54,7 @@ def replace_chars(c, pattern: str, replacement: str = "") -> Column:
     kept = re.fullmatch(r"\[\^([^\[\]&]+)\]", pattern)
     if kept is None or re.search(r"[\\$]", replacement):
         return F.regexp_replace(s, pattern, replacement)
-    run = f"[{kept.group(1)}]*+"
+    run, pattern = f"[{_spelled(kept.group(1))}]*+", f"[^{_spelled(kept.group(1))}]"
     return (F.when(s.rlike(rf"\A{run}\z"), s)
             .otherwise(F.regexp_replace(s, rf"\G({run}){pattern}", "$1" + replacement)))
 
@@ -90,4 +98,4 @@ def fill_default(df: DataFrame, cols, default: str = MISSING) -> DataFrame:
 
 def strip_quotes(c) -> Column:
     """Remove double quotes (a quoted remark such as '"Lovely" - Kim')."""
-    return F.trim(F.regexp_replace(_c(c), '"', ""))
+    return F.trim(F.replace(_c(c), F.lit('"'), F.lit("")))

@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidyspark.functions import parse as P
 from tidyspark.functions.parse import split_items, split_note
 from tidyspark.operators.keys import dense_key
 
@@ -125,6 +126,8 @@ def bridge(fact: DataFrame, fact_key: str, value, dim: DataFrame, dim_name: str,
 
 def noted_items(value, sep: str = ",") -> Column:
     """A cell's items as an array of struct(value, note), each pair once, without empty values."""
+    if sep == ",":
+        return P.noted_items(value)
     pairs = F.transform(split_items(value, sep), lambda x: F.struct(split_note(x)["value"].alias("value"),
                                                                     split_note(x)["note"].alias("note")))
     return F.array_distinct(F.filter(pairs, lambda p: p["value"] != ""))

@@ -71,14 +71,17 @@ def stage_sightings(sightings: DataFrame) -> DataFrame:
     }
     s = X.clean_text(sightings.withColumnsRenamed({LAT: "SquirrelLatitude",
                                                    LON: "SquirrelLongitude"}), spec)
-    height = F.regexp_replace(F.col("AboveGroundHeightinFeet").cast("string"), r"(\d)\.\d+", "$1")
-    rng = P.parse_range(X.replace_chars(height, X.KEEP_RANGE, ","))
-    return s.withColumn("__range", rng).withColumns({
+    height = F.col("AboveGroundHeightinFeet").cast("string")
+    height = F.when(height.contains("."), F.regexp_replace(height, r"(\d)\.\d+", "$1")).otherwise(height)
+    s = (s.withColumn("__height", height).withColumn("__height", X.replace_chars("__height", X.KEEP_RANGE, ","))
+         .withColumn("__numbers", F.get(F.transform(F.array("__height"), P.range_numbers), 0))
+         .withColumn("__range", P.range_of("__height", "__numbers")))
+    return s.withColumns({
         "ParkID": P.split_hier_id("ParkID")["parent"],
         "MinHeightFeet": F.col("__range.min"), "MaxHeightFeet": F.col("__range.max"),
         "SquirrelLatitude": F.col("SquirrelLatitude").try_cast("double"),
         "SquirrelLongitude": F.col("SquirrelLongitude").try_cast("double"),
-    }).drop("__range")
+    }).drop("__height", "__numbers", "__range")
 
 
 # -- keyed tables -----------------------------------------------------------------------
@@ -340,11 +343,12 @@ def _sighting_tables(sightings, cut_lineage, key, wanted, t, keyed=True) -> None
         return
 
     # sighting fact: primary colour and first highlight are two roles of one vocabulary
-    first_highlight = F.get(P.items_outside_parens("HighlightsinFurColor"), 0)
+    # as a column the first highlight is found once, not for each part of its parser
+    s = s.withColumn("__first", F.get(P.items_outside_parens("HighlightsinFurColor"), 0))
     s = facts.build_fact(s, [
         dict(dim=t["colors"], on=F.trim("PrimaryFurColor"), dim_name="ColorName",
              dim_key="ColorID", as_="SquirrelPrimFurColorID", broadcast_max_rows=VOCABULARY_ROWS),
-        dict(dim=t["colors"], on=P.split_note(first_highlight)["value"], dim_name="ColorName",
+        dict(dim=t["colors"], on=P.split_note("__first")["value"], dim_name="ColorName",
              dim_key="ColorID", as_="SquirrelHighFurColorID", broadcast_max_rows=VOCABULARY_ROWS)])
     s = s.withColumns({"SquirrelColorNotes": F.col("ColorNotes"),
                        "SquirrelSpecificLocation": F.col("SpecificLocation"),
