@@ -132,3 +132,32 @@ def test_rows_of_few_pieces_are_dealt_out(spark):
     few, many = spark.range(0, 1000, 1, 1), spark.range(0, 1000, 1, n + 3)
     assert pipeline._spread(few).rdd.getNumPartitions() == n and pipeline._spread(many).rdd.getNumPartitions() == n + 3
     assert sorted(r.id for r in pipeline._spread(few).collect()) == list(range(1000))
+
+
+def test_rows_of_one_row_group_are_dealt_out(spark, tmp_path):
+    """A file of one row group may be cut into many pieces, of which one has all the rows."""
+    n, path = spark.sparkContext.defaultParallelism, str(tmp_path / "rows")
+    rows = spark.range(0, 20000, 1, 1).select("id", F.lit(None).cast("long").alias("none"))
+    rows.write.parquet(path)
+    size = sum(f.stat().st_size for f in (tmp_path / "rows").glob("*.parquet"))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size // (2 * n)))
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        read = spark.read.parquet(path)
+        assert read.rdd.getNumPartitions() >= n
+        spread = pipeline._spread(read)
+        counts = [r["count"] for r in spread.groupBy(F.spark_partition_id()).count().collect()]
+        assert spread.columns == read.columns and len(counts) == n and max(counts) < 1.25 * 20000 / n
+        assert sorted(tuple(r) for r in spread.collect()) == [(i, None) for i in range(20000)]
+        # no rows need no dealing
+        assert pipeline._spread(read.where("id < 0")).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_many_rows_are_dealt_into_bounded_pieces(spark, monkeypatch):
+    n = spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(pipeline, "PIECE_ROWS", 100)
+    spread = pipeline._spread(spark.range(0, 250 * n, 1, 1))
+    assert spread.rdd.getNumPartitions() == 3 * n and spread.distinct().count() == 250 * n

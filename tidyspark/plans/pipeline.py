@@ -10,6 +10,8 @@ store, audits and reports.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,13 +24,25 @@ def _load(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d.rstrip('/')}/{name}.parquet")
 
 
+EVEN = 1.25                   # a core's share of the rows that a piece may hold before rows are dealt out
+PIECE_ROWS = 2_000_000        # about the most rows of a dealt piece
+
+
 def _spread(df: DataFrame) -> DataFrame:
-    """Rows that are read in fewer pieces than there are cores are dealt out to all of them.
+    """Stored rows that are read in uneven pieces, or in fewer than there are cores, are dealt out evenly.
 
-    Making and parsing the texts takes far longer than reading the short rows that they are made of.
+    Making and parsing the texts takes far longer than reading the short rows that they are made of, and a
+    row group is read by one task however many pieces its file is cut into. So the rows of the pieces are counted
+    (without reading a column). Rows are dealt by their place, which is the same whenever a task is run again.
     """
-    n = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    pieces = df.groupBy(F.spark_partition_id().alias("piece")).agg(F.count(F.lit(1)).alias("n"))
+    rows, fullest = pieces.agg(F.sum("n"), F.max("n")).first()
+    if not rows or fullest <= EVEN * rows / cores:
+        return df
+    waves = math.ceil(rows / (cores * PIECE_ROWS))
+    return (df.withColumn("__place", F.monotonically_increasing_id()).repartition(cores * waves, "__place")
+            .drop("__place"))
 
 
 def survey_inputs(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
