@@ -8,9 +8,9 @@ come from expectation maximisation: forward-backward gives each piece's
 expected count in the training words of a language.
 
 A training set is a documented bound: at most about ``docs_per_language``
-documents of each language, chosen by a hash of the id, equal texts once;
-words over 48 letters take no part in training. Every word of every text is
-scored.
+documents of each language, chosen by a hash of the id (or of the text, where
+ids may not tell documents apart), equal texts once; words over 48 letters
+teach in parts. Every word of every text is scored.
 
 Defined results: ``und`` with score 0.0 for a text that is null or has no
 letter, and for every text if nothing could be learned; ties go to the
@@ -186,26 +186,35 @@ def _lifted(prob: np.ndarray, lattice: Lattice) -> np.ndarray:
     return full * (LIFT ** lattice.length)[:, None]
 
 
-def _sample(rows: DataFrame, counts: dict[str, int], text: str, lang: str, id_col: str,
+def _to_learn(df: DataFrame, learn: Column, text: str, lang: str,
+              id_col: str | None) -> tuple[DataFrame, dict[str, int]]:
+    """Rows to learn from, and their number in each language (without ``id_col`` about that of different texts)."""
+    rows = df.where(learn & F.col(lang).isNotNull() & F.col(text).isNotNull())
+    number = F.count("*") if id_col else F.approx_count_distinct(F.xxhash64(text), 0.02)
+    return rows, {r[0]: r[1] for r in rows.groupBy(lang).agg(number).collect()}     # a row per language
+
+
+def _sample(rows: DataFrame, counts: dict[str, int], text: str, lang: str, id_col: str | None,
             docs_per_language: int) -> DataFrame:
-    """About ``docs_per_language`` texts of each language, chosen by a hash of the id, equal texts once."""
+    """About ``docs_per_language`` texts of each language, chosen by a hash of the id (without ``id_col`` of the text),
+    equal texts once."""
     cut = F.create_map(*[x for k in sorted(counts) for x in (
         F.lit(k), F.lit(int(min(1.0, docs_per_language / counts[k]) * (1 << 30))))])
-    return (rows.where(F.pmod(F.xxhash64(F.col(id_col), F.lit(3)), F.lit(1 << 30)) < cut[F.col(lang)])
+    return (rows.where(F.pmod(F.xxhash64(F.col(id_col or text), F.lit(3)), F.lit(1 << 30)) < cut[F.col(lang)])
             .select(F.col(lang).alias("lang"), F.col(text).alias("text"))
             .withColumn("digest", F.xxhash64("text")).dropDuplicates(["lang", "digest"]).drop("digest"))
 
 
 def train(df: DataFrame, learn: Column, model_path: str, text: str = "text", lang: str = "lang",
-          id_col: str = "doc_id", docs_per_language: int = 1500, rounds: int = 3):
+          id_col: str | None = "doc_id", docs_per_language: int = 1500, rounds: int = 3):
     """(languages, pieces, probabilities) learned from rows where ``learn`` holds and ``lang`` is known.
 
+    Without ``id_col`` texts are chosen by their own hash, so ids may be null or repeated.
     Sizes: a row per piece of the fixed vocabulary, a column per language.
     """
     spark = df.sparkSession
     ship_code(spark)
-    rows = df.where(learn & F.col(lang).isNotNull() & F.col(text).isNotNull())
-    counts = {r[0]: r[1] for r in rows.groupBy(lang).count().collect()}     # a row per language
+    rows, counts = _to_learn(df, learn, text, lang, id_col)
     languages, pieces = sorted(counts), read_pieces(model_path)
     if not languages:
         return [], pieces, np.zeros((len(pieces), 0))
@@ -318,6 +327,24 @@ FIT_FIELDS = T.StructType([*FIELDS.fields, T.StructField("per_letter", T.DoubleT
                            T.StructField("distinct_words", T.LongType())])
 
 
+def restricted(model, names):
+    """The model with those of its languages that are in ``names``."""
+    languages, pieces, prob = model
+    at = [i for i, k in enumerate(languages) if k in names]
+    return [languages[i] for i in at], pieces, prob[:, at]
+
+
+def _text_fit(scorer: Scorer, text: str | None):
+    """Per language the text's log-probability and the mean of a letter over its distinct words, and their number;
+    None without words."""
+    words = Counter(letters(text))
+    if not words:
+        return None
+    at = scorer.rows(list(words))
+    own = scorer.logs[at]
+    return np.fromiter(words.values(), float, len(words)) @ own, own.sum(axis=0) / sum(map(len, words)), len(words)
+
+
 def fits(df: DataFrame, model, text: str = "text", keep: list[str] | None = None) -> tuple[DataFrame, str]:
     """``predict`` with a measure that does not compare languages: ``per_letter``, the mean log-probability of a
     letter in the predicted language over the text's distinct words (null without words)."""
@@ -331,29 +358,46 @@ def fits(df: DataFrame, model, text: str = "text", keep: list[str] | None = None
         scorer = worker_cached(("langid", token), lambda: Scorer(pieces, prob))
         found = []
         for t in texts:
-            words = Counter(letters(t))
-            if not words:
+            fit = _text_fit(scorer, t)
+            if fit is None:
                 found.append(("und", 0.0, None, 0))
                 continue
-            at = scorer.rows(list(words))
-            own = scorer.logs[at]
-            logs = np.fromiter(words.values(), float, len(words)) @ own
+            logs, per_letter, n_words = fit
             best = int(logs.argmax())
-            size = sum(map(len, words))
-            found.append((names[best], float(1 / np.exp(logs - logs[best]).sum()), float(own[:, best].sum() / size),
-                          len(words)))
+            found.append((names[best], float(1 / np.exp(logs - logs[best]).sum()), float(per_letter[best]), n_words))
         return [list(c) for c in zip(*found)] if found else [[], [], [], []]
 
     return append_struct(df, text, FIT_FIELDS, per_texts, keep)
 
 
-def usual_fit(df: DataFrame, learn: Column, model, text: str = "text", lang: str = "lang", id_col: str = "doc_id",
-              docs_per_language: int = 1500) -> dict[str, float]:
-    """Mean ``per_letter`` of training texts that are predicted as their own language, a number for each language."""
-    rows = df.where(learn & F.col(lang).isNotNull() & F.col(text).isNotNull())
-    counts = {r[0]: r[1] for r in rows.groupBy(lang).count().collect()}     # a row per language
+def usual_fit(df: DataFrame, learn: Column, model, text: str = "text", lang: str = "lang",
+              id_col: str | None = "doc_id", docs_per_language: int = 1500) -> dict[str, float]:
+    """Mean ``per_letter`` of a language's training texts that are predicted as it, or, if none is, of all of them:
+    a number for each language with letters in its training texts."""
+    ship_code(df.sparkSession)
+    rows, counts = _to_learn(df, learn, text, lang, id_col)
     if not counts:
         return {}
-    out, name = fits(_sample(rows, counts, text, lang, id_col, docs_per_language), model, keep=["lang"])
-    return dict(out.where(F.col(f"{name}.lang_pred") == F.col("lang")).groupBy("lang")
-                .agg(F.avg(f"{name}.per_letter")).collect())
+    shared = broadcast_value(df.sparkSession, model)
+    token = content_key(*model)
+
+    def measure(batches):
+        names, pieces, prob = shared.value
+        scorer = worker_cached(("langid", token), lambda: Scorer(pieces, prob))
+        column = {k: i for i, k in enumerate(names)}
+        for whole in batches:
+            for b in text_slices(whole, "text"):
+                found = []
+                for k, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                    fit = _text_fit(scorer, t) if k in column else None
+                    if fit is not None:
+                        logs, per_letter, _ = fit
+                        found.append((k, float(per_letter[column[k]]), int(logs.argmax()) == column[k]))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([f[i] for f in found], kind)
+                     for i, kind in enumerate((pa.string(), pa.float64(), pa.bool_()))],
+                    names=["lang", "per_letter", "as_own"])
+
+    return dict(_sample(rows, counts, text, lang, id_col, docs_per_language)
+                .mapInArrow(measure, "lang string, per_letter double, as_own boolean").groupBy("lang")
+                .agg(F.coalesce(F.avg(F.when(F.col("as_own"), F.col("per_letter"))), F.avg("per_letter"))).collect())
